@@ -1,0 +1,37 @@
+"""A DataFrame together with the catalogued base tables it came from."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+
+@dataclass(frozen=True)
+class Tracked:
+    """``df`` plus lineage: the qualified names of its base tables.
+
+    The lineage is what lets a derived table inherit the foreign keys of
+    the tables it was built from (see ``cataloom.sources.derived``).
+    """
+
+    df: DataFrame
+    tables: tuple[str, ...] = ()
+
+    def with_df(self, df: DataFrame) -> "Tracked":
+        return Tracked(df, self.tables)
+
+
+def unwrap(x) -> tuple[DataFrame, tuple[str, ...]]:
+    if isinstance(x, Tracked):
+        return x.df, x.tables
+    if isinstance(x, DataFrame):
+        return x, ()
+    raise TypeError(f"expected a DataFrame or Tracked, got {type(x).__name__}")
+
+
+def rewrap(original, df: DataFrame):
+    """Return ``df`` in the same wrapper kind as ``original``."""
+    if isinstance(original, Tracked):
+        return original.with_df(df)
+    return df
