@@ -1,0 +1,154 @@
+"""Profiling: duplicates, row count, sampling, categorical columns, density."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cataloom.operators.tracked import unwrap
+
+ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def row_fingerprint(columns: Sequence[str]):
+    """SHA-256 of a row's JSON form (NULL fields omitted, names included).
+
+    Two rows get the same fingerprint exactly when they are equal (up to
+    SHA-256 collisions), with NULLs equal to each other as in GROUP BY.
+    """
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256)
+
+
+def duplicate_groups(x, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct row values that occur more than once, with their counts."""
+    df, _ = unwrap(x)
+    cols = list(columns or df.columns)
+    return (
+        df.select(row_fingerprint(cols).alias("row_fingerprint"))
+        .groupBy("row_fingerprint")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+        .filter(F.col("occurrences") > 1)
+    )
+
+
+def find_duplicates(x, columns: Sequence[str] | None = None) -> DataFrame:
+    """Number of distinct row values occurring more than once.
+
+    Rows are grouped by a 32-byte fingerprint instead of their full value,
+    so the shuffle moves digests, not texts, and partial aggregation
+    collapses a hot duplicate group map-side.  One row:
+    ``duplicate_groups``, ``duplicate_rows`` (rows inside those groups).
+    """
+    return duplicate_groups(x, columns).agg(
+        F.count(F.lit(1)).alias("duplicate_groups"),
+        F.sum("occurrences").alias("duplicate_rows"),
+    )
+
+
+def row_count(x) -> DataFrame:
+    """``rowcount`` of a frame."""
+    df, _ = unwrap(x)
+    return df.agg(F.count(F.lit(1)).alias("rowcount"))
+
+
+# Sample size defaults.
+DEFAULT_SAMPLE_ROWS = 100
+MAX_SAMPLE_ROWS = 1000
+
+
+def sample(x, percent: float | None = None, count: int | None = None, seed: int | None = None) -> DataFrame:
+    """Bernoulli sample without replacement (D3).
+
+    ``percent`` gives the fraction directly; otherwise ``count`` (default
+    100, at most 1000) rows are expected, i.e. fraction = count / rows.
+    The fraction is clamped to 1.
+    """
+    df, _ = unwrap(x)
+    if percent is not None:
+        fraction = percent / 100.0
+    else:
+        wanted = min(count if count is not None else DEFAULT_SAMPLE_ROWS, MAX_SAMPLE_ROWS)
+        total = df.count()
+        fraction = wanted / total if total else 1.0
+    return df.sample(withReplacement=False, fraction=min(max(fraction, 0.0), 1.0), seed=seed)
+
+
+def categorical_columns(x, max_levels: int = 20, rsd: float = 0.01) -> DataFrame:
+    """One row per atomic column: approximate distinct count and a flag.
+
+    ``distinct_levels`` is reported for categorical columns (at most
+    ``max_levels`` levels) and NULL otherwise.  All columns are sketched in
+    one pass with mergeable HyperLogLog++ states.
+    """
+    df, _ = unwrap(x)
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
+    sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)])
+    stacked = sketch.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n")) for i, c in enumerate(cols)])
+        ).alias("s")
+    )
+    levels = F.col("s.n")
+    return stacked.select(
+        F.col("s.column_name").alias("column_name"),
+        F.when(levels <= max_levels, levels).alias("distinct_levels"),
+        (levels <= max_levels).alias("is_categorical"),
+    )
+
+
+def histogram(x, column: str, bins: int = 10) -> DataFrame:
+    """Equal-width bins over [min, max] of a numeric column (D5, binned).
+
+    One pass for the bounds (one row to the driver), one grouped pass for
+    the counts.  Columns: ``bin``, ``bin_low``, ``bin_high``, ``n``.
+    """
+    df, _ = unwrap(x)
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "bin bigint, bin_low double, bin_high double, n bigint")
+    width = (float(hi) - float(lo)) / bins or 1.0
+    v = F.col(column).cast("double")
+    b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1))
+    return (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(b.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            "bin",
+            F.round(F.lit(float(lo)) + F.col("bin") * F.lit(width), 6).alias("bin_low"),
+            F.round(F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width), 6).alias("bin_high"),
+            "n",
+        )
+    )
+
+
+def scott_bandwidth(n: int, sd: float) -> float:
+    """``1.06 * sd * n^(-1/5)`` (normal reference rule)."""
+    return 1.06 * sd * n ** (-0.2)
+
+
+def kernel_density(x, column: str, points: Sequence[float], bandwidth: float | None = None, digits: int = 6) -> DataFrame:
+    """Gaussian kernel density of a numeric column at given points.
+
+    Values are first counted per distinct value (map-side combined), then
+    each distinct value contributes to every evaluation point through a
+    generator over the (small, fixed) point list, and contributions are
+    summed per point.  Columns: ``x``, ``density``.
+    """
+    df, _ = unwrap(x)
+    n, sd = df.agg(F.count(column), F.stddev_samp(column)).first()
+    h = bandwidth if bandwidth is not None else scott_bandwidth(n, sd)
+    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).count()
+    pts = F.array(*[F.lit(float(p)) for p in points])
+    z = (F.col("x") - F.col("v")) / F.lit(h)
+    norm = n * h * math.sqrt(2 * math.pi)
+    return (
+        counted.select("v", "count", F.explode(pts).alias("x"))
+        .groupBy("x")
+        .agg(F.sum(F.col("count") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+        .select("x", F.round(F.col("s") / F.lit(norm), digits).alias("density"))
+    )

@@ -32,6 +32,8 @@ def table_location(doc: TableDoc) -> str:
 
 
 def read_table(spark: SparkSession, doc: TableDoc) -> DataFrame:
+    if doc.format == "table":  # a derived table registered in Spark's catalog
+        return spark.table(doc.path or doc.qualified)
     location = table_location(doc)
     reader = spark.read.format(doc.format)
     if doc.format == "avro":
