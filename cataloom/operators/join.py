@@ -98,8 +98,10 @@ def auto_join(
     edges = list(on) if on is not None else discover_join_keys(catalog, tables)
 
     def column(dotted: str) -> str:
-        _, table, col = dotted.split(".", 2)
-        owner = next(d for d in docs.values() if d.table == table)
+        source, table, col = dotted.split(".", 2)
+        owner = docs.get(f"{source}.{table}")
+        if owner is None:
+            raise ValueError(f"foreign key column {dotted!r} belongs to no joined table")
         return col if owner.derived else qualified_name(table, col)
 
     frames = {}

@@ -695,9 +695,9 @@ def derived_table_roundtrip(spark, d):
 @register(
     "fk_carry_over",
     "SELECT 'derived_src.orders_customers' AS child_table, 'tpch.customer' AS parent_table, "
-    "'o_custkey' AS child_column, 'c_custkey' AS parent_column, "
+    "'orders__o_custkey' AS child_column, 'c_custkey' AS parent_column, "
     "(SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS derived_rows "
-    "UNION ALL SELECT 'derived_src.orders_customers', 'tpch.nation', 'c_nationkey', 'n_nationkey', "
+    "UNION ALL SELECT 'derived_src.orders_customers', 'tpch.nation', 'customer__c_nationkey', 'n_nationkey', "
     "(SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey)",
 )
 def fk_carry_over(spark, d):

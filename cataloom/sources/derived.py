@@ -33,19 +33,30 @@ def write_orc_new(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
-def inherited_foreign_keys(x: Tracked, catalog: Catalog) -> tuple[tuple[Relation, ...], ...]:
-    """FKs of the base tables whose FK column survives in the frame, either
-    as ``col`` or as ``table__col`` (K4 helper)."""
+def inherited_foreign_keys(x: Tracked, catalog: Catalog, new_name: str) -> tuple[tuple[Relation, ...], ...]:
+    """FKs of the base tables whose FK columns all survive in the frame,
+    either as ``col`` or as ``table__col`` (K4 helper).
+
+    The kept relations are rewritten to start from the derived table and
+    name the column as it is called there, so the derived table joins on
+    them directly.
+    """
     df, tables = unwrap(x)
-    present = {c.lower() for c in df.columns}
+    present = {c.lower(): c for c in df.columns}
     kept = []
     for name in tables:
         for fk in catalog.doc(name).fk:
             if not fk:
                 continue
-            _, table, col = fk[0].f_by.split(".", 2)
-            if col.lower() in present or f"{table}{QUALIFIER}{col}".lower() in present:
-                kept.append(fk)
+            rewritten = []
+            for r in fk:
+                _, table, col = r.f_by.split(".", 2)
+                found = present.get(col.lower()) or present.get(f"{table}{QUALIFIER}{col}".lower())
+                if found is None:
+                    break
+                rewritten.append(Relation(r.t, new_name, f"{new_name}.{found}", r.by))
+            else:
+                kept.append(tuple(rewritten))
     return tuple(kept)
 
 
@@ -55,29 +66,35 @@ def save_derived_table(
     source: str,
     table: str,
     fmt: str = "orc",
-    mode: str = "overwrite",
+    location: str | None = None,
 ) -> Catalog:
     """Write a derived table's data and register its schema (K3 + K4).
 
-    Returns a catalog that also holds the derived document.
+    Data goes to ``location`` (default: a fresh folder in the shared
+    checkpoint storage), then an external Spark table ``source.table`` is
+    (re)registered there with ``origin='derived'`` and the inherited FKs as
+    table properties.  Returns a catalog that also holds the document.
     """
+    from cataloom.session import shared_path
+
     df, tables = unwrap(x)
     spark = df.sparkSession
     name = f"{source}.{table}"
     if name in catalog.docs() and not catalog.doc(name).derived:
         raise ValueError(f"{name} is an original table; it cannot be overwritten")
-    fks = inherited_foreign_keys(Tracked(df, tables), catalog) if tables else ()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{source}`")
-    df.write.format(fmt).mode(mode).saveAsTable(f"`{source}`.`{table}`")
+    fks = inherited_foreign_keys(Tracked(df, tables), catalog, name) if tables else ()
+    location = location or shared_path(spark, "derived", source, table)
+    df.write.format(fmt).mode("overwrite").save(location)
     fk_json = json.dumps([[r.__dict__ for r in fk] for fk in fks]).replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{source}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{source}`.`{table}`")
     spark.sql(
-        f"ALTER TABLE `{source}`.`{table}` SET TBLPROPERTIES "
-        f"('origin'='derived', 'fk'='{fk_json}')"
+        f"CREATE TABLE `{source}`.`{table}` USING {fmt} LOCATION '{location}' "
+        f"TBLPROPERTIES ('origin'='derived', 'fk'='{fk_json}')"
     )
     doc = TableDoc(
-        source=source, table=table, id=table, origin="derived", format="table",
-        path=f"{source}.{table}", columns=tuple(df.columns),
-        fk=tuple(tuple(Relation(r.t, name, r.f_by, r.by) for r in fk) for fk in fks),
+        source=source, table=table, id=table, origin="derived", format=fmt,
+        path=location, columns=tuple(df.columns), fk=fks,
     )
     return catalog.with_table(doc)
 
@@ -87,7 +104,15 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in rows}
 
 
-def drop_derived_table(catalog: Catalog, name: str) -> Catalog:
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through the Hadoop FileSystem of its URI."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
+def drop_derived_table(catalog: Catalog, name: str, delete_data: bool = True) -> Catalog:
     """Drop a derived table's schema entry and data (K5).
 
     Raises ``KeyError`` when the table is unknown and ``ValueError`` for an
@@ -95,8 +120,11 @@ def drop_derived_table(catalog: Catalog, name: str) -> Catalog:
     """
     if name not in catalog.docs():
         raise KeyError(f"No such table exists: {name}")
-    if not catalog.doc(name).derived:
+    doc = catalog.doc(name)
+    if not doc.derived:
         raise ValueError(f"Can not delete original table {name}")
     source, table = name.split(".", 1)
     catalog.spark.sql(f"DROP TABLE IF EXISTS `{source}`.`{table}`")
+    if delete_data and doc.path:
+        delete_path(catalog.spark, doc.path)
     return catalog.without_table(name)
