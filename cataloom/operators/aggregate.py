@@ -62,7 +62,7 @@ def latest_per_group(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    method: str = "struct_max",
+    method: str = "join_back",
 ) -> DataFrame:
     """Rows holding the greatest ``order_by`` tuple in each ``keys`` group.
 
@@ -71,13 +71,15 @@ def latest_per_group(
     all kept, and a group yields nothing when a key, or the winning value of
     any ordering column, is NULL.
 
-    ``struct_max`` (default): one aggregate of ``max(struct(order_by))`` --
-    combined map-side, so a group holding a third of all rows is never
-    gathered into one task -- and a left-semi join back on keys + winner,
-    whose shuffle spreads on the full composite key.
-    ``window``: ``rank()`` over a window (one shuffle, but a whole group per
-    task; kept for comparison).  ``join_back``: the literal two GROUP BY +
-    two join form.
+    ``join_back`` (default): per ordering column, a hash aggregate of its
+    maximum per group, then a left-semi join keeping the rows that hold it.
+    Aggregates combine map-side, so a group holding a third of all rows is
+    never gathered into one task; each semi-join shuffles on the group keys
+    plus the winning value, and AQE splits a skewed partition.  The second
+    round only sees rows on the latest first value.
+    ``struct_max``: one ``max(struct(...))`` aggregate (a sort aggregate)
+    and one semi-join.  ``window``: ``rank()`` over a window -- one shuffle,
+    but a whole group per task; kept for comparison.
     """
     keys, order_by = list(keys), list(order_by)
     if method == "struct_max":

@@ -41,6 +41,8 @@ def kmeans(
     else:
         cols = list(feature_cols)
         data = VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="skip").transform(df)
+    # KMeans persists its own instance RDD while iterating when the input is
+    # not cached; caching the vector column here measured twice as slow
     model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(data)
     assigned = model.transform(data).select(*id_cols, F.col("cluster").cast("int").alias("cluster"))
     return model, assigned

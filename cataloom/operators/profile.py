@@ -77,26 +77,41 @@ def sample(x, percent: float | None = None, count: int | None = None, seed: int
     return df.sample(withReplacement=False, fraction=min(max(fraction, 0.0), 1.0), seed=seed)
 
 
-def categorical_columns(x, max_levels: int = 20, rsd: float = 0.01) -> DataFrame:
-    """One row per atomic column: approximate distinct count and a flag.
-
-    ``distinct_levels`` is reported for categorical columns (at most
-    ``max_levels`` levels) and NULL otherwise.  All columns are sketched in
-    one pass with mergeable HyperLogLog++ states.
+def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05) -> DataFrame:
+    """One row per atomic column: distinct level count and a flag.
+
+    ``distinct_levels`` is the exact number of non-NULL levels for
+    categorical columns (at most ``max_levels``) and NULL otherwise.
+    A HyperLogLog++ pass over all columns (one row of sketches to the
+    driver) screens out high-cardinality columns; only the remaining
+    candidates are counted exactly, in one grouped pass whose partial
+    aggregation leaves at most (candidates x levels) rows per task.
     """
     df, _ = unwrap(x)
+    spark = df.sparkSession
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
-    sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)])
-    stacked = sketch.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n")) for i, c in enumerate(cols)])
-        ).alias("s")
-    )
-    levels = F.col("s.n")
-    return stacked.select(
-        F.col("s.column_name").alias("column_name"),
-        F.when(levels <= max_levels, levels).alias("distinct_levels"),
-        (levels <= max_levels).alias("is_categorical"),
+    sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    screen = 2 * max_levels + 16  # HLL never reports a 20-level column anywhere near this
+    candidates = [c for i, c in enumerate(cols) if sketch[f"c{i}"] <= screen]
+    names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column_name string, ordinal int")
+    if candidates:
+        pairs = df.select(
+            F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
+                for c in candidates
+            ])).alias("p")
+        ).select("p.*").filter(F.col("value").isNotNull())
+        exact = pairs.distinct().groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("levels")
+        )
+        names = names.join(exact, "column_name", "left")
+    else:
+        names = names.withColumn("levels", F.lit(None).cast("bigint"))
+    categorical = F.coalesce(F.col("levels") <= max_levels, F.lit(False))
+    return names.select(
+        "column_name",
+        F.when(categorical, F.col("levels")).alias("distinct_levels"),
+        categorical.alias("is_categorical"),
     )
 
 

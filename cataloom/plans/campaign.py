@@ -6,8 +6,9 @@ One logical plan from scans to the write.  Scale notes:
 * filters sit on the scans (COB code, 180-day window, member flags) and are
   pushed into the file reader;
 * the latest claim per (member link, drug class) is a map-side combined
-  ``max(struct(fill date, claim id))`` plus one semi-join back, so a member
-  with a third of all claims never lands in one task;
+  max of the fill date, a semi-join back, then the max claim id among
+  those rows and a second semi-join, so a member with a third of all
+  claims never lands in one task;
 * member-keyed tables join on the same key one after another, so the
   claim side is shuffled once for all of them; client, pharmacy and plan
   dimensions are broadcast only when a row bound is proven;
@@ -150,7 +151,7 @@ def claim_base(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     return _join(base, drugs, [("PHMCY_DRUG_PROD_GID", "DRUG_DRUG_PROD_GID")], "inner")
 
 
-def latest_claims(base: DataFrame, method: str = "struct_max") -> DataFrame:
+def latest_claims(base: DataFrame, method: str = "join_back") -> DataFrame:
     """Claims on the latest fill date with the greatest claim id, per member
     link and drug class (C2-C4); ties kept."""
     return latest_per_group(base, LATEST_KEYS, LATEST_ORDER, method=method)

@@ -104,3 +104,27 @@ def test_latest_struct_max_plan_has_no_window(spark):
     plan = A.latest_per_group(df, ["k1", "k2"], ["d", "id"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "partial_max" in plan  # combined map-side before the shuffle
+    assert "SortAggregate" not in plan
+
+
+def test_latest_methods_agree_timestamp_bigint(spark):
+    import datetime as dt
+
+    rng = random.Random(5)
+    base = dt.datetime(2001, 1, 1)
+    rows = []
+    for i in range(400):
+        rows.append((
+            rng.choice([1, 2, None]),
+            rng.choice(["x", "y"]),
+            rng.choice([base + dt.timedelta(seconds=rng.randint(0, 3), microseconds=rng.randint(0, 1)), None]),
+            rng.choice([rng.randint(-2, 1) * (2**62), 2**63 - 1, None]),
+            f"r{i}",
+        ))
+    df = spark.createDataFrame(rows, "k1 int, k2 string, d timestamp_ntz, id bigint, tag string")
+    want = sorted(r[4] for r in _brute_latest(rows))
+    for method in ["struct_max", "window", "join_back"]:
+        got = sorted(r.tag for r in A.latest_per_group(df, ["k1", "k2"], ["d", "id"], method=method).collect())
+        assert got == want, method
+    plan = A.latest_per_group(df, ["k1", "k2"], ["d", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Window" not in plan
