@@ -71,12 +71,13 @@ def latest_per_group(
     all kept, and a group yields nothing when a key, or the winning value of
     any ordering column, is NULL.
 
-    ``join_back`` (default): per ordering column, a hash aggregate of its
-    maximum per group, then a left-semi join keeping the rows that hold it.
-    Aggregates combine map-side, so a group holding a third of all rows is
-    never gathered into one task; each semi-join shuffles on the group keys
-    plus the winning value, and AQE splits a skewed partition.  The second
-    round only sees rows on the latest first value.
+    ``join_back`` (default): a hash aggregate of the last ordering column's
+    maximum per (keys, leading ordering columns), combined map-side, so a
+    group holding a third of all rows is never gathered into one task; the
+    winning leading values are then chosen on that aggregated level, and
+    one left-semi join on keys + full winning tuple returns the rows (its
+    shuffle spreads on the whole tuple; AQE splits a skewed partition).
+    The input is read twice; every aggregate is a hash aggregate.
     ``struct_max``: one ``max(struct(...))`` aggregate (a sort aggregate)
     and one semi-join.  ``window``: ``rank()`` over a window -- one shuffle,
     but a whole group per task; kept for comparison.
@@ -104,16 +105,30 @@ def latest_per_group(
             not_null = term if not_null is None else not_null & term
         return ranked.filter(not_null).drop("__rank")
     if method == "join_back":
-        current = df
-        prefix_keys = list(keys)
-        for c in order_by:
-            best = current.groupBy(*prefix_keys).agg(F.max(c).alias("__m"))
-            best = best.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(prefix_keys)], "__m")
-            cond = None
-            for i, k in enumerate(prefix_keys):
-                term = current[k] == best[f"__k{i}"]
-                cond = term if cond is None else cond & term
-            current = current.join(best, cond & (current[c] == best["__m"]), "left_semi")
-            prefix_keys.append(c)
-        return current
+        # one hash aggregate over the rows: max of the last ordering column
+        # per (keys, leading ordering columns) -- combined map-side
+        last = order_by[-1]
+        level = df.groupBy(*keys, *order_by[:-1]).agg(F.max(last).alias(last))
+        # pick the greatest leading values on that (much smaller) level;
+        # its exchange is shared by both uses below
+        current = level
+        for i, c in enumerate(order_by[:-1]):
+            prefix = keys + order_by[:i]
+            best = current.groupBy(*prefix).agg(F.max(c).alias("__m"))
+            best = best.select(*[F.col(k).alias(f"__p{j}") for j, k in enumerate(prefix)], "__m")
+            cond = current[c] == best["__m"]
+            for j, k in enumerate(prefix):
+                cond = cond & (current[k] == best[f"__p{j}"])
+            current = current.join(best, cond, "left_semi")
+        winners = current.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+            *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
+        )
+        cond = None
+        for i, k in enumerate(keys):
+            term = df[k] == winners[f"__k{i}"]
+            cond = term if cond is None else cond & term
+        for i, c in enumerate(order_by):
+            cond = cond & (df[c] == winners[f"__o{i}"])
+        return df.join(winners, cond, "left_semi")
     raise ValueError(f"unknown method {method!r}")
