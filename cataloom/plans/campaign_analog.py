@@ -96,15 +96,22 @@ VIEW_FOR = {
 DRIVER_TABLES = ["lineitem", "orders", "customer", "part", "nation", "supplier"]
 
 
-def analog_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
+def analog_view(spark: SparkSession, sf_dir: str, view: str, frames: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One analog view; ``frames`` caches the driver-table readers."""
+    frames = {} if frames is None else frames
     sql = ANALOG_SQL[view]
-    used = {t: f for t, f in frames.items() if "{" + t + "}" in sql}
+    used = {}
+    for t in DRIVER_TABLES:
+        if "{" + t + "}" in sql:
+            if t not in frames:
+                frames[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+            used[t] = frames[t]
     return spark.sql(sql, **used)
 
 
 def analog_tables(spark: SparkSession, sf_dir: str) -> CampaignTables:
-    return CampaignTables(**{field: analog_view(spark, sf_dir, view) for field, view in VIEW_FOR.items()})
+    frames: dict[str, DataFrame] = {}
+    return CampaignTables(**{field: analog_view(spark, sf_dir, view, frames) for field, view in VIEW_FOR.items()})
 
 
 def oracle_ctes() -> str:

@@ -353,6 +353,13 @@ def latest_per_group_join_back(spark, d):
     )
 
 
+@register("latest_per_group_struct", LATEST_SQL)
+def latest_per_group_struct(spark, d):
+    return agg.latest_per_group(
+        T(spark, d, "orders"), ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"], method="struct_max"
+    )
+
+
 @register(
     "agg_join_back",
     "SELECT l_orderkey, l_linenumber, l_returnflag, g.returned_in_order, g.lines_in_order FROM lineitem "
