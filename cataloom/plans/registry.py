@@ -824,3 +824,14 @@ def kmeans_centers(spark, d):
         id_cols=["l_orderkey"],
     )
     return learn.cluster_centers(model, assigned)
+
+
+# ====================================================================== streaming (A3 kept in state)
+@register(
+    "stream_latest_ship",
+    "SELECT l_suppkey, max(l_shipdate) AS max_l_shipdate, count(*) AS n_rows FROM lineitem GROUP BY l_suppkey",
+)
+def stream_latest_ship(spark, d):
+    from cataloom.streaming.incremental import run_latest_stream
+
+    return run_latest_stream(spark, d, ["l_suppkey"], "l_shipdate", file_glob="lineitem.parquet")
