@@ -171,6 +171,24 @@ def left_outer_join_tables(left, right, join_condition, filter_condition=None, s
     return join_tables(left, right, join_condition, "left_outer", filter_condition, select_cols, out_col_prefix)
 
 
+# ---------------------------------------------------------------- salting
+SALT = "__salt"
+
+
+def salted(left: DataFrame, right: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Spread each key of ``left`` over ``buckets`` join partitions.
+
+    Left rows get a salt from a hash of the whole row -- deterministic, so a
+    recomputed partition (lost executor) sends every row to the same place
+    again -- and every right row is repeated once per salt value.  Join on
+    the keys plus ``__salt``; a hot key is then split across ``buckets``
+    tasks at the cost of ``buckets`` copies of the (smaller) right side.
+    """
+    left = left.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)))
+    right = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
+    return left, right
+
+
 # ---------------------------------------------------------------- J4-J6
 def equi_join(
     left: DataFrame,
@@ -178,15 +196,35 @@ def equi_join(
     pairs: Sequence[tuple[str, str]],
     how: str = "inner",
     broadcast_max_rows: int | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """Join on one or more column pairs (single and composite keys)."""
+    """Join on one or more column pairs (single and composite keys).
+
+    ``right`` is the side that may be broadcast (when proven small) or, with
+    ``salt_buckets``, repeated once per salt so hot keys of ``left`` spread
+    over several tasks (inner and left joins).
+    """
     if not pairs:
         raise ValueError("equi_join needs at least one column pair")
+    salt = bool(salt_buckets and salt_buckets > 1)
+    if salt:
+        if join_type(how) not in ("inner", "left", "left_semi", "left_anti"):
+            raise ValueError("salting repeats the right side; use it with inner/left/semi/anti joins")
+        left, right = salted(left, right, salt_buckets)
+    else:
+        right = bounded_broadcast(right, broadcast_max_rows)
     cond = None
     for a, b in pairs:
         term = left[a] == right[b]
         cond = term if cond is None else cond & term
-    return left.join(bounded_broadcast(right, broadcast_max_rows), cond, join_type(how))
+    if salt:
+        cond = cond & (left[SALT] == right[SALT])
+    out = left.join(right, cond, join_type(how))
+    if salt:
+        out = out.drop(left[SALT])
+        if SALT in out.columns:
+            out = out.drop(right[SALT])
+    return out
 
 
 # ---------------------------------------------------------------- J7
@@ -196,22 +234,32 @@ def join_back_aggregate(
     aggs: Sequence[Column],
     how: str = "inner",
     broadcast_max_rows: int | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Join a frame to its own GROUP BY result on the group keys.
 
     The aggregate is combined map-side before its shuffle, so a hot key
-    costs one partial row per task; the join back is an equi-join on the
-    keys where AQE splits skewed partitions (or a checked broadcast).
-    NULL keys find no partner, as in an equality join.
+    costs one partial row per task.  The join back is an equi-join on the
+    keys: broadcast when the aggregate is proven small, otherwise a shuffle
+    join where AQE splits skewed partitions, or -- with ``salt_buckets`` --
+    an explicitly salted join that splits every key's rows.  NULL keys find
+    no partner, as in an equality join.
     """
     agg = df.groupBy(*keys).agg(*aggs)
     renamed = agg.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                          *[c for c in agg.columns if c not in keys])
+    left, right = df, bounded_broadcast(renamed, broadcast_max_rows)
+    if salt_buckets and salt_buckets > 1:
+        left, right = salted(left, renamed, salt_buckets)
     cond = None
     for i, k in enumerate(keys):
-        term = df[k] == F.col(f"__k{i}")
+        term = left[k] == right[f"__k{i}"]
         cond = term if cond is None else cond & term
-    out = df.join(bounded_broadcast(renamed, broadcast_max_rows), cond, join_type(how))
+    if salt_buckets and salt_buckets > 1:
+        cond = cond & (left[SALT] == right[SALT])
+    out = left.join(right, cond, join_type(how))
+    if salt_buckets and salt_buckets > 1:
+        out = out.drop(left[SALT]).drop(right[SALT])
     return out.drop(*[f"__k{i}" for i in range(len(keys))])
 
 

@@ -121,6 +121,7 @@ class CampaignOptions:
     age_method: str = "months"
     dimension_max_rows: int | None = 1_000_000  # proven bound before a broadcast
     checkpoint_enriched: bool = True
+    member_salt_buckets: int | None = None  # salt the per-member join-back (hot members)
 
 
 def _join(left: DataFrame, right: DataFrame, pairs, how: str, max_rows=None) -> DataFrame:
@@ -194,12 +195,13 @@ def enrich(latest: DataFrame, t: CampaignTables, opts: CampaignOptions) -> DataF
     return out
 
 
-def with_mail_count(enriched: DataFrame) -> DataFrame:
+def with_mail_count(enriched: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """Per-member count of mail rows in the enriched table, joined back."""
     return join_back_aggregate(
         enriched,
         ["MBR_ACC_EPH_LINK_ID"],
         [count_if(F.col("PHMCY_DLVRY_SYSTM_CD") == rules.MAIL).alias(MAIL_COUNT)],
+        salt_buckets=salt_buckets,
     )
 
 
@@ -246,7 +248,8 @@ def enriched_table(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
 
 def run_campaign(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     """The whole pipeline as one DataFrame."""
-    return target_projection(add_indicators(with_mail_count(enriched_table(t, opts)), opts), opts)
+    enriched = enriched_table(t, opts)
+    return target_projection(add_indicators(with_mail_count(enriched, opts.member_salt_buckets), opts), opts)
 
 
 def write_campaign(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -74,3 +74,10 @@ def test_no_unbounded_broadcast_of_member_tables(tables, opts):
     # with a bound of 10 rows no dimension qualifies for an explicit hint
     assert "ResolvedHint" not in enriched._jdf.queryExecution().optimizedPlan().toString()
     assert plan
+
+
+def test_salted_member_join_gives_same_output(tables, opts):
+    plain = C.run_campaign(tables, opts)
+    salty = C.run_campaign(tables, C.CampaignOptions(as_of=opts.as_of, member_salt_buckets=4))
+    cols = ["MBR_OPPTY_GID", "MBR_ACCT_GID", "FFM_IND", "RFM_IND"]
+    assert sorted(tuple(r) for r in plain.select(*cols).collect()) == sorted(tuple(r) for r in salty.select(*cols).collect())
