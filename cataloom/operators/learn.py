@@ -22,6 +22,19 @@ from pyspark.sql import functions as F
 FEATURES = "features"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an iterative job at least one partition per core.
+
+    Inputs with fewer partitions than the default parallelism (a small
+    file, a single row group) are repartitioned once; large inputs are left
+    as they are, so on a cluster this is normally a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def kmeans(
     df: DataFrame,
     feature_cols: Sequence[str] | str,
@@ -43,7 +56,7 @@ def kmeans(
         data = VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="skip").transform(df)
     # KMeans persists its own instance RDD while iterating when the input is
     # not cached; caching the vector column here measured twice as slow
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(data)
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(spread(data))
     assigned = model.transform(data).select(*id_cols, F.col("cluster").cast("int").alias("cluster"))
     return model, assigned
 
@@ -77,7 +90,7 @@ def fit_group_model(df: DataFrame, response: str, factor: str, intercept: bool =
     formula = f"{response} ~ {factor}" + ("" if intercept else " - 1")
     rf = RFormula(formula=formula, featuresCol=FEATURES, labelCol="label", stringIndexerOrderType="alphabetDesc")
     lr = LinearRegression(featuresCol=FEATURES, labelCol="label", solver="normal", fitIntercept=intercept, regParam=0.0)
-    model = Pipeline(stages=[rf, lr]).fit(df.select(response, factor).dropna())
+    model = Pipeline(stages=[rf, lr]).fit(spread(df.select(response, factor).dropna()))
     lrm = model.stages[-1]
     return GroupFit(model, [float(v) for v in lrm.coefficients], float(lrm.intercept), float(lrm.summary.r2))
 

@@ -231,7 +231,8 @@ def add_indicators(df: DataFrame, opts: CampaignOptions) -> DataFrame:
 def target_projection(df: DataFrame, opts: CampaignOptions) -> DataFrame:
     """The 45-column output; CREATE_TMS is the run's ``as_of``."""
     mapping = [(F.col(src), name) for src, name in TARGET_LAYOUT]
-    created = dt.datetime.combine(opts.as_of, dt.time())
+    # a string cast to TIMESTAMP_NTZ involves no time zone (a datetime literal would)
+    created = f"{opts.as_of.isoformat()} 00:00:00"
     mapping.append((F.lit(created).cast("timestamp_ntz"), "CREATE_TMS"))
     return project_mapping(df, mapping)
 
