@@ -86,7 +86,13 @@ def fk_adjacency(catalog: Catalog, edges: DataFrame | None = None) -> DataFrame:
 
 
 def tables_without_foreign_keys(catalog: Catalog, edges: DataFrame | None = None) -> DataFrame:
-    """Tables that reference no other table."""
-    e = edges if edges is not None else fk_edges(catalog)
+    """Tables that reference no other table.
+
+    Without ``edges`` the catalog's declared keys are used (metadata only);
+    pass ``fk_edges(catalog)`` to base the answer on data-checked edges.
+    """
+    if edges is None:
+        fks = catalog.foreign_keys()
+        edges = fks.filter(F.col("child_table") != F.col("parent_table")).select("child_table")
     tables = catalog.tables.select(F.concat_ws(".", "source", "table").alias("table_name"))
-    return tables.join(e.select(F.col("child_table").alias("table_name")), "table_name", "left_anti")
+    return tables.join(edges.select(F.col("child_table").alias("table_name")), "table_name", "left_anti")

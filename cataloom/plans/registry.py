@@ -374,6 +374,21 @@ def agg_join_back(spark, d):
     )
 
 
+@register("agg_join_back_window", ORACLE["agg_join_back"])
+def agg_join_back_window(spark, d):
+    """Window form of ``agg_join_back`` (for comparison; one shuffle, but a
+    whole order per task)."""
+    from pyspark.sql import Window
+
+    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    w = Window.partitionBy("l_orderkey")
+    return li.select(
+        "*",
+        agg.count_if("l_returnflag = 'R'").over(w).alias("returned_in_order"),
+        F.count(F.lit(1)).over(w).alias("lines_in_order"),
+    )
+
+
 # ====================================================================== J8
 def _fk_edges_sql() -> str:
     parts = []
@@ -418,7 +433,8 @@ def fk_adjacency(spark, d):
     ),
 )
 def tables_without_fks(spark, d):
-    return fkgraph.tables_without_foreign_keys(tpch.catalog(spark, d))
+    cat = tpch.catalog(spark, d)
+    return fkgraph.tables_without_foreign_keys(cat, fkgraph.fk_edges(cat))
 
 
 # ====================================================================== D

@@ -89,11 +89,20 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    plain = "--plain-session" in argv
+    argv = [a for a in argv if a != "--plain-session"]
     sf_dir = argv[1] if len(argv) > 1 and os.path.isdir(argv[1]) else "/root/testdata/sf0.01"
     keys = [a for a in argv[1:] if not os.path.isdir(a)]
-    from cataloom.session import build_session
+    if plain:
+        # what a driver might build: no time zone pin, no checkpoint folder
+        from pyspark.sql import SparkSession
 
-    spark = build_session(master="local[8]", checkpoint_dir=tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        from cataloom.session import build_session
+
+        spark = build_session(master="local[8]", checkpoint_dir=tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
     import __spark_entry__ as entry
 
     qs, oracle = entry.queries(), entry.oracle_sql()
