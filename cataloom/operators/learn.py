@@ -104,6 +104,22 @@ def group_fit_frame(fit: GroupFit, spark, digits: int = 6) -> DataFrame:
     )
 
 
+def coefficient_table(fit: GroupFit, levels: list[str], digits: int = 7, with_p_value: bool = True) -> list[tuple]:
+    """Rows ``(term, estimate, std_error, t_value[, p_value])`` of a fit.
+
+    Spark lists the intercept last in the summary arrays; it comes first here.
+    """
+    summary = fit.model.stages[-1].summary
+    se, tv, pv = summary.coefficientStandardErrors, summary.tValues, summary.pValues
+    terms = list(levels) + (["(Intercept)"] if len(se) > len(levels) else [])
+    estimates = list(fit.coefficients) + ([fit.intercept] if len(se) > len(levels) else [])
+    rows = []
+    for i, term in enumerate(terms):
+        row = (term, significant(estimates[i], digits), significant(se[i], digits), significant(tv[i], digits))
+        rows.append(row + ((float(pv[i]),) if with_p_value else ()))
+    return rows[-1:] + rows[:-1] if len(se) > len(levels) else rows
+
+
 def save_model(fit: GroupFit, path: str) -> str:
     fit.model.write().overwrite().save(path)
     return path

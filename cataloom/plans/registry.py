@@ -789,6 +789,24 @@ def lm_save_load(spark, d):
     return spark.createDataFrame([(sig(intercept), sig(coefs[0]), sig(r2))], "intercept double, slope double, r2 double")
 
 
+@register(
+    "lm_summary",
+    f"WITH d AS ({LM_DATA_SQL}), m AS (SELECT avg(y) FILTER (WHERE g = 'A') AS ma, avg(y) FILTER (WHERE g = 'R') AS mr, "
+    "count(*) FILTER (WHERE g = 'A') AS na, count(*) FILTER (WHERE g = 'R') AS nr FROM d), "
+    "s AS (SELECT sum((y - CASE WHEN g = 'A' THEN ma ELSE mr END) ^ 2) / (count(*) - 2) AS mse FROM d, m) "
+    f"SELECT '(Intercept)' AS term, {sql_sig('ma')} AS estimate, {sql_sig('sqrt(mse / na)')} AS std_error, "
+    f"{sql_sig('ma / sqrt(mse / na)')} AS t_value FROM m, s UNION ALL "
+    f"SELECT 'R', {sql_sig('mr - ma')}, {sql_sig('sqrt(mse * (1.0 / na + 1.0 / nr))')}, "
+    f"{sql_sig('(mr - ma) / sqrt(mse * (1.0 / na + 1.0 / nr))')} FROM m, s",
+)
+def lm_summary(spark, d):
+    data = _lm_data(spark, d)
+    fit = learn.fit_group_model(data, "l_extendedprice", "l_returnflag")
+    levels = learn.feature_levels(fit.model, data, "l_returnflag")
+    rows = learn.coefficient_table(fit, levels, with_p_value=False)
+    return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double")
+
+
 @register(
     "lm_anova",
     f"WITH d AS ({LM_DATA_SQL}), gs AS (SELECT g, count(*) AS n, avg(y) AS m, var_pop(y) * count(*) AS ss FROM d GROUP BY g), "

@@ -79,3 +79,25 @@ def test_fk_graph_on_driver_tables(spark):
     assert adj["tpch.lineitem"]["orders"] == 1 and adj["tpch.orders"]["lineitem"] == 0
     lonely = sorted(r.table_name for r in fkgraph.tables_without_foreign_keys(cat, edges).collect())
     assert "tpch.region" in lonely and "tpch.lineitem" not in lonely
+
+
+def test_avro_reader_is_gated(spark, scratch_dir):
+    import pytest
+
+    with pytest.raises(Exception) as err:
+        files.read_avro(spark, os.path.join(scratch_dir, "missing_avro")).count()
+    assert "avro" in str(err.value).lower() or "path does not exist" in str(err.value).lower()
+
+
+def test_auto_join_equals_explicit_join(spark):
+    from cataloom.operators.join import auto_join
+
+    cat = tpch.catalog(spark, SF, ["lineitem", "orders", "customer"])
+    auto = auto_join(cat, "tpch.customer", "tpch.lineitem", "tpch.orders").df
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    c = spark.read.parquet(f"{SF}/customer.parquet")
+    explicit = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    a = sorted(tuple(r) for r in auto.select("lineitem__l_orderkey", "lineitem__l_linenumber", "customer__c_name").collect())
+    b = sorted(tuple(r) for r in explicit.select("l_orderkey", "l_linenumber", "c_name").collect())
+    assert a == b and len(a) == 6000

@@ -64,3 +64,13 @@ def test_kmeans_array_column(spark):
     df = spark.createDataFrame([(i, [float(i % 2), float(i % 3)]) for i in range(50)], "id int, v array<float>")
     _, assigned = learn.kmeans(df, "v", k=2, max_iter=5, id_cols=["id"])
     assert assigned.count() == 50 and assigned.agg(F.countDistinct("cluster")).first()[0] == 2
+
+
+def test_coefficient_table(plants):
+    fit = learn.fit_group_model(plants, "weight", "grp")
+    levels = learn.feature_levels(fit.model, plants, "grp")
+    rows = {r[0]: r for r in learn.coefficient_table(fit, levels)}
+    # R: (Intercept) 5.0320 se 0.2202 t 22.850; grpTrt -0.3710 se 0.3114 t -1.191 p 0.249
+    assert rows["(Intercept)"][1] == pytest.approx(5.032) and rows["(Intercept)"][2] == pytest.approx(0.2202, abs=1e-4)
+    assert rows["Trt"][1] == pytest.approx(-0.371) and rows["Trt"][2] == pytest.approx(0.3114, abs=1e-4)
+    assert rows["Trt"][3] == pytest.approx(-1.191, abs=1e-3) and rows["Trt"][4] == pytest.approx(0.249, abs=1e-3)

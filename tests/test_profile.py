@@ -60,3 +60,19 @@ def test_kernel_density_matches_direct_sum(spark):
     for p, dens in got.items():
         want = sum(math.exp(-0.5 * ((p - v) / h) ** 2) for v in vals) / (len(vals) * h * math.sqrt(2 * math.pi))
         assert dens == pytest.approx(want, rel=1e-9)
+
+
+def test_duplicates_count_identity(spark):
+    """rows - distinct rows == duplicate_rows - duplicate_groups."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.sampled_from(["a", "b", None])), max_size=40))
+    def check(rows):
+        df = spark.createDataFrame(rows, "x int, y string")
+        r = P.find_duplicates(df).first()
+        total, distinct = len(rows), len(set(rows))
+        assert (r.duplicate_rows or 0) - r.duplicate_groups == total - distinct
+
+    check()
