@@ -23,9 +23,9 @@ def row_fingerprint(columns: Sequence[str]):
     return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256)
 
 
-def duplicate_groups(x, columns: Sequence[str] | None = None) -> DataFrame:
+def duplicate_groups(x, columns: Sequence[str] | None = None, catalog=None) -> DataFrame:
     """Distinct row values that occur more than once, with their counts."""
-    df, _ = unwrap(x)
+    df, _ = unwrap(x, catalog)
     cols = list(columns or df.columns)
     return (
         df.select(row_fingerprint(cols).alias("row_fingerprint"))
@@ -35,7 +35,7 @@ def duplicate_groups(x, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def find_duplicates(x, columns: Sequence[str] | None = None) -> DataFrame:
+def find_duplicates(x, columns: Sequence[str] | None = None, catalog=None) -> DataFrame:
     """Number of distinct row values occurring more than once.
 
     Rows are grouped by a 32-byte fingerprint instead of their full value,
@@ -43,15 +43,15 @@ def find_duplicates(x, columns: Sequence[str] | None = None) -> DataFrame:
     collapses a hot duplicate group map-side.  One row:
     ``duplicate_groups``, ``duplicate_rows`` (rows inside those groups).
     """
-    return duplicate_groups(x, columns).agg(
+    return duplicate_groups(x, columns, catalog).agg(
         F.count(F.lit(1)).alias("duplicate_groups"),
         F.sum("occurrences").alias("duplicate_rows"),
     )
 
 
-def row_count(x) -> DataFrame:
-    """``rowcount`` of a frame."""
-    df, _ = unwrap(x)
+def row_count(x, catalog=None) -> DataFrame:
+    """``rowcount`` of a frame or catalogued table."""
+    df, _ = unwrap(x, catalog)
     return df.agg(F.count(F.lit(1)).alias("rowcount"))
 
 
@@ -60,14 +60,15 @@ DEFAULT_SAMPLE_ROWS = 100
 MAX_SAMPLE_ROWS = 1000
 
 
-def sample(x, percent: float | None = None, count: int | None = None, seed: int | None = None) -> DataFrame:
+def sample(x, percent: float | None = None, count: int | None = None, seed: int | None = None,
+           catalog=None) -> DataFrame:
     """Bernoulli sample without replacement (D3).
 
     ``percent`` gives the fraction directly; otherwise ``count`` (default
     100, at most 1000) rows are expected, i.e. fraction = count / rows.
     The fraction is clamped to 1.
     """
-    df, _ = unwrap(x)
+    df, _ = unwrap(x, catalog)
     if percent is not None:
         fraction = percent / 100.0
     else:
@@ -77,7 +78,7 @@ def sample(x, percent: float | None = None, count: int | None = None, seed: int
     return df.sample(withReplacement=False, fraction=min(max(fraction, 0.0), 1.0), seed=seed)
 
 
-def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05) -> DataFrame:
+def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05, catalog=None) -> DataFrame:
     """One row per atomic column: distinct level count and a flag.
 
     ``distinct_levels`` is the exact number of non-NULL levels for
@@ -87,7 +88,7 @@ def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05) -> DataFrame
     candidates are counted exactly, in one grouped pass whose partial
     aggregation leaves at most (candidates x levels) rows per task.
     """
-    df, _ = unwrap(x)
+    df, _ = unwrap(x, catalog)
     spark = df.sparkSession
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
     sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)]).first()

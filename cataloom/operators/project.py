@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from cataloom.operators.tracked import rewrap, unwrap
+from cataloom.operators.tracked import resolve, rewrap, unwrap
 
 QUALIFIER = "__"
 
@@ -23,11 +23,13 @@ def check_unique(names: Iterable[str], what: str = "output") -> None:
         seen[key] = name
 
 
-def select(x, *exprs: str | Column, keep_original: bool = True):
+def select(x, *exprs: str | Column, keep_original: bool = True, catalog=None):
     """SQL-expression projection, optionally after all existing columns.
 
-    With no expressions the input comes back unchanged.
+    ``x`` may be a DataFrame, a tracked frame, or a ``source.table`` name
+    (with ``catalog``).  With no expressions the input comes back unchanged.
     """
+    x = resolve(x, catalog)
     df, _ = unwrap(x)
     if not exprs:
         return x

@@ -22,12 +22,22 @@ class Tracked:
         return Tracked(df, self.tables)
 
 
-def unwrap(x) -> tuple[DataFrame, tuple[str, ...]]:
+def resolve(x, catalog=None):
+    """A tracked frame for a catalogued ``source.table`` name, else ``x``."""
+    if isinstance(x, str):
+        if catalog is None:
+            raise TypeError(f"table name {x!r} given without a catalog")
+        return Tracked(catalog.read(x), (x,))
+    return x
+
+
+def unwrap(x, catalog=None) -> tuple[DataFrame, tuple[str, ...]]:
+    x = resolve(x, catalog)
     if isinstance(x, Tracked):
         return x.df, x.tables
     if isinstance(x, DataFrame):
         return x, ()
-    raise TypeError(f"expected a DataFrame or Tracked, got {type(x).__name__}")
+    raise TypeError(f"expected a DataFrame, Tracked or catalogued table name, got {type(x).__name__}")
 
 
 def rewrap(original, df: DataFrame):

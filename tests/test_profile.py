@@ -76,3 +76,20 @@ def test_duplicates_count_identity(spark):
         assert (r.duplicate_rows or 0) - r.duplicate_groups == total - distinct
 
     check()
+
+
+def test_profiles_accept_catalogued_names(spark):
+    from cataloom.operators.project import select
+    from cataloom.operators.tracked import Tracked
+    from cataloom.plans import tpch
+
+    cat = tpch.catalog(spark, "/root/testdata/sf0.001", ["nation", "region"])
+    assert P.row_count("tpch.nation", catalog=cat).first().rowcount == 25
+    assert P.find_duplicates("tpch.region", catalog=cat).first().duplicate_groups == 0
+    assert P.sample("tpch.nation", percent=100, catalog=cat).count() == 25
+    names = {r.column_name for r in P.categorical_columns("tpch.region", catalog=cat).collect()}
+    assert names == {"r_regionkey", "r_name"}
+    out = select("tpch.nation", "upper(n_name) AS up", catalog=cat)
+    assert isinstance(out, Tracked) and out.tables == ("tpch.nation",) and "up" in out.df.columns
+    with pytest.raises(TypeError):
+        P.row_count("tpch.nation")
