@@ -63,6 +63,7 @@ def latest_per_group(
     keys: Sequence[str],
     order_by: Sequence[str],
     method: str = "join_back",
+    materialize_winners: bool = True,
 ) -> DataFrame:
     """Rows holding the greatest ``order_by`` tuple in each ``keys`` group.
 
@@ -77,7 +78,10 @@ def latest_per_group(
     winning leading values are then chosen on that aggregated level, and
     one left-semi join on keys + full winning tuple returns the rows (its
     shuffle spreads on the whole tuple; AQE splits a skewed partition).
-    The input is read twice; every aggregate is a hash aggregate.
+    The input is read twice; every aggregate is a hash aggregate.  The
+    winners (one row per group) are checkpointed first, so the final
+    semi-join is a plain shuffle join that AQE can split even when a third
+    of all rows tie on one group's winning tuple.
     ``struct_max``: one ``max(struct(...))`` aggregate (a sort aggregate)
     and one semi-join.  ``window``: ``rank()`` over a window -- one shuffle,
     but a whole group per task; kept for comparison.
@@ -124,6 +128,10 @@ def latest_per_group(
             *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
             *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
         )
+        if materialize_winners:
+            from cataloom.session import materialize
+
+            winners = materialize(winners)
         cond = None
         for i, k in enumerate(keys):
             term = df[k] == winners[f"__k{i}"]

@@ -235,17 +235,24 @@ def join_back_aggregate(
     how: str = "inner",
     broadcast_max_rows: int | None = None,
     salt_buckets: int | None = None,
+    materialize_aggregate: bool = True,
 ) -> DataFrame:
     """Join a frame to its own GROUP BY result on the group keys.
 
     The aggregate is combined map-side before its shuffle, so a hot key
-    costs one partial row per task.  The join back is an equi-join on the
-    keys: broadcast when the aggregate is proven small, otherwise a shuffle
-    join where AQE splits skewed partitions, or -- with ``salt_buckets`` --
-    an explicitly salted join that splits every key's rows.  NULL keys find
-    no partner, as in an equality join.
+    costs one partial row per task.  It is then materialized (one row per
+    group, checkpointed to shared storage), which makes the join back a
+    plain shuffle join: AQE splits the partition of a key holding a third
+    of all rows into many tasks (a join straight onto an aggregate is not
+    split).  Alternatives: broadcast when the aggregate is proven small, or
+    ``salt_buckets`` for an explicitly salted join.  NULL keys find no
+    partner, as in an equality join.
     """
     agg = df.groupBy(*keys).agg(*aggs)
+    if materialize_aggregate and not salt_buckets:
+        from cataloom.session import materialize
+
+        agg = materialize(agg)
     renamed = agg.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                          *[c for c in agg.columns if c not in keys])
     left, right = df, bounded_broadcast(renamed, broadcast_max_rows)

@@ -24,6 +24,31 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Start with many shuffle partitions and let AQE coalesce them to
+    ~256 MB; keep scan splits at 256 MB; let AQE split skewed join
+    partitions and convert joins to broadcast only below 64 MB of measured
+    size.  ``spark.checkpoint.dir`` must name shared storage and is left to
+    the deployment.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(max(200, 3 * cores)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "cataloom",
@@ -89,3 +114,14 @@ def _warehouse(spark: SparkSession) -> str:
     if location.startswith("file:"):
         location = location[len("file:"):]
     return location
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor recomputes from the checkpoint, not the
+    whole plan) and makes the result a plain scan, so a join on it is a
+    shuffle-against-shuffle join that AQE can split when a key is skewed.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

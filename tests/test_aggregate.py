@@ -101,7 +101,8 @@ def test_latest_methods_agree_random(spark):
 
 def test_latest_struct_max_plan_has_no_window(spark):
     df = spark.createDataFrame(EDGE_ROWS, SCHEMA)
-    plan = A.latest_per_group(df, ["k1", "k2"], ["d", "id"])._jdf.queryExecution().executedPlan().toString()
+    lazy = A.latest_per_group(df, ["k1", "k2"], ["d", "id"], materialize_winners=False)
+    plan = lazy._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "partial_max" in plan  # combined map-side before the shuffle
     assert "SortAggregate" not in plan
