@@ -189,12 +189,13 @@ def join_filter_select_prefix(spark, d):
     "ON l.l_orderkey = a.k_order AND l.l_partkey = a.k_part",
 )
 def join_composite(spark, d):
-    li = T(spark, d, "lineitem")
-    per_part = li.groupBy(F.col("l_orderkey").alias("k_order"), F.col("l_partkey").alias("k_part")).agg(
-        F.sum("l_quantity").alias("qty_per_part"), F.count(F.lit(1)).alias("lines_per_part")
+    """Composite-key (order, part) join of lineitem to its own aggregate; the
+    aggregate is materialized so AQE can split a hot (order, part) pair."""
+    li = T(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    return joins.join_back_aggregate(
+        li, ["l_orderkey", "l_partkey"],
+        [F.sum("l_quantity").alias("qty_per_part"), F.count(F.lit(1)).alias("lines_per_part")],
     )
-    out = joins.equi_join(li, per_part, [("l_orderkey", "k_order"), ("l_partkey", "k_part")])
-    return out.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "qty_per_part", "lines_per_part")
 
 
 @register(
