@@ -84,13 +84,16 @@ def auto_join(
     *tables: str,
     on: Sequence[JoinEdge] | None = None,
     broadcast_max_rows: int | None = None,
-) -> Tracked:
+    return_edges: bool = False,
+):
     """N-way inner join whose conditions come from the catalog's FKs.
 
     Columns of original tables are renamed ``table__column``; derived tables
     keep their names.  Tables are folded in an order where each newly joined
     table is linked to the ones before it, and every edge among the joined
     tables becomes part of the condition.  A table with no link raises.
+    With ``return_edges`` the FK edges used are returned as well, so an
+    ambiguous choice (several FK paths) is visible to the caller.
     """
     if len(tables) < 2:
         raise ValueError("auto_join needs at least two tables")
@@ -111,6 +114,7 @@ def auto_join(
     check_unique([c for f in frames.values() for c in f.columns])
 
     joined = [tables[0]]
+    used: list[JoinEdge] = []
     result = frames[tables[0]]
     pending = list(tables[1:])
     while pending:
@@ -133,9 +137,11 @@ def auto_join(
                 cond = term if cond is None else cond & term
         right = bounded_broadcast(frames[cand], broadcast_max_rows)
         result = result.join(right, cond, "inner")
+        used.extend(links)
         joined.append(cand)
         pending.remove(cand)
-    return Tracked(result, tuple(tables))
+    out = Tracked(result, tuple(tables))
+    return (out, used) if return_edges else out
 
 
 # ---------------------------------------------------------------- J2, J3

@@ -163,3 +163,13 @@ def test_salted_equi_join(spark):
     assert sorted(tuple(r) for r in salty.collect()) == plain
     with pytest.raises(ValueError):
         J.equi_join(left, right, [("k", "rk")], "full", salt_buckets=4)
+
+
+def test_auto_join_reports_edges_and_accepts_override(cat):
+    out, edges = J.auto_join(cat, "s.a", "s.b", "s.c", return_edges=True)
+    assert {(e.child, e.parent) for e in edges} == {("s.a", "s.b"), ("s.a", "s.c")}
+    # override: join a to c on the second FK (c2_id -> k1) instead of the composite one
+    override = [J.JoinEdge("s.a", "s.c", (("s.a.c2_id", "s.c.k1"),))]
+    df = J.auto_join(cat, "s.a", "s.c", on=override).df
+    want = sorted((a, k1) for a, c2 in [(1, 2), (2, 1), (3, 2), (4, 1)] for k1 in [1, 1, 2, 2] if c2 == k1)
+    assert sorted((r.a__id, r.c__k1) for r in df.collect()) == want
