@@ -5,7 +5,7 @@ Submit with ``spark-submit -m cataloom.plans.campaign_job`` (or
 configuration, and ``spark.checkpoint.dir`` should name shared storage.
 
     python -m cataloom.plans.campaign_job --sources sources.json --tables tables.json \\
-        --source POC_MBR_OPPTY --as-of 2024-06-14 --out /data/campaign/out
+        --source CLAIMS --as-of 2024-06-14 --out /data/campaign/out
 """
 
 from __future__ import annotations

@@ -101,7 +101,7 @@ def test_job_reads_catalog_and_writes_orc(spark, tables, scratch_dir):
     spark.createDataFrame([("POC", "poc-id", root, None, "source")], SOURCE_SCHEMA).write.mode("overwrite").json(src_json)
     spark.createDataFrame(rows, TABLE_SCHEMA).write.mode("overwrite").json(tab_json)
     out = os.path.join(scratch_dir, "campaign_job_out")
-    campaign_job.main(["--sources", src_json, "--tables", tab_json, "--source", "iw.sources.POC",
+    campaign_job.main(["--sources", src_json, "--tables", tab_json, "--source", "sources.POC",
                        "--as-of", "2001-11-29", "--out", out])
     result = spark.read.orc(out)
     assert result.count() == 1103 and len(result.columns) == 45

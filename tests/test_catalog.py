@@ -25,7 +25,7 @@ def test_catalog_json_roundtrip_and_load_filters(spark, scratch_dir):
     write_catalog_json(cat, src, tab)
     back = Catalog.from_json(spark, src, tab)
     assert sorted(back.docs()) == ["tpch.nation", "tpch.region"]
-    assert back.load_sources("iw.sources.tpch").tables.count() == 2
+    assert back.load_sources("sources.tpch").tables.count() == 2
     assert back.load_sources("other").tables.count() == 0
     assert back.load_datamodels("tpch").tables.count() == 0
     assert back.read("tpch.nation").count() == 25
