@@ -91,9 +91,12 @@ def auto_join(
     Columns of original tables are renamed ``table__column``; derived tables
     keep their names.  Tables are folded in an order where each newly joined
     table is linked to the ones before it, and every edge among the joined
-    tables becomes part of the condition.  A table with no link raises.
-    With ``return_edges`` the FK edges used are returned as well, so an
-    ambiguous choice (several FK paths) is visible to the caller.
+    tables becomes part of the condition; the fold starts from a table no
+    other listed table references and adds parents (N:1) before children
+    (1:N).  A table with no link raises.
+    With ``return_edges`` the join steps are returned as well, as
+    ``[(table, [edges used to join it]), ...]`` after the starting table,
+    so an ambiguous choice (several FK paths) is visible to the caller.
     """
     if len(tables) < 2:
         raise ValueError("auto_join needs at least two tables")
@@ -113,23 +116,31 @@ def auto_join(
         frames[t] = df if doc.derived else qualify_columns(df, doc.table)
     check_unique([c for f in frames.values() for c in f.columns])
 
-    joined = [tables[0]]
-    used: list[JoinEdge] = []
-    result = frames[tables[0]]
-    pending = list(tables[1:])
+    # Start from a table no other listed table references (the fact side),
+    # then prefer N:1 lookups of parents over 1:N expansions to children, so
+    # intermediate results never pair up the children of a shared parent.
+    referenced = {e.parent for e in edges if e.child != e.parent}
+    start = next((t for t in tables if t not in referenced), tables[0])
+    joined = [start]
+    used: list[tuple[str, list[JoinEdge]]] = []
+    result = frames[start]
+    pending = [t for t in tables if t != start]
     while pending:
-        for cand in pending:
-            links = [
+        def links_of(cand):
+            return [
                 e for e in edges
                 if (e.child == cand and e.parent in joined) or (e.parent == cand and e.child in joined)
             ]
-            if links:
-                break
-        else:
+
+        lookups = [c for c in pending if any(e.parent == c and e.child in joined for e in links_of(c))]
+        linked = lookups or [c for c in pending if links_of(c)]
+        if not linked:
             raise ValueError(
                 f"no foreign key links {pending} to {joined}; pass on=[JoinEdge(...)] "
                 "to give the join condition (no cross join is made)"
             )
+        cand = linked[0]
+        links = links_of(cand)
         cond = None
         for e in links:
             for a, b in e.pairs:
@@ -137,9 +148,11 @@ def auto_join(
                 cond = term if cond is None else cond & term
         right = bounded_broadcast(frames[cand], broadcast_max_rows)
         result = result.join(right, cond, "inner")
-        used.extend(links)
+        used.append((cand, links))
         joined.append(cand)
         pending.remove(cand)
+    # columns in the order the tables were listed, whatever the join order
+    result = result.select(*[F.col(f"`{c}`") for t in tables for c in frames[t].columns])
     out = Tracked(result, tuple(tables))
     return (out, used) if return_edges else out
 

@@ -166,10 +166,32 @@ def test_salted_equi_join(spark):
 
 
 def test_auto_join_reports_edges_and_accepts_override(cat):
-    out, edges = J.auto_join(cat, "s.a", "s.b", "s.c", return_edges=True)
-    assert {(e.child, e.parent) for e in edges} == {("s.a", "s.b"), ("s.a", "s.c")}
+    out, steps = J.auto_join(cat, "s.a", "s.b", "s.c", return_edges=True)
+    assert [(t, [(e.child, e.parent) for e in es]) for t, es in steps] == [
+        ("s.b", [("s.a", "s.b")]), ("s.c", [("s.a", "s.c")])]
     # override: join a to c on the second FK (c2_id -> k1) instead of the composite one
     override = [J.JoinEdge("s.a", "s.c", (("s.a.c2_id", "s.c.k1"),))]
     df = J.auto_join(cat, "s.a", "s.c", on=override).df
     want = sorted((a, k1) for a, c2 in [(1, 2), (2, 1), (3, 2), (4, 1)] for k1 in [1, 1, 2, 2] if c2 == k1)
     assert sorted((r.a__id, r.c__k1) for r in df.collect()) == want
+
+
+def test_auto_join_never_pairs_children_of_a_shared_parent(spark):
+    """Listed dimension-first, the diamond still starts at the fact table and
+    only looks parents up, so no customer x supplier pairs are formed."""
+    from cataloom.plans import tpch
+
+    names = ["nation", "customer", "supplier", "orders", "lineitem"]
+    cat = tpch.catalog(spark, "/root/testdata/sf0.001", names)
+    out, steps = J.auto_join(cat, *[tpch.q(n) for n in names], return_edges=True)
+    # starts at lineitem; every step adds a parent of an already joined table (N:1)
+    seen = {"tpch.lineitem"}
+    for table, edges in steps:
+        assert any(e.parent == table and e.child in seen for e in edges), (table, edges)
+        seen.add(table)
+    assert seen == {tpch.q(n) for n in names}
+    assert out.df.columns[0] == "nation__n_nationkey"
+    ref = J.auto_join(cat, *[tpch.q(n) for n in reversed(names)]).df
+    assert out.df.count() == ref.count()
+    plan = out.df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan
