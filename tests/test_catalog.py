@@ -101,3 +101,20 @@ def test_auto_join_equals_explicit_join(spark):
     a = sorted(tuple(r) for r in auto.select("lineitem__l_orderkey", "lineitem__l_linenumber", "customer__c_name").collect())
     b = sorted(tuple(r) for r in explicit.select("l_orderkey", "l_linenumber", "c_name").collect())
     assert a == b and len(a) == 6000
+
+
+def test_sources_and_datamodels_share_one_namespace(spark, scratch_dir):
+    from cataloom.sources.catalog import SOURCE_SCHEMA, TABLE_SCHEMA
+
+    root = os.path.join(scratch_dir, "dm")
+    spark.range(3).write.mode("overwrite").parquet(os.path.join(root, "t_dm", "merged", "parquet"))
+    sources = spark.createDataFrame(
+        [("src", "s1", SF, None, "source"), ("model", "m1", root, None, "datamodel")], SOURCE_SCHEMA)
+    tables = spark.createDataFrame(
+        [("src", "nation", "nation", "original", "parquet", f"{SF}/nation.parquet", [], []),
+         ("model", "facts", "t_dm", "original", "parquet", None, [], [])], TABLE_SCHEMA)
+    cat = Catalog(spark, sources, tables)
+    dm = cat.load_datamodels("datamodels.model")
+    assert list(dm.docs()) == ["model.facts"]
+    assert dm.read("model.facts").count() == 3  # data-model tables are scannable too
+    assert list(cat.load_sources("src").docs()) == ["src.nation"]
