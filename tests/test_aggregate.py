@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from cataloom.operators import aggregate as A
 
