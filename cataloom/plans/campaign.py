@@ -174,24 +174,26 @@ def enrich(latest: DataFrame, t: CampaignTables, opts: CampaignOptions) -> DataF
     out = _join(latest, coverage, [(member, "MBR_ACC_CVRG_MBR_ACCT_GID")], "inner")
     out = _join(out, cont, [(member, "MBR_ACC_CONT_CVRG_MBR_ACCT_GID")], "left")
     out = _join(out, hierarchy, [(member, "MBR_ACCT_HRCHY_MBR_ACCT_GID")], "left")
-    out = _join(
-        out, programs,
-        [("MBR_ACCT_HRCHY_MBR_ACCT_GID", "MBR_PGM_RX_SCHD_HIST_SCHD_ENRL_BNFCY_ID")], "left",
-    )
-    # bounded dimensions
-    out = _join(
-        out, clients,
-        [("PHMCY_LVL1_ACCT_GID", "CLNT_ACCT_DENORM_LVL1_ACCT_GID"),
-         ("PHMCY_LVL3_ACCT_GID", "CLNT_ACCT_DENORM_LVL3_ACCT_GID")],
-        "inner", dims,
+    # Programs join on the hierarchy row's member id.  Where a hierarchy row
+    # matched, that id equals the member key, so "member key = program id and
+    # a hierarchy row matched" is the same condition -- and it keeps the
+    # member-key partitioning of the three joins above (no extra shuffle).
+    out = out.join(
+        programs,
+        (F.col(member) == F.col("MBR_PGM_RX_SCHD_HIST_SCHD_ENRL_BNFCY_ID"))
+        & F.col("MBR_ACCT_HRCHY_MBR_ACCT_GID").isNotNull(),
+        "left",
     )
+    check_unique(out.columns)
+    # bounded dimensions; the two (LVL1, LVL3)-keyed ones are adjacent so
+    # that, if either exceeds the broadcast bound, they share one shuffle
+    account = [("PHMCY_LVL1_ACCT_GID", "CLNT_ACCT_DENORM_LVL1_ACCT_GID"),
+               ("PHMCY_LVL3_ACCT_GID", "CLNT_ACCT_DENORM_LVL3_ACCT_GID")]
+    plan_keys = [("PHMCY_LVL1_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL1_ACCT_GID"),
+                 ("PHMCY_LVL3_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL3_ACCT_GID")]
+    out = _join(out, clients, account, "inner", dims)
+    out = _join(out, plans, plan_keys, "inner", dims)
     out = _join(out, pharmacies, [("PHMCY_PHMCY_PTY_GID", "PHMCY_DENORM_PHMCY_PTY_GID")], "inner", dims)
-    out = _join(
-        out, plans,
-        [("PHMCY_LVL1_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL1_ACCT_GID"),
-         ("PHMCY_LVL3_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL3_ACCT_GID")],
-        "inner", dims,
-    )
     return out
 
 
@@ -240,10 +242,9 @@ def target_projection(df: DataFrame, opts: CampaignOptions) -> DataFrame:
 def enriched_table(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     enriched = enrich(latest_claims(claim_base(t, opts)), t, opts)
     if opts.checkpoint_enriched:
-        from cataloom.session import ensure_checkpoint_dir
+        from cataloom.session import materialize
 
-        ensure_checkpoint_dir(enriched.sparkSession)
-        enriched = enriched.checkpoint(eager=True)
+        enriched = materialize(enriched)
     return enriched
 
 
