@@ -296,7 +296,7 @@ def range_join(
     value: str | Column,
     low: str | Column,
     high: str | Column,
-    bin_width: float,
+    bin_width: float | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Join rows whose ``value`` lies in ``[low, high]`` without a nested loop.
@@ -305,12 +305,16 @@ def range_join(
     every bin they overlap (``explode(sequence(...))``).  The equi-join on the
     bin is a normal shuffle/broadcast join and the BETWEEN filter keeps the
     exact semantics.  Each matching pair meets in exactly one bin (the
-    point's), so nothing is duplicated; choose ``w`` near the typical range
-    length so ranges overlap few bins.
+    point's), so nothing is duplicated.  ``w`` should be near the typical
+    range length so ranges overlap few bins; without one, the median range
+    length (an approximate percentile over the range side) is used.
     """
     v = F.expr(value) if isinstance(value, str) else value
     lo = F.expr(low) if isinstance(low, str) else low
     hi = F.expr(high) if isinstance(high, str) else high
+    if bin_width is None:
+        median = ranges.select(F.percentile_approx((hi - lo).cast("double"), 0.5).alias("w")).first()["w"]
+        bin_width = float(median) if median and median > 0 else 1.0
     pts = points.withColumn("__bin", F.floor(v / F.lit(bin_width)))
     rng = (
         ranges.withColumn("__lo", lo)

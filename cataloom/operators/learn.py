@@ -144,11 +144,11 @@ def significant(value: float | None, digits: int = 7) -> float | None:
 def one_way_anova(df: DataFrame, response: str, factor: str, digits: int = 7, with_p_value: bool = True) -> DataFrame:
     """ANOVA table of ``response ~ factor``.
 
-    Per-level count, mean and within-level sum of squares come from one
-    grouped pass; the table rows are combined from those few numbers and
-    rounded to ``digits`` significant digits.
+    Per-level count, mean and within-level sum of squares come from a
+    grouped pass; totals are aggregated from that table (a few scalars reach
+    the driver) and rounded to ``digits`` significant digits.
     """
-    stats = (
+    per_level = (
         df.select(response, factor).dropna()
         .groupBy(factor)
         .agg(
@@ -156,13 +156,17 @@ def one_way_anova(df: DataFrame, response: str, factor: str, digits: int = 7, wi
             F.avg(response).alias("m"),
             (F.var_pop(response) * F.count(F.lit(1))).alias("ss"),
         )
-        .collect()
     )
-    n = sum(r["n"] for r in stats)
-    g = len(stats)
-    grand = sum(r["n"] * r["m"] for r in stats) / n
-    ss_between = sum(r["n"] * (r["m"] - grand) ** 2 for r in stats)
-    ss_within = sum(r["ss"] for r in stats)
+    # two one-row aggregates over the per-level table: nothing per level
+    # reaches the driver, however many levels the factor has
+    tot = per_level.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"),
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"), F.sum("ss").alias("ssw"),
+    ).first()
+    n, g, grand, ss_within = int(tot["n"]), int(tot["g"]), float(tot["grand"]), float(tot["ssw"])
+    ss_between = float(
+        per_level.agg(F.sum(F.col("n") * (F.col("m") - F.lit(grand)) ** 2)).first()[0]
+    )
     df_b, df_w = g - 1, n - g
     ms_b = ss_between / df_b if df_b else float("nan")
     ms_w = ss_within / df_w if df_w else float("nan")

@@ -195,3 +195,11 @@ def test_auto_join_never_pairs_children_of_a_shared_parent(spark):
     assert out.df.count() == ref.count()
     plan = out.df._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan
+
+
+def test_range_join_picks_bin_width(spark):
+    p = spark.createDataFrame([(i, float(i)) for i in range(100)], "pid int, v double")
+    r = spark.createDataFrame([(0, 10.0, 19.5), (1, 50.0, 50.0), (2, 90.0, 200.0)], "rid int, lo double, hi double")
+    got = sorted(tuple(x) for x in J.range_join(p, r, "v", "lo", "hi").select("pid", "rid").collect())
+    want = sorted([(i, 0) for i in range(10, 20)] + [(50, 1)] + [(i, 2) for i in range(90, 100)])
+    assert got == want
