@@ -220,6 +220,24 @@ class Catalog:
 
         return read_table(self.spark, self.doc(qualified))
 
+    def register_views(self, qualify: bool = False) -> list[str]:
+        """Expose every table as a temp view named ``source_table`` for SQL.
+
+        With ``qualify`` the view's columns are renamed ``table__column`` as
+        in FK-discovered joins.  Returns the view names.
+        """
+        from cataloom.operators.project import qualify_columns
+
+        names = []
+        for qualified, doc in self.docs().items():
+            df = self.read(qualified)
+            if qualify and not doc.derived:
+                df = qualify_columns(df, doc.table)
+            view = f"{doc.source}_{doc.table}"
+            df.createOrReplaceTempView(view)
+            names.append(view)
+        return names
+
     # ------------------------------------------------------------ J8
     def foreign_keys(self) -> DataFrame:
         """One row per FK column pair: child/parent table and columns."""

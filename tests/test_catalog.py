@@ -118,3 +118,13 @@ def test_sources_and_datamodels_share_one_namespace(spark, scratch_dir):
     assert list(dm.docs()) == ["model.facts"]
     assert dm.read("model.facts").count() == 3  # data-model tables are scannable too
     assert list(cat.load_sources("src").docs()) == ["src.nation"]
+
+
+def test_register_views_for_sql(spark):
+    cat = tpch.catalog(spark, SF, ["nation", "region"])
+    views = cat.register_views()
+    assert sorted(views) == ["tpch_nation", "tpch_region"]
+    n = spark.sql("SELECT count(*) AS n FROM tpch_nation JOIN tpch_region ON n_regionkey = r_regionkey").first().n
+    assert n == 25
+    cat.register_views(qualify=True)
+    assert "nation__n_name" in spark.table("tpch_nation").columns
