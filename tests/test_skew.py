@@ -98,3 +98,27 @@ def test_cluster_conf_sizes():
     conf = cluster_conf(1000)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 4000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_fk_join_on_hot_parent_is_split(spark, tmp_path):
+    from cataloom.sources.catalog import Catalog
+
+    root = str(tmp_path)
+    spark.range(30000).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("o_custkey"),
+        F.sha2(F.col("id").cast("string"), 256).alias("o_comment"),
+    ).write.parquet(f"{root}/orders.parquet")
+    spark.range(5000).select(F.col("id").alias("c_custkey"), F.col("id").cast("string").alias("c_name")) \
+        .write.parquet(f"{root}/customer.parquet")
+    cat = Catalog.from_files(spark, "s", root, ["orders", "customer"], [("orders.o_custkey", "customer.c_custkey")])
+
+    def run():
+        df = J.auto_join(cat, "s.orders", "s.customer").df
+        n = df.filter("customer__c_custkey = 7").count()
+        df.collect()
+        return n, df._jdf.queryExecution().executedPlan().toString()
+
+    n, plan = _with_conf(spark, SKEW_CONF, run)
+    assert n == sum(1 for i in range(30000) if (7 if i % 3 == 0 else i % 5000) == 7)
+    assert "SortMergeJoin(skew=true)" in plan
