@@ -20,6 +20,7 @@ from cataloom.operators import aggregate as agg
 from cataloom.operators import fkgraph, learn, profile
 from cataloom.operators import join as joins
 from cataloom.operators import project as proj
+from cataloom.operators.tracked import Tracked
 from cataloom.plans import campaign as C
 from cataloom.plans import tpch
 from cataloom.plans.campaign_analog import VIEW_FOR, analog_tables, oracle_ctes
@@ -710,7 +711,7 @@ def orc_roundtrip(spark, d):
 )
 def derived_table_roundtrip(spark, d):
     cat = tpch.catalog(spark, d, ["supplier"])
-    grouped = agg.aggregate(joins.Tracked(T(spark, d, "supplier"), (tpch.q("supplier"),)),
+    grouped = agg.aggregate(Tracked(T(spark, d, "supplier"), (tpch.q("supplier"),)),
                             "s_nationkey", n_suppliers=("n", "s_suppkey"))
     cat = derived.save_derived_table(grouped, cat, "derived_src", "suppliers_per_nation")
     return cat.read("derived_src.suppliers_per_nation")
