@@ -105,3 +105,31 @@ def test_job_reads_catalog_and_writes_orc(spark, tables, scratch_dir):
                        "--as-of", "2001-11-29", "--out", out])
     result = spark.read.orc(out)
     assert result.count() == 1103 and len(result.columns) == 45
+
+
+def test_ffm_counts_rows_after_fan_out(spark):
+    """0, 1, 2 mail rows per member; one mail row doubled by a fan-out join
+    counts twice, so that member is not first-fill-at-mail."""
+    from cataloom.functions import rules
+
+    rows = [
+        # member 1: one mail row -> Y
+        (1, "M", "Y"),
+        (1, "R", "Y"),
+        # member 2: two mail rows -> N
+        (2, "M", "Y"),
+        (2, "M", "Y"),
+        # member 3: no mail row -> N
+        (3, "R", "Y"),
+        # member 4: one mail claim seen twice after the program join -> N
+        (4, "M", "Y"),
+        (4, "M", "Y"),
+    ]
+    df = spark.createDataFrame(rows, "MBR_ACC_EPH_LINK_ID int, PHMCY_DLVRY_SYSTM_CD string, BNFT_PLAN_RCP_OPTNS_MAIL_IND string")
+    counted = C.with_mail_count(df)
+    flagged = counted.select(
+        "MBR_ACC_EPH_LINK_ID", "PHMCY_DLVRY_SYSTM_CD",
+        rules.first_fill_at_mail_flag("BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD", C.MAIL_COUNT).alias("f"),
+    )
+    got = sorted(tuple(r) for r in flagged.collect())
+    assert got == [(1, "M", "Y"), (1, "R", "N"), (2, "M", "N"), (2, "M", "N"), (3, "R", "N"), (4, "M", "N"), (4, "M", "N")]
