@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
 from cataloom.operators.project import check_unique, prefix_columns
-from cataloom.operators.tracked import rewrap, unwrap
+from cataloom.operators.tracked import resolve, rewrap, unwrap
 
 # Aggregate names accepted besides pyspark.sql.functions names.
 AGG_ALIASES = {"n": "count", "mean": "avg", "n_distinct": "count_distinct"}
@@ -23,14 +23,16 @@ def agg_column(fn: str, column: str | Column) -> Column:
     return func(F.col(column) if isinstance(column, str) else column)
 
 
-def aggregate(x, group_by: str | Sequence[str], **named):
+def aggregate(x, group_by: str | Sequence[str], *, catalog=None, **named):
     """Group by one or more columns with named aggregates (A1).
 
     ``named`` maps an output name to ``(function_name, column)`` or to a
     ready Column, e.g. ``count=("n", "s_store_id"), s1=("sum", "ss_net_paid")``.
     Partial aggregation runs before the shuffle, so a hot group costs one
-    partial row per task.
+    partial row per task.  ``x`` may be a ``source.table`` name with
+    ``catalog``.
     """
+    x = resolve(x, catalog)
     df, _ = unwrap(x)
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     aggs = []

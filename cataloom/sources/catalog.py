@@ -209,6 +209,20 @@ class Catalog:
         except KeyError:
             raise KeyError(f"no table {qualified!r} in the catalog") from None
 
+    def column(self, qualified_column: str) -> str:
+        """Resolve ``source.table.col`` to the column name (checked, S1)."""
+        source, table, name = qualified_column.split(".", 2)
+        doc = self.doc(f"{source}.{table}")
+        if name not in doc.columns:
+            raise KeyError(f"no column {name!r} in {doc.qualified}")
+        return name
+
+    def column_index(self, qualified_column: str) -> int:
+        """1-based ordinal of a catalogued column."""
+        name = self.column(qualified_column)
+        source, table, _ = qualified_column.split(".", 2)
+        return self.doc(f"{source}.{table}").columns.index(name) + 1
+
     def path(self, qualified: str) -> str:
         from cataloom.sources.files import table_location
 

@@ -128,3 +128,18 @@ def test_register_views_for_sql(spark):
     assert n == 25
     cat.register_views(qualify=True)
     assert "nation__n_name" in spark.table("tpch_nation").columns
+
+
+def test_column_addressing(spark):
+    import pytest
+
+    from cataloom.operators.aggregate import aggregate
+
+    cat = tpch.catalog(spark, SF, ["supplier"])
+    assert cat.column("tpch.supplier.s_nationkey") == "s_nationkey"
+    assert cat.column_index("tpch.supplier.s_nationkey") == 3
+    with pytest.raises(KeyError):
+        cat.column("tpch.supplier.nope")
+    out = aggregate("tpch.supplier", cat.column("tpch.supplier.s_nationkey"), catalog=cat,
+                    count=("n", cat.column("tpch.supplier.s_suppkey")))
+    assert out.df.count() <= 25
