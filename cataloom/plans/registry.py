@@ -717,6 +717,27 @@ def derived_table_roundtrip(spark, d):
     return cat.read("derived_src.suppliers_per_nation")
 
 
+@register(
+    "derived_save_drop",
+    "SELECT s_nationkey, count(s_suppkey) AS n_suppliers FROM supplier GROUP BY s_nationkey",
+)
+def derived_save_drop(spark, d):
+    """Save a derived table, read it back, then drop its schema and data.
+    The read-back is checkpointed first, so the result outlives the drop."""
+    from cataloom.session import materialize
+
+    cat = tpch.catalog(spark, d, ["supplier"])
+    grouped = agg.aggregate(Tracked(T(spark, d, "supplier"), (tpch.q("supplier"),)),
+                            "s_nationkey", n_suppliers=("n", "s_suppkey"))
+    name = "derived_src.save_drop"
+    cat = derived.save_derived_table(grouped, cat, "derived_src", "save_drop")
+    back = materialize(cat.read(name))
+    cat = derived.drop_derived_table(cat, name)
+    if name in cat.docs() or spark.catalog.tableExists(name):
+        raise RuntimeError(f"{name} was not dropped")
+    return back
+
+
 @register(
     "fk_carry_over",
     "SELECT 'derived_src.orders_customers' AS child_table, 'tpch.customer' AS parent_table, "
