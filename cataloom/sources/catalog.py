@@ -140,7 +140,17 @@ class Catalog:
             )
         sources = spark.createDataFrame(source_row, SOURCE_SCHEMA)
         tables = spark.createDataFrame(table_rows, TABLE_SCHEMA)
-        return cls(spark, sources, tables)
+        # the documents are already known here: no need to collect them back
+        docs = {}
+        for src, name, tid, origin, tfmt, path, columns, fks in table_rows:
+            doc = TableDoc(
+                source=src, table=name, id=tid, origin=origin, format=tfmt, path=path,
+                columns=tuple(c for c, _ in columns),
+                fk=tuple(tuple(Relation(*r) for r in rels) for (rels,) in fks),
+                source_path=root, source_type=fmt,
+            )
+            docs[doc.qualified] = doc
+        return cls(spark, sources, tables, docs)
 
     # ------------------------------------------------------------ S1 / S2
     def load_sources(self, *names: str) -> "Catalog":
@@ -172,12 +182,15 @@ class Catalog:
         kept = self.tables.filter(
             ~((F.col("source") == doc.source) & (F.col("table") == doc.table))
         )
-        return Catalog(self.spark, self.sources, kept.unionByName(row))
+        docs = dict(self.docs())
+        docs[doc.qualified] = doc
+        return Catalog(self.spark, self.sources, kept.unionByName(row), docs)
 
     def without_table(self, qualified: str) -> "Catalog":
         source, table = qualified.split(".", 1)
         kept = self.tables.filter(~((F.col("source") == source) & (F.col("table") == table)))
-        return Catalog(self.spark, self.sources, kept)
+        docs = {k: v for k, v in self.docs().items() if k != qualified}
+        return Catalog(self.spark, self.sources, kept, docs)
 
     # ------------------------------------------------------------ lookups
     def docs(self) -> dict[str, TableDoc]:
