@@ -79,22 +79,29 @@ def sample(x, percent: float | None = None, count: int | None = None, seed: int
 
 
 def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05, catalog=None) -> DataFrame:
-    """One row per atomic column: distinct level count and a flag.
+    """One row per atomic column: non-NULL count, levels, ratio, flag.
 
     ``distinct_levels`` is the exact number of non-NULL levels for
-    categorical columns (at most ``max_levels``) and NULL otherwise.
-    A HyperLogLog++ pass over all columns (one row of sketches to the
-    driver) screens out high-cardinality columns; only the remaining
-    candidates are counted exactly, in one grouped pass whose partial
-    aggregation leaves at most (candidates x levels) rows per task.
+    categorical columns (at most ``max_levels``) and NULL otherwise;
+    ``distinct_ratio`` is levels / non-NULL values for those columns.
+    One pass computes every column's non-NULL count and a HyperLogLog++
+    sketch (one row to the driver); the sketch screens out high-cardinality
+    columns, and only the remaining candidates are counted exactly, in one
+    grouped pass whose partial aggregation leaves at most
+    (candidates x levels) rows per task.
     """
     df, _ = unwrap(x, catalog)
     spark = df.sparkSession
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
-    sketch = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    screen = 2 * max_levels + 16  # HLL never reports a 20-level column anywhere near this
-    candidates = [c for i, c in enumerate(cols) if sketch[f"c{i}"] <= screen]
-    names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column_name string, ordinal int")
+    first = df.agg(
+        *[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)],
+        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)],
+    ).first()
+    screen = 2 * max_levels + 16  # far above any HLL estimate of a max_levels column
+    candidates = [c for i, c in enumerate(cols) if first[f"c{i}"] <= screen]
+    names = spark.createDataFrame(
+        [(c, int(first[f"n{i}"])) for i, c in enumerate(cols)], "column_name string, non_null bigint"
+    )
     if candidates:
         pairs = df.select(
             F.explode(F.array(*[
@@ -102,16 +109,16 @@ def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05, catalog=None
                 for c in candidates
             ])).alias("p")
         ).select("p.*").filter(F.col("value").isNotNull())
-        exact = pairs.distinct().groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("levels")
-        )
+        exact = pairs.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("levels"))
         names = names.join(exact, "column_name", "left")
     else:
         names = names.withColumn("levels", F.lit(None).cast("bigint"))
     categorical = F.coalesce(F.col("levels") <= max_levels, F.lit(False))
     return names.select(
         "column_name",
+        "non_null",
         F.when(categorical, F.col("levels")).alias("distinct_levels"),
+        F.when(categorical, F.col("levels") / F.col("non_null")).alias("distinct_ratio"),
         categorical.alias("is_categorical"),
     )
 

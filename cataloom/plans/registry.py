@@ -52,6 +52,7 @@ COLUMNS = {
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     ],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
 }
 
 
@@ -473,22 +474,30 @@ def sample_count(spark, d):
     return profile.sample(T(spark, d, "lineitem"), count=100, seed=7)
 
 
-def _categorical_sql() -> str:
+def _categorical_sql(table: str) -> str:
     parts = []
-    for c in COLUMNS["events"]:
+    for c in COLUMNS[table]:
+        levels = f"count(DISTINCT {c})"
+        small = f"{levels} <= {CATEGORICAL_MAX_LEVELS}"
         parts.append(
-            f"SELECT '{c}' AS column_name, CASE WHEN count(DISTINCT {c}) <= {CATEGORICAL_MAX_LEVELS} "
-            f"THEN count(DISTINCT {c}) END AS distinct_levels, "
-            f"count(DISTINCT {c}) <= {CATEGORICAL_MAX_LEVELS} AS is_categorical FROM events"
+            f"SELECT '{c}' AS column_name, count({c}) AS non_null, "
+            f"CASE WHEN {small} THEN {levels} END AS distinct_levels, "
+            f"CASE WHEN {small} THEN {levels} / count({c}) END AS distinct_ratio, "
+            f"{small} AS is_categorical FROM {table}"
         )
     return " UNION ALL ".join(parts)
 
 
-@register("categorical_columns", _categorical_sql())
+@register("categorical_columns", _categorical_sql("events"))
 def categorical_columns(spark, d):
     return profile.categorical_columns(T(spark, d, "events"), max_levels=CATEGORICAL_MAX_LEVELS)
 
 
+@register("categorical_columns_documents", _categorical_sql("documents"))
+def categorical_columns_documents(spark, d):
+    return profile.categorical_columns(T(spark, d, "documents"), max_levels=CATEGORICAL_MAX_LEVELS)
+
+
 @register(
     "density_bins",
     f"WITH b AS (SELECT min(l_quantity) AS lo, (max(l_quantity) - min(l_quantity)) / {HIST_BINS} AS w FROM lineitem), "

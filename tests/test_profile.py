@@ -39,8 +39,9 @@ def test_sample_fraction_rules(spark):
 def test_categorical_columns(spark):
     rows = [(i, f"c{i % 3}", float(i)) for i in range(500)]
     df = spark.createDataFrame(rows, "id int, cat string, v double")
-    got = {r.column_name: (r.distinct_levels, r.is_categorical) for r in P.categorical_columns(df, max_levels=10).collect()}
-    assert got == {"id": (None, False), "cat": (3, True), "v": (None, False)}
+    got = {r.column_name: (r.non_null, r.distinct_levels, r.distinct_ratio, r.is_categorical)
+           for r in P.categorical_columns(df, max_levels=10).collect()}
+    assert got == {"id": (500, None, None, False), "cat": (500, 3, 3 / 500, True), "v": (500, None, None, False)}
 
 
 def test_histogram_matches_numpy(spark):
