@@ -53,6 +53,7 @@ COLUMNS = {
     ],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
     "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "labels": ["doc_id", "quality", "toxic"],
 }
 
 
@@ -107,6 +108,15 @@ def auto_join_diamond(spark, d):
     return joins.auto_join(cat, *[tpch.q(n) for n in names]).df
 
 
+@register(
+    "auto_join_labels",
+    f"SELECT {qualified_select('labels', 'documents')} FROM labels, documents WHERE labels.doc_id = documents.doc_id",
+)
+def auto_join_labels(spark, d):
+    cat = tpch.catalog(spark, d, ["labels", "documents"])
+    return joins.auto_join(cat, tpch.q("labels"), tpch.q("documents")).df
+
+
 # ====================================================================== J2 / J3 / J6
 JOIN_ORDERS_FILTER = "o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"
 JOIN_CUSTOMER_FILTER = "c_mktsegment = 'BUILDING'"
@@ -459,6 +469,15 @@ def find_duplicates_rows(spark, d):
     return profile.find_duplicates(T(spark, d, "lineitem"))
 
 
+@register(
+    "find_duplicates_pages",
+    "SELECT count(*) AS duplicate_groups, CAST(sum(n) AS BIGINT) AS duplicate_rows "
+    "FROM (SELECT count(*) AS n FROM pages GROUP BY html HAVING count(*) > 1)",
+)
+def find_duplicates_pages(spark, d):
+    return profile.find_duplicates(T(spark, d, "pages").select("html"))
+
+
 @register("row_count", "SELECT count(*) AS rowcount FROM lineitem")
 def row_count(spark, d):
     return profile.row_count(T(spark, d, "lineitem"))
