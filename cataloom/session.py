@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of materialized intermediates are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -46,6 +48,7 @@ def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
