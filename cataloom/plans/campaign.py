@@ -5,16 +5,19 @@ One logical plan from scans to the write.  Scale notes:
 
 * filters sit on the scans (COB code, 180-day window, member flags) and are
   pushed into the file reader;
-* the latest claim per (member link, drug class) is a map-side combined
-  max of the fill date, a semi-join back, then the max claim id among
-  those rows and a second semi-join, so a member with a third of all
-  claims never lands in one task;
-* member-keyed tables join on the same key one after another, so the
-  claim side is shuffled once for all of them; client, pharmacy and plan
-  dimensions are broadcast only when a row bound is proven;
-* the per-member mail count is an aggregate joined back (AQE splits a hot
-  member's partition), and the enriched table is checkpointed to the
-  shared checkpoint folder because both the count and the output read it.
+* the latest claim per (member link, drug class) comes from a map-side
+  combined max claim id per (link, drug class, fill date), the latest date
+  chosen on that aggregated level, and one semi-join back on the winning
+  tuple (winners checkpointed), so a member with a third of all claims
+  never lands in one task;
+* member-keyed tables join on the same key one after another (the program
+  join is rewritten onto the member key), so the claim side is shuffled
+  once for all of them; client, plan and pharmacy dimensions are broadcast
+  only when a row bound is proven;
+* the per-member mail count is an aggregate, materialized, then joined back,
+  so AQE can split a hot member's partition; the enriched table is
+  checkpointed to the shared checkpoint folder because both the count and
+  the output read it.
 """
 
 from __future__ import annotations
