@@ -5,24 +5,24 @@ from __future__ import annotations
 import os
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.column import Column
 
 from cataloom.sources.catalog import Catalog, TableDoc
 
-# The ingestion layout of table files under a source folder.
+# The ingestion layout of table files under a source folder,
+# <source path>/<table id>/merged/<format>/, then three folder levels below
+# it (one for csv-ingested sources).
 MERGED_DIR = "merged"
-PARTITIONED_GLOB = "*/*/*"  # <source>/<table id>/merged/<format>/*/*/*
-FLAT_GLOB = "*"  # csv-ingested sources: <source>/<table id>/merged/<format>/*
 
 
 def table_location(doc: TableDoc) -> str:
     """Folder holding a table's files (S3).
 
     A document may carry an explicit ``path``.  Otherwise the ingestion
-    layout ``<source path>/<table id>/merged/<format>`` is used; its
-    partition sub-folders are discovered by Spark, so partition columns and
-    partition pruning survive (a glob would lose both).
+    layout ``<source path>/<table id>/merged/<format>`` is used and the
+    folders below it are read by ``read_table``.
     """
     if doc.path:
         return doc.path
@@ -38,16 +38,20 @@ def read_table(spark: SparkSession, doc: TableDoc) -> DataFrame:
     reader = spark.read.format(doc.format)
     if doc.format == "avro":
         return read_avro(spark, location)
-    if not doc.path:
-        # Nested partition folders: recursive discovery keeps partition
-        # columns when they are ``key=value`` folders, and reads every file
-        # of a flat (csv-ingested) layout as well.
-        reader = reader.option("basePath", location)
-    return reader.load(location)
+    if doc.path:
+        return reader.load(location)
+    # ``key=value`` sub-folders are discovered as partition columns (and
+    # prune on filters); plain nested folders (e.g. <date>/<batch>/) carry no
+    # partition values, so their files are listed recursively instead.
+    try:
+        return reader.option("basePath", location).load(location)
+    except AnalysisException:
+        return spark.read.format(doc.format).option("recursiveFileLookup", "true").load(location)
 
 
 def read_glob(spark: SparkSession, root: str, fmt: str = "orc", depth: int = 3) -> DataFrame:
-    """Read ``root/*/…/*`` the way the ingestion layout is globbed.
+    """Read ``root/*/…/*`` the way the ingestion layout is globbed (depth 3,
+    or 1 for csv-ingested sources).
 
     ``basePath`` is set so that ``key=value`` folders still become columns and
     filters on them prune folders (``PartitionFilters`` in the plan).

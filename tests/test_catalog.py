@@ -143,3 +143,12 @@ def test_column_addressing(spark):
     out = aggregate("tpch.supplier", cat.column("tpch.supplier.s_nationkey"), catalog=cat,
                     count=("n", cat.column("tpch.supplier.s_suppkey")))
     assert out.df.count() <= 25
+
+
+def test_ingestion_layout_with_plain_nested_folders(spark, scratch_dir):
+    root = os.path.join(scratch_dir, "plain_ingest")
+    for a, b in [("2016", "01"), ("2016", "02"), ("2017", "01")]:
+        spark.range(5).write.orc(os.path.join(root, "t9", "merged", "orc", a, b, "batch"))
+    doc = TableDoc(source="s", table="t", id="t9", format="orc", source_path=root)
+    df = files.read_table(spark, doc)
+    assert df.count() == 15 and df.columns == ["id"]
