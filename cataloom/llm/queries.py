@@ -1,0 +1,72 @@
+"""One registered query per operator, with its production parameters."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import backoff, decontaminate, fingerprints, licences, packing, quotes, sharding, simhash, suffix_dedup, toxicity
+
+#: Vocabulary file of the packing query.
+TOKENIZER = "byte_bpe_50k.json"
+SHARDS = 16
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op7_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_stupid_backoff, op3_decontamination, op4_fingerprints, op5_suffix_dedup, op6_toxicity, op7_quotations, op8_rendezvous, op9_licences, op10_best_fit)}
+
+#: DuckDB SQL of the queries that SQL can express at whole size.
+ORACLE: dict[str, str] = {}
