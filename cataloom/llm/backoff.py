@@ -58,9 +58,10 @@ def ngrams(texts: list[str | None], order: int, slab: int = 1 << 20) -> tuple[li
     out = [word]
     for n in range(2, order + 1):
         gram = np.zeros(len(word), dtype=np.uint64)
-        gram[1:] = mix(out[-1][:-1] * np.uint64(0xD1342543DE82EF95) + word[1:] + np.uint64(n))
-        gram[: n - 1] = 0
-        gram[n - 1 :][doc[n - 1 :] != doc[: len(doc) - n + 1]] = 0
+        if len(word) >= n:
+            gram[1:] = mix(out[-1][:-1] * np.uint64(0xD1342543DE82EF95) + word[1:] + np.uint64(n))
+            gram[: n - 1] = 0
+            gram[n - 1 :][doc[n - 1 :] != doc[: len(doc) - n + 1]] = 0
         out.append(gram)
     return out, doc
 

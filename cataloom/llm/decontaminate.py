@@ -57,11 +57,8 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, path: str, text: str = "
     """
     end = docs.sparkSession.createDataFrame([("", -1)], "term string, term_id long")
     terms = checkpoint(vocabulary.select("term", "term_id").union(end).withColumn("low", F.lower("term")))
-    tokens = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        "doc_id",
-        F.posexplode(F.concat(raw_words(F.col(text)), F.array(F.lit("")))).alias("pos", "word"),
-    )
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col(text).alias("text"))
+    tokens = numbered.select("rid", "doc_id", F.posexplode(F.concat(raw_words(F.col("text")), F.array(F.lit("")))).alias("pos", "word"))
     # lower() is the fast coarse key, it also folds letters beyond A-Z; the words themselves decide
     found = tokens.withColumn("low", F.lower("word")).join(broadcast_if_small(terms, 96), "low")
     found = found.where(F.translate("word", UPPER, LOWER) == F.col("term"))

@@ -169,7 +169,7 @@ def document_fingerprints(docs: DataFrame, blocks: int | None = None) -> DataFra
     blocks = blocks or 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     keyed = docs.select("doc_id", "text", key.alias("k"))
-    cuts = sorted(set(keyed.approxQuantile("k", [i / blocks for i in range(1, blocks)], 0.2 / blocks)))
+    cuts = sorted(set(keyed.approxQuantile("k", [i / blocks for i in range(1, blocks)], 0.2 / blocks))) if blocks > 1 else []
     above = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]).cast("array<long>"), lambda c: c > F.col("k"))) if cuts else F.lit(0)
     keyed = keyed.withColumn("block", above)
     tops = keyed.groupBy("block").agg(F.max("k").alias("top")).orderBy("block").collect()  # at most `blocks` rows

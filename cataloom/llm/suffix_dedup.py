@@ -283,7 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, node
 def cut(text: str | None, spans: list[dict] | None) -> tuple[int, int, int, bytes]:
     """(bytes, bytes removed, runs removed, bytes kept) of one document."""
     data = (text or "").encode()
-    if not spans:
+    if spans is None or not len(spans):
         return len(data), 0, 0, data
     edge = np.zeros(len(data) + 1, dtype=np.int64)
     for side, step in (("start", 1), ("end", -1)):

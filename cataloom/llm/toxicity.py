@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, slabs, word_spans
 
 #: Bound on the labelled documents that training reads, and model sizes.
-SAMPLE, TABLE_BITS, CHAIN, AFFIXES, ROUNDS = 6000, 20, 64, (3, 4, 5, 6), 40
+SAMPLE, TABLE_BITS, CHAIN, AFFIXES, ROUNDS = 5000, 20, 64, (3, 4, 5, 6), 30
 THRESHOLD = 0.3
 
 
@@ -48,13 +48,15 @@ def byte_classes() -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """The words of a slab: byte spans, document, features and chain starts."""
+    """The words of a slab: byte spans, document, number of the distinct word
+    and chain start; ``features`` has a row for each distinct word."""
 
     start: np.ndarray
     end: np.ndarray
     doc: np.ndarray
-    features: np.ndarray
+    kind: np.ndarray
     chain: np.ndarray
+    features: np.ndarray
 
 
 def slab_words(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -63,20 +65,23 @@ def slab_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     start, end = word_spans(data, inside, offsets)
     if not len(start):
         none = np.zeros(0, dtype=np.int64)
-        return Words(none, none, none, np.zeros((0, 1 + 2 * len(AFFIXES)), dtype=np.int64), np.zeros(0, dtype=bool))
-    hashes, size = Rolling(data), end - start
-    spans = [(start, end, 0)]
+        return Words(none, none, none, none, np.zeros(0, dtype=bool), np.zeros((0, 1 + 2 * len(AFFIXES)), dtype=np.int64))
+    hashes = Rolling(data)
+    _, some, kind = np.unique(hashes.spans(start, end), return_index=True, return_inverse=True)
+    a, b = start[some], end[some]
+    spans = [(a, b, 0)]
     for k in AFFIXES:
-        spans += [(start, start + np.minimum(k, size), k), (end - np.minimum(k, size), end, 16 + k)]
+        size = np.minimum(k, b - a)
+        spans += [(a, a + size, k), (b - size, b, 16 + k)]
     mask = np.uint64((1 << TABLE_BITS) - 1)
-    features = np.stack([((hashes.spans(a, b) + np.uint64(kind * 0x9E3779B1)) & mask).astype(np.int64) for a, b, kind in spans], axis=1)
+    features = np.stack([((hashes.spans(a, b) + np.uint64(place * 0x9E3779B1)) & mask).astype(np.int64) for a, b, place in spans], axis=1)
     doc = np.searchsorted(offsets, start, side="right") - 1
     stops = np.cumsum(np.isin(data, np.frombuffer(b".!?\n", dtype=np.uint8)))
     sentence = np.r_[0, stops][start]
     new = np.r_[True, (doc[1:] != doc[:-1]) | (sentence[1:] != sentence[:-1])]
     first = np.flatnonzero(new)
     at = np.arange(len(start)) - np.repeat(first, np.diff(np.r_[first, len(start)]))
-    return Words(start, end, doc, features, at % CHAIN == 0)
+    return Words(start, end, doc, kind, at % CHAIN == 0, features)
 
 
 @dataclass
@@ -89,7 +94,7 @@ class Field:
     scale: np.ndarray = field(default_factory=lambda: np.zeros(3))
 
     def emission(self, words: Words) -> np.ndarray:
-        return self.weights[words.features].sum(axis=1) + self.bias
+        return self.weights[words.features].sum(axis=1)[words.kind] + self.bias
 
     def marginals(self, emission: np.ndarray, chain: np.ndarray, pairs: bool = False):
         """P(label 1) per word by forward-backward, all chains in step; with
@@ -130,32 +135,49 @@ class Field:
         return marginal, (both / both.sum(axis=0)).sum(axis=1).reshape(2, 2)
 
     def evidence(self, words: Words, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-        """Marginals, and per document (1, largest marginal, log of 1 + their sum)."""
+        """Marginals m, and per document (1, largest -ln(1 - m), ln(1 + sum of -ln(1 - m)))."""
         marginal = self.marginals(self.emission(words), words.chain)
+        weight = -np.log1p(-np.minimum(marginal, 1 - 1e-6))
         top = np.zeros(n_docs)
-        np.maximum.at(top, words.doc, marginal)
-        return marginal, np.stack([np.ones(n_docs), top, np.log1p(np.bincount(words.doc, marginal, minlength=n_docs))], axis=1)
+        np.maximum.at(top, words.doc, weight)
+        return marginal, np.stack([np.ones(n_docs), top, np.log1p(np.bincount(words.doc, weight, minlength=n_docs))], axis=1)
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(evidence @ self.scale, -50, 50)))
 
 
-def label_words(words: Words, toxic: np.ndarray, least_gain: int = 3, clean_cost: float = 3.0) -> np.ndarray:
-    """Whether each word offends, from document labels."""
-    kinds = words.features.shape[1]
-    pairs = np.unique(np.stack([words.features.ravel(), np.repeat(words.doc, kinds)], axis=1), axis=0)
-    bad = toxic[pairs[:, 1]] == 1
-    clean = np.bincount(pairs[~bad, 0], minlength=1 << TABLE_BITS)
-    pairs = pairs[bad]
-    picked, open_doc = [], toxic == 1
+def label_words(words: Words, toxic: np.ndarray, least_gain: int = 3, clean_cost: float = 3.0, repeats: tuple[int, ...] = (1, 2, 4), common: float = 0.1) -> np.ndarray:
+    """Whether each word offends, from document labels.  A feature covers a
+    document that holds it once, or (words that clean texts use too) at least
+    2 or 4 times; the number that covers best decides.  Features that cover a
+    share ``common`` of the toxic documents are picked from the start, so that
+    words which stand together are all found."""
+    docs, size = len(toxic), 1 << TABLE_BITS
+    pair, times = np.unique(words.kind * docs + words.doc, return_counts=True)
+    features = words.features[pair // docs]
+    pair, place = np.unique((features * docs + (pair % docs)[:, None]).ravel(), return_inverse=True)
+    times = np.bincount(place.ravel(), np.repeat(times, features.shape[1]))
+    covers = []
+    for least in repeats:
+        feature, doc = (x[times >= least] for x in (pair // docs, pair % docs))
+        bad = toxic[doc] == 1
+        covers.append((feature[bad], doc[bad], clean_cost * np.bincount(feature[~bad], minlength=size)))
+    is_open = toxic == 1
+    enough = max(least_gain, common * is_open.sum())
+    picked = []
+    for feature, doc, cost in covers:
+        often = np.flatnonzero(np.bincount(feature, minlength=size) - cost >= enough)
+        picked += often.tolist()
+        is_open[doc[np.isin(feature, often)]] = False
     while True:
-        gain = np.bincount(pairs[open_doc[pairs[:, 1]], 0], minlength=1 << TABLE_BITS) - clean_cost * clean
-        best = int(np.argmax(gain))
-        if gain[best] < least_gain:
+        gains = [np.bincount(f[is_open[d]], minlength=size) - cost for f, d, cost in covers]
+        level = int(np.argmax([g.max() for g in gains]))
+        best = int(np.argmax(gains[level]))
+        if gains[level][best] < least_gain:
             break
         picked.append(best)
-        open_doc[pairs[pairs[:, 0] == best, 1]] = False
-    return np.isin(words.features, picked).any(axis=1) & (toxic[words.doc] == 1)
+        is_open[covers[level][1][covers[level][0] == best]] = False
+    return np.isin(words.features, picked).any(axis=1)[words.kind] & (toxic[words.doc] == 1)
 
 
 def train(texts: list[str | None], toxic: np.ndarray) -> Field:
@@ -171,12 +193,13 @@ def train(texts: list[str | None], toxic: np.ndarray) -> Field:
     goal = label_words(words, toxic).astype(float)
     later = np.flatnonzero(~words.chain)
     seen = np.bincount((2 * goal[later - 1] + goal[later]).astype(int), minlength=4).reshape(2, 2)
-    flat, kinds, squares = words.features.ravel(), words.features.shape[1], None
+    flat, width, squares = words.features.ravel(), words.features.shape[1], None
     scale = 1.0 / max(1.0, goal.sum())
     for _ in range(ROUNDS):
         marginal, expected = model.marginals(model.emission(words), words.chain, pairs=True)
         error = goal - marginal
-        step = np.r_[np.bincount(flat, np.repeat(error, kinds), minlength=1 << TABLE_BITS) * scale - 1e-4 * model.weights, error.sum() * scale, ((seen - expected) * scale).ravel()]
+        by_kind = np.bincount(words.kind, error, minlength=len(words.features))
+        step = np.r_[np.bincount(flat, np.repeat(by_kind, width), minlength=1 << TABLE_BITS) * scale - 1e-4 * model.weights, error.sum() * scale, ((seen - expected) * scale).ravel()]
         squares = step**2 if squares is None else squares + step**2
         step = 0.5 * step / (np.sqrt(squares) + 1e-6)
         model.weights += step[: 1 << TABLE_BITS]
