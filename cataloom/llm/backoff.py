@@ -12,6 +12,10 @@ a count table's partition as one packed row: the sorted hashes go out, the
 corpus counts come back in the same order.  An n-gram that repeats is counted
 in its block first, so a frequent n-gram sends one entry per block.
 
+Sorted hashes travel as differences, and numbers as byte planes under zstd: a
+plane of high bytes is nearly constant, so a hash takes five bytes instead of
+eight and a count a fraction of one.
+
 An n-gram is its hash, cut to 48 bits beyond the partition number; as the
 partitions grow with the corpus, so does the hash.
 
@@ -66,6 +70,17 @@ def ngrams(texts: list[str | None], order: int, slab: int = 1 << 20) -> tuple[li
     return out, doc
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers, all first bytes, all second bytes, ..., compressed."""
+    wide = np.ascontiguousarray(numbers, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return pa.compress(np.ascontiguousarray(wide.T), codec="zstd", asbytes=True)
+
+
+def unsqueezed(packed: bytes, n: int) -> np.ndarray:
+    wide = np.frombuffer(pa.decompress(packed, decompressed_size=8 * n, codec="zstd"), dtype=np.uint8).reshape(8, n)
+    return np.ascontiguousarray(wide.T).view("<u8").ravel()
+
+
 def distinct_keys(grams: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys of a block, how often each occurs there, and for
     each entry of the joined ``grams`` the place of its key."""
@@ -100,26 +115,26 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
         _, _, keys, _, counts = keyed(table)
         parts, first = partitions_of(keys)
         ends = np.r_[first[1:], len(keys)]
-        low = keys.view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8]
+        low = keys & np.uint64((1 << LOW_BITS) - 1)
         return pa.table(
             {
                 "block": pa.array(np.full(len(parts), table.column("block")[0].as_py()), pa.int64()),
                 "part": pa.array(parts, pa.int64()),
-                "keys": pa.array([low[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-                "counts": pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(first, ends)], pa.binary()),
+                "n": pa.array(ends - first, pa.int64()),
+                "keys": pa.array([squeezed(np.diff(low[a:b], prepend=np.uint64(0))) for a, b in zip(first, ends)], pa.binary()),
+                "counts": pa.array([squeezed(counts[a:b]) for a, b in zip(first, ends)], pa.binary()),
             }
         )
 
     def count(table: pa.Table) -> pa.Table:
-        blobs = table.column("keys").to_pylist()
-        sizes = [len(b) // (LOW_BITS // 8) for b in blobs]
-        wide = np.zeros((sum(sizes), 8), dtype=np.uint8)
-        wide[:, : LOW_BITS // 8] = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, LOW_BITS // 8)
-        _, place = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
-        own = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
-        total = np.bincount(place, own).astype("<u8")[place]
+        sizes = table.column("n").to_pylist()
+        keys, own = (np.concatenate([unsqueezed(b, n) for b, n in zip(table.column(c).to_pylist(), sizes)]) for c in ("keys", "counts"))
         cuts = np.cumsum([0, *sizes])
-        return pa.table({"block": table.column("block"), "part": table.column("part"), "totals": pa.array([total[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            np.cumsum(keys[a:b], out=keys[a:b])
+        _, place = np.unique(keys, return_inverse=True)
+        total = np.bincount(place, own).astype("<u8")[place]
+        return pa.table({"block": table.column("block"), "part": table.column("part"), "n": table.column("n"), "totals": pa.array([squeezed(total[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -127,8 +142,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
         if not table.num_rows:
             return pa.table({n: pa.array([], t) for n, t in (("doc_id", table.schema.field("doc_id").type), ("n_words", pa.int64()), ("score", pa.float64()))})
         grams, doc, keys, place, _ = keyed(table)
-        rows = sorted(zip(counted.column("part").to_pylist(), counted.column("totals").to_pylist()))
-        totals = np.frombuffer(b"".join(b for _, b in rows), dtype="<u8").astype(float)
+        rows = sorted(zip(*(counted.column(c).to_pylist() for c in ("part", "n", "totals"))))
+        totals = np.concatenate([unsqueezed(b, size) for _, size, b in rows]).astype(float)
         n = len(doc)
         found = [totals[place[i * n : (i + 1) * n]] for i in range(order)]
         words = totals[np.searchsorted(keys, np.uint64(total_key))]
@@ -147,7 +162,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
         )
 
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")).repartition("block")
-    packed = dealt.groupBy("block").applyInArrow(pack, "block long, part long, keys binary, counts binary")
-    counted = packed.groupBy("part").applyInArrow(count, "block long, part long, totals binary")
+    packed = dealt.groupBy("block").applyInArrow(pack, "block long, part long, n long, keys binary, counts binary")
+    counted = packed.groupBy("part").applyInArrow(count, "block long, part long, n long, totals binary")
     scored = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(score, f"doc_id {kind}, n_words long, score double")
     return scored.withColumn("mean_score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))
