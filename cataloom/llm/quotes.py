@@ -6,19 +6,21 @@ off, lower case, runs of white space as one space) and hashed.  Each quoted
 passage is joined to the message of its conversation where that passage first
 stood one level lower; the latest such message before the quoting one is what
 it replies to, and a message that quotes nothing known replies to the turn
-before it.  Following the replies by pointer doubling gives every message its
-thread and depth, and messages come out without quotes, numbered in reply
-order (thread by thread, by turn).
+before it.  The replies of a conversation form trees; a run of messages that
+each reply to the turn before is a chain, and a quote that reaches further back
+starts a new one.  Chains find their way to the root by pointer doubling.
+Messages come out without quotes, sorted by conversation and ``reply_order``,
+which is the order of walking the trees: a message, then the replies to it by
+turn, each with all that follows from it.
 
 Originals are reduced to the first turn of each (conversation, level, hash)
-before the join, so a passage that repeats does not multiply rows; numbering
-uses blocks, so a large conversation does not meet in one task.  DataFrame
-functions only.
+before the join, so a passage that repeats does not multiply rows; chains are
+cut in blocks of turns and the sort is by range, so a large conversation does
+not meet in one task.  DataFrame functions only.
 
 Cases: a null or empty text has no passage and an empty reply; a null role is
 kept; rows without conv_id or turn are left out, they have no place; rows
-that repeat (conv_id, turn) share its links and are numbered one after the
-other; a quote of an unknown passage links nowhere; an empty table gives no
+that repeat (conv_id, turn) share its links and order; a quote of an unknown passage links nowhere; an empty table gives no
 rows; extra columns are not read.
 """
 
@@ -29,12 +31,14 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
+#: Turns whose chain starts are found together.
+BLOCK_TURNS = 1024
 LINE_END = "\\r\\n|\\r|\\n"
 MARKS = "^[ \\t]*(?:>[ \\t]?)*"
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """(rid, conv_id, turn, role, body, passages): body is the message without
+    """(conv_id, turn, role, body, passages): body is the message without
     its quoted lines, passages are (level, hash) of each run of lines."""
     lines = F.split(F.coalesce("text", F.lit("")), LINE_END)
     lined = messages.withColumn(
@@ -74,56 +78,57 @@ def passages(messages: DataFrame) -> DataFrame:
 
     made = F.transform(F.when(quoted, runs).otherwise(single), hashed)
     body = F.when(quoted, plain).otherwise(F.trim(F.coalesce("text", F.lit(""))))
-    return lined.select("rid", "conv_id", "turn", "role", body.alias("body"), F.filter(made, lambda p: p["hash"].isNotNull()).alias("passages"))
+    return lined.select("conv_id", "turn", "role", body.alias("body"), F.filter(made, lambda p: p["hash"].isNotNull()).alias("passages"))
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text (without quotes), n_quotes, n_linked,
-    reply_to, thread, depth, position (gapless in the conversation)."""
+    reply_to, thread (first turn of the chain), depth, reply_order."""
     rows = messages.where("conv_id is not null and turn is not null")
-    rows = rows.select(F.monotonically_increasing_id().alias("rid"), "conv_id", "turn", "role", "text")
+    rows = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     cut = checkpoint(passages(rows))
     each = cut.select("conv_id", "turn", F.explode("passages").alias("p")).select("conv_id", "turn", "p.level", "p.hash")
-    firsts = each.groupBy("conv_id", F.col("level"), "hash").agg(F.min("turn").alias("origin"))
     quotes = each.where("level > 0").withColumn("level", F.col("level") - 1).groupBy("conv_id", "turn", "level", "hash").agg(F.count("*").alias("times"))
+    firsts = each.groupBy("conv_id", "level", "hash").agg(F.min("turn").alias("origin"))
     linked = quotes.join(firsts, ["conv_id", "level", "hash"], "left").withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
     linked = linked.groupBy("conv_id", "turn").agg(F.max("origin").alias("quoted"), F.sum("times").alias("n_quotes"), F.sum(F.when(F.col("origin").isNotNull(), F.col("times"))).alias("n_linked"))
 
-    turns = cut.groupBy("conv_id", "turn").agg(F.count("*").alias("n_rows"))
-    # a message that quotes goes under its origin; others continue the turn before, which turns - 1 names
-    nodes = turns.join(linked, ["conv_id", "turn"], "left")
-    have = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("previous"))
-    nodes = nodes.join(have, ["conv_id", "turn"], "left").withColumn("reply_to", F.coalesce("quoted", "previous"))
-    nodes = checkpoint(nodes.select("conv_id", "turn", "n_rows", "quoted", "n_quotes", "n_linked", "reply_to"))
-
-    # threads: a new one starts where a quote reaches back past the turn before
-    starts = (F.col("quoted").isNotNull() & (F.col("quoted") < F.col("turn") - 1)) | F.col("reply_to").isNull()
-    jump = checkpoint(nodes.select("conv_id", "turn", F.when(starts, F.col("turn")).otherwise(F.col("reply_to")).alias("to"), F.when(starts, 0).otherwise(1).alias("steps")))
+    turns = cut.select("conv_id", "turn").distinct()
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("previous"))
+    nodes = turns.join(linked, ["conv_id", "turn"], "left").join(before, ["conv_id", "turn"], "left")
+    nodes = nodes.withColumn("reply_to", F.coalesce("quoted", "previous"))
+    starts = F.col("reply_to").isNull() | (F.col("reply_to") < F.col("turn") - 1)
+    nodes = checkpoint(nodes.withColumns({"start": F.when(starts, F.col("turn")), "block": F.floor(F.col("turn") / BLOCK_TURNS)}).drop("previous", "quoted"))
+
+    # the chain of a message: the last start up to its turn, in its block or an earlier one
+    upto = Window.partitionBy("conv_id", "block").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = nodes.groupBy("conv_id", "block").agg(F.max("start").alias("last")).select("conv_id", "block", F.max("last").over(earlier).alias("carried"))
+    placed = nodes.withColumn("own", F.max("start").over(upto)).join(carried, ["conv_id", "block"])
+    placed = checkpoint(placed.withColumn("thread", F.coalesce("own", "carried")).drop("own", "carried", "block"))
+
+    # a chain that branches off: after all later messages of its origin's chain, the nearest origin first
+    origin = placed.select("conv_id", F.col("turn").alias("reply_to"), F.col("thread").alias("up"))
+    chains = placed.where("start is not null and reply_to is not null").select("conv_id", "start", "reply_to").join(origin, ["conv_id", "reply_to"])
+    step = F.array(F.array(F.lit(1).cast("long"), -F.col("reply_to"), F.col("start")))
+    chains = checkpoint(chains.select("conv_id", "start", "up", step.alias("path"), (F.col("reply_to") - F.col("up") + 1).alias("base")))
     while True:
-        ahead = jump.select("conv_id", F.col("turn").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"))
-        moved = jump.join(ahead, ["conv_id", "to"]).select("conv_id", "turn", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("next") != F.col("to")).alias("moved"))
-        moved = checkpoint(moved)
-        jump = moved.drop("moved")
-        if not moved.where("moved").take(1):
+        above = chains.select("conv_id", F.col("start").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"), F.col("base").alias("more"))
+        joined = checkpoint(chains.join(above, ["conv_id", "up"], "left"))
+        chains = joined.select(
+            "conv_id", "start", F.coalesce("next", "up").alias("up"), F.when(F.col("next").isNotNull(), F.concat("head", "path")).otherwise(F.col("path")).alias("path"), (F.col("base") + F.coalesce("more", F.lit(0))).alias("base")
+        )
+        if not joined.where("next is not null").take(1):
             break
-    placed = nodes.join(jump.select("conv_id", "turn", F.col("to").alias("thread"), F.col("steps").alias("depth")), ["conv_id", "turn"])
-
-    # position: rows before it by (thread, turn), summed over blocks of 1,024 threads and 1,024 turns
-    blocked = checkpoint(placed.withColumns({"b1": F.floor(F.col("thread") / 1024), "b2": F.floor(F.col("turn") / 1024)}))
-    keys = ["conv_id", "b1", "thread", "b2"]
-    inside = Window.partitionBy(*keys).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    by_thread = blocked.groupBy("conv_id", "b1", "thread").agg(F.sum("n_rows").alias("n"))
-    by_block = by_thread.groupBy("conv_id", "b1").agg(F.sum("n").alias("n"))
-    run = lambda part, order: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    by_block = by_block.select("conv_id", "b1", F.coalesce(F.sum("n").over(run(["conv_id"], "b1")), F.lit(0)).alias("s1"))
-    by_thread = by_thread.select("conv_id", "b1", "thread", F.coalesce(F.sum("n").over(run(["conv_id", "b1"], "thread")), F.lit(0)).alias("s2"))
-    by_turns = blocked.groupBy(*keys).agg(F.sum("n_rows").alias("n"))
-    by_turns = by_turns.select(*keys, F.coalesce(F.sum("n").over(run(["conv_id", "b1", "thread"], "b2")), F.lit(0)).alias("s3"))
-    placed = blocked.withColumn("s4", F.coalesce(F.sum("n_rows").over(inside), F.lit(0)))
-    placed = placed.join(by_block, ["conv_id", "b1"]).join(by_thread, ["conv_id", "b1", "thread"]).join(by_turns, keys)
-    placed = placed.withColumn("base", F.expr("s1 + s2 + s3 + s4")).select("conv_id", "turn", "n_quotes", "n_linked", "reply_to", "thread", "depth", "base")
-
-    same = Window.partitionBy("conv_id", "turn").orderBy("rid")
-    out = cut.select("rid", "conv_id", "turn", "role", "body").withColumn("nth", F.row_number().over(same) - 1).join(placed, ["conv_id", "turn"])
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("conv_id", "turn", "role", F.col("body").alias("text"), zero("n_quotes"), zero("n_linked"), "reply_to", "thread", F.col("depth").cast("long").alias("depth"), (F.col("base") + F.col("nth")).cast("long").alias("position"))
+
+    chains = chains.select("conv_id", F.col("start").alias("thread"), "up", "path", "base")
+    placed = placed.drop("start").join(chains, ["conv_id", "thread"], "left")
+    root, none = F.coalesce("up", "thread"), F.array().cast("array<array<bigint>>")
+    zero = F.lit(0).cast("long")
+    order = F.concat(F.array(F.array(zero, root, zero)), F.coalesce("path", none), F.array(F.array(zero, F.col("turn"), zero)))
+    depth = F.col("turn") - F.col("thread") + F.coalesce("base", F.lit(0))
+    placed = placed.withColumns({"reply_order": order, "depth": depth}).drop("up", "path", "base")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    out = cut.select("conv_id", "turn", "role", F.col("body").alias("text")).join(placed, ["conv_id", "turn"])
+    out = out.select("conv_id", "turn", "role", "text", count("n_quotes"), count("n_linked"), "reply_to", "thread", "depth", "reply_order")
+    return out.orderBy("conv_id", "reply_order")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from cataloom.llm import quotes
@@ -15,6 +17,19 @@ def linked(df):
     return {(r["conv_id"], r["turn"]): r for r in quotes.link_quotes(df).collect()}
 
 
+def walk(rows):
+    """Turns of one conversation in tree order, replies by turn."""
+    below = {}
+    for r in rows:
+        below.setdefault(r["reply_to"], []).append(r["turn"])
+    out, stack = [], sorted(set(below.get(None, [])), reverse=True)
+    while stack:
+        t = stack.pop()
+        out.append(t)
+        stack += sorted(set(below.get(t, [])), reverse=True)
+    return out
+
+
 def test_nested_quotes(chat):
     got = linked(chat([
         (1, 0, "user", "How do I sort?"),
@@ -22,13 +37,14 @@ def test_nested_quotes(chat):
         (1, 2, "user", "> How do  I SORT?\nI meant in place."),
         (1, 3, "assistant", "> > How do I sort?\n> I meant in place.\nThen list.sort()."),
         (1, 4, "user", "> nobody said this\nok"),
+        (1, 5, "user", "> Use sorted().\n> \n> It copies.\nthanks"),
         (2, 0, "user", "> How do I sort?"),
     ]))
-    assert [got[1, t]["reply_to"] for t in range(5)] == [None, 0, 0, 2, 3]
-    assert [got[1, t]["thread"] for t in range(5)] == [0, 0, 2, 2, 2]
-    assert [got[1, t]["depth"] for t in range(5)] == [0, 1, 0, 1, 2]
-    assert [got[1, t]["position"] for t in range(5)] == [0, 1, 2, 3, 4]
-    assert got[1, 3]["text"] == "Then list.sort()." and (got[1, 3]["n_quotes"], got[1, 3]["n_linked"]) == (2, 1 + 1)
+    assert [got[1, t]["reply_to"] for t in range(6)] == [None, 0, 0, 2, 3, 1]
+    assert [got[1, t]["thread"] for t in range(6)] == [0, 0, 2, 2, 2, 5]
+    assert [got[1, t]["depth"] for t in range(6)] == [0, 1, 1, 2, 3, 2]
+    assert sorted(range(6), key=lambda t: got[1, t]["reply_order"]) == [0, 1, 5, 2, 3, 4] == walk([got[1, t] for t in range(6)])
+    assert got[1, 3]["text"] == "Then list.sort()." and (got[1, 3]["n_quotes"], got[1, 3]["n_linked"]) == (2, 2)
     assert (got[1, 4]["n_quotes"], got[1, 4]["n_linked"]) == (1, 0)
     assert got[2, 0]["reply_to"] is None and got[2, 0]["text"] == ""
 
@@ -36,28 +52,35 @@ def test_nested_quotes(chat):
 def test_query_table(spark, sf):
     rows = op7_quotations(spark, sf).collect()
     given = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()}
-    assert len(rows) == len(given)
-    by_conv = {}
+    assert [(r["conv_id"], r["turn"]) for r in rows] == sorted(given)  # no quotes: conversations in turn order
     for r in rows:
-        assert r["text"] == given[r["conv_id"], r["turn"]].strip() and r["n_quotes"] == 0
-        by_conv.setdefault(r["conv_id"], []).append((r["position"], r["turn"]))
-    for places in by_conv.values():
-        assert [p for p, _ in sorted(places)] == list(range(len(places)))
-        assert [t for _, t in sorted(places)] == sorted(t for _, t in places)
+        assert r["text"] == given[r["conv_id"], r["turn"]].strip() and r["n_quotes"] == 0 and r["depth"] == r["turn"]
 
 
 def test_edge_cases(chat):
     rows = [(1, 0, None, None), (1, 0, None, None), (1, 1, "user", ""), (None, 0, "user", "x"), (1, None, "user", "x"), (1, 5, "user", ">>> \n>\n\n> x"), (1, 3000, "a", "hi"), (1, 3001, "b", "> hi"), (3, 7, "a", "z" * 50_000)]
     out = quotes.link_quotes(chat(rows)).collect()
-    assert len(out) == 7
-    one = sorted((r["position"], r["turn"]) for r in out if r["conv_id"] == 1)
-    assert [p for p, _ in one] == list(range(6)) and [t for _, t in one] == [0, 0, 1, 5, 3000, 3001]
+    assert [(r["conv_id"], r["turn"]) for r in out] == [(1, 0), (1, 0), (1, 1), (1, 5), (1, 3000), (1, 3001), (3, 7)]
     assert [r["reply_to"] for r in out if r["turn"] == 3001] == [3000]
     assert quotes.link_quotes(chat([])).collect() == []
 
 
-def test_long_chain(chat):
-    rows = [(1, t, "user", f"m{t}" if t % 50 else f"> m{max(0, t - 30)}\nback to it {t}") for t in range(400)]
-    got = linked(chat(rows))
-    assert got[1, 99]["thread"] == 50 and got[1, 99]["depth"] == 49 and got[1, 50]["reply_to"] == 20
-    assert sorted(r["position"] for r in got.values()) == list(range(400))
+def test_random_replies_against_a_tree_walk(chat):
+    rng = random.Random(8)
+    rows = []
+    for c in range(6):
+        for t in range(3000 if c == 0 else 60):
+            back = rng.choice([None, None, rng.randrange(t), max(0, t - 2)]) if t else None
+            rows.append((c, t, "user", (f"> message {c} {back}\n" if back is not None else "") + f"message {c} {t}"))
+    out = quotes.link_quotes(chat(rows)).collect()
+    texts = {(c, t): x for c, t, _, x in rows}
+    for c in range(6):
+        own = [r for r in out if r["conv_id"] == c]
+        depth = {}
+        for r in sorted(own, key=lambda r: r["turn"]):
+            first = texts[c, r["turn"]].split("\n")[0]
+            want = int(first.split()[-1]) if first.startswith(">") else (r["turn"] - 1 if r["turn"] else None)
+            assert r["reply_to"] == want
+            depth[r["turn"]] = 0 if want is None else depth[want] + 1
+            assert r["depth"] == depth[r["turn"]]
+        assert [r["turn"] for r in own] == walk(own)
