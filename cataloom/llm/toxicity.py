@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, slabs, word_spans
 
 #: Bound on the labelled documents that training reads, and model sizes.
-SAMPLE, TABLE_BITS, CHAIN, AFFIXES, ROUNDS = 5000, 20, 64, (3, 4, 5, 6), 30
+SAMPLE, TABLE_BITS, CHAIN, AFFIXES, ROUNDS = 4000, 20, 64, (3, 4, 5, 6), 30
 THRESHOLD = 0.3
 
 
@@ -56,6 +56,7 @@ class Words:
     doc: np.ndarray
     kind: np.ndarray
     chain: np.ndarray
+    hashes: np.ndarray
     features: np.ndarray
 
 
@@ -65,9 +66,9 @@ def slab_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     start, end = word_spans(data, inside, offsets)
     if not len(start):
         none = np.zeros(0, dtype=np.int64)
-        return Words(none, none, none, none, np.zeros(0, dtype=bool), np.zeros((0, 1 + 2 * len(AFFIXES)), dtype=np.int64))
+        return Words(none, none, none, none, np.zeros(0, dtype=bool), np.zeros(0, dtype=np.uint64), np.zeros((0, 1 + 2 * len(AFFIXES)), dtype=np.int64))
     hashes = Rolling(data)
-    _, some, kind = np.unique(hashes.spans(start, end), return_index=True, return_inverse=True)
+    whole, some, kind = np.unique(hashes.spans(start, end), return_index=True, return_inverse=True)
     a, b = start[some], end[some]
     spans = [(a, b, 0)]
     for k in AFFIXES:
@@ -81,7 +82,24 @@ def slab_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     new = np.r_[True, (doc[1:] != doc[:-1]) | (sentence[1:] != sentence[:-1])]
     first = np.flatnonzero(new)
     at = np.arange(len(start)) - np.repeat(first, np.diff(np.r_[first, len(start)]))
-    return Words(start, end, doc, kind, at % CHAIN == 0, features)
+    return Words(start, end, doc, kind, at % CHAIN == 0, whole, features)
+
+
+def words_of(texts: list[str | None]) -> Words:
+    """The words of many texts, a slab at a time, without their byte spans."""
+    parts, first = [], 0
+    for _, part, data, offsets in slabs([pa.record_batch([pa.array(texts, type=pa.string())], names=["text"])]):
+        words = slab_words(data, offsets)
+        words.start = words.end = words.start[:0]
+        words.doc = (words.doc + first).astype(np.int32)
+        words.kind, words.features = words.kind.astype(np.int32), words.features.astype(np.int32)
+        parts.append(words)
+        first += len(part)
+    hashes, some, place = np.unique(np.concatenate([w.hashes for w in parts]), return_index=True, return_inverse=True)
+    base = np.cumsum([0, *(len(w.hashes) for w in parts)])
+    kind = np.concatenate([place[w.kind + b].astype(np.int32) for w, b in zip(parts, base)])
+    start, end, doc, chain, features = (np.concatenate([getattr(w, n) for w in parts]) for n in ("start", "end", "doc", "chain", "features"))
+    return Words(start, end, doc, kind, chain, hashes, features[some])
 
 
 @dataclass
@@ -96,12 +114,21 @@ class Field:
     def emission(self, words: Words) -> np.ndarray:
         return self.weights[words.features].sum(axis=1)[words.kind] + self.bias
 
-    def marginals(self, emission: np.ndarray, chain: np.ndarray, pairs: bool = False):
-        """P(label 1) per word by forward-backward, all chains in step; with
-        ``pairs`` also the summed expectation of each label change."""
+    def marginals(self, emission: np.ndarray, chain: np.ndarray, pairs: bool = False, step: int = 1 << 17):
+        """P(label 1) per word; with ``pairs`` also the summed expectation of
+        each label change.  Takes whole chains of about ``step`` words at once."""
+        first = np.flatnonzero(chain)
+        at = np.unique(np.searchsorted(first, np.arange(0, len(emission), step)))
+        cuts = np.r_[first[at[at < len(first)]], len(emission)]
+        marginal, moves = np.zeros(len(emission)), np.zeros((2, 2))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            marginal[a:b], part = self._marginals(emission[a:b], chain[a:b], pairs)
+            moves += part
+        return (marginal, moves) if pairs else marginal
+
+    def _marginals(self, emission: np.ndarray, chain: np.ndarray, pairs: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Forward-backward, all chains in step."""
         n = len(emission)
-        if not n:
-            return (np.zeros(0), np.zeros((2, 2))) if pairs else np.zeros(0)
         first = np.flatnonzero(chain)
         size = np.diff(np.r_[first, n])
         by = np.argsort(-size, kind="stable")
@@ -127,7 +154,7 @@ class Field:
             backward[at - 1] = odds[:m]
         marginal = 1 / (1 + np.exp(-np.clip(forward + backward, -50, 50)))
         if not pairs:
-            return marginal
+            return marginal, np.zeros((2, 2))
         later = np.flatnonzero(~chain)
         a = 1 / (1 + np.exp(-np.clip(forward[later - 1], -50, 50)))
         b = 1 / (1 + np.exp(-np.clip(backward[later] + emission[later], -50, 50)))
@@ -153,15 +180,18 @@ def label_words(words: Words, toxic: np.ndarray, least_gain: int = 3, clean_cost
     share ``common`` of the toxic documents are picked from the start, so that
     words which stand together are all found."""
     docs, size = len(toxic), 1 << TABLE_BITS
-    pair, times = np.unique(words.kind * docs + words.doc, return_counts=True)
-    features = words.features[pair // docs]
-    pair, place = np.unique((features * docs + (pair % docs)[:, None]).ravel(), return_inverse=True)
-    times = np.bincount(place.ravel(), np.repeat(times, features.shape[1]))
-    covers = []
-    for least in repeats:
-        feature, doc = (x[times >= least] for x in (pair // docs, pair % docs))
-        bad = toxic[doc] == 1
-        covers.append((feature[bad], doc[bad], clean_cost * np.bincount(feature[~bad], minlength=size)))
+    pair, times = np.unique(words.kind.astype(np.int64) * docs + words.doc, return_counts=True)
+    covers: list[list] = [[[], [], np.zeros(size)] for _ in repeats]
+    for column in words.features.T:  # a feature belongs to one place of the word
+        own, place = np.unique(column[pair // docs].astype(np.int64) * docs + pair % docs, return_inverse=True)
+        held = np.bincount(place, times)
+        for cover, least in zip(covers, repeats):
+            feature, doc = own[held >= least] // docs, own[held >= least] % docs
+            bad = toxic[doc] == 1
+            cover[0].append(feature[bad])
+            cover[1].append(doc[bad])
+            cover[2] += clean_cost * np.bincount(feature[~bad], minlength=size)
+    covers = [[np.concatenate(f), np.concatenate(d), cost] for f, d, cost in covers]
     is_open = toxic == 1
     enough = max(least_gain, common * is_open.sum())
     picked = []
@@ -187,9 +217,7 @@ def train(texts: list[str | None], toxic: np.ndarray) -> Field:
     if share in (0.0, 1.0):
         model.scale = np.array([60.0 * (2 * share - 1), 0.0, 0.0])
         return model
-    raw = [(t or "").encode() for t in texts]
-    data, offsets = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)])
-    words = slab_words(data, offsets)
+    words = words_of(texts)
     goal = label_words(words, toxic).astype(float)
     later = np.flatnonzero(~words.chain)
     seen = np.bincount((2 * goal[later - 1] + goal[later]).astype(int), minlength=4).reshape(2, 2)
@@ -229,7 +257,9 @@ def held_out():
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     rows = training_rows(docs, labels, sample).toArrow()
-    return train(rows.column(0).to_pylist(), np.array(rows.column(1).to_pylist(), dtype=float))
+    texts, toxic = rows.column(0).to_pylist(), np.array(rows.column(1).to_pylist(), dtype=float)
+    del rows
+    return train(texts, toxic)
 
 
 def score_documents(docs: DataFrame, model: Field, spans: bool = False) -> DataFrame:
