@@ -256,10 +256,23 @@ def held_out():
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    rows = training_rows(docs, labels, sample).toArrow()
-    texts, toxic = rows.column(0).to_pylist(), np.array(rows.column(1).to_pylist(), dtype=float)
-    del rows
-    return train(texts, toxic)
+    """Train on the bounded sample, in one task; the model comes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic += batch.column(1).to_pylist()
+        model = train(texts, np.array(toxic, dtype=float))
+        parts = [model.weights.astype("<f4"), np.array([model.bias]), model.moves, model.scale]
+        yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()]) for p in parts], names=["weights", "bias", "moves", "scale"])
+
+    rows = training_rows(docs, labels, sample).coalesce(1).mapInArrow(run, "weights binary, bias binary, moves binary, scale binary").collect()
+    if not rows:  # no partition, so no training document
+        return train([], np.zeros(0))
+    weights, bias, moves, scale = rows[0]
+    numbers = lambda b: np.frombuffer(b, dtype=float)
+    return Field(np.frombuffer(weights, dtype="<f4"), float(numbers(bias)[0]), numbers(moves).reshape(2, 2), numbers(scale))
 
 
 def score_documents(docs: DataFrame, model: Field, spans: bool = False) -> DataFrame:
