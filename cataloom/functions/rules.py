@@ -121,10 +121,17 @@ def first_fill_at_mail_flag(plan_mail_ind, delivery, member_mail_count) -> Colum
 
 
 def recent_fill(fill_date, as_of, days: int = 180) -> Column:
-    """Filled fewer than ``days`` days before ``as_of`` (future dates pass)."""
-    return F.datediff(as_date(as_of), F.to_date(_c(fill_date))) < days
+    """Filled fewer than ``days`` days before ``as_of`` (future dates pass).
+
+    A comparison of the column itself, for dates and timestamps, so it is
+    pushed to the scan.
+    """
+    return _c(fill_date) >= F.date_add(as_date(as_of), 1 - days)
 
 
-def nonzero_id(link_id) -> Column:
-    """Non-NULL and not zero; non-numeric text counts as NULL under ANSI."""
+def nonzero_id(link_id, text: bool = False) -> Column:
+    """Non-NULL and not zero; of a ``text`` column, non-numeric text counts as
+    NULL (a number needs no cast and is pushed to the scan)."""
+    if not text:
+        return _c(link_id).isNotNull() & (_c(link_id) != 0)
     return F.coalesce(_c(link_id).try_cast("bigint"), F.lit(0)) != 0

@@ -1,9 +1,8 @@
 """Joins: FK-discovered N-way joins, condition joins, equi/range joins.
 
-Broadcasting is never unconditional: ``bounded_broadcast`` proves a row bound
-(``limit(n + 1).count()`` reads at most n + 1 rows) before hinting, and
-otherwise leaves the side to a shuffle join, where AQE may still convert it
-at run time from measured sizes and splits skewed partitions.
+Nothing here forces a broadcast: Spark chooses one from byte statistics, AQE
+from measured sizes at run time, and skewed partitions are split
+(``forceOptimizeSkewedJoin`` also where joins on one key follow each other).
 """
 
 from __future__ import annotations
@@ -43,15 +42,6 @@ def join_type(name: str) -> str:
         raise ValueError(f"unknown join type {name!r}; use one of {sorted(JOIN_TYPES)}") from None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows."""
-    if not max_rows:
-        return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 # ---------------------------------------------------------------- J1
 @dataclass(frozen=True)
 class JoinEdge:
@@ -83,7 +73,6 @@ def auto_join(
     catalog: Catalog,
     *tables: str,
     on: Sequence[JoinEdge] | None = None,
-    broadcast_max_rows: int | None = None,
     return_edges: bool = False,
 ):
     """N-way inner join whose conditions come from the catalog's FKs.
@@ -146,8 +135,7 @@ def auto_join(
             for a, b in e.pairs:
                 term = F.col(column(a)) == F.col(column(b))
                 cond = term if cond is None else cond & term
-        right = bounded_broadcast(frames[cand], broadcast_max_rows)
-        result = result.join(right, cond, "inner")
+        result = result.join(frames[cand], cond, "inner")
         used.append((cand, links))
         joined.append(cand)
         pending.remove(cand)
@@ -197,13 +185,13 @@ SALT = "__salt"
 def salted(left: DataFrame, right: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Spread each key of ``left`` over ``buckets`` join partitions.
 
-    Left rows get a salt from a hash of the whole row -- deterministic, so a
-    recomputed partition (lost executor) sends every row to the same place
-    again -- and every right row is repeated once per salt value.  Join on
+    Left rows get a salt from their place in their input partition, so equal
+    rows spread too -- the place stays the same when a scan or a checkpoint is
+    read again (lost executor) -- and every right row is repeated once per salt value.  Join on
     the keys plus ``__salt``; a hot key is then split across ``buckets``
     tasks at the cost of ``buckets`` copies of the (smaller) right side.
     """
-    left = left.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)))
+    left = left.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
     right = right.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
     return left, right
 
@@ -214,14 +202,13 @@ def equi_join(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str = "inner",
-    broadcast_max_rows: int | None = None,
     salt_buckets: int | None = None,
 ) -> DataFrame:
     """Join on one or more column pairs (single and composite keys).
 
-    ``right`` is the side that may be broadcast (when proven small) or, with
-    ``salt_buckets``, repeated once per salt so hot keys of ``left`` spread
-    over several tasks (inner and left joins).
+    Whether a side is broadcast is left to Spark's byte statistics.  With
+    ``salt_buckets`` every ``right`` row is repeated once per salt so hot keys
+    of ``left`` spread over several tasks (inner and left joins).
     """
     if not pairs:
         raise ValueError("equi_join needs at least one column pair")
@@ -230,8 +217,6 @@ def equi_join(
         if join_type(how) not in ("inner", "left", "left_semi", "left_anti"):
             raise ValueError("salting repeats the right side; use it with inner/left/semi/anti joins")
         left, right = salted(left, right, salt_buckets)
-    else:
-        right = bounded_broadcast(right, broadcast_max_rows)
     cond = None
     for a, b in pairs:
         term = left[a] == right[b]
@@ -252,7 +237,6 @@ def join_back_aggregate(
     keys: Sequence[str],
     aggs: Sequence[Column],
     how: str = "inner",
-    broadcast_max_rows: int | None = None,
     salt_buckets: int | None = None,
     materialize_aggregate: bool = True,
 ) -> DataFrame:
@@ -263,8 +247,7 @@ def join_back_aggregate(
     group, checkpointed to shared storage), which makes the join back a
     plain shuffle join: AQE splits the partition of a key holding a third
     of all rows into many tasks (a join straight onto an aggregate is not
-    split).  Alternatives: broadcast when the aggregate is proven small, or
-    ``salt_buckets`` for an explicitly salted join.  NULL keys find no
+    split).  Alternative: ``salt_buckets`` for an explicitly salted join.  NULL keys find no
     partner, as in an equality join.
     """
     agg = df.groupBy(*keys).agg(*aggs)
@@ -274,7 +257,7 @@ def join_back_aggregate(
         agg = materialize(agg)
     renamed = agg.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                          *[c for c in agg.columns if c not in keys])
-    left, right = df, bounded_broadcast(renamed, broadcast_max_rows)
+    left, right = df, renamed
     if salt_buckets and salt_buckets > 1:
         left, right = salted(left, renamed, salt_buckets)
     cond = None
@@ -301,29 +284,50 @@ def range_join(
 ) -> DataFrame:
     """Join rows whose ``value`` lies in ``[low, high]`` without a nested loop.
 
-    Both sides get an integer bin: points by ``floor(value / w)``, ranges by
-    every bin they overlap (``explode(sequence(...))``).  The equi-join on the
-    bin is a normal shuffle/broadcast join and the BETWEEN filter keeps the
-    exact semantics.  Each matching pair meets in exactly one bin (the
-    point's), so nothing is duplicated.  ``w`` should be near the typical
-    range length so ranges overlap few bins; without one, the median range
-    length (an approximate percentile over the range side) is used.
+    Bins have widths w, 2w, 4w, ...: a range is placed at the level whose bins
+    are about its own length, so it overlaps at most three of them however
+    long it is, and a point has one bin at each level that some range uses.
+    The equi-join on (level, bin) is a normal shuffle or broadcast join and the
+    BETWEEN filter keeps the exact semantics; a pair meets in one bin only.
+    ``w`` defaults to the median range length.  Ranges with a NULL bound or
+    ``low > high`` match nothing.  ``how`` is inner, left, right, full,
+    left_semi or left_anti; unmatched rows are found by an anti join of
+    checkpointed, numbered rows, so each comes out once.
     """
-    v = F.expr(value) if isinstance(value, str) else value
-    lo = F.expr(low) if isinstance(low, str) else low
-    hi = F.expr(high) if isinstance(high, str) else high
+    from cataloom.session import materialize
+
+    kind = join_type(how)
+    if kind not in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        raise ValueError(f"range_join does not support how={how!r}")
+    as_column = lambda x: F.expr(x) if isinstance(x, str) else x
+    pts = points.withColumn("__v", as_column(value))
+    rng = ranges.withColumns({"__lo": as_column(low), "__hi": as_column(high)})
+    if kind != "inner":
+        pts = materialize(pts.withColumn("__pid", F.monotonically_increasing_id()))
+        rng = materialize(rng.withColumn("__rid", F.monotonically_increasing_id()))
+    valid = rng.where("__lo <= __hi")
+    length = (F.col("__hi") - F.col("__lo")).cast("double")
     if bin_width is None:
-        median = ranges.select(F.percentile_approx((hi - lo).cast("double"), 0.5).alias("w")).first()["w"]
+        median = valid.select(F.percentile_approx(length, 0.5).alias("w")).first()["w"]
         bin_width = float(median) if median and median > 0 else 1.0
-    pts = points.withColumn("__bin", F.floor(v / F.lit(bin_width)))
-    rng = (
-        ranges.withColumn("__lo", lo)
-        .withColumn("__hi", hi)
-        .withColumn(
-            "__bin",
-            F.explode(F.sequence(F.floor(F.col("__lo") / bin_width), F.floor(F.col("__hi") / bin_width))),
-        )
-    )
-    cond = (pts["__bin"] == rng["__bin"]) & v.between(rng["__lo"], rng["__hi"])
-    out = pts.join(rng, cond, join_type(how))
-    return out.drop(pts["__bin"]).drop(rng["__bin"]).drop("__lo", "__hi")
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length / bin_width, F.lit(1.0))))).cast("int")
+    valid = valid.withColumn("__level", level)
+    levels = sorted(r[0] for r in valid.select("__level").distinct().collect())  # at most one per power of two
+    bin_of = lambda c: F.floor(F.col(c) / (F.lit(bin_width) * F.pow(F.lit(2.0), F.col("__level"))))
+    valid = valid.withColumn("__bin", F.explode(F.sequence(bin_of("__lo"), bin_of("__hi"))))
+    placed = pts.withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn("__bin", bin_of("__v"))
+    pairs = placed.join(valid, ["__level", "__bin"]).where("__v between __lo and __hi")
+    own, other = list(points.columns), list(ranges.columns)
+    if kind == "inner":
+        return pairs.select(*[placed[c] for c in own], *[valid[c] for c in other])
+    seen_points = pairs.select("__pid").distinct()
+    if kind in ("left_semi", "left_anti"):
+        return pts.join(seen_points, "__pid", kind).select(*own)
+    out = pairs.select(*[placed[c] for c in own], *[valid[c] for c in other])
+    if kind in ("left", "full"):
+        alone = pts.join(seen_points, "__pid", "left_anti")
+        out = out.union(alone.select(*own, *[F.lit(None).cast(f.dataType) for f in ranges.schema.fields]))
+    if kind in ("right", "full"):
+        alone = rng.join(pairs.select("__rid").distinct(), "__rid", "left_anti")
+        out = out.union(alone.select(*[F.lit(None).cast(f.dataType) for f in points.schema.fields], *other))
+    return out

@@ -22,19 +22,6 @@ from pyspark.sql import functions as F
 FEATURES = "features"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an iterative job at least one partition per core.
-
-    Inputs with fewer partitions than the default parallelism (a small
-    file, a single row group) are repartitioned once; large inputs are left
-    as they are, so on a cluster this is normally a no-op.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def kmeans(
     df: DataFrame,
     feature_cols: Sequence[str] | str,
@@ -42,21 +29,26 @@ def kmeans(
     max_iter: int,
     seed: int = 1,
     id_cols: Sequence[str] = (),
+    partitions: int | None = None,
 ):
     """k-means on numeric columns, or on one array column (L1-L3).
 
     Returns ``(model, assignments)``; assignments keep ``id_cols`` and add
     ``cluster`` (L4).  Rows with a NULL feature are skipped, as the
-    reference's numeric matrices had none.
+    reference's numeric matrices had none.  Seeding draws per partition:
+    ``partitions`` deals the rows by ``id_cols`` into that many, so that a run
+    does not depend on the machine or on the files; None keeps the input's.
     """
     if isinstance(feature_cols, str):
         data = df.filter(F.col(feature_cols).isNotNull()).withColumn(FEATURES, array_to_vector(feature_cols))
     else:
         cols = list(feature_cols)
         data = VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="skip").transform(df)
+    if partitions:
+        data = data.repartition(partitions, *id_cols) if id_cols else data.repartition(partitions)
     # KMeans persists its own instance RDD while iterating when the input is
     # not cached; caching the vector column here measured twice as slow
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(spread(data))
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(data)
     assigned = model.transform(data).select(*id_cols, F.col("cluster").cast("int").alias("cluster"))
     return model, assigned
 

@@ -11,25 +11,27 @@ from pyspark.sql import types as T
 
 from cataloom.operators.tracked import unwrap
 
-ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-
-def row_fingerprint(columns: Sequence[str]):
-    """SHA-256 of a row's JSON form (NULL fields omitted, names included).
-
-    Two rows get the same fingerprint exactly when they are equal (up to
-    SHA-256 collisions), with NULLs equal to each other as in GROUP BY.
-    """
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256)
+def group_key(field: T.StructField):
+    """A column to group by that is equal exactly when the value is: long
+    values travel as digest and length, maps as sorted entries."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.struct(F.sha2(value.cast("binary"), 256), F.octet_length(value))
+    if isinstance(field.dataType, T.MapType):
+        return F.array_sort(F.map_entries(value))
+    return value
 
 
 def duplicate_groups(x, columns: Sequence[str] | None = None, catalog=None) -> DataFrame:
-    """Distinct row values that occur more than once, with their counts."""
+    """Distinct row values that occur more than once: a key per column (text
+    and binary columns as digest and length) and ``occurrences``.  NULLs are
+    equal to each other, as in GROUP BY."""
     df, _ = unwrap(x, catalog)
-    cols = list(columns or df.columns)
+    fields = [df.schema[c] for c in (columns or df.columns)]
+    keyed = df.select(*[group_key(f).alias(f"k{i}") for i, f in enumerate(fields)])
     return (
-        df.select(row_fingerprint(cols).alias("row_fingerprint"))
-        .groupBy("row_fingerprint")
+        keyed.groupBy(*keyed.columns)
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .filter(F.col("occurrences") > 1)
     )
@@ -38,14 +40,14 @@ def duplicate_groups(x, columns: Sequence[str] | None = None, catalog=None) -> D
 def find_duplicates(x, columns: Sequence[str] | None = None, catalog=None) -> DataFrame:
     """Number of distinct row values occurring more than once.
 
-    Rows are grouped by a 32-byte fingerprint instead of their full value,
-    so the shuffle moves digests, not texts, and partial aggregation
-    collapses a hot duplicate group map-side.  One row:
-    ``duplicate_groups``, ``duplicate_rows`` (rows inside those groups).
+    Rows are grouped by their columns, long ones as digests, so the shuffle
+    does not move texts, and partial aggregation collapses a hot duplicate
+    group map-side.  One row: ``duplicate_groups``, ``duplicate_rows`` (rows
+    inside those groups); both are 0 without duplicates.
     """
     return duplicate_groups(x, columns, catalog).agg(
         F.count(F.lit(1)).alias("duplicate_groups"),
-        F.sum("occurrences").alias("duplicate_rows"),
+        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("duplicate_rows"),
     )
 
 
@@ -55,9 +57,8 @@ def row_count(x, catalog=None) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rowcount"))
 
 
-# Sample size defaults.
+# Fixed value: sample size default.
 DEFAULT_SAMPLE_ROWS = 100
-MAX_SAMPLE_ROWS = 1000
 
 
 def sample(x, percent: float | None = None, count: int | None = None, seed: int | None = None,
@@ -65,61 +66,61 @@ def sample(x, percent: float | None = None, count: int | None = None, seed: int
     """Bernoulli sample without replacement (D3).
 
     ``percent`` gives the fraction directly; otherwise ``count`` (default
-    100, at most 1000) rows are expected, i.e. fraction = count / rows.
+    100) rows are expected, i.e. fraction = count / rows.
     The fraction is clamped to 1.
     """
     df, _ = unwrap(x, catalog)
     if percent is not None:
         fraction = percent / 100.0
     else:
-        wanted = min(count if count is not None else DEFAULT_SAMPLE_ROWS, MAX_SAMPLE_ROWS)
+        wanted = count if count is not None else DEFAULT_SAMPLE_ROWS
         total = df.count()
         fraction = wanted / total if total else 1.0
     return df.sample(withReplacement=False, fraction=min(max(fraction, 0.0), 1.0), seed=seed)
 
 
-def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05, catalog=None) -> DataFrame:
-    """One row per atomic column: non-NULL count, levels, ratio, flag.
+def categorical_columns(x, max_levels: int = 20, rsd: float = 0.05, exact: Sequence[str] | None = None,
+                        catalog=None) -> DataFrame:
+    """One row per column, of any type: non-NULL count, levels, flag.
 
-    ``distinct_levels`` is the exact number of non-NULL levels for
-    categorical columns (at most ``max_levels``) and NULL otherwise;
-    ``distinct_ratio`` is levels / non-NULL values for those columns.
-    One pass computes every column's non-NULL count and a HyperLogLog++
-    sketch (one row to the driver); the sketch screens out high-cardinality
-    columns, and only the remaining candidates are counted exactly, in one
-    grouped pass whose partial aggregation leaves at most
-    (candidates x levels) rows per task.
+    ``approx_levels`` is a HyperLogLog++ estimate for every column, from one
+    pass.  ``distinct_levels`` counts exactly the columns that the caller names
+    in ``exact`` (all by default; name the few of interest on a large table):
+    values meet by digest, one row per task and level.  ``is_categorical``
+    (at most ``max_levels`` levels) and ``distinct_ratio`` use the exact count
+    and are NULL where none was asked for.
     """
     df, _ = unwrap(x, catalog)
     spark = df.sparkSession
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
+    fields = df.schema.fields
+    plain = [F.array_sort(F.map_entries(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in fields]
     first = df.agg(
-        *[F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"c{i}") for i, c in enumerate(cols)],
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.approx_count_distinct(c, rsd).alias(f"c{i}") for i, c in enumerate(plain)],
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(plain)],
     ).first()
-    screen = 2 * max_levels + 16  # far above any HLL estimate of a max_levels column
-    candidates = [c for i, c in enumerate(cols) if first[f"c{i}"] <= screen]
     names = spark.createDataFrame(
-        [(c, int(first[f"n{i}"])) for i, c in enumerate(cols)], "column_name string, non_null bigint"
+        [(f.name, int(first[f"n{i}"]), int(first[f"c{i}"])) for i, f in enumerate(fields)],
+        "column_name string, non_null bigint, approx_levels bigint",
     )
-    if candidates:
-        pairs = df.select(
-            F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-                for c in candidates
-            ])).alias("p")
-        ).select("p.*").filter(F.col("value").isNotNull())
-        exact = pairs.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("levels"))
-        names = names.join(exact, "column_name", "left")
+    wanted = [f.name for f in fields if exact is None or f.name in exact]
+    pairs = [
+        F.struct(F.lit(f.name).alias("column_name"), F.sha2((c if isinstance(f.dataType, T.BinaryType) else c.cast("string")).cast("binary"), 256).alias("value"))
+        for f, c in zip(fields, plain) if f.name in wanted
+    ]
+    if pairs:
+        values = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(F.col("value").isNotNull())
+        counted = values.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("levels"))
+        names = names.join(counted, "column_name", "left")
+        names = names.withColumn("levels", F.when(F.col("column_name").isin(wanted), F.coalesce("levels", F.lit(0))))
     else:
         names = names.withColumn("levels", F.lit(None).cast("bigint"))
-    categorical = F.coalesce(F.col("levels") <= max_levels, F.lit(False))
     return names.select(
         "column_name",
         "non_null",
-        F.when(categorical, F.col("levels")).alias("distinct_levels"),
-        F.when(categorical, F.col("levels") / F.col("non_null")).alias("distinct_ratio"),
-        categorical.alias("is_categorical"),
+        "approx_levels",
+        F.col("levels").alias("distinct_levels"),
+        F.when(F.col("non_null") > 0, F.col("levels") / F.col("non_null")).alias("distinct_ratio"),
+        (F.col("levels") <= max_levels).alias("is_categorical"),
     )
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cataloom.functions import rules
 from cataloom.operators.aggregate import count_if, latest_per_group
-from cataloom.operators.join import bounded_broadcast, join_back_aggregate
+from cataloom.operators.join import join_back_aggregate
 from cataloom.operators.project import check_unique, project_mapping
 from cataloom.sources.files import select_table
 
@@ -122,17 +122,16 @@ class CampaignOptions:
     as_of: dt.date
     lookback_days: int = 180
     age_method: str = "months"
-    dimension_max_rows: int | None = 1_000_000  # proven bound before a broadcast
     checkpoint_enriched: bool = True
     member_salt_buckets: int | None = None  # salt the per-member join-back (hot members)
 
 
-def _join(left: DataFrame, right: DataFrame, pairs, how: str, max_rows=None) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, pairs, how: str) -> DataFrame:
     cond = None
     for a, b in pairs:
         term = F.col(a) == F.col(b)
         cond = term if cond is None else cond & term
-    out = left.join(bounded_broadcast(right, max_rows), cond, how)
+    out = left.join(right, cond, how)
     check_unique(out.columns)
     return out
 
@@ -147,7 +146,7 @@ def claim_base(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     )
     members = select_table(
         t.members,
-        rules.nonzero_id("EPH_LINK_ID") & (F.col("REC_SRC_FLG") == "Y"),
+        rules.nonzero_id("EPH_LINK_ID", text=t.members.schema["EPH_LINK_ID"].dataType.typeName() == "string") & (F.col("REC_SRC_FLG") == "Y"),
         PREFIX["members"],
     )
     drugs = select_table(t.drugs, None, PREFIX["drugs"])
@@ -163,7 +162,6 @@ def latest_claims(base: DataFrame, method: str = "join_back") -> DataFrame:
 
 def enrich(latest: DataFrame, t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     """Coverage, client, pharmacy, plan, hierarchy and program joins."""
-    dims = opts.dimension_max_rows
     coverage = select_table(t.coverage, None, PREFIX["coverage"])
     cont = select_table(t.cont_coverage, None, PREFIX["cont_coverage"])
     hierarchy = select_table(t.hierarchy, F.col("SRC_CD") == "Q", PREFIX["hierarchy"])
@@ -188,15 +186,15 @@ def enrich(latest: DataFrame, t: CampaignTables, opts: CampaignOptions) -> DataF
         "left",
     )
     check_unique(out.columns)
-    # bounded dimensions; the two (LVL1, LVL3)-keyed ones are adjacent so
-    # that, if either exceeds the broadcast bound, they share one shuffle
+    # dimensions: Spark broadcasts the small ones by byte size; the two
+    # (LVL1, LVL3)-keyed ones are adjacent, so that otherwise they share a shuffle
     account = [("PHMCY_LVL1_ACCT_GID", "CLNT_ACCT_DENORM_LVL1_ACCT_GID"),
                ("PHMCY_LVL3_ACCT_GID", "CLNT_ACCT_DENORM_LVL3_ACCT_GID")]
     plan_keys = [("PHMCY_LVL1_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL1_ACCT_GID"),
                  ("PHMCY_LVL3_ACCT_GID", "BNFT_PLAN_RCP_OPTNS_LVL3_ACCT_GID")]
-    out = _join(out, clients, account, "inner", dims)
-    out = _join(out, plans, plan_keys, "inner", dims)
-    out = _join(out, pharmacies, [("PHMCY_PHMCY_PTY_GID", "PHMCY_DENORM_PHMCY_PTY_GID")], "inner", dims)
+    out = _join(out, clients, account, "inner")
+    out = _join(out, plans, plan_keys, "inner")
+    out = _join(out, pharmacies, [("PHMCY_PHMCY_PTY_GID", "PHMCY_DENORM_PHMCY_PTY_GID")], "inner")
     return out
 
 

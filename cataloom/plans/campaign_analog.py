@@ -4,7 +4,9 @@ The campaign's ten inputs do not exist in the test data, so each is a view
 over whole driver tables (claims = every lineitem joined to its order).  The
 SQL below is portable: Spark runs it with DataFrame parameters and the DuckDB
 oracle runs the same text as CTEs.  Arithmetic on keys only derives synthetic
-attribute values (link ids, codes, dates); no view samples its input.
+attribute values (link ids, codes, dates) and keys: every row of its input is in
+a view, and where a view is to be sparse the other rows get a key (negative)
+that finds no partner.
 """
 
 from __future__ import annotations
@@ -46,15 +48,15 @@ ANALOG_SQL = {
         "DATE'2001-06-01'+CAST(c_custkey%365 AS INT) AS CVRG_EXPRN_DT FROM {customer}"
     ),
     "V_MBR_ACCT_CONT_CVRG": (
-        "SELECT c_custkey AS MBR_ACCT_GID, DATE'2000-01-01' AS ELIG_CC_EFF_DT, "
-        "DATE'2002-01-01' AS ELIG_CC_EXPRN_DT FROM {customer} WHERE c_custkey%3=0"
+        "SELECT CASE WHEN c_custkey%3=0 THEN c_custkey ELSE -c_custkey END AS MBR_ACCT_GID, DATE'2000-01-01' AS ELIG_CC_EFF_DT, "
+        "DATE'2002-01-01' AS ELIG_CC_EXPRN_DT FROM {customer}"
     ),
     "V_CLNT_ACCT_DENORM": (
         "SELECT CAST(n_nationkey%5 AS BIGINT) AS LVL1_ACCT_GID, CAST(n_nationkey%3 AS BIGINT) AS LVL3_ACCT_GID, "
         "CAST(n_regionkey AS STRING) AS LVL0_ACCT_ID, n_name AS LVL0_ACCT_NM, DATE'1990-01-01' AS LVL0_EFF_DT, "
         "DATE'2099-12-31' AS LVL0_EXPRN_DT, CAST(n_nationkey AS STRING) AS LVL1_ACCT_ID, n_name AS LVL1_ACCT_NM, "
         "DATE'1990-01-01' AS LVL1_EFF_DT, DATE'2099-12-31' AS LVL1_EXPRN_DT, 'T1' AS NON_PBM_CLNT_TYP_CD, "
-        "'L1' AS NON_PBM_LOB_CD FROM {nation} WHERE n_nationkey<15"
+        "'L1' AS NON_PBM_LOB_CD FROM {nation}"
     ),
     "V_PHMCY_DENORM": (
         "SELECT s_suppkey AS PHMCY_PTY_GID, CASE WHEN s_nationkey%2=0 THEN 'Y' ELSE 'N' END AS CVS_MAIL_IND, "
@@ -65,18 +67,18 @@ ANALOG_SQL = {
         "CASE WHEN n_nationkey=14 THEN 'I' ELSE 'A' END AS STUS_CD, "
         "CASE WHEN n_nationkey%2=0 THEN 'Y' ELSE 'N' END AS MAIL_IND, "
         "CASE WHEN n_nationkey%3<2 THEN 'MV' ELSE 'NA' END AS MAINT_CHOICE_TYP_CD "
-        "FROM {nation} WHERE n_nationkey<15"
+        "FROM {nation}"
     ),
     "V_MBR_ACCT_HRCHY": (
-        "SELECT c_custkey AS MBR_ACCT_GID, CASE WHEN c_custkey%5<>0 THEN 'Q' ELSE 'R' END AS SRC_CD "
-        "FROM {customer} WHERE c_custkey%4<>0"
+        "SELECT CASE WHEN c_custkey%4<>0 THEN c_custkey ELSE -c_custkey END AS MBR_ACCT_GID, CASE WHEN c_custkey%5<>0 THEN 'Q' ELSE 'R' END AS SRC_CD "
+        "FROM {customer}"
     ),
     "V_MBR_PGM_RX_SCHD_HIST": (
-        "SELECT c_custkey AS SCHD_ENRL_BNFCY_ID, CAST(5383+c_custkey%3 AS INT) AS SCH_PGM_ID, "
+        "SELECT CASE WHEN c_custkey%2=0 THEN c_custkey ELSE -c_custkey END AS SCHD_ENRL_BNFCY_ID, CAST(5383+c_custkey%3 AS INT) AS SCH_PGM_ID, "
         "CASE WHEN c_custkey%5<4 THEN 'PTL' ELSE 'XXX' END AS SCHD_OPT_IN_PRCS_SRC_CD, "
         "CASE WHEN c_custkey%7=0 THEN '2001-01-01' WHEN c_custkey%7=1 THEN '' END AS SCHD_OPT_OUT_DT "
-        "FROM {customer} WHERE c_custkey%2=0 "
-        "UNION ALL SELECT c_custkey, 5384, 'CPT', NULL FROM {customer} WHERE c_custkey%14=0"
+        "FROM {customer} "
+        "UNION ALL SELECT CASE WHEN c_custkey%14=0 THEN c_custkey ELSE -c_custkey END, 5384, 'CPT', NULL FROM {customer}"
     ),
 }
 

@@ -118,23 +118,22 @@ def auto_join_labels(spark, d):
 
 
 # ====================================================================== J2 / J3 / J6
-JOIN_ORDERS_FILTER = "o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"
-JOIN_CUSTOMER_FILTER = "c_mktsegment = 'BUILDING'"
+# the predicates are part of the condition: both tables flow whole, and rows of
+# either side that meet no partner are there for the outer joins
+JOIN_CONDITION = (
+    "o_custkey = c_custkey AND c_mktsegment = 'BUILDING' "
+    "AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"
+)
 JOIN_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "c_custkey", "c_name", "c_mktsegment"]
 SEMI_COLS = ["o_orderkey", "o_custkey", "o_orderdate"]
 
 
 def _join_inputs(spark, d):
-    o = T(spark, d, "orders").filter(JOIN_ORDERS_FILTER)
-    c = T(spark, d, "customer").filter(JOIN_CUSTOMER_FILTER)
-    return o, c
+    return T(spark, d, "orders"), T(spark, d, "customer")
 
 
 def _join_sql(kind: str, cols) -> str:
-    return (
-        f"SELECT {', '.join(cols)} FROM (SELECT * FROM orders WHERE {JOIN_ORDERS_FILTER}) o "
-        f"{kind} JOIN (SELECT * FROM customer WHERE {JOIN_CUSTOMER_FILTER}) c ON o.o_custkey = c.c_custkey"
-    )
+    return f"SELECT {', '.join(cols)} FROM orders {kind} JOIN customer ON {JOIN_CONDITION}"
 
 
 for _name, _how, _sqlkind in [
@@ -144,7 +143,7 @@ for _name, _how, _sqlkind in [
 ]:
     def _fn(spark, d, _how=_how):
         o, c = _join_inputs(spark, d)
-        return joins.join_tables(o, c, "o_custkey = c_custkey", _how, select_cols=JOIN_COLS)
+        return joins.join_tables(o, c, JOIN_CONDITION, _how, select_cols=JOIN_COLS)
 
     register(_name, _join_sql(_sqlkind, JOIN_COLS))(_fn)
 
@@ -152,17 +151,13 @@ for _name, _how, _sqlkind in [
 @register("join_left", _join_sql("LEFT OUTER", JOIN_COLS))
 def join_left(spark, d):
     o, c = _join_inputs(spark, d)
-    return joins.left_outer_join_tables(o, c, "o_custkey = c_custkey", select_cols=JOIN_COLS)
+    return joins.left_outer_join_tables(o, c, JOIN_CONDITION, select_cols=JOIN_COLS)
 
 
-@register(
-    "join_semi",
-    f"SELECT {', '.join(SEMI_COLS)} FROM orders WHERE {JOIN_ORDERS_FILTER} AND EXISTS "
-    f"(SELECT 1 FROM customer WHERE {JOIN_CUSTOMER_FILTER} AND c_custkey = o_custkey)",
-)
+@register("join_semi", f"SELECT {', '.join(SEMI_COLS)} FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE {JOIN_CONDITION})")
 def join_semi(spark, d):
     o, c = _join_inputs(spark, d)
-    return joins.join_tables(o, c, "o_custkey = c_custkey", "semijoin", select_cols=SEMI_COLS)
+    return joins.join_tables(o, c, JOIN_CONDITION, "semijoin", select_cols=SEMI_COLS)
 
 
 @register(
@@ -178,6 +173,19 @@ def join_theta(spark, d):
     ).select("p_partkey", "p_size", "r_regionkey", "r_name")
 
 
+@register(
+    "range_join_full",
+    "SELECT p_partkey, p_size, r_regionkey FROM part FULL JOIN region "
+    "ON p_size BETWEEN r_regionkey * 11 + 1 AND r_regionkey * r_regionkey * 9",
+)
+def range_join_full(spark, d):
+    """Ranges of growing length, one of them inverted; both sides keep rows
+    without a partner."""
+    part = T(spark, d, "part").select("p_partkey", "p_size")
+    region = T(spark, d, "region").select("r_regionkey")
+    return joins.range_join(part, region, "p_size", "r_regionkey * 11 + 1", "r_regionkey * r_regionkey * 9", how="full")
+
+
 @register(
     "join_filter_select_prefix",
     "SELECT o_orderkey AS OC_O_ORDERKEY, o_totalprice AS OC_O_TOTALPRICE, c_name AS OC_C_NAME, "
@@ -212,12 +220,11 @@ def join_composite(spark, d):
 
 @register(
     "post_join_subset",
-    "SELECT lineitem.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT'",
+    "SELECT lineitem.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
 )
 def post_join_subset(spark, d):
     li = T(spark, d, "lineitem")
-    joined = joins.join_tables(li, T(spark, d, "orders"), "l_orderkey = o_orderkey",
-                               filter_condition="o_orderpriority = '1-URGENT'")
+    joined = joins.join_tables(li, T(spark, d, "orders"), "l_orderkey = o_orderkey")
     return proj.subset(joined, li.columns)
 
 
@@ -453,7 +460,7 @@ def tables_without_fks(spark, d):
 # ====================================================================== D
 @register(
     "find_duplicates",
-    "SELECT count(*) AS duplicate_groups, CAST(sum(n) AS BIGINT) AS duplicate_rows "
+    "SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
     "FROM (SELECT count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1)",
 )
 def find_duplicates(spark, d):
@@ -462,7 +469,7 @@ def find_duplicates(spark, d):
 
 @register(
     "find_duplicates_rows",
-    "SELECT count(*) AS duplicate_groups, CAST(sum(n) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n "
+    "SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n "
     f"FROM lineitem GROUP BY {', '.join(COLUMNS['lineitem'])} HAVING count(*) > 1)",
 )
 def find_duplicates_rows(spark, d):
@@ -471,13 +478,22 @@ def find_duplicates_rows(spark, d):
 
 @register(
     "find_duplicates_pages",
-    "SELECT count(*) AS duplicate_groups, CAST(sum(n) AS BIGINT) AS duplicate_rows "
+    "SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
     "FROM (SELECT count(*) AS n FROM pages GROUP BY html HAVING count(*) > 1)",
 )
 def find_duplicates_pages(spark, d):
     return profile.find_duplicates(T(spark, d, "pages").select("html"))
 
 
+@register(
+    "find_duplicates_events",
+    "SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n "
+    f"FROM events GROUP BY {', '.join(COLUMNS['events'])} HAVING count(*) > 1)",
+)
+def find_duplicates_events(spark, d):
+    return profile.find_duplicates(T(spark, d, "events"))
+
+
 @register("row_count", "SELECT count(*) AS rowcount FROM lineitem")
 def row_count(spark, d):
     return profile.row_count(T(spark, d, "lineitem"))
@@ -500,8 +516,7 @@ def _categorical_sql(table: str) -> str:
         small = f"{levels} <= {CATEGORICAL_MAX_LEVELS}"
         parts.append(
             f"SELECT '{c}' AS column_name, count({c}) AS non_null, "
-            f"CASE WHEN {small} THEN {levels} END AS distinct_levels, "
-            f"CASE WHEN {small} THEN {levels} / count({c}) END AS distinct_ratio, "
+            f"{levels} AS distinct_levels, CASE WHEN count({c}) > 0 THEN {levels} / count({c}) END AS distinct_ratio, "
             f"{small} AS is_categorical FROM {table}"
         )
     return " UNION ALL ".join(parts)
@@ -509,12 +524,12 @@ def _categorical_sql(table: str) -> str:
 
 @register("categorical_columns", _categorical_sql("events"))
 def categorical_columns(spark, d):
-    return profile.categorical_columns(T(spark, d, "events"), max_levels=CATEGORICAL_MAX_LEVELS)
+    return profile.categorical_columns(T(spark, d, "events"), max_levels=CATEGORICAL_MAX_LEVELS).drop("approx_levels")
 
 
 @register("categorical_columns_documents", _categorical_sql("documents"))
 def categorical_columns_documents(spark, d):
-    return profile.categorical_columns(T(spark, d, "documents"), max_levels=CATEGORICAL_MAX_LEVELS)
+    return profile.categorical_columns(T(spark, d, "documents"), max_levels=CATEGORICAL_MAX_LEVELS).drop("approx_levels")
 
 
 @register(
@@ -788,25 +803,26 @@ def fk_carry_over(spark, d):
 
 
 # ====================================================================== L
-LM_DATA_SQL = "SELECT l_extendedprice AS y, l_returnflag AS g FROM lineitem WHERE l_returnflag IN ('A', 'R')"
+LM_DATA_SQL = "SELECT l_extendedprice AS y, l_returnflag AS g FROM lineitem"
+LM_GROUPS_SQL = (
+    f"WITH d AS ({LM_DATA_SQL}), m AS (SELECT {', '.join(f'avg(y) FILTER (WHERE g = {chr(39)}{g}{chr(39)}) AS m{g}, count(*) FILTER (WHERE g = {chr(39)}{g}{chr(39)}) AS n{g}' for g in 'ANR')}, "
+    "avg(y) AS mall FROM d), s AS (SELECT sum((y - CASE g WHEN 'A' THEN mA WHEN 'N' THEN mN ELSE mR END) ^ 2) AS sse, "
+    "sum((y - mall) ^ 2) AS sst, count(*) AS n FROM d, m) "
+)
+LM_FIT_SQL = LM_GROUPS_SQL + f"SELECT {sql_sig('mA')} AS intercept, {sql_sig('mN - mA')} AS slope_n, {sql_sig('mR - mA')} AS slope_r, {sql_sig('1 - sse / sst')} AS r2 FROM m, s"
+LM_FIT = "intercept double, slope_n double, slope_r double, r2 double"
 
 
 def _lm_data(spark, d):
-    return T(spark, d, "lineitem").filter(F.col("l_returnflag").isin("A", "R"))
+    return T(spark, d, "lineitem")
 
 
-@register(
-    "lm_group",
-    f"WITH d AS ({LM_DATA_SQL}), m AS (SELECT avg(y) FILTER (WHERE g = 'A') AS ma, avg(y) FILTER (WHERE g = 'R') AS mr, "
-    "avg(y) AS mall FROM d), s AS (SELECT sum((y - CASE WHEN g = 'A' THEN ma ELSE mr END) ^ 2) AS sse, "
-    "sum((y - mall) ^ 2) AS sst FROM d, m) "
-    f"SELECT {sql_sig('ma')} AS intercept, {sql_sig('mr - ma')} AS slope, {sql_sig('1 - sse / sst')} AS r2 FROM m, s",
-)
+@register("lm_group", LM_FIT_SQL)
 def lm_group(spark, d):
-    fit = learn.fit_group_model(_lm_data(spark, d), "l_extendedprice", "l_returnflag")
-    return spark.createDataFrame(
-        [(sig(fit.intercept), sig(fit.coefficients[0]), sig(fit.r2))], "intercept double, slope double, r2 double"
-    )
+    data = _lm_data(spark, d)
+    fit = learn.fit_group_model(data, "l_extendedprice", "l_returnflag")
+    slope = dict(zip(learn.feature_levels(fit.model, data, "l_returnflag"), fit.coefficients))
+    return spark.createDataFrame([(sig(fit.intercept), sig(slope["N"]), sig(slope["R"]), sig(fit.r2))], LM_FIT)
 
 
 @register(
@@ -822,33 +838,29 @@ def lm_group_no_intercept(spark, d):
     )
 
 
-@register(
-    "lm_save_load",
-    f"WITH d AS ({LM_DATA_SQL}), m AS (SELECT avg(y) FILTER (WHERE g = 'A') AS ma, avg(y) FILTER (WHERE g = 'R') AS mr, "
-    "avg(y) AS mall FROM d), s AS (SELECT sum((y - CASE WHEN g = 'A' THEN ma ELSE mr END) ^ 2) AS sse, "
-    "sum((y - mall) ^ 2) AS sst FROM d, m) "
-    f"SELECT {sql_sig('ma')} AS intercept, {sql_sig('mr - ma')} AS slope, {sql_sig('1 - sse / sst')} AS r2 FROM m, s",
-)
+@register("lm_save_load", LM_FIT_SQL)
 def lm_save_load(spark, d):
     data = _lm_data(spark, d)
     fit = learn.fit_group_model(data, "l_extendedprice", "l_returnflag")
     path = learn.save_model(fit, shared_path(spark, "models", "lm_group"))
     model = learn.load_model(path)
     intercept, coefs = learn.model_coefficients(model)
+    slope = dict(zip(learn.feature_levels(model, data, "l_returnflag"), coefs))
     scored = model.transform(data.select("l_extendedprice", "l_returnflag"))
     r2 = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2").evaluate(scored)
-    return spark.createDataFrame([(sig(intercept), sig(coefs[0]), sig(r2))], "intercept double, slope double, r2 double")
+    return spark.createDataFrame([(sig(intercept), sig(slope["N"]), sig(slope["R"]), sig(r2))], LM_FIT)
+
+
+def _term_sql(term: str, estimate: str, error: str) -> str:
+    return f"SELECT '{term}' AS term, {sql_sig(estimate)} AS estimate, {sql_sig(error)} AS std_error, {sql_sig(f'({estimate}) / {error}')} AS t_value FROM m, s"
 
 
 @register(
     "lm_summary",
-    f"WITH d AS ({LM_DATA_SQL}), m AS (SELECT avg(y) FILTER (WHERE g = 'A') AS ma, avg(y) FILTER (WHERE g = 'R') AS mr, "
-    "count(*) FILTER (WHERE g = 'A') AS na, count(*) FILTER (WHERE g = 'R') AS nr FROM d), "
-    "s AS (SELECT sum((y - CASE WHEN g = 'A' THEN ma ELSE mr END) ^ 2) / (count(*) - 2) AS mse FROM d, m) "
-    f"SELECT '(Intercept)' AS term, {sql_sig('ma')} AS estimate, {sql_sig('sqrt(mse / na)')} AS std_error, "
-    f"{sql_sig('ma / sqrt(mse / na)')} AS t_value FROM m, s UNION ALL "
-    f"SELECT 'R', {sql_sig('mr - ma')}, {sql_sig('sqrt(mse * (1.0 / na + 1.0 / nr))')}, "
-    f"{sql_sig('(mr - ma) / sqrt(mse * (1.0 / na + 1.0 / nr))')} FROM m, s",
+    LM_GROUPS_SQL + " UNION ALL ".join([
+        _term_sql("(Intercept)", "mA", "sqrt(sse / (n - 3) / nA)"),
+        *[_term_sql(g, f"m{g} - mA", f"sqrt(sse / (n - 3) * (1.0 / nA + 1.0 / n{g}))") for g in "NR"],
+    ]),
 )
 def lm_summary(spark, d):
     data = _lm_data(spark, d)
@@ -858,6 +870,17 @@ def lm_summary(spark, d):
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double")
 
 
+@register(
+    "lm_summary_no_intercept",
+    LM_GROUPS_SQL + " UNION ALL ".join(_term_sql(g, f"m{g}", f"sqrt(sse / (n - 3) / n{g})") for g in "ANR"),
+)
+def lm_summary_no_intercept(spark, d):
+    data = _lm_data(spark, d)
+    fit = learn.fit_group_model(data, "l_extendedprice", "l_returnflag", intercept=False)
+    rows = learn.coefficient_table(fit, learn.feature_levels(fit.model, data, "l_returnflag"), with_p_value=False)
+    return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double")
+
+
 @register(
     "lm_anova",
     f"WITH d AS ({LM_DATA_SQL}), gs AS (SELECT g, count(*) AS n, avg(y) AS m, var_pop(y) * count(*) AS ss FROM d GROUP BY g), "
@@ -871,11 +894,15 @@ def lm_anova(spark, d):
     return learn.one_way_anova(_lm_data(spark, d), "l_extendedprice", "l_returnflag", digits=7, with_p_value=False)
 
 
+#: Layout of the k-means queries, the same on every machine.
+KMEANS_PARTITIONS = 16
+
+
 @register("kmeans_k3")  # rows only: one assignment per lineitem
 def kmeans_k3(spark, d):
     _, assigned = learn.kmeans(
         T(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], k=3, max_iter=50,
-        id_cols=["l_orderkey", "l_linenumber"],
+        id_cols=["l_orderkey", "l_linenumber"], partitions=KMEANS_PARTITIONS,
     )
     return assigned
 
@@ -892,13 +919,13 @@ def kmeans_nested(spark, d):
         ).alias("rx_fill"),
     )
     flat = ev.select("event_id", "rx_fill.*")
-    _, assigned = learn.kmeans(flat, ["value", "user", "k", "hour"], k=3, max_iter=50, id_cols=["event_id"])
+    _, assigned = learn.kmeans(flat, ["value", "user", "k", "hour"], k=3, max_iter=50, id_cols=["event_id"], partitions=KMEANS_PARTITIONS)
     return assigned
 
 
 @register("kmeans_k5")  # rows only: embedding vectors
 def kmeans_k5(spark, d):
-    _, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id"])
+    _, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id"], partitions=KMEANS_PARTITIONS)
     return assigned
 
 

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split hot keys also where the next join needs the same partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -41,6 +43,7 @@ def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
@@ -89,13 +92,15 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     """Return the session's checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  When it is unset (tests, local runs) the given default is used, and
-    without one a folder under ``spark.sql.warehouse.dir`` -- never a
-    machine-local temporary folder chosen here.
+    is.  When it is unset the given default is used, and without one, on a
+    local master only, a folder under ``spark.sql.warehouse.dir``; on a cluster
+    that is an error, since executors would not see a folder chosen here.
     """
     current = checkpoint_dir(spark)
     if current:
         return current
+    if not default and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     target = default or os.path.join(_warehouse(spark), "_checkpoints")
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir()
@@ -104,8 +109,6 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A path inside shared storage for written tables and models."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     leaf = list(parts)
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
@@ -113,10 +116,7 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 
 def _warehouse(spark: SparkSession) -> str:
-    location = spark.conf.get("spark.sql.warehouse.dir")
-    if location.startswith("file:"):
-        location = location[len("file:"):]
-    return location
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def materialize(df):

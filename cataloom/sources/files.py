@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.column import Column
 
@@ -43,10 +42,22 @@ def read_table(spark: SparkSession, doc: TableDoc) -> DataFrame:
     # ``key=value`` sub-folders are discovered as partition columns (and
     # prune on filters); plain nested folders (e.g. <date>/<batch>/) carry no
     # partition values, so their files are listed recursively instead.
-    try:
+    keyed, plain = folder_kinds(spark, location)
+    if keyed and plain:
+        raise ValueError(f"{location} mixes key=value folders with files or plain folders beside them")
+    if keyed:
         return reader.option("basePath", location).load(location)
-    except AnalysisException:
-        return spark.read.format(doc.format).option("recursiveFileLookup", "true").load(location)
+    return reader.option("recursiveFileLookup", "true").load(location)
+
+
+def folder_kinds(spark: SparkSession, location: str) -> tuple[bool, bool]:
+    """Whether ``location`` has ``key=value`` folders, and whether it has
+    data files or other folders beside them (one listing, names only)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [(e.getPath().getName(), e.isDirectory()) for e in entries]
+    names = [(n, d) for n, d in names if not n.startswith(("_", "."))]
+    return any(d and "=" in n for n, d in names), any(not (d and "=" in n) for n, d in names)
 
 
 def read_glob(spark: SparkSession, root: str, fmt: str = "orc", depth: int = 3) -> DataFrame:

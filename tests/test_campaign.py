@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cataloom.functions import rules
 from cataloom.plans import campaign as C
 from cataloom.plans.campaign_analog import analog_tables
 
@@ -19,15 +20,25 @@ def opts():
     return C.CampaignOptions(as_of=dt.date(2001, 11, 29))
 
 
-def test_stage_counts(tables, opts):
+@pytest.fixture(scope="module")
+def oracle():
+    """DuckDB's version of the full output, from the registered oracle SQL."""
+    from oracle_compare import duck
+
+    from cataloom.plans import registry
+
+    return duck(SF).sql(registry.ORACLE["campaign_full"]).df()
+
+
+def test_stage_counts(tables, opts, oracle):
     base = C.claim_base(tables, opts)
     assert base.count() == 1556
     latest = C.latest_claims(base)
     assert latest.count() == 1139
-    assert C.enrich(latest, tables, opts).count() == 1103
+    assert C.enrich(latest, tables, opts).count() == len(oracle)
 
 
-def test_full_output_layout_and_flags(tables, opts):
+def test_full_output_layout_and_flags(tables, opts, oracle):
     out = C.run_campaign(tables, opts)
     assert len(out.columns) == 45 and out.columns[0] == "MBR_OPPTY_GID" and out.columns[-1] == "CREATE_TMS"
     r = out.agg(
@@ -36,9 +47,10 @@ def test_full_output_layout_and_flags(tables, opts):
         F.count_if(F.col("MBR_CURR_AGE").isNull()).alias("age_null"),
         *[F.count_if(F.col("NORMALIZED_DAY_SPLY_QTY") == v).alias(f"n{v}") for v in (30, 60, 90)],
     ).first()
-    assert (r.MINOR_IND, r.MBR_CURR_ELIG_IND, r.RTM_IND, r.MCV_IND, r.RFM_IND) == (253, 533, 204, 67, 139)
-    assert (r.CONTROLLED_SUBSTANCE_IND, r.FFM_IND, r.age_null) == (570, 72, 42)
-    assert (r.n30, r.n60, r.n90) == (386, 522, 195)
+    for flag in ["MINOR_IND", "MBR_CURR_ELIG_IND", "RTM_IND", "MCV_IND", "RFM_IND", "CONTROLLED_SUBSTANCE_IND", "FFM_IND"]:
+        assert 0 < r[flag] == (oracle[flag] == "Y").sum(), flag
+    assert r.age_null == oracle["MBR_CURR_AGE"].isna().sum()
+    assert [r[f"n{v}"] for v in (30, 60, 90)] == [(oracle["NORMALIZED_DAY_SPLY_QTY"] == v).sum() for v in (30, 60, 90)]
 
 
 def test_latest_methods_agree_on_claims(tables, opts):
@@ -60,20 +72,23 @@ def test_ffm_window_equals_join_back(tables, opts):
     assert sorted(tuple(r) for r in joined.select(*cols).collect()) == sorted(tuple(r) for r in windowed.select(*cols).collect())
 
 
-def test_write_orc(tables, opts, scratch_dir):
+def test_write_orc(tables, opts, scratch_dir, oracle):
     out = C.run_campaign(tables, opts)
     path = C.write_campaign(out, f"{scratch_dir}/campaign_out")
     back = out.sparkSession.read.orc(path)
-    assert back.count() == 1103 and back.columns == out.columns
+    assert back.count() == len(oracle) and back.columns == out.columns
 
 
-def test_no_unbounded_broadcast_of_member_tables(tables, opts):
-    enriched = C.enrich(C.latest_claims(C.claim_base(tables, opts)), tables,
-                        C.CampaignOptions(as_of=opts.as_of, dimension_max_rows=10))
-    plan = enriched._jdf.queryExecution().executedPlan().toString()
-    # with a bound of 10 rows no dimension qualifies for an explicit hint
+def test_no_broadcast_is_forced(tables, opts):
+    enriched = C.enrich(C.latest_claims(C.claim_base(tables, opts)), tables, opts)
     assert "ResolvedHint" not in enriched._jdf.queryExecution().optimizedPlan().toString()
-    assert plan
+
+
+def test_look_back_is_pushed_to_the_scan(tables, opts, spark, scratch_dir):
+    path = f"{scratch_dir}/claims_pushdown"
+    tables.claims.write.mode("overwrite").parquet(path)
+    base = spark.read.parquet(path).where(rules.recent_fill("FILL_DT", opts.as_of, 180))
+    assert "GreaterThanOrEqual(FILL_DT" in base._jdf.queryExecution().executedPlan().toString()
 
 
 def test_salted_member_join_gives_same_output(tables, opts):
@@ -83,7 +98,7 @@ def test_salted_member_join_gives_same_output(tables, opts):
     assert sorted(tuple(r) for r in plain.select(*cols).collect()) == sorted(tuple(r) for r in salty.select(*cols).collect())
 
 
-def test_job_reads_catalog_and_writes_orc(spark, tables, scratch_dir):
+def test_job_reads_catalog_and_writes_orc(spark, tables, scratch_dir, oracle):
     """End to end: ten tables written as files, described by a JSON catalog,
     loaded by source name, run, and written as ORC."""
     import os
@@ -104,7 +119,7 @@ def test_job_reads_catalog_and_writes_orc(spark, tables, scratch_dir):
     campaign_job.main(["--sources", src_json, "--tables", tab_json, "--source", "sources.POC",
                        "--as-of", "2001-11-29", "--out", out])
     result = spark.read.orc(out)
-    assert result.count() == 1103 and len(result.columns) == 45
+    assert result.count() == len(oracle) and len(result.columns) == 45
 
 
 def test_ffm_counts_rows_after_fan_out(spark):

@@ -121,14 +121,11 @@ def test_range_join_matches_brute_force(spark):
     assert left.count() == len(brute) + len(unmatched)
 
 
-def test_equi_join_composite_and_bounded_broadcast(spark):
+def test_equi_join_composite(spark):
     a = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "x int, y int, v string")
     b = spark.createDataFrame([(1, 2, "B")], "x2 int, y2 int, w string")
-    out = J.equi_join(a, b, [("x", "x2"), ("y", "y2")], broadcast_max_rows=10)
+    out = J.equi_join(a, b, [("x", "x2"), ("y", "y2")])
     assert [tuple(r) for r in out.select("v", "w").collect()] == [("b", "B")]
-    assert "Broadcast" in out._jdf.queryExecution().executedPlan().toString()
-    # a side above the bound is left to the planner
-    assert J.bounded_broadcast(b, 0) is b
     with pytest.raises(ValueError):
         J.equi_join(a, b, [])
 
@@ -203,3 +200,25 @@ def test_range_join_picks_bin_width(spark):
     got = sorted(tuple(x) for x in J.range_join(p, r, "v", "lo", "hi").select("pid", "rid").collect())
     want = sorted([(i, 0) for i in range(10, 20)] + [(50, 1)] + [(i, 2) for i in range(90, 100)])
     assert got == want
+
+
+def test_range_join_outer_kinds_and_long_ranges(spark):
+    points = [(i, v) for i, v in enumerate([1, 5, 5, 50, 900, 12345, None, -3])]
+    ranges = [(0, 0, 6), (1, 4, 5), (2, -10, 100_000), (3, 9, 2), (4, None, 7), (5, 400, 401), (6, 5, 5)]
+    p = spark.createDataFrame(points, "pid int, v int")
+    r = spark.createDataFrame(ranges, "rid int, lo int, hi int")
+    pairs = {(i, k) for i, v in points for k, lo, hi in ranges if None not in (v, lo, hi) and lo <= v <= hi}
+    left = {(i, None) for i, _ in points} - {(i, None) for i, _ in pairs}
+    right = {(None, k) for k, _, _ in ranges} - {(None, k) for _, k in pairs}
+    want = {"inner": pairs, "left": pairs | left, "right": pairs | right, "full": pairs | left | right}
+    for how, rows in want.items():
+        got = [(x["pid"], x["rid"]) for x in J.range_join(p, r, "v", "lo", "hi", bin_width=2.0, how=how).collect()]
+        assert len(got) == len(rows) and set(got) == rows, how
+    assert sorted(x["pid"] for x in J.range_join(p, r, "v", "lo", "hi", how="left_anti").collect()) == sorted(i for i, _ in left)
+    assert J.range_join(p, r.limit(0), "v", "lo", "hi", how="left").count() == len(points)
+
+
+def test_salt_spreads_equal_rows(spark):
+    hot = spark.range(1000).selectExpr("1 as k", "'same' as x").repartition(2)
+    left, _ = J.salted(hot, spark.createDataFrame([(1,)], "k int"), 8)
+    assert left.select(J.SALT).distinct().count() == 8

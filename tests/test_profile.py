@@ -20,7 +20,7 @@ def test_find_duplicates_nulls_equal(spark):
 def test_find_duplicates_none(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     r = P.find_duplicates(df).first()
-    assert r.duplicate_groups == 0 and r.duplicate_rows is None
+    assert r.duplicate_groups == 0 and r.duplicate_rows == 0
 
 
 def test_row_count(spark):
@@ -41,7 +41,7 @@ def test_categorical_columns(spark):
     df = spark.createDataFrame(rows, "id int, cat string, v double")
     got = {r.column_name: (r.non_null, r.distinct_levels, r.distinct_ratio, r.is_categorical)
            for r in P.categorical_columns(df, max_levels=10).collect()}
-    assert got == {"id": (500, None, None, False), "cat": (500, 3, 3 / 500, True), "v": (500, None, None, False)}
+    assert got == {"id": (500, 500, 1.0, False), "cat": (500, 3, 3 / 500, True), "v": (500, 500, 1.0, False)}
 
 
 def test_histogram_matches_numpy(spark):
@@ -94,3 +94,23 @@ def test_profiles_accept_catalogued_names(spark):
     assert isinstance(out, Tracked) and out.tables == ("tpch.nation",) and "up" in out.df.columns
     with pytest.raises(TypeError):
         P.row_count("tpch.nation")
+
+
+def test_duplicates_keep_microseconds_and_complex_columns(spark):
+    import datetime as dt
+
+    a = dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+    rows = [(a, [1], {"k": 1}, b"x", "t"), (a.replace(microsecond=2), [1], {"k": 1}, b"x", "t"), (a, [1], {"k": 1}, b"x", "t")]
+    df = spark.createDataFrame(rows, "ts timestamp, a array<int>, m map<string,int>, b binary, s string")
+    r = P.find_duplicates(df).first()
+    assert (r.duplicate_groups, r.duplicate_rows) == (1, 2)
+    assert P.find_duplicates(df.limit(2)).first().duplicate_rows == 0
+    got = {r.column_name: (r.non_null, r.distinct_levels, r.is_categorical) for r in P.categorical_columns(df, max_levels=1).collect()}
+    assert got == {"ts": (3, 2, False), "a": (3, 1, True), "m": (3, 1, True), "b": (3, 1, True), "s": (3, 1, True)}
+    some = {r.column_name: (r.approx_levels, r.distinct_levels) for r in P.categorical_columns(df, exact=["s"]).collect()}
+    assert some["ts"] == (2, None) and some["s"] == (1, 1)
+
+
+def test_sample_has_no_cap(spark):
+    n = P.sample(spark.range(100_000), count=50_000, seed=3).count()
+    assert 49_000 < n < 51_000

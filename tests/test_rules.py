@@ -79,4 +79,5 @@ def test_recent_fill_and_link_id(spark):
     dates = [as_of - dt.timedelta(days=179), as_of - dt.timedelta(days=180), D(2025, 1, 1)]
     assert col_values(spark, dates, "f date", R.recent_fill("f", as_of)) == [True, False, True]
     links = ["12", "0", None, "abc"]
-    assert col_values(spark, links, "l string", R.nonzero_id("l")) == [True, False, False, False]
+    assert col_values(spark, links, "l string", R.nonzero_id("l", text=True)) == [True, False, False, False]
+    assert col_values(spark, [12, 0, None], "l long", R.nonzero_id("l")) == [True, False, False]
