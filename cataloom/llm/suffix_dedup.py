@@ -7,8 +7,10 @@ A byte goes when a ``LENGTH``-byte string that covers it also starts earlier
    ``GRAM``-byte spans is an anchor, so equal windows have an anchor at the
    same place.  An anchor's piece is all bytes that windows around it reach.
 2. Anchors meet by hash, sorted, and stream through a task.  Of equal pieces
-   all but the first are repeats in every window and need no bytes.  An anchor
-   that occurs once is dropped.  The first of each of several different pieces
+   all but the first are repeats in every window and need no bytes.  This is
+   done in each slab of texts first, so a frequent anchor (a periodic text, a
+   common passage) sends one row per slab, and the spans of the others ride
+   along, spread over the slab's rows.  An anchor that occurs once is dropped.  The first of each of several different pieces
    goes on.
 3. Those pieces are built into a collection column by column: each round
    inserts one symbol of every piece, sorts the collection's order by it (that
@@ -61,6 +63,24 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
+def folded(h: np.ndarray, piece: np.ndarray, doc: np.ndarray, pos: np.ndarray, length: int, gram: int) -> pa.RecordBatch:
+    """One row (h, piece, doc, pos, more) per piece of a slab, its earliest;
+    ``more`` packs some of the spans (doc, start, end) that the others repeat."""
+    order = np.lexsort((pos, doc, piece, h))
+    h, piece, doc, pos = h[order], piece[order], doc[order], pos[order]
+    first = np.r_[True, (h[1:] != h[:-1]) | (piece[1:] != piece[:-1])] if len(h) else np.zeros(0, dtype=bool)
+    head = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
+    again = ~first & ((doc != doc[head]) | (pos != pos[head]))
+    spans = merged(doc[again], pos[again] - (length - gram), pos[again] + length)
+    n, m = int(first.sum()), spans.num_rows
+    each = m // n + (np.arange(n) < m % n) if n else np.zeros(0, dtype=np.int64)
+    values = np.stack([np.asarray(c, dtype=np.int64) for c in spans.columns], axis=1)
+    cuts = np.r_[0, np.cumsum(each)]
+    more = pa.array([values[a:b].tobytes() if b > a else None for a, b in zip(cuts[:-1], cuts[1:])], type=pa.binary())
+    cols = [pa.array(h[first].view(np.int64)), pa.array(piece[first].view(np.int64)), pa.array(doc[first]), pa.array(pos[first].astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*cols, more], names=["h", "piece", "doc", "pos", "more"])
+
+
 def anchor_rows(length: int, gram: int):
     spans = length - gram + 1
 
@@ -82,45 +102,48 @@ def anchor_rows(length: int, gram: int):
             left = np.minimum(spans - 1, pos)
             right = np.minimum(spans - 1, sizes[doc] - pos - gram)
             piece = mix(hashes.spans(at - left, at + gram + right) ^ (left.astype(np.uint64) << np.uint64(8)) ^ right.astype(np.uint64))
-            ids = np.array(docs, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), pa.array(piece.view(np.int64)), pa.array(ids[doc]), pa.array(pos.astype(np.int32))],
-                names=["h", "piece", "doc", "pos"],
-            )
+            yield folded(grams[at], piece, np.array(docs, dtype=np.int64)[doc], pos, length, gram)
 
     return run
 
 
-def repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, piece, doc, pos) sorted -> (null, doc, pos) of repeats and (h, doc,
-    pos) of the first of each piece whose anchor has several; holds one row."""
-
-    def out(h, doc, pos, given):
-        return pa.RecordBatch.from_arrays([pa.array(h, mask=np.full(len(h), not given)), pa.array(doc), pa.array(pos)], names=["h", "doc", "pos"])
-
-    last, open_row = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        h, piece, doc, pos = (batch.column(i).to_numpy() for i in range(4))
-        before = [np.r_[c[:1] if last is None else last[i], c[:-1]] for i, c in enumerate((h, piece, doc, pos))]
-        same = h == before[0]
-        if last is None:
-            same[0] = False
-        equal = same & (piece == before[1])
-        again = equal & ((doc != before[2]) | (pos != before[3]))
-        last = [c[-1:] for c in (h, piece, doc, pos)]
-        yield out(h[again], doc[again], pos[again], False)
-        first = np.flatnonzero(~equal)
-        if len(first):
-            cols = [h[first], doc[first], pos[first], same[first]]
-            if open_row is not None:
-                cols = [np.r_[o, c] for o, c in zip(open_row, cols)]
-            wanted = cols[3][:-1] | (cols[0][1:] == cols[0][:-1])
-            yield out(*(c[:-1][wanted] for c in cols[:3]), True)
-            open_row = [c[-1:] for c in cols]
-    if open_row is not None and open_row[3][0]:
-        yield out(*open_row[:3], True)
+def repeated_rows(length: int, gram: int):
+    """(h, piece, doc, pos, more) sorted -> (null, doc, start, end) of repeats
+    and (h, doc, pos, null) of the first of each piece whose anchor has several;
+    holds one row."""
+
+    def out(h, doc, start, end):
+        h, end = (pa.nulls(len(doc), t) if x is None else pa.array(x, type=t) for x, t in ((h, pa.int64()), (end, pa.int32())))
+        return pa.RecordBatch.from_arrays([h, pa.array(doc), pa.array(start, type=pa.int32()), end], names=["h", "doc", "pos", "end"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, open_row = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, piece, doc, pos = (batch.column(i).to_numpy() for i in range(4))
+            before = [np.r_[c[:1] if last is None else last[i], c[:-1]] for i, c in enumerate((h, piece, doc, pos))]
+            same = h == before[0]
+            if last is None:
+                same[0] = False
+            equal = same & (piece == before[1])
+            again = equal & ((doc != before[2]) | (pos != before[3]))
+            last = [c[-1:] for c in (h, piece, doc, pos)]
+            yield out(None, doc[again], pos[again] - (length - gram), pos[again] + length)
+            more = np.frombuffer(b"".join(batch.column(4).drop_null().to_pylist()), dtype=np.int64).reshape(-1, 3)
+            yield out(None, more[:, 0], more[:, 1], more[:, 2])
+            first = np.flatnonzero(~equal)
+            if len(first):
+                cols = [h[first], doc[first], pos[first], same[first]]
+                if open_row is not None:
+                    cols = [np.r_[o, c] for o, c in zip(open_row, cols)]
+                wanted = cols[3][:-1] | (cols[0][1:] == cols[0][:-1])
+                yield out(*(c[:-1][wanted] for c in cols[:3]), None)
+                open_row = [c[-1:] for c in cols]
+        if open_row is not None and open_row[3][0]:
+            yield out(*open_row[:3], None)
+
+    return run
 
 
 def piece_rows(length: int, gram: int):
@@ -254,13 +277,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, node
     """(doc, spans): the byte spans of each document that start earlier too;
     spans may overlap and reach past either end of the text."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    anchors = keyed.mapInArrow(anchor_rows(length, gram), "h long, piece long, doc long, pos int")
+    anchors = keyed.mapInArrow(anchor_rows(length, gram), "h long, piece long, doc long, pos int, more binary")
     met = anchors.repartition("h").sortWithinPartitions("h", "piece", "doc", "pos")
-    marks = stored(met.mapInArrow(repeated_rows, "h long, doc long, pos int"), "anchors")
-    reach = length - gram
-    whole = marks.where("h is null").select("doc", (F.col("pos") - reach).alias("start"), (F.col("pos") + length).alias("end"))
+    marks = stored(met.mapInArrow(repeated_rows(length, gram), "h long, doc long, pos int, end int"), "anchors")
+    whole = marks.where("h is null").select("doc", F.col("pos").alias("start"), "end")
 
-    firsts = marks.where("h is not null")
+    firsts = marks.where("h is not null").select("h", "doc", "pos")
     listed = firsts.groupBy("doc").agg(F.collect_list(F.struct("h", "pos")).alias("marks"))
     pieces = listed.join(keyed, "doc").select("doc", "marks", "text")
     pieces = pieces.mapInArrow(piece_rows(length, gram), "h long, doc long, pos int, before int, bytes binary")
