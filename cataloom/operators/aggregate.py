@@ -43,9 +43,29 @@ def aggregate(x, group_by: str | Sequence[str], *, catalog=None, **named):
     return rewrap(x, df.groupBy(*keys).agg(*aggs))
 
 
+def split_expressions(text: str) -> list[str]:
+    """Comma-separated SQL expressions; commas in brackets or quotes belong to
+    their expression."""
+    parts, depth, quote = [""], 0, ""
+    for c in text:
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        elif c in "([":
+            depth += 1
+        elif c in ")]":
+            depth -= 1
+        elif c == "," and not depth:
+            parts.append("")
+            continue
+        parts[-1] += c
+    return [x.strip() for x in parts if x.strip()]
+
+
 def group_by_sql(df: DataFrame, group_by: str, *select_exprs: str, out_col_prefix: str | None = None) -> DataFrame:
     """``SELECT keys, exprs… GROUP BY keys`` from SQL text, any number of exprs (A2)."""
-    keys = [k.strip() for k in group_by.split(",") if k.strip()]
+    keys = split_expressions(group_by)
     if not select_exprs:
         raise ValueError("group_by_sql needs at least one aggregate expression")
     out = df.groupBy(*[F.expr(k) for k in keys]).agg(*[F.expr(e) for e in select_exprs])
@@ -60,12 +80,19 @@ def count_if(condition: str | Column) -> Column:
     return F.count_if(cond)
 
 
+def _first_ranked(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Rows that rank first in their group by ``order_by``, descending, NULLs last."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    return df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")
+
+
 def latest_per_group(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    method: str = "join_back",
+    method: str = "window",
     materialize_winners: bool = True,
+    split_ties: int | None = None,
 ) -> DataFrame:
     """Rows holding the greatest ``order_by`` tuple in each ``keys`` group.
 
@@ -74,19 +101,21 @@ def latest_per_group(
     all kept, and a group yields nothing when a key, or the winning value of
     any ordering column, is NULL.
 
-    ``join_back`` (default): a hash aggregate of the last ordering column's
-    maximum per (keys, leading ordering columns), combined map-side, so a
-    group holding a third of all rows is never gathered into one task; the
-    winning leading values are then chosen on that aggregated level, and
-    one left-semi join on keys + full winning tuple returns the rows (its
-    shuffle spreads on the whole tuple; AQE splits a skewed partition).
-    The input is read twice; every aggregate is a hash aggregate.  The
-    winners (one row per group) are checkpointed first, so the final
-    semi-join is a plain shuffle join that AQE can split even when a third
-    of all rows tie on one group's winning tuple.
+    ``window`` (default): ``rank() = 1``.  Spark puts a partial group limit
+    below the exchange, so the input is read once and each task sends only its
+    own best rows of a group; a group holding a third of all rows costs a few
+    rows per task.  Only full ties (equal in all ordering columns) meet in one
+    task.  Where these can be many, ``split_ties=n`` ranks each group in ``n``
+    parts first and runs ``join_back`` on the survivors, whose last join AQE
+    splits.
+    ``join_back``: a hash aggregate of the last ordering column's maximum per
+    (keys, leading ordering columns), combined map-side; the winning leading
+    values are then chosen on that aggregated level, and one left-semi join on
+    keys + full winning tuple returns the rows.  The input is read twice; the
+    winners (one row per group) are checkpointed first, so the final semi-join
+    is a plain shuffle join that AQE can split.
     ``struct_max``: one ``max(struct(...))`` aggregate (a sort aggregate)
-    and one semi-join.  ``window``: ``rank()`` over a window -- one shuffle,
-    but a whole group per task; kept for comparison.
+    and one semi-join.
     """
     keys, order_by = list(keys), list(order_by)
     if method == "struct_max":
@@ -103,13 +132,13 @@ def latest_per_group(
             cond = cond & (df[c] == winners[f"__o{i}"])
         return df.join(winners, cond, "left_semi")
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
-        ranked = df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1)
-        not_null = None
-        for c in keys + order_by:
-            term = F.col(c).isNotNull()
-            not_null = term if not_null is None else not_null & term
-        return ranked.filter(not_null).drop("__rank")
+        if not split_ties:
+            return _first_ranked(df, keys, order_by).dropna(subset=[*keys, *order_by])
+        from cataloom.session import materialize
+
+        parted = df.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(split_ties)))
+        survivors = materialize(_first_ranked(parted, [*keys, "__part"], order_by).drop("__part"))
+        return latest_per_group(survivors, keys, order_by, "join_back", materialize_winners)
     if method == "join_back":
         # one hash aggregate over the rows: max of the last ordering column
         # per (keys, leading ordering columns) -- combined map-side

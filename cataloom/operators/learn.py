@@ -14,11 +14,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import RFormula, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cataloom.session import materialize
+
 FEATURES = "features"
 
 
@@ -87,15 +89,6 @@ def fit_group_model(df: DataFrame, response: str, factor: str, intercept: bool =
     return GroupFit(model, [float(v) for v in lrm.coefficients], float(lrm.intercept), float(lrm.summary.r2))
 
 
-def group_fit_frame(fit: GroupFit, spark, digits: int = 6) -> DataFrame:
-    """One-row summary: intercept, slope (first non-reference level), r2."""
-    slope = fit.coefficients[0] if fit.coefficients else None
-    return spark.createDataFrame(
-        [(round(fit.intercept, digits), round(slope, digits) if slope is not None else None, round(fit.r2, digits))],
-        "intercept double, slope double, r2 double",
-    )
-
-
 def coefficient_table(fit: GroupFit, levels: list[str], digits: int = 7, with_p_value: bool = True) -> list[tuple]:
     """Rows ``(term, estimate, std_error, t_value[, p_value])`` of a fit.
 
@@ -149,8 +142,9 @@ def one_way_anova(df: DataFrame, response: str, factor: str, digits: int = 7, wi
             (F.var_pop(response) * F.count(F.lit(1))).alias("ss"),
         )
     )
-    # two one-row aggregates over the per-level table: nothing per level
-    # reaches the driver, however many levels the factor has
+    # the data is read once, for the per-level table; two one-row aggregates
+    # over that follow, so that nothing per level reaches the driver
+    per_level = materialize(per_level)
     tot = per_level.agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"),
         (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"), F.sum("ss").alias("ssw"),
@@ -180,23 +174,39 @@ def f_survival(f: float, d1: float, d2: float) -> float:
     """P(F > f) for an F(d1, d2) variable, via the regularized incomplete beta."""
     if not (f > 0) or math.isnan(f):
         return 1.0
-    x = d2 / (d2 + d1 * f)
-    return _betainc(d2 / 2.0, d1 / 2.0, x)
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
+    x, y = d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f)
+    if y == 0.0:
         return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
+    if x == 0.0:
+        return 0.0
+    a, b = d2 / 2.0, d1 / 2.0
+    log_x = -math.log1p(d1 * f / d2)
+    front = math.exp(a * log_x + b * math.log(y) - _log_beta(a, b))
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+    return 1.0 - front * _betacf(b, a, y) / b
+
+
+def _log_beta(a: float, b: float) -> float:
+    """ln B(a, b); a large argument enters by its Stirling series, since the
+    difference of two large ``lgamma`` values keeps few digits."""
+    small, large = min(a, b), max(a, b)
+    if large < 1000.0:
+        return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    total = small + large
+    ratio = (large - 0.5) * math.log1p(small / large) + small * math.log(total) - small
+    ratio += _stirling_rest(total) - _stirling_rest(large)  # ln(gamma(total) / gamma(large))
+    if small < 1000.0:
+        return math.lgamma(small) - ratio
+    own = (small - 0.5) * math.log(small) - small + 0.5 * math.log(2 * math.pi) + _stirling_rest(small)
+    return own - ratio
+
 
+def _stirling_rest(x: float) -> float:
+    return 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
 
-def _betacf(a: float, b: float, x: float, iters: int = 300, eps: float = 1e-15) -> float:
+
+def _betacf(a: float, b: float, x: float, iters: int = 20_000, eps: float = 1e-14) -> float:
     """Continued fraction for the incomplete beta (modified Lentz)."""
     tiny = 1e-300
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
@@ -212,13 +222,8 @@ def _betacf(a: float, b: float, x: float, iters: int = 300, eps: float = 1e-15)
             c = c if abs(c) > tiny else tiny
             h *= d * c
         if abs(d * c - 1.0) < eps:
-            break
-    return h
-
-
-def assignments_with_features(assigned: DataFrame) -> DataFrame:
-    """Expose a vector column as an array (for writing or SQL use)."""
-    return assigned.withColumn(FEATURES, vector_to_array(FEATURES)) if FEATURES in assigned.columns else assigned
+            return h
+    raise ArithmeticError(f"incomplete beta fraction did not converge for a={a}, b={b}, x={x}")
 
 
 def feature_levels(model: PipelineModel, df: DataFrame, factor: str) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cataloom.operators.tracked import unwrap
+from cataloom.session import materialize
 
 
 def group_key(field: T.StructField):
@@ -128,7 +129,9 @@ def histogram(x, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max] of a numeric column (D5, binned).
 
     One pass for the bounds (one row to the driver), one grouped pass for
-    the counts.  Columns: ``bin``, ``bin_low``, ``bin_high``, ``n``.
+    the counts.  Columns: ``bin``, ``bin_low``, ``bin_high``, ``n``; every bin
+    is there, also an empty one.  A constant column has bins of width 1, a
+    column without values has no bins.
     """
     df, _ = unwrap(x)
     lo, hi = df.agg(F.min(column), F.max(column)).first()
@@ -137,37 +140,73 @@ def histogram(x, column: str, bins: int = 10) -> DataFrame:
     width = (float(hi) - float(lo)) / bins or 1.0
     v = F.col(column).cast("double")
     b = F.least(F.floor((v - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1))
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(b.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "bin",
-            F.round(F.lit(float(lo)) + F.col("bin") * F.lit(width), 6).alias("bin_low"),
-            F.round(F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width), 6).alias("bin_high"),
-            "n",
-        )
+    counted = df.filter(F.col(column).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    return every.join(counted, "bin", "left").select(
+        "bin",
+        F.round(F.lit(float(lo)) + F.col("bin") * F.lit(width), 6).alias("bin_low"),
+        F.round(F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width), 6).alias("bin_high"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
-def scott_bandwidth(n: int, sd: float) -> float:
-    """``1.06 * sd * n^(-1/5)`` (normal reference rule)."""
-    return 1.06 * sd * n ** (-0.2)
+#: Intervals that one pass of ``value_at`` tells apart.
+QUANTILE_INTERVALS = 1024
+
+
+def value_at(counted: DataFrame, rank: int) -> float:
+    """The value at ``rank`` (from 0) of the sorted rows that ``counted``
+    (v, count; one row per distinct value) stands for.  Exact; each pass counts
+    the rows of equal intervals and goes on inside the one that holds the rank."""
+    lo, hi = counted.agg(F.min("v"), F.max("v")).first()
+    while lo < hi:
+        width = (hi - lo) / QUANTILE_INTERVALS
+        place = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(QUANTILE_INTERVALS - 1))
+        inside = counted.where(F.col("v").between(lo, hi)).groupBy(place.alias("place"))
+        parts = inside.agg(F.sum("count").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for part in sorted(parts.collect(), key=lambda r: r["place"]):  # at most QUANTILE_INTERVALS rows
+            if rank < part["n"]:
+                lo, hi = part["lo"], part["hi"]
+                break
+            rank -= part["n"]
+        else:  # no row there (NaN)
+            break
+    return lo
+
+
+def exact_quantile(counted: DataFrame, n: int, p: float) -> float:
+    """Quantile ``p`` of ``n`` rows, between two rows by linear interpolation."""
+    place = (n - 1) * p
+    low = math.floor(place)
+    first = value_at(counted, low)
+    return first if place == low else first + (place - low) * (value_at(counted, low + 1) - first)
+
+
+def default_bandwidth(counted: DataFrame, n: int, sd: float | None) -> float:
+    """``0.9 * min(sd, IQR / 1.34) * n^(-1/5)``; where that spread is 0, the
+    standard deviation, the size of the least value or 1 takes its place."""
+    sd = sd or 0.0
+    spread = min(sd, (exact_quantile(counted, n, 0.75) - exact_quantile(counted, n, 0.25)) / 1.34)
+    return 0.9 * (spread or sd or abs(value_at(counted, 0)) or 1.0) * n ** (-0.2)
 
 
 def kernel_density(x, column: str, points: Sequence[float], bandwidth: float | None = None, digits: int = 6) -> DataFrame:
     """Gaussian kernel density of a numeric column at given points.
 
-    Values are first counted per distinct value (map-side combined), then
-    each distinct value contributes to every evaluation point through a
-    generator over the (small, fixed) point list, and contributions are
-    summed per point.  Columns: ``x``, ``density``.
+    Values are first counted per distinct value (map-side combined, and
+    checkpointed for the passes that follow), then each distinct value
+    contributes to every evaluation point through a generator over the (small,
+    fixed) point list, and contributions are summed per point.  Columns: ``x``,
+    ``density``, which is NULL for a column without values.
     """
     df, _ = unwrap(x)
+    points = [float(p) for p in points]
+    counted = materialize(df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).count())
     n, sd = df.agg(F.count(column), F.stddev_samp(column)).first()
-    h = bandwidth if bandwidth is not None else scott_bandwidth(n, sd)
-    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).count()
-    pts = F.array(*[F.lit(float(p)) for p in points])
+    if not n:
+        return df.sparkSession.createDataFrame([(p, None) for p in points], "x double, density double")
+    h = bandwidth if bandwidth is not None else default_bandwidth(counted, n, sd)
+    pts = F.array(*[F.lit(p) for p in points])
     z = (F.col("x") - F.col("v")) / F.lit(h)
     norm = n * h * math.sqrt(2 * math.pi)
     return (

@@ -1,29 +1,27 @@
 """Mail-order opportunity campaign: claims -> latest claim per member and
 drug class -> dimension enrichment -> indicators -> 45-column output.
 
-One logical plan from scans to the write.  Scale notes:
+Scale notes:
 
 * filters sit on the scans (COB code, 180-day window, member flags) and are
   pushed into the file reader;
-* the latest claim per (member link, drug class) comes from a map-side
-  combined max claim id per (link, drug class, fill date), the latest date
-  chosen on that aggregated level, and one semi-join back on the winning
-  tuple (winners checkpointed), so a member with a third of all claims
-  never lands in one task;
+* the latest claim per (member link, drug class) is a ranked window whose
+  group limit runs below the exchange, so claims are read once and a member
+  with a third of all claims sends a few rows per task;
 * member-keyed tables join on the same key one after another (the program
   join is rewritten onto the member key), so the claim side is shuffled
-  once for all of them; client, plan and pharmacy dimensions are broadcast
-  only when a row bound is proven;
+  once for all of them; whether a dimension is broadcast is left to Spark;
 * the per-member mail count is an aggregate, materialized, then joined back,
-  so AQE can split a hot member's partition; the enriched table is
-  checkpointed to the shared checkpoint folder because both the count and
-  the output read it.
+  so AQE can split a hot member's partition; because both the count and the
+  output read the enriched table, it is checkpointed to the shared checkpoint
+  folder, with the columns that the wanted outputs need and no others.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +46,20 @@ PREFIX = {
     "programs": "MBR_PGM_RX_SCHD_HIST",
 }
 
+# Catalogued view of each input table.
+VIEW_FOR = {
+    "claims": "V_PHMCY_CLM",
+    "members": "V_MBR_ACCT_HIST",
+    "drugs": "V_DRUG_DENORM",
+    "coverage": "V_MBR_ACCT_CVRG",
+    "cont_coverage": "V_MBR_ACCT_CONT_CVRG",
+    "client_accounts": "V_CLNT_ACCT_DENORM",
+    "pharmacies": "V_PHMCY_DENORM",
+    "plan_options": "V_BNFT_PLAN_RXC_CAG_PLAN_OPTNS",
+    "hierarchy": "V_MBR_ACCT_HRCHY",
+    "programs": "V_MBR_PGM_RX_SCHD_HIST",
+}
+
 # The 45-column output layout, (source column, output name).
 TARGET_LAYOUT = [
     ("PHMCY_ZIW_ROW_ID", "MBR_OPPTY_GID"),
@@ -96,7 +108,26 @@ TARGET_LAYOUT = [
     ("DRUG_SPCLT_DRUG_IND", "SPCLT_DRUG_IND"),
 ]
 
-MAIL_COUNT = "EPH_GRP_MAIL_IND_CNT_FOR_EPHLINK"
+MAIL_COUNT = "MEMBER_MAIL_ROWS"
+MEMBER = "MBR_ACC_EPH_LINK_ID"
+# Columns that each derived output is computed from.
+INDICATOR_INPUTS = {
+    "FFM_IND": ["BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD", MEMBER],
+    "NORMALIZED_DAY_SPLY_QTY": ["PHMCY_DAY_SPLY_QTY"],
+    "MBR_CURR_AGE": ["MBR_ACC_MBR_BRTH_DT"],
+    "MINOR_IND": ["MBR_ACC_MBR_BRTH_DT"],
+    "MBR_CURR_ELIG_IND": ["MBR_ACC_CVRG_CVRG_EFF_DT", "MBR_ACC_CVRG_CVRG_EXPRN_DT"],
+    "RTM_IND": ["BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD"],
+    "MCV_IND": [
+        "BNFT_PLAN_RCP_OPTNS_MAINT_CHOICE_TYP_CD", "PHMCY_DAY_SPLY_QTY", "PHMCY_DLVRY_SYSTM_CD",
+        "PHMCY_DENORM_CVS_RTL_IND", "PHMCY_DENORM_CVS_MAIL_IND",
+    ],
+    "RFM_IND": [
+        "MBR_PGM_RX_SCHD_HIST_SCH_PGM_ID", "MBR_PGM_RX_SCHD_HIST_SCHD_OPT_IN_PRCS_SRC_CD",
+        "MBR_PGM_RX_SCHD_HIST_SCHD_OPT_OUT_DT",
+    ],
+    "CONTROLLED_SUBSTANCE_IND": ["DRUG_DEA_CLS_CD"],
+}
 LATEST_KEYS = ["MBR_ACC_EPH_LINK_ID", "DRUG_GPI4_CD"]
 LATEST_ORDER = ["PHMCY_FILL_DT", "PHMCY_CLM_EVNT_GID"]
 
@@ -154,7 +185,7 @@ def claim_base(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     return _join(base, drugs, [("PHMCY_DRUG_PROD_GID", "DRUG_DRUG_PROD_GID")], "inner")
 
 
-def latest_claims(base: DataFrame, method: str = "join_back") -> DataFrame:
+def latest_claims(base: DataFrame, method: str = "window") -> DataFrame:
     """Claims on the latest fill date with the greatest claim id, per member
     link and drug class (C2-C4); ties kept."""
     return latest_per_group(base, LATEST_KEYS, LATEST_ORDER, method=method)
@@ -202,46 +233,51 @@ def with_mail_count(enriched: DataFrame, salt_buckets: int | None = None) -> Dat
     """Per-member count of mail rows in the enriched table, joined back."""
     return join_back_aggregate(
         enriched,
-        ["MBR_ACC_EPH_LINK_ID"],
+        [MEMBER],
         [count_if(F.col("PHMCY_DLVRY_SYSTM_CD") == rules.MAIL).alias(MAIL_COUNT)],
         salt_buckets=salt_buckets,
     )
 
 
-def add_indicators(df: DataFrame, opts: CampaignOptions) -> DataFrame:
-    """All derived columns in one projection."""
+def add_indicators(df: DataFrame, opts: CampaignOptions, wanted: Sequence[str] = tuple(INDICATOR_INPUTS)) -> DataFrame:
+    """The ``wanted`` derived columns in one projection."""
     age = rules.member_age("MBR_ACC_MBR_BRTH_DT", opts.as_of, opts.age_method)
-    return df.select(
-        "*",
-        rules.first_fill_at_mail_flag("BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD", MAIL_COUNT).alias("FFM_IND"),
-        rules.normalized_day_supply("PHMCY_DAY_SPLY_QTY").alias("NORMALIZED_DAY_SPLY_QTY"),
-        age.alias("MBR_CURR_AGE"),
-        rules.minor_flag(age).alias("MINOR_IND"),
-        rules.eligible_flag(opts.as_of, "MBR_ACC_CVRG_CVRG_EFF_DT", "MBR_ACC_CVRG_CVRG_EXPRN_DT").alias("MBR_CURR_ELIG_IND"),
-        rules.retail_to_mail_flag("BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD").alias("RTM_IND"),
-        rules.maintenance_choice_flag(
+    made = {
+        "FFM_IND": lambda: rules.first_fill_at_mail_flag("BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD", MAIL_COUNT),
+        "NORMALIZED_DAY_SPLY_QTY": lambda: rules.normalized_day_supply("PHMCY_DAY_SPLY_QTY"),
+        "MBR_CURR_AGE": lambda: age,
+        "MINOR_IND": lambda: rules.minor_flag(age),
+        "MBR_CURR_ELIG_IND": lambda: rules.eligible_flag(opts.as_of, "MBR_ACC_CVRG_CVRG_EFF_DT", "MBR_ACC_CVRG_CVRG_EXPRN_DT"),
+        "RTM_IND": lambda: rules.retail_to_mail_flag("BNFT_PLAN_RCP_OPTNS_MAIL_IND", "PHMCY_DLVRY_SYSTM_CD"),
+        "MCV_IND": lambda: rules.maintenance_choice_flag(
             "BNFT_PLAN_RCP_OPTNS_MAINT_CHOICE_TYP_CD", "PHMCY_DAY_SPLY_QTY", "PHMCY_DLVRY_SYSTM_CD",
             "PHMCY_DENORM_CVS_RTL_IND", "PHMCY_DENORM_CVS_MAIL_IND",
-        ).alias("MCV_IND"),
-        rules.ready_fill_flag(
+        ),
+        "RFM_IND": lambda: rules.ready_fill_flag(
             "MBR_PGM_RX_SCHD_HIST_SCH_PGM_ID", "MBR_PGM_RX_SCHD_HIST_SCHD_OPT_IN_PRCS_SRC_CD",
             "MBR_PGM_RX_SCHD_HIST_SCHD_OPT_OUT_DT",
-        ).alias("RFM_IND"),
-        rules.controlled_substance_flag("DRUG_DEA_CLS_CD").alias("CONTROLLED_SUBSTANCE_IND"),
-    )
-
-
-def target_projection(df: DataFrame, opts: CampaignOptions) -> DataFrame:
-    """The 45-column output; CREATE_TMS is the run's ``as_of``."""
-    mapping = [(F.col(src), name) for src, name in TARGET_LAYOUT]
-    # a string cast to TIMESTAMP_NTZ involves no time zone (a datetime literal would)
-    created = f"{opts.as_of.isoformat()} 00:00:00"
-    mapping.append((F.lit(created).cast("timestamp_ntz"), "CREATE_TMS"))
+        ),
+        "CONTROLLED_SUBSTANCE_IND": lambda: rules.controlled_substance_flag("DRUG_DEA_CLS_CD"),
+    }
+    return df.select("*", *[made[name]().alias(name) for name in wanted])
+
+
+def target_projection(df: DataFrame, opts: CampaignOptions, columns: Sequence[str] | None = None) -> DataFrame:
+    """The 45-column output, or some ``columns`` of it; CREATE_TMS is the
+    run's ``as_of`` (C15)."""
+    mapping = [(F.col(src), name) for src, name in TARGET_LAYOUT if columns is None or name in columns]
+    if columns is None or "CREATE_TMS" in columns:
+        # a string cast to TIMESTAMP_NTZ involves no time zone (a datetime literal would)
+        created = f"{opts.as_of.isoformat()} 00:00:00"
+        mapping.append((F.lit(created).cast("timestamp_ntz"), "CREATE_TMS"))
     return project_mapping(df, mapping)
 
 
-def enriched_table(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
+def enriched_table(t: CampaignTables, opts: CampaignOptions, columns: Sequence[str] | None = None) -> DataFrame:
+    """The enriched claims, or some ``columns`` of them, checkpointed if asked for."""
     enriched = enrich(latest_claims(claim_base(t, opts)), t, opts)
+    if columns is not None:
+        enriched = enriched.select(*columns)
     if opts.checkpoint_enriched:
         from cataloom.session import materialize
 
@@ -249,13 +285,26 @@ def enriched_table(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
     return enriched
 
 
-def run_campaign(t: CampaignTables, opts: CampaignOptions) -> DataFrame:
-    """The whole pipeline as one DataFrame."""
-    enriched = enriched_table(t, opts)
-    return target_projection(add_indicators(with_mail_count(enriched, opts.member_salt_buckets), opts), opts)
+def run_campaign(t: CampaignTables, opts: CampaignOptions, columns: Sequence[str] | None = None) -> DataFrame:
+    """The whole pipeline as one DataFrame (C16), or some output ``columns``.
+
+    Only what these need is read and shuffled; without the mail count the
+    enriched table has one reader and is not checkpointed.
+    """
+    sources = [src for src, name in TARGET_LAYOUT if columns is None or name in columns]
+    derived = [src for src in sources if src in INDICATOR_INPUTS]
+    inputs = [src for src in sources if src not in INDICATOR_INPUTS]
+    inputs += [c for name in derived for c in INDICATOR_INPUTS[name]]
+    counted = "FFM_IND" in derived
+    if not counted:
+        opts = replace(opts, checkpoint_enriched=False)
+    enriched = enriched_table(t, opts, list(dict.fromkeys(inputs)))
+    if counted:
+        enriched = with_mail_count(enriched, opts.member_salt_buckets)
+    return target_projection(add_indicators(enriched, opts, derived), opts, columns)
 
 
 def write_campaign(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """ORC output, overwritten by default (the pipeline's one action)."""
+    """ORC output, overwritten by default."""
     df.write.mode(mode).orc(path)
     return path

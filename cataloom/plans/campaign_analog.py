@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cataloom.plans.campaign import CampaignTables
+from cataloom.plans.campaign import VIEW_FOR, CampaignTables
 
 # Analog definitions of the ten campaign inputs.
 ANALOG_SQL = {
@@ -82,19 +82,6 @@ ANALOG_SQL = {
     ),
 }
 
-VIEW_FOR = {
-    "claims": "V_PHMCY_CLM",
-    "members": "V_MBR_ACCT_HIST",
-    "drugs": "V_DRUG_DENORM",
-    "coverage": "V_MBR_ACCT_CVRG",
-    "cont_coverage": "V_MBR_ACCT_CONT_CVRG",
-    "client_accounts": "V_CLNT_ACCT_DENORM",
-    "pharmacies": "V_PHMCY_DENORM",
-    "plan_options": "V_BNFT_PLAN_RXC_CAG_PLAN_OPTNS",
-    "hierarchy": "V_MBR_ACCT_HRCHY",
-    "programs": "V_MBR_PGM_RX_SCHD_HIST",
-}
-
 DRIVER_TABLES = ["lineitem", "orders", "customer", "part", "nation", "supplier"]
 
 

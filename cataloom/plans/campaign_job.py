@@ -15,8 +15,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from cataloom.plans.campaign import CampaignOptions, CampaignTables, run_campaign, write_campaign
-from cataloom.plans.campaign_analog import VIEW_FOR
+from cataloom.plans.campaign import VIEW_FOR, CampaignOptions, CampaignTables, run_campaign, write_campaign
 from cataloom.sources.catalog import Catalog
 
 

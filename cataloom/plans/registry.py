@@ -1,9 +1,9 @@
 """Registered queries over the driver tables, each with a DuckDB oracle.
 
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLE[name]`` is
-the same result in portable SQL over the driver's table names.  Keys
-without an oracle (sampling, previews, clustering) are checked by row
-count only.  Every query reads whole driver tables.
+the same result in portable SQL over the driver's table names.  Where rows
+are free to differ (samples, previews, clustering) a query returns what has to
+hold for them, checked over all rows.  Every query reads whole driver tables.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from cataloom.plans import campaign as C
 from cataloom.plans import tpch
 from cataloom.plans.campaign_analog import VIEW_FOR, analog_tables, oracle_ctes
 from cataloom.plans.campaign_analog_columns import ANALOG_COLUMNS
-from cataloom.session import shared_path
+from cataloom.session import materialize, shared_path
 from cataloom.sources import derived, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,7 @@ RECENT_AS_OF = dt.date(2001, 12, 31)
 KDE_POINTS = [1.0, 5.5, 10.0, 17.5, 25.0, 32.5, 40.0, 45.5, 50.0]
 HIST_BINS = 10
 CATEGORICAL_MAX_LEVELS = 20
+JSON_ARRAY_KEYS = 1000
 
 # Driver table columns, in file order.
 COLUMNS = {
@@ -71,9 +72,7 @@ def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tpch.table(spark, sf_dir, name)
 
 
-def sig(value: float | None, digits: int = 7) -> float | None:
-    """Round to significant digits the way ``printf('%.6e')`` does."""
-    return None if value is None else float(f"{value:.{digits - 1}e}")
+sig = learn.significant
 
 
 def sql_sig(expr: str, digits: int = 7) -> str:
@@ -218,6 +217,18 @@ def join_composite(spark, d):
     )
 
 
+@register(
+    "equi_join_pairs",
+    "SELECT l_orderkey, l_linenumber, l_linestatus, o_orderkey, o_orderstatus, o_totalprice FROM lineitem "
+    "LEFT JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus",
+)
+def equi_join_pairs(spark, d):
+    """Two tables on two keys; lines of partly shipped orders find no partner."""
+    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    o = T(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return joins.equi_join(li, o, [("l_orderkey", "o_orderkey"), ("l_linestatus", "o_orderstatus")], "left")
+
+
 @register(
     "post_join_subset",
     "SELECT lineitem.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
@@ -275,9 +286,21 @@ def rename_mapping(spark, d):
     )
 
 
-@register("preview_limit")  # rows only: which 20 rows is unspecified
+def beyond_source(source: DataFrame, picked: DataFrame) -> DataFrame:
+    """One row: how many rows were picked, and how many of them are not in the
+    source or more often than there."""
+    names = source.columns
+    both = source.select(*names, F.lit(1).alias("__s"), F.lit(0).alias("__p"))
+    both = both.unionAll(materialize(picked).select(*names, F.lit(0), F.lit(1)))
+    each = both.groupBy(*names).agg(F.sum("__s").alias("__s"), F.sum("__p").alias("__p"))
+    return each.agg(F.sum("__p").alias("picked"), F.sum(F.greatest(F.col("__p") - F.col("__s"), F.lit(0))).alias("beyond_source"))
+
+
+@register("preview_limit", "SELECT CAST(least(20, count(*)) AS BIGINT) AS picked, CAST(0 AS BIGINT) AS beyond_source FROM lineitem")
 def preview_limit(spark, d):
-    return proj.preview(T(spark, d, "lineitem"), 20)
+    """Which 20 rows is unspecified: their number, and that all are the table's."""
+    li = T(spark, d, "lineitem")
+    return beyond_source(li, proj.preview(li, 20))
 
 
 # ====================================================================== A
@@ -331,6 +354,18 @@ def agg_sql_prefix(spark, d):
     )
 
 
+@register(
+    "agg_sql_expression_key",
+    "SELECT coalesce(o_orderstatus, ',') AS status, substr(o_orderpriority, 1, 1) AS level, count(*) AS n_orders "
+    "FROM orders GROUP BY 1, 2",
+)
+def agg_sql_expression_key(spark, d):
+    return agg.group_by_sql(
+        T(spark, d, "orders"), "coalesce(o_orderstatus, ',') AS status, substr(o_orderpriority, 1, 1) AS level",
+        "count(*) AS n_orders",
+    )
+
+
 @register(
     "agg_conditional",
     "SELECT l_suppkey, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_lines, "
@@ -361,8 +396,9 @@ def latest_per_group(spark, d):
 
 @register("latest_per_group_window", LATEST_SQL)
 def latest_per_group_window(spark, d):
+    """The default form with full ties dealt to several tasks."""
     return agg.latest_per_group(
-        T(spark, d, "orders"), ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"], method="window"
+        T(spark, d, "orders"), ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"], method="window", split_ties=8
     )
 
 
@@ -410,6 +446,13 @@ def agg_join_back_window(spark, d):
 
 
 # ====================================================================== J8
+def _linked_sql(child: str, parent: str) -> str:
+    """Rows of the child table that have a parent row."""
+    ct, cc = child.split(".")
+    pt, pc = parent.split(".")
+    return f"(SELECT count(*) FROM {ct} x WHERE EXISTS (SELECT 1 FROM {pt} y WHERE y.{pc} = x.{cc}))"
+
+
 def _fk_edges_sql() -> str:
     parts = []
     for child, parent in tpch.FOREIGN_KEYS:
@@ -419,21 +462,28 @@ def _fk_edges_sql() -> str:
             f"SELECT 'tpch.{ct}' AS child_table, 'tpch.{pt}' AS parent_table, '{cc}' AS child_column, "
             f"'{pc}' AS parent_column, (SELECT count(*) FROM {ct}) AS child_rows, "
             f"(SELECT count(*) FROM {ct} x WHERE x.{cc} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {pt} y WHERE y.{pc} = x.{cc})) AS orphan_rows"
+            f"(SELECT 1 FROM {pt} y WHERE y.{pc} = x.{cc})) AS orphan_rows, {_linked_sql(child, parent)} AS linked_rows"
         )
     return " UNION ALL ".join(parts)
 
 
 def _fk_adjacency_sql() -> str:
     names = sorted(tpch.TABLES)
-    links = {(c.split(".")[0], p.split(".")[0]) for c, p in tpch.FOREIGN_KEYS}
     rows = []
     for t in tpch.TABLES:
-        cells = ", ".join(f"{1 if (t, n) in links else 0} AS {n}" for n in names)
-        rows.append(f"SELECT 'tpch.{t}' AS table_name, {cells}")
+        cells = []
+        for n in names:
+            links = [_linked_sql(c, p) for c, p in tpch.FOREIGN_KEYS if (c.split(".")[0], p.split(".")[0]) == (t, n)]
+            cells.append(f"CAST({' + '.join(links) or 0} AS BIGINT) AS {n}")
+        rows.append(f"SELECT 'tpch.{t}' AS table_name, {', '.join(cells)}")
     return " UNION ALL ".join(rows)
 
 
+def _lonely_sql(table: str) -> str:
+    links = [_linked_sql(c, p) for c, p in tpch.FOREIGN_KEYS if c.split(".")[0] == table]
+    return f"SELECT 'tpch.{table}' AS table_name WHERE {' + '.join(links) or 0} = 0"
+
+
 @register("fk_edges", _fk_edges_sql())
 def fk_edges(spark, d):
     return fkgraph.fk_edges(tpch.catalog(spark, d))
@@ -441,17 +491,11 @@ def fk_edges(spark, d):
 
 @register("fk_adjacency", _fk_adjacency_sql())
 def fk_adjacency(spark, d):
-    return fkgraph.fk_adjacency(tpch.catalog(spark, d))
+    """Cells hold the number of linked rows."""
+    return fkgraph.fk_adjacency(tpch.catalog(spark, d), counts=True)
 
 
-@register(
-    "tables_without_fks",
-    " UNION ALL ".join(
-        f"SELECT 'tpch.{t}' AS table_name"
-        for t in tpch.TABLES
-        if t not in {c.split('.')[0] for c, _ in tpch.FOREIGN_KEYS}
-    ),
-)
+@register("tables_without_fks", " UNION ALL ".join(_lonely_sql(t) for t in tpch.TABLES))
 def tables_without_fks(spark, d):
     cat = tpch.catalog(spark, d)
     return fkgraph.tables_without_foreign_keys(cat, fkgraph.fk_edges(cat))
@@ -499,14 +543,25 @@ def row_count(spark, d):
     return profile.row_count(T(spark, d, "lineitem"))
 
 
-@register("sample_percent")  # rows only: Bernoulli sample
+def _sampled(spark, d, expected, **how):
+    li = T(spark, d, "lineitem")
+    n = li.count()
+    mean = expected(n)
+    band = 5 * (mean * (1 - mean / max(n, 1))) ** 0.5 + 1
+    return beyond_source(li, profile.sample(li, seed=7, **how)).select("beyond_source", F.col("picked").between(mean - band, mean + band).alias("size_in_band"))
+
+
+@register("sample_percent", "SELECT CAST(0 AS BIGINT) AS beyond_source, true AS size_in_band")
 def sample_percent(spark, d):
-    return profile.sample(T(spark, d, "lineitem"), percent=10, seed=7)
+    """Bernoulli sample: every row is the table's, and its size is within five
+    standard deviations of a tenth."""
+    return _sampled(spark, d, lambda n: n / 10, percent=10)
 
 
-@register("sample_count")  # rows only: about 100 rows expected
+@register("sample_count", "SELECT CAST(0 AS BIGINT) AS beyond_source, true AS size_in_band")
 def sample_count(spark, d):
-    return profile.sample(T(spark, d, "lineitem"), count=100, seed=7)
+    """The same with about 100 rows expected."""
+    return _sampled(spark, d, lambda n: min(n, 100), count=100)
 
 
 def _categorical_sql(table: str) -> str:
@@ -535,10 +590,10 @@ def categorical_columns_documents(spark, d):
 @register(
     "density_bins",
     f"WITH b AS (SELECT min(l_quantity) AS lo, (max(l_quantity) - min(l_quantity)) / {HIST_BINS} AS w FROM lineitem), "
-    f"x AS (SELECT CAST(least(floor((l_quantity - lo) / w), {HIST_BINS - 1}) AS BIGINT) AS bin, lo, w "
-    "FROM lineitem, b WHERE l_quantity IS NOT NULL) "
-    "SELECT bin, round(lo + bin * w, 6) AS bin_low, round(lo + (bin + 1) * w, 6) AS bin_high, count(*) AS n "
-    "FROM x GROUP BY bin, lo, w",
+    f"x AS (SELECT CAST(least(floor((l_quantity - lo) / w), {HIST_BINS - 1}) AS BIGINT) AS bin "
+    "FROM lineitem, b WHERE l_quantity IS NOT NULL), c AS (SELECT bin, count(*) AS n FROM x GROUP BY bin) "
+    f"SELECT i AS bin, round(lo + i * w, 6) AS bin_low, round(lo + (i + 1) * w, 6) AS bin_high, coalesce(n, 0) AS n "
+    f"FROM range({HIST_BINS}) r(i) CROSS JOIN b LEFT JOIN c ON c.bin = r.i",
 )
 def density_bins(spark, d):
     return profile.histogram(T(spark, d, "lineitem"), "l_quantity", HIST_BINS)
@@ -546,7 +601,8 @@ def density_bins(spark, d):
 
 @register(
     "density_kde",
-    "WITH s AS (SELECT count(l_quantity) AS n, 1.06 * stddev_samp(l_quantity) * pow(count(l_quantity), -0.2) AS h "
+    "WITH s AS (SELECT count(l_quantity) AS n, 0.9 * least(stddev_samp(l_quantity), (quantile_cont(l_quantity, 0.75) "
+    "- quantile_cont(l_quantity, 0.25)) / 1.34) * pow(count(l_quantity), -0.2) AS h "
     f"FROM lineitem), p(x) AS (VALUES {', '.join(f'({v})' for v in KDE_POINTS)}) "
     "SELECT CAST(p.x AS DOUBLE) AS x, round(sum(exp(-0.5 * ((p.x - l_quantity) / h) * ((p.x - l_quantity) / h))) "
     "/ (n * h * sqrt(2 * pi())), 6) AS density FROM lineitem, p, s WHERE l_quantity IS NOT NULL GROUP BY p.x, n, h",
@@ -688,6 +744,13 @@ def campaign_full(spark, d):
     return C.run_campaign(analog_tables(spark, d), _opts())
 
 
+@register("campaign_written", ORACLE["campaign_full"])
+def campaign_written(spark, d):
+    """The ORC output, read back."""
+    path = C.write_campaign(C.run_campaign(analog_tables(spark, d), _opts()), shared_path(spark, "campaign"))
+    return spark.read.orc(path)
+
+
 FLAG_QUERIES = {
     "flag_ffm": ["DLVRY_SYSTM_CD", "FFM_IND"],
     "flag_minor": ["MBR_CURR_AGE", "MINOR_IND"],
@@ -702,7 +765,7 @@ for _name, _cols in FLAG_QUERIES.items():
     _keys = ["MBR_OPPTY_GID", "MBR_ACCT_GID"] + _cols
 
     def _flag(spark, d, _keys=_keys):
-        return C.run_campaign(analog_tables(spark, d), _opts()).select(*_keys)
+        return C.run_campaign(analog_tables(spark, d), _opts(), _keys).select(*_keys)
 
     register(_name, _campaign_sql(f"SELECT {', '.join(_keys)} FROM TARGET"))(_flag)
 
@@ -748,6 +811,89 @@ def orc_roundtrip(spark, d):
     return files.read_table(spark, doc)
 
 
+@register("orc_append", "SELECT c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def orc_append(spark, d):
+    """ORC written anew, then appended to."""
+    path = shared_path(spark, "orc_append")
+    derived.write_orc(T(spark, d, "customer").selectExpr("c_custkey AS k", "c_name AS name"), path)
+    derived.write_orc_new(T(spark, d, "supplier").selectExpr("s_suppkey AS k", "s_name AS name"), path, mode="append")
+    return files.to_df(path, spark=spark)
+
+
+@register("orc_layout_three_levels", "SELECT * FROM orders")
+def orc_layout_three_levels(spark, d):
+    """The ingestion layout with plain folders below it: <part>/<batch>/<file>."""
+    from cataloom.sources.catalog import TableDoc
+
+    root = shared_path(spark, "orc_levels")
+    orders = T(spark, d, "orders")
+    for part in range(3):
+        rows = orders.where(F.coalesce(F.pmod("o_orderkey", F.lit(3)), F.lit(0)) == part)
+        derived.write_orc(rows, f"{root}/orders_t1/merged/orc/part{part}/batch")
+    return files.read_table(spark, TableDoc(source="ingested", table="orders", id="orders_t1", format="orc", source_path=root))
+
+
+@register("json_array_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def json_array_roundtrip(spark, d):
+    """Files that each hold one JSON array, of the customers of a key range."""
+    path = shared_path(spark, "json_arrays")
+    rows = T(spark, d, "customer").withColumn("part", F.floor(F.col("c_custkey") / JSON_ARRAY_KEYS))
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*COLUMNS["customer"]))).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    schema = "c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string"
+    return files.read_json_array(spark, path, schema=schema).select(*COLUMNS["customer"])
+
+
+@register(
+    "to_df_name_and_path",
+    "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+)
+def to_df_name_and_path(spark, d):
+    """One side by catalogued name, one by path."""
+    orders = files.to_df(tpch.q("orders"), catalog=tpch.catalog(spark, d, ["orders"]))
+    customer = files.to_df(f"{d}/customer.parquet", spark=spark, fmt="parquet")
+    return joins.equi_join(orders, customer, [("o_custkey", "c_custkey")]).select("o_orderkey", "c_name")
+
+
+def _stored_catalog(spark, d):
+    """A source and a data model of one name, saved as documents and loaded."""
+    from cataloom.sources.catalog import Catalog, write_catalog_json
+
+    source = tpch.catalog(spark, d, ["orders"])
+    model = Catalog.from_files(spark, tpch.SOURCE, d, ["customer"], kind="datamodel")
+    paths = shared_path(spark, "catalog", "sources"), shared_path(spark, "catalog", "tables")
+    write_catalog_json(source.union(model), *paths)
+    return Catalog.from_json(spark, *paths)
+
+
+@register("load_sources_scan", "SELECT 'tpch.orders' AS table_name, * FROM orders")
+def load_sources_scan(spark, d):
+    cat = _stored_catalog(spark, d).load_sources(tpch.SOURCE)
+    (name,) = cat.docs()
+    return cat.read(name).select(F.lit(name).alias("table_name"), "*")
+
+
+@register("load_datamodel_scan", "SELECT 'tpch.customer' AS table_name, * FROM customer")
+def load_datamodel_scan(spark, d):
+    cat = _stored_catalog(spark, d).load_datamodels(tpch.SOURCE)
+    (name,) = cat.docs()
+    return cat.read(name).select(F.lit(name).alias("table_name"), "*")
+
+
+@register("derived_reload", "SELECT o_custkey, count(o_orderkey) AS n_orders FROM orders GROUP BY o_custkey")
+def derived_reload(spark, d):
+    """A derived table found again through the saved catalog documents."""
+    from cataloom.sources.catalog import Catalog, write_catalog_json
+
+    cat = tpch.catalog(spark, d, ["orders"])
+    grouped = agg.aggregate(Tracked(T(spark, d, "orders"), (tpch.q("orders"),)), "o_custkey", n_orders=("n", "o_orderkey"))
+    cat = derived.save_derived_table(grouped, cat, "derived_src", "orders_per_customer")
+    paths = shared_path(spark, "catalog", "sources"), shared_path(spark, "catalog", "tables")
+    write_catalog_json(cat, *paths)
+    back = Catalog.from_json(spark, *paths).load_sources("derived_src")
+    return back.read("derived_src.orders_per_customer")
+
+
 @register(
     "derived_table_roundtrip",
     "SELECT s_nationkey, count(s_suppkey) AS n_suppliers FROM supplier GROUP BY s_nationkey",
@@ -767,8 +913,6 @@ def derived_table_roundtrip(spark, d):
 def derived_save_drop(spark, d):
     """Save a derived table, read it back, then drop its schema and data.
     The read-back is checkpointed first, so the result outlives the drop."""
-    from cataloom.session import materialize
-
     cat = tpch.catalog(spark, d, ["supplier"])
     grouped = agg.aggregate(Tracked(T(spark, d, "supplier"), (tpch.q("supplier"),)),
                             "s_nationkey", n_suppliers=("n", "s_suppkey"))
@@ -898,17 +1042,46 @@ def lm_anova(spark, d):
 KMEANS_PARTITIONS = 16
 
 
-@register("kmeans_k3")  # rows only: one assignment per lineitem
+def _kmeans_sql(table: str, k: int) -> str:
+    return f"SELECT count(*) AS n_rows, {k} AS n_clusters, true AS nearest, true AS better_than_one FROM {table}"
+
+
+def _kmeans_checked(model, assigned: DataFrame, features) -> DataFrame:
+    """What has to hold for a clustering, over every assigned row: each sits
+    with its nearest centre, and the total cost is not above that of one cluster."""
+    centers = [[float(v) for v in c] for c in model.clusterCenters()]
+    value = F.transform(features, lambda x: x.cast("double"))
+
+    def cost(center):
+        return F.aggregate(F.zip_with("f", F.array(*[F.lit(v) for v in center]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
+
+    costs = assigned.select("cluster", value.alias("f")).withColumn("costs", F.array(*[cost(c) for c in centers]))
+    own = F.col("costs")[F.col("cluster")]
+    apart = [F.var_pop(F.col("f")[i]) for i in range(len(centers[0]))]
+    alone = sum(apart[1:], apart[0]) * F.count(F.lit(1))
+    return costs.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("cluster").cast("int").alias("n_clusters"),
+        F.bool_and(own <= F.array_min("costs") * (1 + 1e-9) + 1e-9).alias("nearest"),
+        (F.sum(own) <= alone * (1 + 1e-9)).alias("better_than_one"),
+    )
+
+
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("kmeans_k3", _kmeans_sql("lineitem", 3))
 def kmeans_k3(spark, d):
-    _, assigned = learn.kmeans(
-        T(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], k=3, max_iter=50,
-        id_cols=["l_orderkey", "l_linenumber"], partitions=KMEANS_PARTITIONS,
+    model, assigned = learn.kmeans(
+        T(spark, d, "lineitem"), LINE_FEATURES, k=3, max_iter=50,
+        id_cols=["l_orderkey", "l_linenumber", *LINE_FEATURES], partitions=KMEANS_PARTITIONS,
     )
-    return assigned
+    return _kmeans_checked(model, assigned, F.array(*LINE_FEATURES))
 
 
-@register("kmeans_nested")  # rows only: nested struct fields from JSON
+@register("kmeans_nested", _kmeans_sql("events", 3))
 def kmeans_nested(spark, d):
+    """Nested struct fields, from JSON."""
     ev = T(spark, d, "events").select(
         "event_id",
         F.struct(
@@ -919,23 +1092,26 @@ def kmeans_nested(spark, d):
         ).alias("rx_fill"),
     )
     flat = ev.select("event_id", "rx_fill.*")
-    _, assigned = learn.kmeans(flat, ["value", "user", "k", "hour"], k=3, max_iter=50, id_cols=["event_id"], partitions=KMEANS_PARTITIONS)
-    return assigned
+    fields = ["value", "user", "k", "hour"]
+    model, assigned = learn.kmeans(flat, fields, k=3, max_iter=50, id_cols=["event_id", *fields], partitions=KMEANS_PARTITIONS)
+    return _kmeans_checked(model, assigned, F.array(*fields))
 
 
-@register("kmeans_k5")  # rows only: embedding vectors
+@register("kmeans_k5", _kmeans_sql("embeddings", 5))
 def kmeans_k5(spark, d):
-    _, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id"], partitions=KMEANS_PARTITIONS)
-    return assigned
+    """Embedding vectors."""
+    model, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id", "embedding"], partitions=KMEANS_PARTITIONS)
+    return _kmeans_checked(model, assigned, F.col("embedding"))
 
 
-@register("kmeans_centers")  # rows only: k rows
+@register("kmeans_centers", "SELECT 3 AS n_centers, count(*) AS n_rows, 4 AS center_size FROM lineitem")
 def kmeans_centers(spark, d):
     model, assigned = learn.kmeans(
-        T(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], k=3, max_iter=50,
-        id_cols=["l_orderkey"],
+        T(spark, d, "lineitem"), LINE_FEATURES, k=3, max_iter=50, id_cols=["l_orderkey", "l_linenumber"], partitions=KMEANS_PARTITIONS,
+    )
+    return learn.cluster_centers(model, assigned).agg(
+        F.count_distinct("cluster").cast("int").alias("n_centers"), F.sum("size").alias("n_rows"), F.max(F.size("center")).alias("center_size")
     )
-    return learn.cluster_centers(model, assigned)
 
 
 # ====================================================================== streaming (A3 kept in state)

@@ -54,6 +54,9 @@ TABLE_SCHEMA = T.StructType(
     ]
 )
 
+# a table document as a catalog keeps it; without a kind it belongs to either
+TABLE_DOC_SCHEMA = T.StructType([*TABLE_SCHEMA.fields, T.StructField("kind", T.StringType())])
+
 
 @dataclass(frozen=True)
 class Relation:
@@ -75,6 +78,7 @@ class TableDoc:
     fk: tuple[tuple[Relation, ...], ...] = ()
     source_path: str | None = None
     source_type: str | None = None
+    kind: str | None = None
 
     @property
     def qualified(self) -> str:
@@ -94,12 +98,16 @@ class Catalog:
     tables: DataFrame
     _docs: dict[str, TableDoc] = field(default_factory=dict, repr=False)
 
+    def __post_init__(self) -> None:
+        if "kind" not in self.tables.columns:
+            self.tables = self.tables.withColumn("kind", F.lit(None).cast("string"))
+
     # ------------------------------------------------------------ builders
     @classmethod
     def from_json(cls, spark: SparkSession, sources_path: str, tables_path: str) -> "Catalog":
         """Read catalog documents (JSON lines) with a fixed schema."""
         sources = spark.read.schema(SOURCE_SCHEMA).json(sources_path)
-        tables = spark.read.schema(TABLE_SCHEMA).json(tables_path)
+        tables = spark.read.schema(TABLE_DOC_SCHEMA).json(tables_path)
         return cls(spark, sources, tables)
 
     @classmethod
@@ -136,18 +144,18 @@ class Catalog:
             names = spark.read.format(fmt).load(path).schema.fieldNames()
             columns = [(c, i + 1) for i, c in enumerate(names)]
             table_rows.append(
-                (source, name, name, "original", fmt, path, columns, by_child.get(name, []))
+                (source, name, name, "original", fmt, path, columns, by_child.get(name, []), kind)
             )
         sources = spark.createDataFrame(source_row, SOURCE_SCHEMA)
-        tables = spark.createDataFrame(table_rows, TABLE_SCHEMA)
+        tables = spark.createDataFrame(table_rows, TABLE_DOC_SCHEMA)
         # the documents are already known here: no need to collect them back
         docs = {}
-        for src, name, tid, origin, tfmt, path, columns, fks in table_rows:
+        for src, name, tid, origin, tfmt, path, columns, fks, _ in table_rows:
             doc = TableDoc(
                 source=src, table=name, id=tid, origin=origin, format=tfmt, path=path,
                 columns=tuple(c for c, _ in columns),
                 fk=tuple(tuple(Relation(*r) for r in rels) for (rels,) in fks),
-                source_path=root, source_type=fmt,
+                source_path=root, source_type=fmt, kind=kind,
             )
             docs[doc.qualified] = doc
         return cls(spark, sources, tables, docs)
@@ -164,9 +172,9 @@ class Catalog:
     def _restrict(self, kind: str, names) -> "Catalog":
         wanted = [n.split(".")[-1] for n in names]
         sources = self.sources.filter((F.col("kind") == kind) & F.col("name").isin(wanted))
-        tables = self.tables.join(
-            sources.select(F.col("name").alias("source")), "source", "left_semi"
-        )
+        own = self.tables.filter(F.col("kind").isNull() | (F.col("kind") == kind))
+        tables = own.join(sources.select(F.col("name").alias("source")), "source", "left_semi")
+        tables = tables.select(*TABLE_DOC_SCHEMA.fieldNames())
         return Catalog(self.spark, sources, tables)
 
     def union(self, other: "Catalog") -> "Catalog":
@@ -177,14 +185,18 @@ class Catalog:
         )
 
     def with_table(self, doc: TableDoc) -> "Catalog":
-        """A catalog that also holds ``doc`` (replacing a same-named entry)."""
-        row = self.spark.createDataFrame([_doc_row(doc)], TABLE_SCHEMA)
+        """A catalog that also holds ``doc`` (replacing a same-named entry) and
+        a row for its source."""
+        known = self.sources.filter((F.col("name") == doc.source) & (F.col("kind") == (doc.kind or "source")))
+        own = self.spark.createDataFrame([(doc.source, doc.source, doc.source_path, doc.format, doc.kind or "source")], SOURCE_SCHEMA)
+        sources = self.sources.unionByName(own.join(known.select("name"), "name", "left_anti").select(*SOURCE_SCHEMA.fieldNames()))
+        row = self.spark.createDataFrame([_doc_row(doc)], TABLE_DOC_SCHEMA)
         kept = self.tables.filter(
             ~((F.col("source") == doc.source) & (F.col("table") == doc.table))
         )
         docs = dict(self.docs())
         docs[doc.qualified] = doc
-        return Catalog(self.spark, self.sources, kept.unionByName(row), docs)
+        return Catalog(self.spark, sources, kept.unionByName(row), docs)
 
     def without_table(self, qualified: str) -> "Catalog":
         source, table = qualified.split(".", 1)
@@ -197,8 +209,8 @@ class Catalog:
         """All table documents by qualified name (metadata only)."""
         if not self._docs:
             src = {
-                r["name"]: (r["hdfs_path"], r["source_type"])
-                for r in self.sources.select("name", "hdfs_path", "source_type").collect()
+                (r["name"], r["kind"]): (r["hdfs_path"], r["source_type"])
+                for r in self.sources.select("name", "hdfs_path", "source_type", "kind").collect()
             }
             for r in self.tables.collect():
                 fks = tuple(
@@ -206,12 +218,13 @@ class Catalog:
                     for fk in (r["fk"] or [])
                 )
                 cols = tuple(c["name"] for c in sorted(r["columns"] or [], key=lambda c: c["at"]))
-                spath, stype = src.get(r["source"], (None, None))
+                kinds = [r["kind"]] if r["kind"] else ["source", "datamodel", None]
+                spath, stype = next((src[r["source"], k] for k in kinds if (r["source"], k) in src), (None, None))
                 doc = TableDoc(
                     source=r["source"], table=r["table"], id=r["id"],
                     origin=r["origin"] or "original", format=r["format"] or "orc",
                     path=r["path"], columns=cols, fk=fks,
-                    source_path=spath, source_type=stype,
+                    source_path=spath, source_type=stype, kind=r["kind"],
                 )
                 self._docs[doc.qualified] = doc
         return self._docs
@@ -293,7 +306,7 @@ def _doc_row(doc: TableDoc) -> tuple:
     return (
         doc.source, doc.table, doc.id, doc.origin, doc.format, doc.path,
         [(c, i + 1) for i, c in enumerate(doc.columns)],
-        [([(r.t, r.ft, r.f_by, r.by) for r in fk],) for fk in doc.fk],
+        [([(r.t, r.ft, r.f_by, r.by) for r in fk],) for fk in doc.fk], doc.kind,
     )
 
 

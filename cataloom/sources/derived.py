@@ -1,9 +1,9 @@
 """Sinks and the derived-table life cycle (K1-K5).
 
-A derived table is a managed Spark table in a database named after its
-source, so its files live in the warehouse (shared storage on a cluster),
-``DROP TABLE`` removes them, and table properties record
-``origin='derived'`` plus the foreign keys it inherited.  The package
+A derived table is an external Spark table in a database named after its
+source; its files live in shared storage, table properties record
+``origin='derived'`` plus the foreign keys it inherited, and saving it again
+or dropping it removes the files it had.  The package
 catalog gets a matching document, so derived tables join like any other
 (without ``table__`` renaming).
 """
@@ -73,7 +73,8 @@ def save_derived_table(
     Data goes to ``location`` (default: a fresh folder in the shared
     checkpoint storage), then an external Spark table ``source.table`` is
     (re)registered there with ``origin='derived'`` and the inherited FKs as
-    table properties.  Returns a catalog that also holds the document.
+    table properties.  Files of an earlier save are removed once the new table
+    stands.  Returns a catalog that also holds the document and its source.
     """
     from cataloom.session import shared_path
 
@@ -87,11 +88,15 @@ def save_derived_table(
     df.write.format(fmt).mode("overwrite").save(location)
     fk_json = json.dumps([[r.__dict__ for r in fk] for fk in fks]).replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{source}`")
+    before = registered_location(spark, f"`{source}`.`{table}`")
     spark.sql(f"DROP TABLE IF EXISTS `{source}`.`{table}`")
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE `{source}`.`{table}` USING {fmt} LOCATION '{location}' "
+        f"CREATE TABLE `{source}`.`{table}` USING {fmt} LOCATION '{quoted}' "
         f"TBLPROPERTIES ('origin'='derived', 'fk'='{fk_json}')"
     )
+    if before and before != registered_location(spark, f"`{source}`.`{table}`"):
+        delete_path(spark, before)
     doc = TableDoc(
         source=source, table=table, id=table, origin="derived", format=fmt,
         path=location, columns=tuple(df.columns), fk=fks,
@@ -99,6 +104,14 @@ def save_derived_table(
     return catalog.with_table(doc)
 
 
+def registered_location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a derived table in Spark's catalog; None for another table or none."""
+    if not spark.catalog.tableExists(name) or table_properties(spark, name).get("origin") != "derived":
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
     return {r["key"]: r["value"] for r in rows}

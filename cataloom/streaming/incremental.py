@@ -51,16 +51,21 @@ def incremental_max(
     stream: DataFrame,
     keys: Sequence[str],
     value: str,
-    watermark: tuple[str, str] | None = None,
+    window: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """Running max of ``value`` and row count per group, kept in state.
 
-    With ``watermark=(event_time_column, delay)`` state for old windows can
-    be dropped; without it state grows with the number of groups.
+    State grows with the number of groups.  With ``window=(event_time, width,
+    delay)`` groups are also split by event-time window (column ``window``),
+    and windows older than the delay leave the state; write these in append or
+    update mode, since complete mode keeps all of them.
     """
-    if watermark:
-        stream = stream.withWatermark(*watermark)
-    return stream.groupBy(*keys).agg(
+    groups = list(keys)
+    if window:
+        event_time, width, delay = window
+        stream = stream.withWatermark(event_time, delay)
+        groups.append(F.window(event_time, width).alias("window"))
+    return stream.groupBy(*groups).agg(
         F.max(value).alias(f"max_{value}"),
         F.count(F.lit(1)).alias("n_rows"),
     )
@@ -75,8 +80,9 @@ def write_stream_snapshots(
 ):
     """Write the full aggregate state at every micro-batch (complete mode).
 
-    Each batch overwrites ``path`` with the current result, so readers see
-    one consistent snapshot; the checkpoint records offsets and state.
+    Each batch overwrites ``path`` with the current result: read it between
+    batches, an overwrite deletes first.  The checkpoint records offsets and
+    state.
     Returns the started query.
     """
 
@@ -114,15 +120,18 @@ def run_latest_stream(
     keys: Sequence[str],
     value: str,
     file_glob: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Process everything in ``folder`` as a stream and return the result.
 
+    ``max_files_per_trigger`` bounds a micro-batch; each one writes the result.
+
     Uses ``availableNow`` (all current files, in as many batches as needed,
     then stop) and reads the written snapshot back as a batch DataFrame.
     """
     out = shared_path(spark, "stream_out")
     ckpt = shared_path(spark, "stream_checkpoint")
-    stream = read_table_stream(spark, folder=folder, file_glob=file_glob, max_files_per_trigger=1)
+    stream = read_table_stream(spark, folder=folder, file_glob=file_glob, max_files_per_trigger=max_files_per_trigger)
     query = write_stream_snapshots(incremental_max(stream, keys, value), out, ckpt)
     query.awaitTermination()
     exc = query.exception()

@@ -8,7 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("CATALOOM_ORACLE_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")

@@ -96,11 +96,13 @@ def test_latest_methods_agree_random(spark):
         for method in ["struct_max", "window", "join_back"]:
             got = sorted(r.tag for r in A.latest_per_group(df, ["k1", "k2"], ["d", "id"], method=method).collect())
             assert got == want, (trial, method)
+        got = sorted(r.tag for r in A.latest_per_group(df, ["k1", "k2"], ["d", "id"], split_ties=3).collect())
+        assert got == want, trial
 
 
 def test_latest_struct_max_plan_has_no_window(spark):
     df = spark.createDataFrame(EDGE_ROWS, SCHEMA)
-    lazy = A.latest_per_group(df, ["k1", "k2"], ["d", "id"], materialize_winners=False)
+    lazy = A.latest_per_group(df, ["k1", "k2"], ["d", "id"], method="join_back", materialize_winners=False)
     plan = lazy._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "partial_max" in plan  # combined map-side before the shuffle
@@ -126,5 +128,12 @@ def test_latest_methods_agree_timestamp_bigint(spark):
     for method in ["struct_max", "window", "join_back"]:
         got = sorted(r.tag for r in A.latest_per_group(df, ["k1", "k2"], ["d", "id"], method=method).collect())
         assert got == want, method
-    plan = A.latest_per_group(df, ["k1", "k2"], ["d", "id"])._jdf.queryExecution().executedPlan().toString()
+    plan = A.latest_per_group(df, ["k1", "k2"], ["d", "id"], method="join_back")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Window" not in plan
+
+
+def test_group_keys_with_commas_inside(spark):
+    assert A.split_expressions("a, coalesce(b, f(c, 1)) AS x, ',' , `q,r`") == ["a", "coalesce(b, f(c, 1)) AS x", "','", "`q,r`"]
+    df = spark.createDataFrame([(None, 1), (2, 1), (1, 5)], "a int, b int")
+    got = A.group_by_sql(df, "coalesce(a, b) AS k", "count(*) AS n").collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2), (2, 1)]

@@ -152,3 +152,20 @@ def test_ingestion_layout_with_plain_nested_folders(spark, scratch_dir):
     doc = TableDoc(source="s", table="t", id="t9", format="orc", source_path=root)
     df = files.read_table(spark, doc)
     assert df.count() == 15 and df.columns == ["id"]
+
+
+def test_sources_and_datamodels_of_one_name_stay_apart(spark):
+    both = Catalog.from_files(spark, "m", SF, ["nation"], fmt="parquet").union(Catalog.from_files(spark, "m", SF, ["region"], kind="datamodel"))
+    assert list(both.load_sources("m").docs()) == ["m.nation"]
+    assert list(both.load_datamodels("m").docs()) == ["m.region"]
+
+
+def test_fk_edges_count_orphans_nulls_and_other_types(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(1, "a", "10"), (2, "b", "11"), (None, "a", "x"), (9, "b", None)]
+    spark.createDataFrame(rows, "p int, q string, r string").write.parquet(f"{root}/child.parquet")
+    spark.createDataFrame([(1, "a"), (2, "a"), (10, "b")], "p bigint, q string").write.parquet(f"{root}/parent.parquet")
+    keys = [("child.p", "parent.p"), [("child.p", "parent.p"), ("child.q", "parent.q")], ("child.r", "parent.p")]
+    cat = Catalog.from_files(spark, "s", root, ["child", "parent"], keys)
+    got = {r.child_column: (r.child_rows, r.orphan_rows, r.linked_rows) for r in fkgraph.fk_edges(cat).collect()}
+    assert got == {"p": (4, 1, 2), "p,q": (4, 2, 1), "r": (4, 2, 1)}

@@ -44,3 +44,22 @@ def test_orc_writers(spark, scratch_dir):
         derived.write_orc_new(df, path)
     derived.write_orc_new(df, path, mode="append")
     assert spark.read.orc(path).count() == 10
+
+
+def test_saving_again_removes_the_old_files(spark):
+    cat = tpch.catalog(spark, SF, ["nation"])
+    nation = cat.read("tpch.nation")
+    cat = derived.save_derived_table(nation, cat, "dsrc", "again")
+    first = cat.doc("dsrc.again").path
+    cat = derived.save_derived_table(nation.limit(3), cat, "dsrc", "again")
+    assert not os.path.exists(first.replace("file:", "")) and cat.read("dsrc.again").count() == 3
+    assert spark.table("dsrc.again").count() == 3
+    assert list(cat.load_sources("dsrc").docs()) == ["dsrc.again"]
+    derived.drop_derived_table(cat, "dsrc.again")
+
+
+def test_location_with_a_quote(spark, scratch_dir):
+    cat = tpch.catalog(spark, SF, ["region"])
+    cat = derived.save_derived_table(cat.read("tpch.region"), cat, "dsrc", "quoted", location=os.path.join(scratch_dir, "it's here"))
+    assert cat.read("dsrc.quoted").count() == 5 and spark.table("dsrc.quoted").count() == 5
+    derived.drop_derived_table(cat, "dsrc.quoted")

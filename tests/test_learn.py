@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from cataloom.operators import learn
 
+# Dried plant weights of a control and a treated group (Dobson,
+# An Introduction to Generalized Linear Models, 1990, table 7.1).
 CTL = [4.17, 5.58, 5.18, 6.11, 4.50, 4.61, 5.17, 4.53, 5.33, 5.14]
 TRT = [4.81, 4.17, 4.41, 3.59, 5.87, 3.83, 6.03, 4.89, 4.32, 4.69]
 
@@ -74,3 +76,14 @@ def test_coefficient_table(plants):
     assert rows["(Intercept)"][1] == pytest.approx(5.032) and rows["(Intercept)"][2] == pytest.approx(0.2202, abs=1e-4)
     assert rows["Trt"][1] == pytest.approx(-0.371) and rows["Trt"][2] == pytest.approx(0.3114, abs=1e-4)
     assert rows["Trt"][3] == pytest.approx(-1.191, abs=1e-3) and rows["Trt"][4] == pytest.approx(0.249, abs=1e-3)
+
+
+def test_f_survival_keeps_digits_at_large_n():
+    # limits for d2 -> infinity: chi-square tails
+    import math
+
+    assert learn.f_survival(1.0, 1, 1e12) == pytest.approx(math.erfc(math.sqrt(0.5)), rel=1e-8)
+    assert learn.f_survival(1.0, 2, 1e12) == pytest.approx(math.exp(-1.0), rel=1e-8)
+    three = math.erfc(math.sqrt(1.5)) + math.sqrt(6 / math.pi) * math.exp(-1.5)
+    assert learn.f_survival(1.0, 3, 1e12) == pytest.approx(three, rel=1e-8)
+    assert learn.f_survival(3.0, 2, 5000) == pytest.approx((1 + 6 / 5000) ** -2500, rel=1e-8)

@@ -8,9 +8,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__ as entry  # noqa: E402
-from conftest import SF_ORACLE  # noqa: E402
 from oracle_compare import compare, duck  # noqa: E402
 
+SF_ORACLE = os.environ.get("CATALOOM_ORACLE_SF", "/root/testdata/sf0.001")
 KEYS = sorted(entry.queries())
 
 
@@ -22,8 +22,9 @@ def con():
 @pytest.mark.parametrize("name", KEYS)
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF_ORACLE)
-    if r["exact"] is None:
-        assert r["rows"] >= 0
+    if r["exact"] is None:  # corpus queries without SQL, tested against brute force
+        assert name.startswith("op") or name == "pipeline"
+        assert r["rows"] > 0
         return
     assert r["cols"], r.get("detail")
     assert r["rows"] == r["oracle_rows"]

@@ -38,17 +38,33 @@ def test_range_join_is_an_equi_join(spark, q):
     assert "HashJoin" in plan or "SortMergeJoin" in plan
 
 
-def test_latest_per_group_is_skew_safe(spark, q):
+def test_latest_per_group_reads_once_and_limits_groups_early(spark, q):
     plan = plan_of(q["latest_per_group"](spark, SF))
+    assert plan.count("FileScan parquet") <= 2  # the adaptive plan shows its initial plan too
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "Join" not in plan
+    from cataloom.operators.aggregate import latest_per_group
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    keys, order = ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"]
+    plan = plan_of(latest_per_group(orders, keys, order, method="join_back"))
     # winners are checkpointed: the final step is a semi-join of two shuffles
     assert "Window" not in plan and "SortAggregate" not in plan
     assert "LeftSemi" in plan and "ExistingRDD" in plan
-    from cataloom.operators.aggregate import latest_per_group
+    assert "partial_max" in plan_of(latest_per_group(orders, keys, order, method="join_back", materialize_winners=False))
 
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    lazy = latest_per_group(orders, ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"],
-                            materialize_winners=False)
-    assert "partial_max" in plan_of(lazy)
+
+def test_fk_edges_reads_a_table_once(spark, q):
+    plan = q["fk_edges"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Relation [l_") == 1 and plan.count("Relation [n_") <= 2
+
+
+def test_campaign_reads_claims_once_and_prunes(spark):
+    t = analog_tables(spark, "/root/testdata/sf0.01")
+    opts = C.CampaignOptions(as_of=dt.date(2001, 11, 29))
+    plan = C.run_campaign(t, opts, ["MBR_OPPTY_GID", "MINOR_IND"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_") == 1
+    full = C.enriched_table(t, opts, ["PHMCY_ZIW_ROW_ID", C.MEMBER])
+    assert full.columns == ["PHMCY_ZIW_ROW_ID", C.MEMBER]
 
 
 def test_duplicates_shuffle_digests_only(spark, q):

@@ -49,7 +49,7 @@ def test_histogram_matches_numpy(spark):
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
     got = sorted((r.bin, r.n) for r in P.histogram(df, "x", 8).collect())
     counts, _ = np.histogram(vals, bins=8)
-    assert [n for _, n in got] == [c for c in counts if c] or sum(n for _, n in got) == len(vals)
+    assert [n for _, n in got] == list(counts)
     assert sum(n for _, n in got) == len(vals)
 
 
@@ -114,3 +114,21 @@ def test_duplicates_keep_microseconds_and_complex_columns(spark):
 def test_sample_has_no_cap(spark):
     n = P.sample(spark.range(100_000), count=50_000, seed=3).count()
     assert 49_000 < n < 51_000
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    for vals in (rng.normal(0, 1e6, 501), rng.integers(-3, 4, 400).astype(float), np.array([5.0]), np.r_[rng.normal(0, 1, 50), 1e12]):
+        counted = spark.createDataFrame([(float(v),) for v in vals], "v double").groupBy("v").count().checkpoint()
+        for p in (0.0, 0.25, 0.5, 0.75, 1.0):
+            assert P.exact_quantile(counted, len(vals), p) == pytest.approx(np.quantile(vals, p), rel=1e-12)
+
+
+def test_density_of_constant_and_empty_columns(spark):
+    flat = spark.createDataFrame([(4.0,)] * 5, "x double")
+    h = 0.9 * 4.0 * 5 ** -0.2
+    (r,) = P.kernel_density(flat, "x", [4.0], digits=12).collect()
+    assert r.density == pytest.approx(1 / (h * math.sqrt(2 * math.pi)), rel=1e-9)
+    assert [tuple(r) for r in P.kernel_density(flat.limit(0), "x", [1.0, 2.0]).collect()] == [(1.0, None), (2.0, None)]
+    assert sorted((r.bin, r.n) for r in P.histogram(flat, "x", 3).collect()) == [(0, 5), (1, 0), (2, 0)]
+    assert P.histogram(flat.limit(0), "x").count() == 0

@@ -75,7 +75,7 @@ def test_latest_semi_join_on_hot_ties_is_split(spark):
     )
 
     def run():
-        out = A.latest_per_group(df, ["k"], ["d", "v"])
+        out = A.latest_per_group(df, ["k"], ["d", "v"], split_ties=16)
         n = out.filter("k = 0").count()
         out.collect()
         return n, out._jdf.queryExecution().executedPlan().toString()
@@ -85,13 +85,21 @@ def test_latest_semi_join_on_hot_ties_is_split(spark):
     assert "SortMergeJoin(skew=true)" in plan
 
 
-def test_latest_on_hot_group_has_no_single_task_window(spark):
+def test_latest_limits_a_hot_group_before_the_exchange(spark):
     df = skewed(spark).withColumn("d", F.col("v"))
     out = A.latest_per_group(df, ["k"], ["d", "v"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert out.filter("k = 0").count() == out.filter("k = 0").select("d", "v").distinct().count() * 0 + \
-        df.filter("k = 0 AND d = 6").count()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    winners = df.groupBy("k").agg(F.max("d").alias("d"))
+    assert out.count() == df.join(winners, ["k", "d"]).count()
+    assert out.filter("k = 0").count() == df.filter("k = 0 AND d = 6").count()
+
+
+def test_latest_split_ties_with_identical_hot_rows(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("d"))
+    for method, ties in (("window", None), ("window", 8), ("join_back", None)):
+        out = A.latest_per_group(df, ["k"], ["d"], method=method, split_ties=ties)
+        assert out.count() == 9000 and out.filter("k = 0").count() == df.filter("k = 0").count(), (method, ties)
 
 
 def test_cluster_conf_sizes():

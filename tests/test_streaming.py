@@ -37,3 +37,14 @@ def test_stream_file_sink(spark, scratch_dir):
     q = S.write_stream_files(stream, os.path.join(scratch_dir, "orc_sink"), os.path.join(scratch_dir, "orc_ckpt"))
     q.awaitTermination()
     assert [tuple(r) for r in spark.read.orc(os.path.join(scratch_dir, "orc_sink")).collect()] == [(2, "b")]
+
+
+def test_windows_leave_the_state(spark, scratch_dir):
+    src, out = os.path.join(scratch_dir, "stream_src4"), os.path.join(scratch_dir, "stream_out4")
+    for day, v in (("2024-01-01", 1), ("2024-01-01", 4), ("2024-02-01", 2), ("2024-03-01", 3)):
+        spark.sql(f"SELECT 1 AS k, {v} AS v, TIMESTAMP '{day} 10:00:00' AS ts").write.mode("append").parquet(src)
+    stream = S.read_table_stream(spark, folder=src, max_files_per_trigger=1)
+    per_day = S.incremental_max(stream, ["k"], "v", window=("ts", "1 day", "2 days"))
+    S.write_stream_files(per_day, out, os.path.join(scratch_dir, "stream_ckpt4"), fmt="parquet").awaitTermination()
+    done = sorted((r.window.start.isoformat()[:10], r.max_v, r.n_rows) for r in spark.read.parquet(out).collect())
+    assert done == [("2024-01-01", 4, 2), ("2024-02-01", 2, 1)]  # the last window is still open
