@@ -16,8 +16,8 @@ Sorted hashes travel as differences, and numbers as byte planes under zstd: a
 plane of high bytes is nearly constant, so a hash takes five bytes instead of
 eight and a count a fraction of one.
 
-An n-gram is its hash, cut to 48 bits beyond the partition number; as the
-partitions grow with the corpus, so does the hash.
+An n-gram is its hash, cut to 48 bits beyond the partition number (64 bits in
+all at most); as the partitions grow with the corpus, so does the hash.
 
 Cases: null and empty texts have no words, score 0 and mean_score null; a text
 of one word is scored by its unigram; rows that share a doc_id are scored one
@@ -81,18 +81,23 @@ def unsqueezed(packed: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(wide.T).view("<u8").ravel()
 
 
+def low_bits(bits: int) -> int:
+    """Hash bits of a key below its ``bits`` bits of partition number."""
+    return min(LOW_BITS, 64 - bits)
+
+
 def distinct_keys(grams: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys of a block, how often each occurs there, and for
     each entry of the joined ``grams`` the place of its key."""
     every = np.concatenate(grams)
-    every = (every >> np.uint64(64 - LOW_BITS - bits)) + np.uint64(1) * (every > 0)
+    every = np.maximum(every >> np.uint64(64 - low_bits(bits) - bits), every > 0)
     keys, place, counts = np.unique(every, return_inverse=True, return_counts=True)
     return keys, place, counts
 
 
-def partitions_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def partitions_of(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Count-table partitions that the sorted keys go to, and their first places."""
-    part = (keys >> np.uint64(LOW_BITS)).astype(np.int64)
+    part = (keys >> np.uint64(low_bits(bits))).astype(np.int64)
     first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, dtype=np.int64)
     return part[first], first
 
@@ -101,8 +106,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
     """Per document: n_words, score (sum of ln S) and mean_score (per word)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // block_bytes
-    bits = min(16, max(0, (size * order // 7 // partition_keys).bit_length()))
-    total_key = (int(mix(np.array([WORDS_KEY], dtype=np.uint64))[0]) >> (64 - LOW_BITS - bits)) + 1
+    bits = (size * order // 7 // partition_keys).bit_length()
+    total_key = max(1, int(mix(np.array([WORDS_KEY], dtype=np.uint64))[0]) >> (64 - low_bits(bits) - bits))
 
     def keyed(table: pa.Table):
         grams, doc = ngrams(table.column("text").to_pylist(), order)
@@ -113,9 +118,9 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
 
     def pack(table: pa.Table) -> pa.Table:
         _, _, keys, _, counts = keyed(table)
-        parts, first = partitions_of(keys)
+        parts, first = partitions_of(keys, bits)
         ends = np.r_[first[1:], len(keys)]
-        low = keys & np.uint64((1 << LOW_BITS) - 1)
+        low = keys & np.uint64((1 << low_bits(bits)) - 1)
         return pa.table(
             {
                 "block": pa.array(np.full(len(parts), table.column("block")[0].as_py()), pa.int64()),

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from cataloom.llm import backoff
@@ -55,3 +56,13 @@ def test_edge_cases_over_many_blocks(make, edge, order):
 
 def test_empty(make):
     assert backoff.score_documents(make([])).collect() == []
+
+
+@pytest.mark.parametrize("bits", [0, 3, 16, 17, 26])
+def test_keys_keep_order_and_partition(bits):
+    grams = np.array([0, 1, 1, 5 << 40, 2**63, 2**64 - 1, 2**64 - 1], dtype=np.uint64)
+    keys, place, counts = backoff.distinct_keys([grams], bits)
+    parts, first = backoff.partitions_of(keys, bits)
+    assert keys[0] == 0 and len(keys) == 5 and counts.tolist() == [1, 2, 1, 1, 2]
+    assert (keys[place][1:] > 0).all() and 0 <= parts.min() and parts.max() < 2**bits
+    assert parts[-1] == 2**bits - 1 and first[0] == 0
