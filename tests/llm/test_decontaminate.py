@@ -64,6 +64,13 @@ def test_empty_tables_and_filter(spark, make, edge):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(i for i, _ in edge if i is not None and i not in dirty)
 
 
+def test_filter_judges_each_row_by_its_own_text(spark, make, passage):
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    rows = [(None, passage), (None, None), (None, "clean"), (1, "a " + passage), (1, "clean too"), (2, passage), (3, "")]
+    kept = decontaminate.keep_clean(make(rows).withColumnRenamed("ids", "_digest"), items)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(None, None), (None, "clean"), (1, "clean too"), (3, "")], key=repr)
+
+
 def test_proximity(spark, make):
     """A slop lets the other terms stand near their places."""
     docs = make([(1, "alpha beta gamma delta"), (2, "alpha x beta gamma delta"), (3, "alpha x x x beta gamma delta"), (4, "delta gamma beta alpha")])
