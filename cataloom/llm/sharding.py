@@ -23,7 +23,7 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
     key = F.coalesce(key.cast("string"), F.lit(""))
 
     def score(shard: int, weight: float) -> Column:
-        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))  # never 0 or 1
         return F.struct((F.lit(-float(weight)) / F.log(u)).alias("score"), F.lit(-shard).alias("neg"))
 
     return -F.array_max(F.array(*[score(i, w) for i, w in enumerate(weights)]))["neg"]
