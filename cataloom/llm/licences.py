@@ -1,12 +1,17 @@
 """Licence scans: sentence rules.
 
-Texts are cut into sentences, each normalised (lower case, runs of anything
-but letters and digits as one space) and looked up in a table of known
-licence sentences; a document's identifiers, in order of their place, are then
-matched against ordered rules: a rule holds where its identifiers follow each
-other, gaps of other known sentences allowed up to ``GAP`` identifiers.  Of
-rules that start at the same identifier the longest holds.  DataFrame
-functions only; the sentence and rule tables are fixed and small.
+A text is read as words (lower case, runs of letters and digits) in
+paragraphs; a line without a word ends one.  A sentence starts and ends at a
+line's bounds or at . ! ? ; : before white space, and may run on over any
+number of lines of its paragraph, so a notice is found however it is wrapped
+and whatever comment marks its lines carry.  Sentences are looked up in a table
+of known licence sentences, the longest first; a ``*`` in a known sentence
+stands for up to ``FILL`` words (a holder's name).  A document's identifiers,
+in order of their place, are then matched against ordered rules: a rule holds
+where its identifiers follow each other, gaps of other known sentences allowed
+up to ``GAP`` identifiers.  Of rules that start at the same identifier the
+longest holds.  The sentence and rule tables are fixed and small and travel
+with the task; every document is scanned by itself.
 
 Cases: null and empty texts have no sentence and match nothing; every document
 comes back, also without a licence; rows that share a doc_id are scanned one by
@@ -16,57 +21,95 @@ an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Known licence sentences (normalised) and their identifiers.  Fixed values:
-#: opening and notice sentences of the published licences.
-SENTENCES = {
-    "licensed under the apache license version 2 0": "apache-2.0-notice",
-    "you may not use this file except in compliance with the license": "apache-2.0-compliance",
-    "released under the mit license": "mit-notice",
-    "licensed under the mit license": "mit-notice",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit-grant",
-    "the software is provided as is without warranty of any kind": "as-is",
-    "this work is licensed under the gnu general public license version 3": "gpl-3.0-notice",
-    "licensed under the gnu general public license version 3": "gpl-3.0-notice",
-    "licensed under cc by nc 4 0": "cc-by-nc-4.0-notice",
-    "licensed under cc by 4 0": "cc-by-4.0-notice",
-    "all rights reserved": "reserved",
-}
-
-#: Ordered rules: sentence identifiers that have to follow each other.
-RULES = [
-    ("Apache-2.0", ["apache-2.0-notice"]),
-    ("Apache-2.0 (full header)", ["apache-2.0-notice", "apache-2.0-compliance"]),
-    ("MIT", ["mit-notice"]),
-    ("MIT (full text)", ["mit-grant", "as-is"]),
-    ("GPL-3.0", ["gpl-3.0-notice"]),
-    ("CC-BY-NC-4.0", ["cc-by-nc-4.0-notice"]),
-    ("CC-BY-4.0", ["cc-by-4.0-notice"]),
-    ("proprietary", ["reserved"]),
-]
+from .licence_table import RULES, SENTENCES
+
 GAP = 1
-#: A sentence ends at a line end, or at . ! ? before white space.
-SENTENCE_END = "[\\n\\r]+|[.!?;]+(?=\\s|$)"
+#: The most words that a ``*`` stands for.
+FILL = 12
+WORD = re.compile(r"[^\W_]+")
+LINE_END = re.compile(r"\r\n|\r|\n")
+FRAGMENT_END = re.compile(r"(?<![.!?;:])[.!?;:]++[\"'”’)\]]*+(?=\s|$)")
+#: Comment marks that are words.
+WORD_MARKS = re.compile(r"\s*(?:dnl|rem)\s")
+
+
+def sentence_index(sentences: dict[str, str]) -> dict[tuple, list]:
+    """First two words -> (parts between ``*``, identifier), the longest first."""
+    index: dict[tuple, list] = {}
+    for key in sorted(sentences, key=len, reverse=True):
+        parts = [p.split() for p in key.split("*")]
+        if parts[0]:
+            index.setdefault(tuple(parts[0][:2]), []).append((parts, sentences[key]))
+    return index
+
 
+def sentence_end(words: list[str], at: int, parts: list[list[str]], ends: set[int]) -> int:
+    """Where the sentence that starts at ``at`` ends, 0 if it does not stand there."""
+    first = parts[0]
+    to = at + len(first)
+    if words[at:to] != first:
+        return 0
+    if len(parts) == 1:
+        return to if to in ends else 0
+    rest = parts[1:]
+    return next((e for s in range(to, min(to + FILL, len(words)) + 1) if (e := sentence_end(words, s, rest, ends))), 0)
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^\\p{L}\\p{N}]+", " "))
+
+def paragraph_ids(words: list[str], bounds: list[int], index: dict[tuple, list]) -> list[str]:
+    """Known sentences of one paragraph; ``bounds`` are its fragments' starts and its end."""
+    out, upto, ends = [], 0, None
+    for at in bounds:
+        if at < upto:
+            continue
+        known = [*index.get(tuple(words[at : at + 2]), ()), *(index.get((words[at],), ()) if at + 1 < len(words) else ())]
+        if known and ends is None:
+            ends = set(bounds)
+        for parts, sid in known:
+            if to := sentence_end(words, at, parts, ends):
+                out.append(sid)
+                upto = to
+                break
+        if at == bounds[-2]:
+            break
+    return out
+
+
+def known_sentences(text: str, index: dict[tuple, list]) -> list[str]:
+    """Identifiers of the known sentences of a text, in order."""
+    out: list[str] = []
+    words: list[str] = []
+    bounds = [0]
+    for line in [*LINE_END.split(text.lower()), ""]:
+        mark = WORD_MARKS.match(line)
+        before = len(words)
+        for fragment in FRAGMENT_END.split(line[mark.end() :] if mark else line):
+            words += WORD.findall(fragment)
+            if len(words) > bounds[-1]:
+                bounds.append(len(words))
+        if len(words) == before and words:
+            out += paragraph_ids(words, bounds, index)
+            words, bounds = [], [0]
+    return out
 
 
 def sentence_ids(docs: DataFrame, sentences: dict[str, str] = SENTENCES) -> DataFrame:
-    """(rid, doc_id, ids): the known sentences of each document, in order."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # only a sentence as long as a known one, give or take its marks, is normalised
-    lengths = [len(s) for s in sentences]
-    parts = rows.select("rid", "doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("at", "sentence"))
-    table = F.broadcast(docs.sparkSession.createDataFrame(list(sentences.items()), "key string, sid string"))  # len(sentences) rows
-    sized = F.length("sentence") >= min(lengths, default=0)
-    key = F.when((F.col("at") == 0) | sized, normalised(F.col("sentence")))
-    known = parts.where((F.col("at") == 0) | sized).withColumn("key", key).join(table, "key", "left").where("at = 0 or sid is not null")
-    one = F.when(F.col("sid").isNotNull(), F.struct("at", "sid"))
-    return known.groupBy("rid", "doc_id").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["sid"]).alias("ids"))
+    """(doc_id, ids): the known sentences of each document, in order."""
+    index = sentence_index(sentences)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.array([known_sentences(t or "", index) for t in batch.column(1).to_pylist()], type=pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<string>")
 
 
 def rule_matches(ids: Column, rules=RULES, gap: int = GAP) -> Column:
@@ -82,7 +125,7 @@ def rule_matches(ids: Column, rules=RULES, gap: int = GAP) -> Column:
             rest = "".join(f"(?: [^;]+;){{0,{gap}}} {quoted(s)}" for s in other[len(sequence) :])
             pattern += f"(?!{rest})"
         found.append(F.when(line.rlike(" " + pattern), F.lit(name)))
-    return F.array_sort(F.array_compact(F.array(*found)))
+    return F.when(F.size(ids) > 0, F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))).otherwise(F.array().cast("array<string>"))
 
 
 def scan_licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
