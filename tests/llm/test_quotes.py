@@ -84,3 +84,30 @@ def test_random_replies_against_a_tree_walk(chat):
             depth[r["turn"]] = 0 if want is None else depth[want] + 1
             assert r["depth"] == depth[r["turn"]]
         assert [r["turn"] for r in own] == walk(own)
+
+
+def test_quotes_of_parts(chat):
+    long = "Use sorted().\nIt copies\nthe list.\n\nOr call list.sort(),\nwhich does not.\n\nBoth are stable."
+    got = linked(chat([
+        (1, 0, "user", "How do I sort?\nThanks"),
+        (1, 1, "assistant", long),
+        (1, 2, "user", "Thanks"),
+        (1, 3, "user", "> It copies\nWhy?"),
+        (1, 4, "user", "> Both are stable.\nGood.\n\n> Use sorted().\n> It copies\n> the list.\nNot good."),
+        (1, 5, "user", "> Or call list.sort(), which\n> does not.\n\n> Both are stable.\nyes"),
+        (1, 6, "user", "> > It copies\n> Why?\nSo that yours stays."),
+        (1, 7, "user", "> Use sorted().\r\n> It copies\r\n> the list.\r\n\r\n> Or call list.sort(),\r\n> which does not.\r\n\r\n> Both are stable.\r\nall"),
+        (1, 8, "user", "> it cop\nhalf a line"),
+        (1, 9, "user", "> How do I sort?\n>\n> So that yours stays.\nof two messages"),
+        (2, 0, "user", "Thanks\nyes"),
+        (2, 1, "user", "Bye\nno"),
+        (2, 2, "user", "well\nThanks\nBye\nend"),
+        (2, 3, "user", "Bye\nThanks\nagain"),
+        (2, 4, "user", "ok"),
+        (2, 5, "user", "> Thanks\n> Bye\nthe first that has both"),
+    ]))
+    assert [got[1, t]["reply_to"] for t in range(10)] == [None, 0, 1, 1, 1, 1, 3, 1, 7, 6]
+    assert (got[1, 4]["n_quotes"], got[1, 4]["n_linked"], got[1, 4]["text"]) == (2, 2, "Good.\n\nNot good.")
+    assert [(got[1, t]["n_quotes"], got[1, t]["n_linked"]) for t in (5, 7, 8, 9)] == [(1, 1), (1, 1), (1, 0), (1, 1)]
+    assert got[2, 5]["reply_to"] == 2
+    assert [got[1, t]["thread"] for t in range(10)] == [0, 0, 0, 3, 4, 5, 6, 7, 7, 9]
