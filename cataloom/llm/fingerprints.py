@@ -5,7 +5,8 @@ prime moduli: any span's hash is a difference of two entries, so span equality
 takes constant time and the longest common extension of two positions a binary
 search.  A fingerprint is the hash and length of the whole text followed by
 the least span hash of each of ``BINS`` classes of span hashes (spans of
-``SPAN`` bytes); the share of classes in which two fingerprints agree
+``SPAN`` bytes), as 16 bits mixed from all of it, so that chance agreement is
+2**-16 a class however long the texts are; the share of classes in which two fingerprints agree
 estimates the Jaccard likeness of their span sets.
 
 Cases: a null text is empty; an empty text has no span, and is like (1.0) an
@@ -94,7 +95,7 @@ class PrefixHash:
 
 
 def sketch(text: bytes) -> tuple[int, np.ndarray]:
-    """Hash of the whole text and the least span hash of each class (0: none)."""
+    """Hash of the whole text and 16 mixed bits of the least span hash of each class (0: none)."""
     least = np.zeros(BINS, dtype=np.uint64)
     if not text:
         return 0, least
@@ -109,7 +110,7 @@ def sketch(text: bytes) -> tuple[int, np.ndarray]:
         bins = np.sort(values)
     cls = (bins >> shift).astype(np.int64)
     first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
-    least[cls[first]] = ((bins[first] & inner) >> (shift - np.uint64(16))) | np.uint64(1 << 16)
+    least[cls[first]] = (mix(bins[first]) & np.uint64(0xFFFF)) | np.uint64(1 << 16)  # a least hash's own high bits go to 0 as texts grow
     return whole, least
 
 

@@ -64,3 +64,10 @@ def test_likeness_follows_overlap():
     assert likeness(sketch(text.encode()), sketch(one.encode())) > 0.9
     assert likeness(sketch(b""), sketch(b"")) == 1.0 and likeness(sketch(b""), sketch(b"abc")) == 0.0
     assert sketch(b"short")[1].any()
+
+
+def test_unrelated_long_texts_are_not_alike():
+    rng = random.Random(6)
+    one, other = rng.randbytes(4_000_000), rng.randbytes(4_000_000)
+    assert likeness(sketch(one), sketch(other)) < 0.05
+    assert likeness(sketch(one), sketch(one[:2_000_000] + b"!" + one[2_000_001:])) > 0.9
