@@ -22,10 +22,13 @@ A byte goes when a ``LENGTH``-byte string that covers it also starts earlier
    over ``NODE_ROWS`` pieces are first dealt by the hash of each window.
 4. The spans found are joined to the documents, and the bytes cut.
 
-Cases: a null or empty text has nothing to remove; a null doc_id comes after
-all others, rows that share a doc_id count as one document that does not
-repeat itself, and their spans apply to each of them; an empty table gives no
-rows; extra columns stay in ``remove_repeats`` and are not read otherwise.
+A document is a (doc, sub): rows without a doc_id are numbered, each is a
+document of its own after all others; rows that share a doc_id are documents
+by their text's hash, in its order.
+
+Cases: a null or empty text has nothing to remove; rows equal in doc_id and
+text count as one document that does not repeat itself, and its spans apply to
+each of them; an empty table gives no rows; extra columns stay in ``remove_repeats`` and are not read otherwise.
 """
 
 from __future__ import annotations
@@ -63,29 +66,29 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
-def folded(h: np.ndarray, piece: np.ndarray, doc: np.ndarray, pos: np.ndarray, length: int, gram: int) -> pa.RecordBatch:
-    """One row (h, piece, doc, pos, more) per piece of a slab, its earliest;
-    ``more`` packs some of the spans (doc, start, end) that the others repeat."""
-    order = np.lexsort((pos, doc, piece, h))
-    h, piece, doc, pos = h[order], piece[order], doc[order], pos[order]
+def folded(h: np.ndarray, piece: np.ndarray, doc: np.ndarray, sub: np.ndarray, pos: np.ndarray, length: int, gram: int) -> pa.RecordBatch:
+    """One row (h, piece, doc, sub, pos, more) per piece of a slab, its earliest;
+    ``more`` packs some of the spans (doc, sub, start, end) that the others repeat."""
+    order = np.lexsort((pos, sub, doc, piece, h))
+    h, piece, doc, sub, pos = h[order], piece[order], doc[order], sub[order], pos[order]
     first = np.r_[True, (h[1:] != h[:-1]) | (piece[1:] != piece[:-1])] if len(h) else np.zeros(0, dtype=bool)
     head = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
-    again = ~first & ((doc != doc[head]) | (pos != pos[head]))
-    spans = merged(doc[again], pos[again] - (length - gram), pos[again] + length)
+    again = ~first & ((doc != doc[head]) | (sub != sub[head]) | (pos != pos[head]))
+    spans = merged(doc[again], sub[again], pos[again] - (length - gram), pos[again] + length)
     n, m = int(first.sum()), spans.num_rows
     each = m // n + (np.arange(n) < m % n) if n else np.zeros(0, dtype=np.int64)
     values = np.stack([np.asarray(c, dtype=np.int64) for c in spans.columns], axis=1)
     cuts = np.r_[0, np.cumsum(each)]
     more = pa.array([values[a:b].tobytes() if b > a else None for a, b in zip(cuts[:-1], cuts[1:])], type=pa.binary())
-    cols = [pa.array(h[first].view(np.int64)), pa.array(piece[first].view(np.int64)), pa.array(doc[first]), pa.array(pos[first].astype(np.int32))]
-    return pa.RecordBatch.from_arrays([*cols, more], names=["h", "piece", "doc", "pos", "more"])
+    cols = [pa.array(h[first].view(np.int64)), pa.array(piece[first].view(np.int64)), pa.array(doc[first]), pa.array(sub[first]), pa.array(pos[first].astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*cols, more], names=["h", "piece", "doc", "sub", "pos", "more"])
 
 
 def anchor_rows(length: int, gram: int):
     spans = length - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (docs,), _, data, offsets in slabs(batches):
+        for (docs, subs), _, data, offsets in slabs(batches):
             sizes = np.diff(offsets)
             if len(data) < length:
                 continue
@@ -102,46 +105,46 @@ def anchor_rows(length: int, gram: int):
             left = np.minimum(spans - 1, pos)
             right = np.minimum(spans - 1, sizes[doc] - pos - gram)
             piece = mix(hashes.spans(at - left, at + gram + right) ^ (left.astype(np.uint64) << np.uint64(8)) ^ right.astype(np.uint64))
-            yield folded(grams[at], piece, np.array(docs, dtype=np.int64)[doc], pos, length, gram)
+            yield folded(grams[at], piece, *(np.array(c, dtype=np.int64)[doc] for c in (docs, subs)), pos, length, gram)
 
     return run
 
 
 def repeated_rows(length: int, gram: int):
-    """(h, piece, doc, pos, more) sorted -> (null, doc, start, end) of repeats
-    and (h, doc, pos, null) of the first of each piece whose anchor has several;
+    """(h, piece, doc, sub, pos, more) sorted -> (null, doc, sub, start, end) of repeats
+    and (h, doc, sub, pos, null) of the first of each piece whose anchor has several;
     holds one row."""
 
-    def out(h, doc, start, end):
+    def out(h, doc, sub, start, end):
         h, end = (pa.nulls(len(doc), t) if x is None else pa.array(x, type=t) for x, t in ((h, pa.int64()), (end, pa.int32())))
-        return pa.RecordBatch.from_arrays([h, pa.array(doc), pa.array(start, type=pa.int32()), end], names=["h", "doc", "pos", "end"])
+        return pa.RecordBatch.from_arrays([h, pa.array(doc), pa.array(sub), pa.array(start, type=pa.int32()), end], names=["h", "doc", "sub", "pos", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, open_row = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, piece, doc, pos = (batch.column(i).to_numpy() for i in range(4))
-            before = [np.r_[c[:1] if last is None else last[i], c[:-1]] for i, c in enumerate((h, piece, doc, pos))]
+            h, piece, doc, sub, pos = (batch.column(i).to_numpy() for i in range(5))
+            before = [np.r_[c[:1] if last is None else last[i], c[:-1]] for i, c in enumerate((h, piece, doc, sub, pos))]
             same = h == before[0]
             if last is None:
                 same[0] = False
             equal = same & (piece == before[1])
-            again = equal & ((doc != before[2]) | (pos != before[3]))
-            last = [c[-1:] for c in (h, piece, doc, pos)]
-            yield out(None, doc[again], pos[again] - (length - gram), pos[again] + length)
-            more = np.frombuffer(b"".join(batch.column(4).drop_null().to_pylist()), dtype=np.int64).reshape(-1, 3)
-            yield out(None, more[:, 0], more[:, 1], more[:, 2])
+            again = equal & ((doc != before[2]) | (sub != before[3]) | (pos != before[4]))
+            last = [c[-1:] for c in (h, piece, doc, sub, pos)]
+            yield out(None, doc[again], sub[again], pos[again] - (length - gram), pos[again] + length)
+            more = np.frombuffer(b"".join(batch.column(5).drop_null().to_pylist()), dtype=np.int64).reshape(-1, 4)
+            yield out(None, *more.T)
             first = np.flatnonzero(~equal)
             if len(first):
-                cols = [h[first], doc[first], pos[first], same[first]]
+                cols = [h[first], doc[first], sub[first], pos[first], same[first]]
                 if open_row is not None:
                     cols = [np.r_[o, c] for o, c in zip(open_row, cols)]
-                wanted = cols[3][:-1] | (cols[0][1:] == cols[0][:-1])
-                yield out(*(c[:-1][wanted] for c in cols[:3]), None)
+                wanted = cols[4][:-1] | (cols[0][1:] == cols[0][:-1])
+                yield out(*(c[:-1][wanted] for c in cols[:4]), None)
                 open_row = [c[-1:] for c in cols]
-        if open_row is not None and open_row[3][0]:
-            yield out(*open_row[:3], None)
+        if open_row is not None and open_row[4][0]:
+            yield out(*open_row[:4], None)
 
     return run
 
@@ -151,16 +154,16 @@ def piece_rows(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, marks, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            out: list[list] = [[], [], [], [], [], []]
+            for doc, sub, marks, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 data = (text or "").encode()
                 for mark in marks:
                     pos = mark["pos"]
                     start = max(0, pos - reach)
-                    for col, value in zip(out, (mark["h"], doc, pos, pos - start, data[start : pos + gram + reach])):
+                    for col, value in zip(out, (mark["h"], doc, sub, pos, pos - start, data[start : pos + gram + reach])):
                         col.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(out, kinds)], names=["h", "doc", "pos", "before", "bytes"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(out, kinds)], names=["h", "doc", "sub", "pos", "before", "bytes"])
 
     return run
 
@@ -200,44 +203,44 @@ def column_wise(symbols: np.ndarray, group: np.ndarray, length: int):
             yield j - length + 1, order, np.flatnonzero(split > j - length + 1)
 
 
-def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+def merged(doc: np.ndarray, sub: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     """Spans sorted and joined where they touch."""
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order], end[order]
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])] if len(doc) else np.zeros(0, dtype=bool)
+    order = np.lexsort((start, sub, doc))
+    doc, sub, start, end = doc[order], sub[order], start[order], end[order]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1]) | (start[1:] > end[:-1])] if len(doc) else np.zeros(0, dtype=bool)
     first = np.flatnonzero(new)
     ends = np.maximum.reduceat(end, first) if len(first) else end
-    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(start[first].astype(np.int32)), pa.array(ends.astype(np.int32))], names=["doc", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(sub[first]), pa.array(start[first].astype(np.int32)), pa.array(ends.astype(np.int32))], names=["doc", "sub", "start", "end"])
 
 
 def collection_rows(length: int, gram: int, size: int = 16_384):
-    """Pieces sorted by (h, doc, pos) -> repeated spans (doc, start, end)."""
+    """Pieces sorted by (h, doc, sub, pos) -> repeated spans (doc, sub, start, end)."""
     reach = length - gram
     columns = gram + 2 * reach
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
         n = len(rows)
         symbols = np.full((n, columns), PAD, dtype=np.int16)
-        for i, (_, _, _, before, data) in enumerate(rows):
+        for i, (*_, before, data) in enumerate(rows):
             symbols[i, reach - before : reach - before + len(data)] = np.frombuffer(data, dtype=np.uint8)
-        h, doc, pos = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(3))
+        h, doc, sub, pos = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
         group = np.cumsum(np.r_[0, h[1:] != h[:-1]])
-        key = np.cumsum(np.r_[0, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
-        before, after = (np.array(x) for x in zip(*((r[3], len(r[4]) - r[3] - gram) for r in rows)))
-        found: list[list[np.ndarray]] = [[], [], []]
+        key = np.cumsum(np.r_[0, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1]) | (pos[1:] != pos[:-1])])
+        before, after = (np.array(x) for x in zip(*((r[4], len(r[5]) - r[4] - gram) for r in rows)))
+        found: list[list[np.ndarray]] = [[], [], [], []]
         for column, order, starts in column_wise(symbols, group, length):
             counts = np.diff(np.r_[starts, n])
             earliest = np.repeat(np.minimum.reduceat(key[order], starts), counts)
             offset = reach - column  # of the anchor in the window
             hit = order[(key[order] > earliest) & (before[order] >= offset) & (after[order] >= reach - offset)]
-            for col, value in zip(found, (doc[hit], pos[hit] - offset, pos[hit] - offset + length)):
+            for col, value in zip(found, (doc[hit], sub[hit], pos[hit] - offset, pos[hit] - offset + length)):
                 col.append(value)
         return merged(*(np.concatenate(c) for c in found))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            held += zip(*(batch.column(i).to_pylist() for i in range(5)))
+            held += zip(*(batch.column(i).to_pylist() for i in range(6)))
             while len(held) > size:
                 to = size
                 while to > 0 and held[to][0] == held[to - 1][0]:
@@ -255,51 +258,63 @@ def collection_rows(length: int, gram: int, size: int = 16_384):
 
 
 def window_rows(length: int, gram: int):
-    """Pieces of a large collection -> (window hash, doc, start) of every window."""
+    """Pieces of a large collection -> (window hash, doc, sub, start) of every window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for h, doc, pos, before, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for h, doc, sub, pos, before, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 buffer = np.frombuffer(data, dtype=np.uint8)
                 grams = Rolling(buffer).grams(length)
                 other = Rolling(buffer[::-1]).grams(length)[::-1]
-                for col, value in zip(out, (grams.view(np.int64), other.view(np.int64), np.full(len(grams), doc), pos - before + np.arange(len(grams)))):
+                for col, value in zip(out, (grams.view(np.int64), other.view(np.int64), np.full(len(grams), doc), np.full(len(grams), sub), pos - before + np.arange(len(grams)))):
                     col.append(value)
             if out[0]:
-                a, b, doc, start = (np.concatenate(c) for c in out)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.ascontiguousarray(b)), pa.array(doc), pa.array(start.astype(np.int32))], names=["a", "b", "doc", "start"])
+                a, b, doc, sub, start = (np.concatenate(c) for c in out)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.ascontiguousarray(b)), pa.array(doc), pa.array(sub), pa.array(start.astype(np.int32))], names=["a", "b", "doc", "sub", "start"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, node_rows: int = NODE_ROWS) -> DataFrame:
-    """(doc, spans): the byte spans of each document that start earlier too;
-    spans may overlap and reach past either end of the text."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    anchors = keyed.mapInArrow(anchor_rows(length, gram), "h long, piece long, doc long, pos int, more binary")
-    met = anchors.repartition("h").sortWithinPartitions("h", "piece", "doc", "pos")
-    marks = stored(met.mapInArrow(repeated_rows(length, gram), "h long, doc long, pos int, end int"), "anchors")
-    whole = marks.where("h is null").select("doc", F.col("pos").alias("start"), "end")
-
-    firsts = marks.where("h is not null").select("h", "doc", "pos")
-    listed = firsts.groupBy("doc").agg(F.collect_list(F.struct("h", "pos")).alias("marks"))
-    pieces = listed.join(keyed, "doc").select("doc", "marks", "text")
-    pieces = pieces.mapInArrow(piece_rows(length, gram), "h long, doc long, pos int, before int, bytes binary")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_doc`` and ``_sub``, which order the documents.  ``_sub`` is 0
+    while no doc_id is shared, so that it adds nothing to what is shuffled; rows
+    without a doc_id are numbered in a checkpoint."""
+    key = F.col("doc_id").cast("long")
+    having = docs.where(key.isNotNull()).withColumn("_doc", key)
+    shared = having.groupBy("_doc").count().where("count > 1").take(1)
+    of_text = F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63)))  # under 0: before the rows without a doc_id
+    having = having.withColumn("_sub", of_text if shared else F.lit(0).cast("long"))
+    without = docs.where(key.isNull()).withColumn("_doc", F.lit(NO_ID).cast("long"))
+    return having.union(checkpoint(without.withColumn("_sub", F.monotonically_increasing_id() + 1)))
+
+
+def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, node_rows: int = NODE_ROWS) -> DataFrame:
+    """(doc, sub, spans): the byte spans of each document (doc, sub, text) that start
+    earlier too; spans may overlap and reach past either end of the text."""
+    anchors = keyed.mapInArrow(anchor_rows(length, gram), "h long, piece long, doc long, sub long, pos int, more binary")
+    met = anchors.repartition("h").sortWithinPartitions("h", "piece", "doc", "sub", "pos")
+    marks = stored(met.mapInArrow(repeated_rows(length, gram), "h long, doc long, sub long, pos int, end int"), "anchors")
+    whole = marks.where("h is null").select("doc", "sub", F.col("pos").alias("start"), "end")
+
+    firsts = marks.where("h is not null").select("h", "doc", "sub", "pos")
+    listed = firsts.groupBy("doc", "sub").agg(F.collect_list(F.struct("h", "pos")).alias("marks"))
+    pieces = listed.join(keyed, ["doc", "sub"]).select("doc", "sub", "marks", "text")
+    pieces = pieces.mapInArrow(piece_rows(length, gram), "h long, doc long, sub long, pos int, before int, bytes binary")
     large = checkpoint(firsts.groupBy("h").count().where(F.col("count") > node_rows).select("h"))
     spans = []
     if large.take(1):
         pieces = stored(pieces, "pieces")
-        windows = pieces.join(large, "h", "left_semi").mapInArrow(window_rows(length, gram), "a long, b long, doc long, start int").distinct()
-        earliest = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("least"), F.count("*").alias("n")).where("n > 1")
-        later = windows.join(earliest, ["a", "b"]).where("doc <> least.doc or start <> least.start")
-        spans.append(later.select("doc", "start", (F.col("start") + length).alias("end")))
+        windows = pieces.join(large, "h", "left_semi").mapInArrow(window_rows(length, gram), "a long, b long, doc long, sub long, start int").distinct()
+        earliest = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "sub", "start")).alias("least"), F.count("*").alias("n")).where("n > 1")
+        later = windows.join(earliest, ["a", "b"]).where("doc <> least.doc or sub <> least.sub or start <> least.start")
+        spans.append(later.select("doc", "sub", "start", (F.col("start") + length).alias("end")))
         pieces = pieces.join(large, "h", "left_anti")
-    dealt = pieces.repartition("h").sortWithinPartitions("h", "doc", "pos")
-    spans.append(dealt.mapInArrow(collection_rows(length, gram), "doc long, start int, end int"))
+    dealt = pieces.repartition("h").sortWithinPartitions("h", "doc", "sub", "pos")
+    spans.append(dealt.mapInArrow(collection_rows(length, gram), "doc long, sub long, start int, end int"))
     for part in spans:
         whole = whole.union(part)
-    return whole.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return whole.groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def cut(text: str | None, spans: list[dict] | None) -> tuple[int, int, int, bytes]:
@@ -316,8 +331,9 @@ def cut(text: str | None, spans: list[dict] | None) -> tuple[int, int, int, byte
 
 
 def _with_spans(docs: DataFrame, params: dict) -> DataFrame:
-    spans = repeated_spans(docs, **params).withColumnRenamed("doc", "_doc").withColumnRenamed("spans", "_spans")
-    return docs.join(spans, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("_doc"), "left").drop("_doc")
+    docs = numbered(docs)
+    spans = repeated_spans(docs.select(F.col("_doc").alias("doc"), F.col("_sub").alias("sub"), "text"), **params)
+    return docs.join(spans.withColumnsRenamed({"doc": "_doc", "sub": "_sub", "spans": "_spans"}), ["_doc", "_sub"], "left").drop("_doc", "_sub")
 
 
 def repeated_passages(docs: DataFrame, **params) -> DataFrame:

@@ -79,3 +79,25 @@ def test_empty_and_remove(make, edge, rows_of):
     kept = {(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in out.collect() if r["doc_id"] != 11}
     assert kept == {(r[0], r[4]) for r in brute(rows) if r[0] != 11}
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out.collect())
+
+
+@pytest.mark.parametrize("node_rows", [1, 4096])
+def test_rows_without_an_id_are_documents_of_their_own(make, rows_of, passage, node_rows):
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(3, noise(50) + passage), (None, noise(500) + passage[:200] + noise(300)), (None, noise(1200)), (None, noise(1200)), (1, noise(400))]
+    rows += [(None, rows[2][1]), (None, noise(90) + rows[3][1][100:400] + noise(90)), (None, None), (None, "")]
+    want = [(None if i >= 1000 else i, *rest) for i, *rest in brute([(1000 + k if i is None else i, t) for k, (i, t) in enumerate(rows)])]
+    assert rows_of(suffix_dedup.repeated_passages(make(rows), node_rows=node_rows)) == sorted(want, key=repr)
+    clean = [r["text"] for r in suffix_dedup.remove_repeats(make(rows), node_rows=node_rows).collect()]
+    assert rows[2][1] in clean and rows[3][1] in clean and "" in clean and None in clean
+
+
+def test_texts_that_share_an_id_are_cut_by_themselves(make, passage):
+    rng = random.Random(10)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(1, noise(300) + passage[:250]), (2, noise(20) + passage[:250] + noise(400)), (2, noise(900)), (2, noise(30) + "".join(map(str, range(200)))), (2, noise(500) + "".join(map(str, range(200))))]
+    clean = sorted(r["text"] for r in suffix_dedup.remove_repeats(make(rows)).collect())
+    assert rows[0][1] in clean and rows[2][1] in clean and rows[1][1][:20] + rows[1][1][270:] in clean
+    digits = "".join(map(str, range(200)))
+    assert sum(digits in t for t in clean) == 1 and {rows[3][1], rows[3][1][:30]} & set(clean) and {rows[4][1], rows[4][1][:500]} & set(clean)
