@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, decontaminate, fingerprints, licences, packing, quotes, sharding, simhash, suffix_dedup, toxicity
+from . import alignment, backoff, decontaminate, divergence, fingerprints, licences, packing, quotes, sharding, simhash, suffix_dedup, toxicity
 
-#: Vocabulary file of the packing query.
-TOKENIZER = "byte_bpe_50k.json"
+#: Vocabulary file of the packing query; the alignment query compares both.
+TOKENIZER, OTHER_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARDS = 16
 
 
@@ -16,10 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,31 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_stupid_backoff, op3_decontamination, op4_fingerprints, op5_suffix_dedup, op6_toxicity, op7_quotations, op8_rendezvous, op9_licences, op10_best_fit)}
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(OTHER_TOKENIZER))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_stupid_backoff,
+        op3_decontamination,
+        op4_fingerprints,
+        op5_suffix_dedup,
+        op6_toxicity,
+        op7_quotations,
+        op8_rendezvous,
+        op9_licences,
+        op10_best_fit,
+        op12_divergence,
+        op13_alignment,
+    )
+}
 
 _WORDS_SQL = (
     "[x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -91,6 +115,30 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_DIVERGENCE_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+tok AS (SELECT r, lang, source, term FROM (SELECT r, lang, source, unnest(ws) AS term FROM d) WHERE term <> ''),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+lv AS (SELECT lang, CAST(sum(n) AS HUGEINT) AS n, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+seen AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM tok JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN seen USING (lang, source) GROUP BY lang, source),
+freq AS (SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n, 1 + (1000000000 * (coalesce(s.n, 0) + 5)) // (g.n + 5 * lv.v) AS p,
+  1 + (1000000000 * (k.n + 5)) // (lv.n + 5 * lv.v) AS q
+  FROM grp g JOIN lv USING (lang) JOIN kept k USING (lang) LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM freq a JOIN freq b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM freq WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR place <= 50
+"""
+
 #: DuckDB SQL of the queries that SQL can express at whole size.  The others
 #: need hashes, tokenizers, learned weights or look-ahead that it lacks.
-ORACLE: dict[str, str] = {"op3_decontamination": _DECONTAMINATION_SQL.strip()}
+ORACLE: dict[str, str] = {"op3_decontamination": _DECONTAMINATION_SQL.strip(), "op12_divergence": _DIVERGENCE_SQL.strip()}
