@@ -59,9 +59,9 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
             counts, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            here, before = Counter(find(text.encode().lower())), len(counts)
-            counts.update(here)
-            docs.update(here.keys())
+            words, before = find(text.encode().lower()), len(counts)
+            counts.update(words)
+            docs.update(set(words))
             size += len(counts) - before
             if size >= FLUSH_TERMS:
                 yield _flushed(held)
@@ -75,7 +75,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     with a null term for every group."""
     empty = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
     partial = docs.select(*empty).mapInArrow(_count_terms, "lang string, source string, term string, n long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # tasks have counted already: dealt by term as they are, not counted again before
+    return partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
@@ -100,10 +101,12 @@ def group_sizes(counts: DataFrame, levels: DataFrame, kept: DataFrame) -> DataFr
 
 
 def frequency(count, total, terms):
-    """The whole-number frequency, exact in decimals; null without terms."""
-    above = F.lit(SCALE).cast("decimal(10,0)") * (count + F.lit(SMOOTHING)).cast("decimal(20,0)")
-    below = F.nullif((total + F.lit(SMOOTHING) * terms).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return F.call_function("div", above, below) + F.lit(1)
+    """The whole-number frequency; null without terms.  Exact: in 64 bits where
+    they hold the product, in decimals beyond."""
+    count, below = count + F.lit(SMOOTHING), F.nullif(total + F.lit(SMOOTHING) * terms, F.lit(0).cast("long"))
+    above = F.lit(SCALE).cast("decimal(10,0)") * count.cast("decimal(20,0)")
+    wide = F.call_function("div", above, below.cast("decimal(20,0)"))
+    return F.when(count < (1 << 63) // SCALE, F.call_function("div", F.lit(SCALE).cast("long") * count, below)).otherwise(wide) + F.lit(1)
 
 
 def block_product(table: pa.Table) -> pa.Table:
@@ -116,11 +119,13 @@ def block_product(table: pa.Table) -> pa.Table:
     source, which = table.column("source").combine_chunks().dictionary_encode(), table.column("part").to_numpy()
     names = source.dictionary.to_pylist()
     code = source.indices.to_numpy(zero_copy_only=False)
-    _, term = np.unique(table.column("term").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False), return_inverse=True)
-    level, terms = table.column("level").to_numpy(), int(term.max()) + 1
-    first, sides, levels, owner = 0, [], [], []
+    words = table.column("term").combine_chunks().dictionary_encode()
+    held = words.indices.is_valid().to_numpy(zero_copy_only=False)  # rows without a term only name a source
+    term, level, terms = words.indices.fill_null(0).to_numpy(), table.column("level").to_numpy(), len(words.dictionary)
+    sides, levels, owner = [], [], []
     for s in range(len(names)):
-        mine = code == s
+        owner.append(int(which[code == s][0]))
+        mine = (code == s) & held
         values, column = np.unique(level[mine], return_inverse=True)
         ones = np.zeros((terms, len(values) + 1), dtype=np.float32)
         ones[:, 0] = 1
@@ -128,7 +133,6 @@ def block_product(table: pa.Table) -> pa.Table:
         ones[term[mine], column + 1] = 1
         sides.append(ones)
         levels.append(np.r_[0, values])
-        owner.append(int(which[mine][0]))
     out: list[list[np.ndarray]] = [[], [], [], [], []]
     for s in range(len(names)):
         if owner[s] != left:
@@ -167,6 +171,9 @@ def joint_tables(levels: DataFrame, groups: DataFrame, block_terms: int = BLOCK_
     term_blocks, source_blocks = 1 + (sizes[0] or 0) // block_terms, 1 + sizes[1] // block_sources
     part = F.pmod(F.xxhash64("source"), F.lit(source_blocks)).cast("int")
     dealt = levels.select("lang", "source", "term", "level", F.pmod(F.xxhash64("term"), F.lit(term_blocks)).alias("block"), part.alias("part"))
+    # every source stands in every block, also with none of its terms
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(term_blocks - 1).cast("long"))).alias("block")
+    dealt = dealt.unionByName(groups.select("lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("level"), every, part.alias("part")))
     partner = F.explode(F.sequence(F.lit(0), F.lit(source_blocks - 1))).alias("partner")
     dealt = dealt.select("*", partner).withColumns({"left": F.least("part", "partner"), "right": F.greatest("part", "partner")})
     schema = "lang string, source string, other string, level long, other_level long, terms long"
