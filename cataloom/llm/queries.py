@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, backoff, decontaminate, divergence, fingerprints, licences, packing, quotes, sharding, simhash, suffix_dedup, toxicity
+from . import alignment, backoff, decontaminate, divergence, fingerprints, licences, minhash, packing, quotes, sharding, simhash, suffix_dedup, toxicity
 
 #: Vocabulary file of the packing query; the alignment query compares both.
 TOKENIZER, OTHER_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -66,6 +66,10 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES = {
         op8_rendezvous,
         op9_licences,
         op10_best_fit,
+        op11_odd_sketches,
         op12_divergence,
         op13_alignment,
     )
