@@ -171,7 +171,8 @@ def similar_pairs(percent: int):
                 both = len(one) + len(two) - len(np.unique(np.concatenate([one, two])))
                 if 100 * both >= percent * (len(one) + len(two) - both):
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["u", "v"])
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["u", "v"])
 
     return run
 
