@@ -19,12 +19,13 @@ large bucket:
   components; the hub leaves the bucket, having met all of it, and buckets
   that lie in one component are done;
 * what is left: the remaining classes of each bucket meet in blocks of bounded
-  size inside tasks, sketch against sketch; only pairs of different components
-  whose sketches and set sizes allow the similarity come out.
+  size inside tasks.  Pairs of different components whose set sizes and sketches
+  allow the similarity are confirmed there, and a star per connected set comes
+  out, at most one link per class and block.
 
 Pairs are confirmed by the sizes of the sets' intersection and union, where a
 shingle is a 64-bit hash of its words.  Nothing is capped: a bucket of any size
-goes through blocks.
+goes through blocks, one task per pair of blocks.
 
 Cases: null texts and texts without a word have an empty set, link with nothing
 and are their own component; fewer words than a shingle are one shingle; rows
@@ -46,12 +47,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Rolling, broadcast_if_small, checkpoint, components, mix, slabs, union_all, word_spans
+from .simhash import star
 
 #: Production parameters.
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS, SAMPLES, BITS, LEAST = 6, 40, 512, 1024, 0.74
-HUB_ROUNDS, BLOCK_ROWS = 2, 2048
-SKETCH_DOCS = 1024
+HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 2048, 1 << 21
+SKETCH_DOCS, CHUNK_SHINGLES = 1024, 1 << 13
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -177,78 +179,114 @@ def similar_pairs(percent: int):
     return run
 
 
+def set_table(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the classes named in ``nodes``, read from the texts."""
+    wanted = checkpoint(reps.join(nodes, "node", "left_semi").select("node", "t1", "t2"))
+    texts = _keyed(docs).join(broadcast_if_small(wanted, 32), ["t1", "t2"]).select("node", "text")
+    return checkpoint(texts.mapInArrow(set_rows(size), "node long, shingles binary").dropDuplicates(["node"]))
+
+
 def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The (u, v) class pairs whose full sets are similar enough."""
     one = reps.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("odd").alias("o1"))
     two = reps.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("odd").alias("o2"))
     likely = checkpoint(pairs.join(one, "u").join(two, "v").where(_possible(percent)).select("u", "v"))
-    nodes = likely.select(F.col("u").alias("node")).union(likely.select("v")).distinct()
-    wanted = checkpoint(reps.join(nodes, "node", "left_semi").select("node", "t1", "t2"))
-    texts = _keyed(docs).join(broadcast_if_small(wanted, 32), ["t1", "t2"]).select("node", "text")
-    sets = checkpoint(texts.mapInArrow(set_rows(size), "node long, shingles binary").dropDuplicates(["node"]))
+    sets = set_table(likely.select(F.col("u").alias("node")).union(likely.select("v")).distinct(), reps, docs, size)
     first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s1"))
     second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("s2"))
     both = likely.join(first, "u").join(second, "v").select("u", "v", "s1", "s2")
     return checkpoint(both.mapInArrow(similar_pairs(percent), "u long, v long"))
 
 
-def block_pairs(percent: int, bits: int):
-    """Rows sorted by (key, left, right) -> (u, v) pairs of different components
-    that sketches and sizes allow; ``part`` tells a row's own block."""
-
-    def pairs(rows: list[np.ndarray], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        left, part, node, root, n = rows[1], rows[3], rows[4], rows[5], rows[6]
-        own = rows[1][0] == rows[2][0]
-        a = np.arange(len(node)) if own else np.flatnonzero(part == left)
-        b = a if own else np.flatnonzero(part != left)
-        u, v = [], []
-        for i, x in enumerate(a):
-            others = b[i + 1 :] if own else b
-            near = (root[others] != root[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))
-            others = others[near]
-            others = others[np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1, dtype=np.int64) <= bits]
-            u.append(np.full(len(others), node[x]))
-            v.append(node[others])
-        return np.concatenate([node[:0], *u]), np.concatenate([node[:0], *v])
+def shared_shingles(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets u[i] and v[i] (u sorted): rows of bits
+    over the shingles that two sets or more hold, a chunk of shingles at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    twice = times > 1
+    number = np.cumsum(twice) - 1
+    held = twice[column]
+    owner, column = owner[held], number[column[held]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros(len(u), dtype=np.int64)
+    first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]]) if len(u) else np.zeros(0, dtype=np.int64)
+    for start in range(0, int(twice.sum()), CHUNK_SHINGLES):
+        x, y = np.searchsorted(column, [start, start + CHUNK_SHINGLES])
+        ones = np.zeros((len(sets), CHUNK_SHINGLES), dtype=bool)
+        ones[owner[x:y], column[x:y] - start] = True
+        bits = np.packbits(ones, axis=1).view(np.uint64)
+        for a, b in zip(first, np.r_[first[1:], len(u)]):
+            out[a:b] += np.bitwise_count(bits[v[a:b]] & bits[u[a]]).sum(axis=1, dtype=np.int64)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_odd = [np.zeros(0, dtype=np.int64)] * 7, np.zeros((0, BITS // 64), dtype=np.int64)
-        for batch in _then_end(batches):
-            if batch is not None:
-                held = [np.r_[h, batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)] for i, h in enumerate(held)]
-                held_odd = np.vstack([held_odd, batch.column(7).flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64)])
-            if not len(held[0]):
-                continue
-            new = np.flatnonzero(np.r_[True, (np.diff(held[0]) != 0) | (np.diff(held[1]) != 0) | (np.diff(held[2]) != 0)])
-            ends = np.r_[new[1:], len(held[0])]
-            if batch is not None:  # the last group may go on in the next batch
-                new, ends = new[:-1], ends[:-1]
-            for x, y in zip(new, ends):
-                u, v = pairs([h[x:y] for h in held], held_odd[x:y].view(np.uint64))
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
-            if len(ends):
-                held, held_odd = [h[ends[-1] :] for h in held], held_odd[ends[-1] :]
 
-    return run
+def group_links(rows: pa.Table, percent: int, bits: int) -> pa.RecordBatch | None:
+    """Links of one bucket, or of two blocks of it, as a star per connected set.
+
+    Pairs of one component, pairs that meet in a bucket of an earlier band, and
+    pairs whose sizes or sketches rule the similarity out are passed over; the
+    others are confirmed on the full sets."""
+    key, left, right = (rows.column(c)[0].as_py() for c in ("key", "left", "right"))
+    part, node, root, n = (rows.column(c).to_numpy() for c in ("part", "node", "root", "n"))
+    keys, odd = (rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1) for c in ("keys", "odd"))
+    odd, band = odd.view(np.uint64), int(np.argmax(keys[0] == key))
+    a = np.arange(len(node)) if left == right else np.flatnonzero(part == left)
+    b = a if left == right else np.flatnonzero(part != left)
+    u, v = [], []
+    for i, x in enumerate(a):
+        others = b[i + 1 :] if left == right else b
+        others = others[(root[others] != root[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
+        others = others[np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1, dtype=np.int64) <= bits]
+        others = others[~(keys[others, :band] == keys[x, :band]).any(axis=1)]
+        u.append(np.full(len(others), x))
+        v.append(others)
+    u, v = (np.concatenate([a[:0], *c]) for c in (u, v))
+    if not len(u):
+        return None
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in rows.column("shingles").to_pylist()]
+    both = shared_shingles(sets, u, v)
+    near = 100 * both >= percent * (n[u] + n[v] - both)
+    label = star(len(node), u[near], v[near])
+    linked = np.flatnonzero(label != np.arange(len(node)))
+    return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], names=["u", "v"])
+
+
+def bucket_links(percent: int, bits: int):
+    """Rows sorted by (key, left, right) -> (u, v) links of every group."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            names = [batch.column(c).to_numpy() for c in ("key", "left", "right")]
+            new = np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in names], axis=0)]) if batch.num_rows else []
+            for start, end in zip(new, [*new[1:], batch.num_rows]):
+                name = tuple(int(x[start]) for x in names)
+                if name != now and held and (out := group_links(pa.Table.from_batches(held), percent, bits)) is not None:
+                    yield out
+                held = [*(held if name == now else []), batch.slice(start, end - start)]
+                now = name
+        if held and (out := group_links(pa.Table.from_batches(held), percent, bits)) is not None:
+            yield out
 
-def _then_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+    return run
 
 
-def remaining_pairs(live: DataFrame, reps: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Possible (u, v) pairs of different components within each bucket of
-    (key, node, root), found in blocks of about ``block_rows`` classes."""
-    sizes = live.groupBy("key").agg((F.count("*") / block_rows).cast("int").alias("blocks"))
-    part = F.pmod(F.xxhash64("node"), F.col("blocks") + 1)
-    dealt = live.join(sizes, "key").withColumn("part", part)
+def remaining_links(live: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
+    """(u, v) links between different components within each bucket of (key,
+    node, root); a large bucket is dealt into blocks, and each pair of blocks
+    is gone through by itself."""
+    nodes = live.select("node").distinct()
+    sizes = live.join(reps.select("node", "n"), "node").groupBy("key")
+    # blocks of so many classes and shingles at most on average
+    sizes = sizes.agg(F.greatest(F.count("*") / block_rows, F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = live.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks") + 1).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
     dealt = dealt.withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
-    dealt = dealt.join(reps.select("node", "n", "odd"), "node").select("key", "left", "right", "part", "node", "root", "n", "odd")
+    full = reps.select("node", "n", "keys", "odd").join(set_table(nodes, reps, docs, size), "node")
+    dealt = dealt.join(full, "node").select("key", "left", "right", "part", "node", "root", "n", "keys", "odd", "shingles")
     dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    return dealt.mapInArrow(block_pairs(percent, most_bits()), "u long, v long").distinct()
+    return checkpoint(dealt.mapInArrow(bucket_links(percent, most_bits()), "u long, v long"))
 
 
 def class_links(reps: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -271,7 +309,7 @@ def class_links(reps: DataFrame, docs: DataFrame, size: int = SHINGLE, percent:
         live = checkpoint(rest.join(open_, "key", "left_semi"))
         if not live.take(1):
             break
-    links.append(confirmed(remaining_pairs(live.select("key", "node", "root"), reps, percent, block_rows), reps, docs, size, percent))
+    links.append(remaining_links(live.select("key", "node", "root"), reps, docs, size, percent, block_rows))
     return union_all(links)
 
 
