@@ -10,7 +10,7 @@ The divergence of two groups is the sum of ``|p - q|`` over all kept terms.  It
 depends on a term only through its two levels, so the *joint table* of a pair
 of groups (how many terms have level a here and level b there) prices it.  The
 joint tables of all pairs are one matrix product: with one indicator column for
-each (group, level), the columns' matrix times its transpose holds them all.
+each (group, level), the matrix's transpose times the matrix holds them all.
 The product runs in blocks: terms and sources are dealt by hash into blocks of
 bounded size, a task multiplies one block of terms for one pair of source
 blocks, and entries of equal place add up.  The entry (0, 0), terms that
@@ -38,8 +38,8 @@ from .common import checkpoint
 #: Production parameters.
 MIN_DOCS, TOP_TERMS = 30, 50
 SCALE, SMOOTHING = 1_000_000_000, 5
-BLOCK_TERMS, BLOCK_SOURCES = 512, 64
-FLUSH_TERMS = 200_000
+BLOCK_TERMS, BLOCK_SOURCES, PRODUCT_PAIRS = 512, 64, 256
+FLUSH_TERMS = 500_000
 TERM = rb"[a-z\x80-\xff]+"
 
 
@@ -112,55 +112,40 @@ def frequency(count, total, terms):
 def block_product(table: pa.Table) -> pa.Table:
     """Joint-table entries of one block of terms for one pair of source blocks.
 
-    The indicator columns of each source (level 0 first) meet those of all
-    sources after it; entries are counts of terms, exact in float32 as a block
-    holds far fewer than 2**24 terms."""
+    The indicator matrix has a row per term and a column per (source, level),
+    level 0 included; a row holds a single 1 for each source.  So it is kept as
+    the column numbers of its ones, and its product with its transpose is exact
+    in whole numbers: a row adds 1 at every pair of its columns."""
     left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
     source, which = table.column("source").combine_chunks().dictionary_encode(), table.column("part").to_numpy()
-    names = source.dictionary.to_pylist()
+    names = np.array(source.dictionary.to_pylist(), dtype=object)
     code = source.indices.to_numpy(zero_copy_only=False)
     words = table.column("term").combine_chunks().dictionary_encode()
     held = words.indices.is_valid().to_numpy(zero_copy_only=False)  # rows without a term only name a source
-    term, level, terms = words.indices.fill_null(0).to_numpy(), table.column("level").to_numpy(), len(words.dictionary)
-    sides, levels, owner = [], [], []
-    for s in range(len(names)):
-        owner.append(int(which[code == s][0]))
-        mine = (code == s) & held
-        values, column = np.unique(level[mine], return_inverse=True)
-        ones = np.zeros((terms, len(values) + 1), dtype=np.float32)
-        ones[:, 0] = 1
-        ones[term[mine], 0] = 0
-        ones[term[mine], column + 1] = 1
-        sides.append(ones)
-        levels.append(np.r_[0, values])
+    level = np.zeros((len(words.dictionary), len(names)), dtype=np.int64)
+    level[words.indices.fill_null(0).to_numpy()[held], code[held]] = table.column("level").to_numpy()[held]
+    owner = np.zeros(len(names), dtype=np.int64)
+    owner[code] = which
+    place = np.argsort(names)  # a pair is held once, by the order of its names in one block
+    one, two = np.meshgrid(place[owner[place] == left], place[owner[place] == right], indexing="ij")
+    if left == right:
+        one, two = (x[np.triu_indices(len(x), 1)] for x in (one, two))
+    one, two = one.ravel(), two.ravel()
+    values, column = np.unique(level, return_inverse=True)  # columns of a source are its numbers of this list
+    column, size = column.reshape(level.shape).astype(np.int64), max(1, len(values))
     out: list[list[np.ndarray]] = [[], [], [], [], []]
-    for s in range(len(names)):
-        if owner[s] != left:
-            continue
-        others = [t for t in range(len(names)) if owner[t] == right and (left != right or names[t] > names[s])]
-        for first in range(0, len(others), 8):  # columns of at most eight sources at once
-            some = others[first : first + 8]
-            joint = sides[s].T @ np.hstack([sides[t] for t in some])
-            a, b = np.nonzero(joint)
-            of = np.repeat(some, [len(levels[t]) for t in some])
-            levels_b = np.concatenate([levels[t] for t in some])
-            keep = (levels[s][a] > 0) | (levels_b[b] > 0)
-            a, b = a[keep], b[keep]
-            for column, values in zip(out, (np.full(len(a), s), of[b], levels[s][a], levels_b[b], joint[a, b].astype(np.int64))):
-                column.append(values)
-    s1, s2, a, b, n = (np.concatenate(c).astype(np.int64) if c else np.zeros(0, dtype=np.int64) for c in out)
-    label = np.array(names, dtype=object)
+    for first in range(0, len(one), PRODUCT_PAIRS):
+        s, t = one[first : first + PRODUCT_PAIRS], two[first : first + PRODUCT_PAIRS]
+        at = (np.arange(len(s)) * size + column[:, s]) * size + column[:, t]
+        entries, terms = np.unique(at, return_counts=True)
+        pair, a, b = entries // (size * size), entries // size % size, entries % size
+        keep = (values[a] > 0) | (values[b] > 0) if len(values) else a > 0
+        for got, x in zip(out, (s[pair], t[pair], values[a], values[b], terms)):
+            got.append(x[keep])
+    s, t, a, b, n = (np.concatenate([np.zeros(0, dtype=np.int64), *c]).astype(np.int64) for c in out)
     lang = table.column("lang")[0].as_py()
-    return pa.table(
-        {
-            "lang": pa.array([lang] * len(n), pa.string()),
-            "source": pa.array(label[s1], pa.string()),
-            "other": pa.array(label[s2], pa.string()),
-            "level": pa.array(a),
-            "other_level": pa.array(b),
-            "terms": pa.array(n),
-        }
-    )
+    strings = [pa.array([lang] * len(n), pa.string()), *(pa.array(names[x], pa.string()) for x in (s, t))]
+    return pa.Table.from_arrays([*strings, pa.array(a), pa.array(b), pa.array(n)], names=["lang", "source", "other", "level", "other_level", "terms"])
 
 
 def joint_tables(levels: DataFrame, groups: DataFrame, block_terms: int = BLOCK_TERMS, block_sources: int = BLOCK_SOURCES) -> DataFrame:
