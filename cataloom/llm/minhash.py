@@ -52,8 +52,8 @@ from .simhash import star
 #: Production parameters.
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS, SAMPLES, BITS, LEAST = 6, 40, 512, 1024, 0.74
-HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 2048, 1 << 21
-SKETCH_DOCS, CHUNK_SHINGLES = 1024, 1 << 13
+HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 1024, 1 << 20
+SKETCH_DOCS, CHUNK_SHINGLES, STAR_PAIRS = 1024, 1 << 13, 1 << 18
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -209,7 +209,7 @@ def shared_shingles(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.
     owner, column = owner[held], number[column[held]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    out = np.zeros(len(u), dtype=np.int64)
+    out = np.zeros(len(u), dtype=np.int32)
     first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]]) if len(u) else np.zeros(0, dtype=np.int64)
     for start in range(0, int(twice.sum()), CHUNK_SHINGLES):
         x, y = np.searchsorted(column, [start, start + CHUNK_SHINGLES])
@@ -217,7 +217,7 @@ def shared_shingles(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.
         ones[owner[x:y], column[x:y] - start] = True
         bits = np.packbits(ones, axis=1).view(np.uint64)
         for a, b in zip(first, np.r_[first[1:], len(u)]):
-            out[a:b] += np.bitwise_count(bits[v[a:b]] & bits[u[a]]).sum(axis=1, dtype=np.int64)
+            out[a:b] += np.bitwise_count(bits[v[a:b]] & bits[u[a]]).sum(axis=1, dtype=np.int32)
     return out
 
 
@@ -239,16 +239,19 @@ def group_links(rows: pa.Table, percent: int, bits: int) -> pa.RecordBatch | Non
         others = others[(root[others] != root[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
         others = others[np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1, dtype=np.int64) <= bits]
         others = others[~(keys[others, :band] == keys[x, :band]).any(axis=1)]
-        u.append(np.full(len(others), x))
-        v.append(others)
-    u, v = (np.concatenate([a[:0], *c]) for c in (u, v))
+        u.append(np.full(len(others), x, dtype=np.int32))
+        v.append(others.astype(np.int32))
+    u, v = (np.concatenate([np.zeros(0, dtype=np.int32), *c]) for c in (u, v))
     if not len(u):
         return None
     sets = [np.frombuffer(s, dtype=np.uint64) for s in rows.column("shingles").to_pylist()]
     both = shared_shingles(sets, u, v)
-    near = 100 * both >= percent * (n[u] + n[v] - both)
-    label = star(len(node), u[near], v[near])
-    linked = np.flatnonzero(label != np.arange(len(node)))
+    label = every = np.arange(len(node))
+    for x in range(0, len(u), STAR_PAIRS):  # so many pairs at a time: what is linked so far is one star each
+        s, t, common = u[x : x + STAR_PAIRS], v[x : x + STAR_PAIRS], both[x : x + STAR_PAIRS]
+        near = 100 * common >= percent * (n[s] + n[t] - common)
+        label = star(len(node), np.r_[every, s[near]], np.r_[label, t[near]])
+    linked = np.flatnonzero(label != every)
     return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], names=["u", "v"])
 
 
