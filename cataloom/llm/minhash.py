@@ -46,13 +46,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, broadcast_if_small, checkpoint, components, mix, slabs, union_all, word_spans
+from .common import BROADCAST_BYTES, Rolling, broadcast_if_small, checkpoint, components, mix, slabs, union_all, word_spans
 from .simhash import star
 
 #: Production parameters.
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS, SAMPLES, BITS, LEAST = 6, 40, 512, 1024, 0.74
-HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 1024, 1 << 20
+HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 2048, 1 << 20
 SKETCH_DOCS, CHUNK_SHINGLES, STAR_PAIRS = 1024, 1 << 13, 1 << 18
 
 
@@ -286,9 +286,13 @@ def remaining_links(live: DataFrame, reps: DataFrame, docs: DataFrame, size: int
     dealt = live.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks") + 1).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
     dealt = dealt.withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
-    full = reps.select("node", "n", "keys", "odd").join(set_table(nodes, reps, docs, size), "node")
-    dealt = dealt.join(full, "node").select("key", "left", "right", "part", "node", "root", "n", "keys", "odd", "shingles")
-    dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    full = checkpoint(reps.select("node", "n", "keys", "odd").join(set_table(nodes, reps, docs, size), "node"))
+    row_bytes = F.octet_length("shingles") + 8 * (BANDS + BITS // 64 + 2)
+    if (full.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES:  # a class stands in many buckets: sent once to each executor
+        dealt = dealt.repartition("key", "left", "right").join(F.broadcast(full), "node")
+    else:
+        dealt = dealt.join(full, "node").repartition("key", "left", "right")
+    dealt = dealt.select("key", "left", "right", "part", "node", "root", "n", "keys", "odd", "shingles").sortWithinPartitions("key", "left", "right")
     return checkpoint(dealt.mapInArrow(bucket_links(percent, most_bits()), "u long, v long"))
 
 
