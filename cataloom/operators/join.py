@@ -10,10 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.column import Column
 
+from cataloom.operators.inequality import inequalities_of, inequality_join, ordered_long
 from cataloom.operators.project import check_unique, prefix_columns, qualified_name, qualify_columns
 from cataloom.operators.tracked import Tracked, unwrap
 from cataloom.sources.catalog import Catalog
@@ -158,12 +161,16 @@ def join_tables(
     """Join on any boolean SQL condition, then filter, select, prefix.
 
     Equality conjuncts in the condition become hash/sort-merge join keys;
-    the rest stays a join filter.
+    the rest stays a join filter.  Without one, inequalities between the two
+    sides are found and joined by sorting (``theta_join``), not by a nested
+    loop.
     """
     ldf, _ = unwrap(left)
     rdf, _ = unwrap(right)
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
-    out = ldf.join(rdf, cond, join_type(join_type_name))
+    out = theta_join(ldf, rdf, cond, join_type(join_type_name), filter_condition)
+    if out is None:
+        out = ldf.join(rdf, cond, join_type(join_type_name))
     if filter_condition is not None:
         out = out.filter(filter_condition)
     if select_cols:
@@ -272,7 +279,42 @@ def join_back_aggregate(
     return out.drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-# ---------------------------------------------------------------- theta: ranges
+# ---------------------------------------------------------------- theta
+def theta_join(left: DataFrame, right: DataFrame, cond: Column, how: str, filter_condition: str | Column | None = None) -> DataFrame | None:
+    """A join without equality: a value between two bounds becomes a
+    ``range_join``, other inequalities an ``inequality_join``.  None when the
+    condition has no such part, or when a later filter names columns in a way
+    (by table alias) that only Spark's own join keeps; Spark plans these."""
+    if how not in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        return None
+    found = inequalities_of(left, right, cond)
+    if found is None:
+        return None
+    conditions, whole = found
+    if filter_condition is not None:
+        fields = left.schema.fields + ([] if how in ("left_semi", "left_anti") else right.schema.fields)
+        try:
+            left.sparkSession.createDataFrame([], T.StructType(fields)).filter(filter_condition)
+        except AnalysisException:
+            return None
+    if whole and len(conditions) == 2:
+        bounds = {c.op: c for c in conditions}
+        kinds = [d.select(F.expr(x)).schema[0].dataType for c in conditions for d, x in ((left, c.left), (right, c.right))]
+        floats = any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds)  # may be infinite: no bins
+        if set(bounds) == {">=", "<="} and not floats:
+            low, high = bounds[">="], bounds["<="]
+            if low.left == high.left:
+                return range_join(left, right, low.left, low.right, high.right, how=how)
+            if low.right == high.right and how in ("inner", "left", "right", "full"):
+                flipped = {"left": "right", "right": "left"}.get(how, how)
+                out = range_join(right, left, low.right, high.left, low.left, how=flipped)
+                names = [f"c{i}" for i in range(len(out.columns))]
+                back = names[len(right.columns) :] + names[: len(right.columns)]
+                return out.toDF(*names).select(*back).toDF(*left.columns, *right.columns)
+    residual = None if whole and len(conditions) <= 2 else cond
+    return inequality_join(left, right, conditions[:2], residual, how)
+
+
 def range_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -292,7 +334,8 @@ def range_join(
     ``w`` defaults to the median range length.  Ranges with a NULL bound or
     ``low > high`` match nothing.  ``how`` is inner, left, right, full,
     left_semi or left_anti; unmatched rows are found by an anti join of
-    checkpointed, numbered rows, so each comes out once.
+    checkpointed, numbered rows, so each comes out once.  Dates and timestamps
+    are joined as days and microseconds (the unit of ``bin_width`` then).
     """
     from cataloom.session import materialize
 
@@ -302,6 +345,13 @@ def range_join(
     as_column = lambda x: F.expr(x) if isinstance(x, str) else x
     pts = points.withColumn("__v", as_column(value))
     rng = ranges.withColumns({"__lo": as_column(low), "__hi": as_column(high)})
+    kinds = {c: d.schema[c].dataType for c, d in (("__v", pts), ("__lo", rng), ("__hi", rng))}
+    if any(isinstance(k, (T.DateType, T.TimestampType, T.TimestampNTZType)) for k in kinds.values()):
+        widest = next((k for k in kinds.values() if not isinstance(k, T.DateType)), T.DateType())
+        longs = {c: ordered_long(F.col(c), k, widest) for c, k in kinds.items()}
+        if any(x is None for x in longs.values()):
+            raise ValueError("range_join cannot compare " + ", ".join(k.simpleString() for k in kinds.values()))
+        pts, rng = pts.withColumn("__v", longs["__v"]), rng.withColumns({c: longs[c] for c in ("__lo", "__hi")})
     if kind != "inner":
         pts = materialize(pts.withColumn("__pid", F.monotonically_increasing_id()))
         rng = materialize(rng.withColumn("__rid", F.monotonically_increasing_id()))

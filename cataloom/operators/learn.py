@@ -1,29 +1,137 @@
 """Clustering and linear models on Spark ML.
 
-Fitting is distributed by Spark ML (k-means iterations aggregate per
-partition; the normal-equation solver aggregates X'X in one pass).  Only
-fitted parameters -- a handful of numbers -- come back to the driver.
+Fitting is distributed: a k-means round sums points per centre in the tasks,
+the normal-equation solver aggregates X'X in one pass, and a factor of many
+levels needs one grouped pass (``group_coefficients``).  Only fitted parameters
+-- a handful of numbers -- come back to the driver; coefficients of many levels
+stay a table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import random
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import RFormula, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.mllib.clustering import KMeans as SparkKMeans
+from pyspark.mllib.clustering import KMeansModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cataloom.session import materialize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 FEATURES = "features"
 
 
+@dataclass(frozen=True)
+class Centers:
+    """A fitted clustering: its centres and the rows' total squared distance from them."""
+
+    centers: list[list[float]]
+    trainingCost: float = 0.0
+
+    @property
+    def summary(self) -> "Centers":
+        return self
+
+    def clusterCenters(self) -> list[list[float]]:
+        return self.centers
+
+
+def _points(column: pa.Array) -> np.ndarray:
+    """Rows of an array column as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance and index of the nearest centre; of equal ones the first."""
+    away, place = np.full(len(points), np.inf), np.zeros(len(points), dtype=np.int64)
+    for i, center in enumerate(centers):
+        d = np.square(points - center).sum(axis=1)
+        closer = d < away
+        away[closer], place[closer] = d[closer], i
+    return away, place
+
+
+def _with_nearest(data: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """``data`` (first column ``point``) with distance ``d`` and index ``i`` of
+    the nearest centre."""
+    fixed = np.array(centers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            away, place = _nearest(_points(batch.column(0)), fixed) if batch.num_rows else (np.zeros(0), np.zeros(0, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(away), pa.array(place.astype(np.int32))], names=[*batch.schema.names, "d", "i"])
+
+    return data.mapInArrow(run, T.StructType([*data.schema.fields, T.StructField("d", T.DoubleType()), T.StructField("i", T.IntegerType())]))
+
+
+def _row_draw(seed: int, turn: int, draw: Column) -> Column:
+    """A number in [0, 1) from the seed, the turn and the row's own hash."""
+    top = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(turn), draw), 11)
+    return top.cast("double") / F.lit(float(1 << 53))
+
+
+def seed_centers(data: DataFrame, k: int, seed: int, turns: int = 2, oversample: float = 2.0) -> list[list[float]]:
+    """Start centres for ``data`` (array ``point``, long ``draw``).
+
+    Oversampled seeding: in each turn a row becomes a candidate with a
+    probability in proportion to its squared distance from the candidates so
+    far, about ``oversample * k`` of them.  A row's luck is a hash of its own
+    ``draw``, so that the candidates do not depend on how rows lie in
+    partitions.  Each candidate is weighted by the rows nearest to it, and
+    weighted k-means++ picks k of these few on the driver.
+    """
+    first = data.orderBy(_row_draw(seed, 0, F.col("draw")), "point").limit(1).collect()
+    if not first:
+        return []
+    candidates = [list(first[0]["point"])]
+    for turn in range(1, turns + 1):
+        away = _with_nearest(data, candidates)
+        total = away.agg(F.sum("d")).first()[0]
+        if not total:
+            break
+        lucky = _row_draw(seed, turn, F.col("draw")) < F.lit(oversample * k / total) * F.col("d")
+        more = away.where(lucky).select("point").distinct().collect()  # about oversample * k rows
+        candidates += sorted(list(r["point"]) for r in more)
+    weight = [0] * len(candidates)
+    for r in _with_nearest(data, candidates).groupBy("i").count().collect():
+        weight[r["i"]] = r["count"]
+    rng, chosen = random.Random(seed), []
+    gap = [math.inf] * len(candidates)
+    for _ in range(min(k, len(candidates))):
+        odds = [w * (g if g < math.inf else 1.0) for w, g in zip(weight, gap)]
+        if not sum(odds):
+            break
+        pick = rng.choices(range(len(candidates)), odds)[0]
+        chosen.append(candidates[pick])
+        gap = [min(g, sum((a - b) ** 2 for a, b in zip(c, candidates[pick]))) for g, c in zip(gap, candidates)]
+    return chosen
+
+
+def fit_from(data: DataFrame, centers: list[list[float]], max_iter: int) -> Centers:
+    """Spark's k-means from the given start centres (its RDD form takes a start model)."""
+    vectors = data.select("point").rdd.map(lambda r: r[0])
+    model = SparkKMeans.train(vectors, len(centers), maxIterations=max_iter, initialModel=KMeansModel(centers))
+    found = [[float(v) for v in c] for c in model.clusterCenters]
+    return Centers(found, _with_nearest(data.select("point"), found).agg(F.sum("d")).first()[0] or 0.0)
+
+
+#: Rows of a partition of clustered points.
+POINT_ROWS = 1_000_000
+
+
 def kmeans(
     df: DataFrame,
     feature_cols: Sequence[str] | str,
@@ -36,23 +144,32 @@ def kmeans(
     """k-means on numeric columns, or on one array column (L1-L3).
 
     Returns ``(model, assignments)``; assignments keep ``id_cols`` and add
-    ``cluster`` (L4).  Rows with a NULL feature are skipped, as the
-    reference's numeric matrices had none.  Seeding draws per partition:
-    ``partitions`` deals the rows by ``id_cols`` into that many, so that a run
-    does not depend on the machine or on the files; None keeps the input's.
+    ``cluster`` (L4).  Rows with a NULL (or NaN) feature are skipped, as the
+    reference's numeric matrices had none.  Seeding draws are hashes of
+    ``id_cols`` (of the features without them), so the centres are the same
+    however the rows lie in files and partitions; the points are read once and
+    kept for the rounds, in ``partitions`` or a number that follows from the
+    row count.
     """
     if isinstance(feature_cols, str):
-        data = df.filter(F.col(feature_cols).isNotNull()).withColumn(FEATURES, array_to_vector(feature_cols))
+        point = F.transform(F.col(f"`{feature_cols}`"), lambda v: v.cast("double"))
     else:
-        cols = list(feature_cols)
-        data = VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="skip").transform(df)
-    if partitions:
-        data = data.repartition(partitions, *id_cols) if id_cols else data.repartition(partitions)
-    # KMeans persists its own instance RDD while iterating when the input is
-    # not cached; caching the vector column here measured twice as slow
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(data)
-    assigned = model.transform(data).select(*id_cols, F.col("cluster").cast("int").alias("cluster"))
-    return model, assigned
+        point = F.array(*[F.col(f"`{c}`").cast("double") for c in feature_cols])
+    whole = point.isNotNull() & ~F.exists(point, lambda v: v.isNull() | F.isnan(v))
+    names = [F.col(f"`{c}`") for c in id_cols]
+    data = df.where(whole).select(*names, point.alias("point"), F.xxhash64(*(names or [point])).alias("draw"))
+    if partitions is None:
+        partitions = max(df.sparkSession.sparkContext.defaultParallelism, 1 + df.count() // POINT_ROWS)
+    points = data.select("point", "draw").repartition(partitions).persist()
+    try:
+        centers = seed_centers(points, k, seed)
+        model = fit_from(points, centers, max_iter) if centers else Centers([])
+    finally:
+        points.unpersist()
+    if not model.centers:
+        return model, data.select(*names, F.lit(None).cast("int").alias("cluster"))
+    assigned = _with_nearest(data.select("point", *names), model.centers)
+    return model, assigned.select(*names, F.col("i").alias("cluster"))
 
 
 def cluster_centers(model, assignments: DataFrame) -> DataFrame:
@@ -105,6 +222,51 @@ def coefficient_table(fit: GroupFit, levels: list[str], digits: int = 7, with_p_
     return rows[-1:] + rows[:-1] if len(se) > len(levels) else rows
 
 
+def level_statistics(df: DataFrame, response: str, factor: str) -> DataFrame:
+    """Per level of ``factor``: n, mean m and within-level sum of squares ss of
+    ``response``, from one grouped pass; rows with a NULL are left out."""
+    data = df.select(F.col(f"`{factor}`").alias("level"), F.col(f"`{response}`").cast("double").alias("y")).dropna()
+    return data.groupBy("level").agg(F.count("*").alias("n"), F.avg("y").alias("m"), (F.var_pop("y") * F.count("*")).alias("ss"))
+
+
+def group_coefficients(df: DataFrame, response: str, factor: str, intercept: bool = True, digits: int = 7) -> DataFrame:
+    """Coefficient table of ``response ~ factor`` (or ``- 1``) for a factor of
+    any number of levels (L5, L7).
+
+    With one factor the least-squares fit has a closed form per level, so no
+    dummy columns and no matrix are needed: the estimates are the levels' means
+    (less that of the alphabetically first level, the reference, when there is
+    an intercept), the residual variance is the pooled one, and standard errors
+    follow from the counts.  Columns: ``term``, ``estimate``, ``std_error``,
+    ``t_value``, ``n``; one row per level, the reference as ``(Intercept)``,
+    rounded to ``digits`` significant digits.  Errors are NULL when every level
+    has one row.
+    """
+    levels = materialize(level_statistics(df, response, factor))
+    total = levels.agg(F.sum("n").alias("n"), F.count("*").alias("g"), F.sum("ss").alias("ss"), F.min_by(F.struct("level", "n", "m"), F.col("level").cast("string")).alias("ref")).first()
+    schema = "term string, estimate double, std_error double, t_value double, n bigint"
+    if not total["n"]:
+        return df.sparkSession.createDataFrame([], schema)
+    free = total["n"] - total["g"]
+    variance = F.lit(total["ss"] / free if free else None).cast("double")
+    name = F.col("level").cast("string")
+    estimate, share = F.col("m"), F.lit(1.0) / F.col("n")
+    if intercept:
+        ref = total["ref"]
+        own = name == F.lit(str(ref["level"])) if not isinstance(ref["level"], str) else F.col("level") == F.lit(ref["level"])
+        estimate = F.when(own, estimate).otherwise(estimate - F.lit(ref["m"]))
+        share = F.when(own, share).otherwise(share + F.lit(1.0 / ref["n"]))
+        name = F.when(own, F.lit("(Intercept)")).otherwise(name)
+    error = F.sqrt(variance * share)
+    out = levels.select(name.alias("term"), estimate.alias("estimate"), error.alias("std_error"), F.when(error > 0, estimate / error).alias("t_value"), "n")
+    return out.select("term", *[significant_column(F.col(c), digits).alias(c) for c in ("estimate", "std_error", "t_value")], "n")
+
+
+def significant_column(value: Column, digits: int = 7) -> Column:
+    """``significant`` as a column expression."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits - 1}e", value).cast("double"))
+
+
 def save_model(fit: GroupFit, path: str) -> str:
     fit.model.write().overwrite().save(path)
     return path

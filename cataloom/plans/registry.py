@@ -1038,10 +1038,6 @@ def lm_anova(spark, d):
     return learn.one_way_anova(_lm_data(spark, d), "l_extendedprice", "l_returnflag", digits=7, with_p_value=False)
 
 
-#: Layout of the k-means queries, the same on every machine.
-KMEANS_PARTITIONS = 16
-
-
 def _kmeans_sql(table: str, k: int) -> str:
     return f"SELECT count(*) AS n_rows, {k} AS n_clusters, true AS nearest, true AS better_than_one FROM {table}"
 
@@ -1074,7 +1070,7 @@ LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def kmeans_k3(spark, d):
     model, assigned = learn.kmeans(
         T(spark, d, "lineitem"), LINE_FEATURES, k=3, max_iter=50,
-        id_cols=["l_orderkey", "l_linenumber", *LINE_FEATURES], partitions=KMEANS_PARTITIONS,
+        id_cols=["l_orderkey", "l_linenumber", *LINE_FEATURES],
     )
     return _kmeans_checked(model, assigned, F.array(*LINE_FEATURES))
 
@@ -1093,21 +1089,21 @@ def kmeans_nested(spark, d):
     )
     flat = ev.select("event_id", "rx_fill.*")
     fields = ["value", "user", "k", "hour"]
-    model, assigned = learn.kmeans(flat, fields, k=3, max_iter=50, id_cols=["event_id", *fields], partitions=KMEANS_PARTITIONS)
+    model, assigned = learn.kmeans(flat, fields, k=3, max_iter=50, id_cols=["event_id", *fields])
     return _kmeans_checked(model, assigned, F.array(*fields))
 
 
 @register("kmeans_k5", _kmeans_sql("embeddings", 5))
 def kmeans_k5(spark, d):
     """Embedding vectors."""
-    model, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id", "embedding"], partitions=KMEANS_PARTITIONS)
+    model, assigned = learn.kmeans(T(spark, d, "embeddings"), "embedding", k=5, max_iter=15, id_cols=["vec_id", "embedding"])
     return _kmeans_checked(model, assigned, F.col("embedding"))
 
 
 @register("kmeans_centers", "SELECT 3 AS n_centers, count(*) AS n_rows, 4 AS center_size FROM lineitem")
 def kmeans_centers(spark, d):
     model, assigned = learn.kmeans(
-        T(spark, d, "lineitem"), LINE_FEATURES, k=3, max_iter=50, id_cols=["l_orderkey", "l_linenumber"], partitions=KMEANS_PARTITIONS,
+        T(spark, d, "lineitem"), LINE_FEATURES, k=3, max_iter=50, id_cols=["l_orderkey", "l_linenumber"],
     )
     return learn.cluster_centers(model, assigned).agg(
         F.count_distinct("cluster").cast("int").alias("n_centers"), F.sum("size").alias("n_rows"), F.max(F.size("center")).alias("center_size")
@@ -1123,3 +1119,7 @@ def stream_latest_ship(spark, d):
     from cataloom.streaming.incremental import run_latest_stream
 
     return run_latest_stream(spark, d, ["l_suppkey"], "l_shipdate", file_glob="lineitem.parquet")
+
+
+# further queries register themselves
+from cataloom.plans import registry_profile, registry_time  # noqa: E402, F401
