@@ -14,7 +14,7 @@ Classes that share a band key form a bucket, and every pair in a bucket that
 may be similar is confirmed on the full sets, without listing all pairs of a
 large bucket:
 
-* hub rounds: in each bucket the class that shares most buckets overall, the
+* a hub round (or more): in each bucket the class that shares most buckets overall, the
   likely original of a family, is paired with the others.  Links found join
   components; the hub leaves the bucket, having met all of it, and buckets
   that lie in one component are done;
@@ -52,7 +52,7 @@ from .simhash import star
 #: Production parameters.
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS, SAMPLES, BITS, LEAST = 6, 40, 512, 1024, 0.74
-HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 2, 2048, 1 << 20
+HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 1, 2048, 1 << 20
 SKETCH_DOCS, CHUNK_SHINGLES, STAR_PAIRS = 1024, 1 << 13, 1 << 18
 
 
