@@ -11,10 +11,11 @@ paragraphs is looked for by itself.  The latest such message before the quoting
 one is what it replies to, and a message that quotes nothing known replies to
 the turn before it.  The replies of a conversation form trees; a run of messages that
 each reply to the turn before is a chain, and a quote that reaches further back
-starts a new one.  Chains find their way to the root by pointer doubling.
-Messages come out without quotes, sorted by conversation and ``reply_order``,
-which is the order of walking the trees: a message, then the replies to it by
-turn, each with all that follows from it.
+starts a new one.  Pointer doubling over the walk of all chains gives each its
+place and depth.  Messages come out without quotes, sorted by conversation and
+``reply_order``, a number without gaps, which is the order of walking the
+trees: a message, then the replies to it by turn, each with all that follows
+from it.
 
 Originals are reduced to the first turn of each (conversation, level, hash)
 before the join, so a passage that repeats does not multiply rows.  Of the
@@ -157,6 +158,39 @@ def quoted_turns(rows: DataFrame) -> DataFrame:
     return linked.groupBy("conv_id", "turn").agg(F.max("origin").alias("quoted"), F.sum("times").alias("n_quotes"), F.sum(F.when(F.col("origin").isNotNull(), F.col("times"))).alias("n_linked"))
 
 
+def chain_places(chains: DataFrame) -> DataFrame:
+    """(conv_id, start, first, base): the place of each chain's first message
+    in the walk of its conversation's trees, and its depth.
+
+    The walk enters a chain, passes the chains that branch off it (the nearest
+    origin first, then by start) and leaves it: a list of two stops per chain,
+    each of which knows the stop before.  Pointer doubling sums up what lies
+    before a stop, messages and steps down less steps up, in two numbers."""
+    siblings = Window.partitionBy("conv_id", "up").orderBy(F.desc("reply_to"), "start")
+    placed = chains.withColumn("elder", F.lag("start").over(siblings))
+    last = placed.groupBy("conv_id", "up").agg(F.max_by("start", F.struct(-F.col("reply_to"), F.col("start"))).alias("youngest"))
+    last = last.where("up is not null").withColumnRenamed("up", "start")
+    step = F.coalesce(F.col("reply_to") - F.col("up") + 1, F.lit(0))
+    enter = placed.select(
+        "conv_id", "start", F.lit(False).alias("left"), F.coalesce("elder", "up").alias("before"), F.col("elder").isNotNull().alias("before_left"), F.col("n").alias("first"), step.alias("base")
+    )
+    leave = placed.join(last, ["conv_id", "start"], "left").select(
+        "conv_id", "start", F.lit(True).alias("left"), F.coalesce("youngest", "start").alias("before"), F.col("youngest").isNotNull().alias("before_left"), F.lit(0).cast("long").alias("first"), (-step).alias("base")
+    )
+    stops = checkpoint(enter.unionByName(leave))
+    while True:
+        ahead = stops.select("conv_id", F.col("start").alias("before"), F.col("left").alias("before_left"), F.col("before").alias("next"), F.col("before_left").alias("next_left"), F.col("first").alias("more"), F.col("base").alias("deeper"))
+        met = stops.join(ahead, ["conv_id", "before", "before_left"], "left")
+        zero = F.lit(0).cast("long")
+        stops = checkpoint(
+            met.select("conv_id", "start", "left", F.col("next").alias("before"), F.coalesce("next_left", F.lit(False)).alias("before_left"), (F.col("first") + F.coalesce("more", zero)).alias("first"), (F.col("base") + F.coalesce("deeper", zero)).alias("base"))
+        )
+        if not stops.where("before is not null").take(1):
+            break
+    sizes = chains.select("conv_id", "start", "n")
+    return stops.where("not left").join(sizes, ["conv_id", "start"]).select("conv_id", "start", (F.col("first") - F.col("n")).alias("first"), "base")
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text (without quotes), n_quotes, n_linked,
     reply_to, thread (first turn of the chain), depth, reply_order."""
@@ -181,25 +215,12 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
     # a chain that branches off: after all later messages of its origin's chain, the nearest origin first
     origin = placed.select("conv_id", F.col("turn").alias("reply_to"), F.col("thread").alias("up"))
-    chains = placed.where("start is not null and reply_to is not null").select("conv_id", "start", "reply_to").join(origin, ["conv_id", "reply_to"])
-    step = F.array(F.array(F.lit(1).cast("long"), -F.col("reply_to"), F.col("start")))
-    chains = checkpoint(chains.select("conv_id", "start", "up", step.alias("path"), (F.col("reply_to") - F.col("up") + 1).alias("base")))
-    while True:
-        above = chains.select("conv_id", F.col("start").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"), F.col("base").alias("more"))
-        joined = checkpoint(chains.join(above, ["conv_id", "up"], "left"))
-        chains = joined.select(
-            "conv_id", "start", F.coalesce("next", "up").alias("up"), F.when(F.col("next").isNotNull(), F.concat("head", "path")).otherwise(F.col("path")).alias("path"), (F.col("base") + F.coalesce("more", F.lit(0))).alias("base")
-        )
-        if not joined.where("next is not null").take(1):
-            break
-
-    chains = chains.select("conv_id", F.col("start").alias("thread"), "up", "path", "base")
-    placed = placed.drop("start").join(chains, ["conv_id", "thread"], "left")
-    root, none = F.coalesce("up", "thread"), F.array().cast("array<array<bigint>>")
-    zero = F.lit(0).cast("long")
-    order = F.concat(F.array(F.array(zero, root, zero)), F.coalesce("path", none), F.array(F.array(zero, F.col("turn"), zero)))
-    depth = F.col("turn") - F.col("thread") + F.coalesce("base", F.lit(0))
-    placed = placed.withColumns({"reply_order": order, "depth": depth}).drop("up", "path", "base")
+    sizes = placed.groupBy("conv_id", "thread").agg(F.count("*").alias("n")).withColumnRenamed("thread", "start")
+    chains = placed.where("start is not null").select("conv_id", "start", "reply_to").join(origin, ["conv_id", "reply_to"], "left")
+    places = chain_places(checkpoint(chains.join(sizes, ["conv_id", "start"]))).withColumnRenamed("start", "thread")
+    placed = placed.drop("start").join(places, ["conv_id", "thread"])
+    along = F.col("turn") - F.col("thread")
+    placed = placed.withColumns({"reply_order": F.col("first") + along, "depth": F.col("base") + along}).drop("first", "base")
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     out = cut.select("conv_id", "turn", "role", F.col("body").alias("text")).join(placed, ["conv_id", "turn"])
     out = out.select("conv_id", "turn", "role", "text", count("n_quotes"), count("n_linked"), "reply_to", "thread", "depth", "reply_order")

@@ -111,3 +111,17 @@ def test_quotes_of_parts(chat):
     assert [(got[1, t]["n_quotes"], got[1, t]["n_linked"]) for t in (5, 7, 8, 9)] == [(1, 1), (1, 1), (1, 0), (1, 1)]
     assert got[2, 5]["reply_to"] == 2
     assert [got[1, t]["thread"] for t in range(10)] == [0, 0, 0, 3, 4, 5, 6, 7, 7, 9]
+
+
+def test_long_conversation_that_always_quotes_two_back(spark, chat):
+    """Every turn starts a chain: one number and one depth per message, in few rounds."""
+    n = 3000
+    rows = [(1, t, "user", f"message number {t}" if t < 2 else f"> message number {t - 2}\nmessage number {t}") for t in range(n)]
+    got = {r["turn"]: r for r in quotes.link_quotes(chat(rows)).collect()}
+    assert [got[t]["reply_to"] for t in range(4)] == [None, 0, 0, 1]
+    order = sorted(range(n), key=lambda t: got[t]["reply_order"])
+    assert [got[t]["reply_order"] for t in order] == list(range(n))
+    assert order == walk([got[t] for t in range(n)])
+    for t in range(n):
+        up = got[t]["reply_to"]
+        assert got[t]["depth"] == (0 if up is None else got[up]["depth"] + 1)
