@@ -14,14 +14,15 @@ Classes that share a band key form a bucket, and every pair in a bucket that
 may be similar is confirmed on the full sets, without listing all pairs of a
 large bucket:
 
-* a hub round (or more): in each bucket the class that shares most buckets overall, the
-  likely original of a family, is paired with the others.  Links found join
-  components; the hub leaves the bucket, having met all of it, and buckets
-  that lie in one component are done;
+* a hub round (or more): in each bucket the class that shares most buckets
+  overall, the likely original of a family, is paired with the others.  Links
+  found name what is connected; the hub leaves the bucket, having met all of
+  it, and buckets that are connected throughout are done;
 * what is left: the remaining classes of each bucket meet in blocks of bounded
-  size inside tasks.  Pairs of different components whose set sizes and sketches
-  allow the similarity are confirmed there, and a star per connected set comes
-  out, at most one link per class and block.
+  size inside tasks, by their sketches.  Pairs not yet connected whose set sizes
+  and sketches allow the similarity join classes to families, and within a
+  family, in blocks again, such pairs are confirmed.  Both times a star per
+  connected set comes out, at most one link per class and block.
 
 Pairs are confirmed by the sizes of the sets' intersection and union, where a
 shingle is a 64-bit hash of its words.  Nothing is capped: a bucket of any size
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, Rolling, broadcast_if_small, checkpoint, components, mix, slabs, union_all, word_spans
+from .common import Rolling, broadcast_if_small, checkpoint, components, mix, slabs, union_all, word_spans
 from .simhash import star
 
 #: Production parameters.
@@ -221,41 +222,52 @@ def shared_shingles(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.
     return out
 
 
-def group_links(rows: pa.Table, percent: int, bits: int) -> pa.RecordBatch | None:
-    """Links of one bucket, or of two blocks of it, as a star per connected set.
-
-    Pairs of one component, pairs that meet in a bucket of an earlier band, and
-    pairs whose sizes or sketches rule the similarity out are passed over; the
-    others are confirmed on the full sets."""
-    key, left, right = (rows.column(c)[0].as_py() for c in ("key", "left", "right"))
-    part, node, root, n = (rows.column(c).to_numpy() for c in ("part", "node", "root", "n"))
-    keys, odd = (rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1) for c in ("keys", "odd"))
-    odd, band = odd.view(np.uint64), int(np.argmax(keys[0] == key))
-    a = np.arange(len(node)) if left == right else np.flatnonzero(part == left)
-    b = a if left == right else np.flatnonzero(part != left)
-    u, v = [], []
+def possible_pairs(rows: pa.Table, percent: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (u, v), u in order, of the pairs of one group, or of two blocks of
+    it, that lie in different components and whose sizes and sketches allow the
+    similarity."""
+    own = rows.column("left")[0].as_py() == rows.column("right")[0].as_py()
+    part, root, n = (rows.column(c).to_numpy() for c in ("part", "root", "n"))
+    odd = rows.column("odd").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(n), -1)
+    left = part == rows.column("left")[0].as_py()
+    a = np.arange(len(n)) if own else np.flatnonzero(left)
+    b = a if own else np.flatnonzero(~left)
+    u, v = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)]
     for i, x in enumerate(a):
-        others = b[i + 1 :] if left == right else b
+        others = b[i + 1 :] if own else b
         others = others[(root[others] != root[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
         others = others[np.bitwise_count(odd[others] ^ odd[x]).sum(axis=1, dtype=np.int64) <= bits]
-        others = others[~(keys[others, :band] == keys[x, :band]).any(axis=1)]
         u.append(np.full(len(others), x, dtype=np.int32))
         v.append(others.astype(np.int32))
-    u, v = (np.concatenate([np.zeros(0, dtype=np.int32), *c]) for c in (u, v))
+    return np.concatenate(u), np.concatenate(v)
+
+
+def stars(n: int, u: np.ndarray, v: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray]:
+    """A star per set that the pairs connect of which ``keep(from, to)`` holds;
+    so many pairs at a time, what is linked so far being one star each."""
+    label = every = np.arange(n)
+    for x in range(0, len(u), STAR_PAIRS):
+        held = keep(x, x + STAR_PAIRS)
+        label = star(n, np.r_[every, u[x : x + STAR_PAIRS][held]], np.r_[label, v[x : x + STAR_PAIRS][held]])
+    linked = np.flatnonzero(label != every)
+    return linked, label[linked]
+
+
+def group_links(rows: pa.Table, percent: int, bits: int, confirm: bool) -> pa.RecordBatch | None:
+    """Links of one group as stars: of all possible pairs, or of those that the
+    full sets confirm."""
+    u, v = possible_pairs(rows, percent, bits)
     if not len(u):
         return None
-    sets = [np.frombuffer(s, dtype=np.uint64) for s in rows.column("shingles").to_pylist()]
-    both = shared_shingles(sets, u, v)
-    label = every = np.arange(len(node))
-    for x in range(0, len(u), STAR_PAIRS):  # so many pairs at a time: what is linked so far is one star each
-        s, t, common = u[x : x + STAR_PAIRS], v[x : x + STAR_PAIRS], both[x : x + STAR_PAIRS]
-        near = 100 * common >= percent * (n[s] + n[t] - common)
-        label = star(len(node), np.r_[every, s[near]], np.r_[label, t[near]])
-    linked = np.flatnonzero(label != every)
-    return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], names=["u", "v"])
+    node, n = (rows.column(c).to_numpy() for c in ("node", "n"))
+    if confirm:
+        both = shared_shingles([np.frombuffer(s, dtype=np.uint64) for s in rows.column("shingles").to_pylist()], u, v)
+    keep = lambda x, y: 100 * both[x:y] >= percent * (n[u[x:y]] + n[v[x:y]] - both[x:y]) if confirm else slice(None)
+    linked, to = stars(len(node), u, v, keep)
+    return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[to])], names=["u", "v"])
 
 
-def bucket_links(percent: int, bits: int):
+def grouped_links(percent: int, bits: int, confirm: bool):
     """Rows sorted by (key, left, right) -> (u, v) links of every group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,35 +277,40 @@ def bucket_links(percent: int, bits: int):
             new = np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in names], axis=0)]) if batch.num_rows else []
             for start, end in zip(new, [*new[1:], batch.num_rows]):
                 name = tuple(int(x[start]) for x in names)
-                if name != now and held and (out := group_links(pa.Table.from_batches(held), percent, bits)) is not None:
+                if name != now and held and (out := group_links(pa.Table.from_batches(held), percent, bits, confirm)) is not None:
                     yield out
                 held = [*(held if name == now else []), batch.slice(start, end - start)]
                 now = name
-        if held and (out := group_links(pa.Table.from_batches(held), percent, bits)) is not None:
+        if held and (out := group_links(pa.Table.from_batches(held), percent, bits, confirm)) is not None:
             yield out
 
     return run
 
 
+def links_in_groups(rows: DataFrame, percent: int, block_rows: int, confirm: bool) -> DataFrame:
+    """(u, v) links within each group ``key`` of the rows (key, node, root, n,
+    odd, with ``shingles`` to confirm); a large group is dealt into blocks of so
+    many classes, or shingles, on average, and each pair of blocks is gone
+    through by itself."""
+    load = [F.count("*") / block_rows, *([F.sum("n") / BLOCK_SHINGLES] if confirm else [])]
+    sizes = rows.groupBy("key").agg((F.greatest(*load) if confirm else load[0]).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks") + 1).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
+    dealt = dealt.withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")}).drop("other", "blocks")
+    dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    return checkpoint(dealt.mapInArrow(grouped_links(percent, most_bits(), confirm), "u long, v long"))
+
+
 def remaining_links(live: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
     """(u, v) links between different components within each bucket of (key,
-    node, root); a large bucket is dealt into blocks, and each pair of blocks
-    is gone through by itself."""
-    nodes = live.select("node").distinct()
-    sizes = live.join(reps.select("node", "n"), "node").groupBy("key")
-    # blocks of so many classes and shingles at most on average
-    sizes = sizes.agg(F.greatest(F.count("*") / block_rows, F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    dealt = live.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks") + 1).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
-    dealt = dealt.withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
-    full = checkpoint(reps.select("node", "n", "keys", "odd").join(set_table(nodes, reps, docs, size), "node"))
-    row_bytes = F.octet_length("shingles") + 8 * (BANDS + BITS // 64 + 2)
-    if (full.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES:  # a class stands in many buckets: sent once to each executor
-        dealt = dealt.repartition("key", "left", "right").join(F.broadcast(full), "node")
-    else:
-        dealt = dealt.join(full, "node").repartition("key", "left", "right")
-    dealt = dealt.select("key", "left", "right", "part", "node", "root", "n", "keys", "odd", "shingles").sortWithinPartitions("key", "left", "right")
-    return checkpoint(dealt.mapInArrow(bucket_links(percent, most_bits()), "u long, v long"))
+    node, root): the pairs that sketches allow join classes to families, and
+    the full sets of each family are sent together once."""
+    light = reps.select("node", "n", "odd")
+    families = components(links_in_groups(live.join(light, "node"), percent, block_rows, False)).withColumnRenamed("root", "key")
+    roots = live.groupBy("node").agg(F.min("root").alias("root"))
+    members = checkpoint(families.join(roots, "node").join(light, "node"))
+    full = members.join(set_table(members.select("node"), reps, docs, size), "node")
+    return links_in_groups(full, percent, block_rows, True)
 
 
 def class_links(reps: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -309,14 +326,14 @@ def class_links(reps: DataFrame, docs: DataFrame, size: int = SHINGLE, percent:
         met = live.join(checkpoint(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))), "key").where("node <> hub")
         pairs = met.where("root <> hub_root").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
         links.append(confirmed(pairs, reps, docs, size, percent))
-        roots = components(union_all(links)).withColumnRenamed("root", "found")
-        # the hub has met its bucket; it stays out, and buckets of one component are done
-        rest = met.select("key", "node", "popular").join(roots, "node", "left").withColumn("root", F.coalesce("found", "node")).drop("found")
+        both = union_all([x.select(F.col(c).alias("node"), F.least("u", "v").alias("near")) for x in links for c in ("u", "v")])
+        # classes of one neighbour are connected; the hub has met its bucket and stays out of it
+        near = both.groupBy("node").agg(F.min("near").alias("near"))
+        rest = met.select("key", "node", "popular").join(near, "node", "left").withColumn("root", F.coalesce("near", "node")).drop("near")
         open_ = rest.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
         live = checkpoint(rest.join(open_, "key", "left_semi"))
-        if not live.take(1):
-            break
-    links.append(remaining_links(live.select("key", "node", "root"), reps, docs, size, percent, block_rows))
+    if live.take(1) or not links:
+        links.append(remaining_links(live.select("key", "node", "root"), reps, docs, size, percent, block_rows))
     return union_all(links)
 
 
