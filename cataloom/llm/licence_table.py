@@ -163,12 +163,35 @@ for _sid, _names in _NAMES.items():
 for _name, _sid in _SPDX.items():
     SENTENCES.setdefault(_key(f"SPDX-License-Identifier: {_name}"), _sid)
 
+#: "License: MIT" and the like, and two licences named together.
+for _sid, _names in _NAMES.items():
+    for _head, _name in product(("license", "licence", "licensed"), _names):
+        SENTENCES.setdefault(_key(f"{_head}: {_name}"), _sid)
+_APACHE = sorted({n.removeprefix("the ") for n in _NAMES["apache-2.0-notice"]} | set(_NAMES["apache-2.0-notice"]))
+_MIT = ["the MIT License", "MIT License", "MIT"]
+for _one, _two in ((_APACHE, _MIT), (_MIT, _APACHE)):
+    for _what, _verb, _a, _b in product(["", "this project is", "this software is"], ["licensed", "released", "distributed"], _one, _two):
+        for _both in (f"under {_a} and {_b}", f"under {_a} or {_b}", f"under either {_a} or {_b}", f"under either of {_a} {_b}", f"under either of {_a} or {_b}", f"under both {_a} and {_b}"):
+            SENTENCES.setdefault(_key(f"{_what} {_verb} {_both}"), "apache-2.0-and-mit-notice")
+#: Titles whose version stands in a paragraph of its own.
+SENTENCES |= {_key(s): i for i, s in [("gnu-gpl-title", "GNU GENERAL PUBLIC LICENSE"), ("gnu-lgpl-title", "GNU LESSER GENERAL PUBLIC LICENSE"), ("gnu-agpl-title", "GNU AFFERO GENERAL PUBLIC LICENSE")]}
+SENTENCES |= {_key(s): i for i, s in [("version-2-1991", "Version 2, June 1991"), ("version-2.1-1999", "Version 2.1, February 1999"), ("version-3-2007-06", "Version 3, 29 June 2007"), ("version-3-2007-11", "Version 3, 19 November 2007")]}
+
 #: Ordered rules: sentence identifiers that have to follow each other.
 RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache-2.0-notice"]),
     ("Apache-2.0 (full header)", ["apache-2.0-notice", "apache-2.0-compliance"]),
     ("Apache-2.0 (full text)", ["apache-2.0-title", "apache-2.0-terms"]),
+    ("Apache-2.0", ["apache-2.0-and-mit-notice"]),
+    ("MIT", ["apache-2.0-and-mit-notice"]),
+    ("GPL-2.0 (full text)", ["gnu-gpl-title", "version-2-1991"]),
+    ("GPL-3.0 (full text)", ["gnu-gpl-title", "version-3-2007-06"]),
+    ("LGPL-2.1 (full text)", ["gnu-lgpl-title", "version-2.1-1999"]),
+    ("LGPL-3.0 (full text)", ["gnu-lgpl-title", "version-3-2007-06"]),
+    ("AGPL-3.0 (full text)", ["gnu-agpl-title", "version-3-2007-11"]),
     ("MIT", ["mit-notice"]),
+    ("MIT", ["mit-title"]),
+    ("MIT (full text)", ["mit-title", "mit-grant", "as-is"]),
     ("MIT (full text)", ["mit-grant", "as-is"]),
     ("MIT-0", ["mit-0-notice"]),
     ("MIT-0 (full text)", ["mit-0-grant", "as-is"]),

@@ -132,3 +132,31 @@ def test_short_notices_and_what_is_none(make):
         (4, "Permission is hereby granted, free of charge, to any person who reads."), (5, "Released under the\n\nMIT License."), (6, "It is not released under the MIT License here."), (7, "a" + "." * 200_000 + "b"),
     ])
     assert [got[i][2] for i in range(1, 8)] == ["BSD-3-Clause", "MIT", "CC-BY-SA-4.0", "", "", "", ""]
+
+
+def test_notices_as_readmes_write_them(make):
+    notices = [
+        ("This project is licensed under the MIT License - see the LICENSE.md file for details", "MIT"),
+        ("licensed under the MIT license, see LICENSE for details.", "MIT"),
+        ("License: MIT", "MIT"),
+        ("Licensed under either of * Apache License, Version 2.0 * MIT license", "Apache-2.0,MIT"),
+        ("Released under Apache 2.0 and MIT.", "Apache-2.0,MIT"),
+        ("SPDX-License-Identifier: (Apache-2.0 OR MIT)", "Apache-2.0,MIT"),
+        ("<p>SPDX-License-Identifier: BSD-3-Clause</p>", "BSD-3-Clause"),
+        ("// SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0 AND (ISC)", "GPL-2.0-or-later,ISC"),
+        ("<p>This software is released under the MIT License.</p>", "MIT"),
+        ("GNU GENERAL PUBLIC LICENSE\n\n   Version 2, June 1991\n", "GPL-2.0 (full text)"),
+        ("The MIT License (MIT)\n\nCopyright (c) 2020", "MIT"),
+        ("IN NO EVENT SHALL " + "THE VERY LONG NAME OF A HOLDER " * 5 + BSD, "BSD-3-Clause (full text)"),
+    ]
+    got = scan(make, [(i, text) for i, (text, _) in enumerate(notices)])
+    for i, (text, want) in enumerate(notices):
+        assert got[i][2] == want, (text, got[i])
+
+
+def test_of_rules_from_one_identifier_the_longest_holds():
+    index = licences.rule_index([("A", ["x", "y"]), ("B", ["x", "z", "w"]), ("C", ["w"]), ("D", ["y"])])
+    assert licences.rule_matches(["x", "y", "z", "w"], index) == [("B", 0), ("D", 1)]
+    assert licences.rule_matches(["x", "y", "w"], index) == [("A", 0), ("C", 2)]
+    assert licences.rule_matches(["x", "q", "q", "y"], index) == [("D", 3)]
+    assert licences.rule_matches(["x", "y", "x", "y"], index) == [("A", 0), ("A", 2)]
