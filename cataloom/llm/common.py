@@ -50,27 +50,30 @@ def gapless(df: DataFrame, groups: list[str], order: list[str], spread: str, nam
     return ranked.join(shift, keys).withColumn(name, F.col("_shift") + F.col("_rank")).drop("_block", "_rank", "_shift")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, task_rows: int | None = None) -> DataFrame:
     """(node, root) for every node of the (u, v) links; root is the smallest
     node of its component.
 
     Large-star and small-star rounds: minima are aggregated before the
     shuffle, so the neighbours of a hub never meet in one row.  Each round is
     checkpointed; the rounds grow with the logarithm of the longest path.
+    ``task_rows`` keeps a graph of few links in few tasks, so many links each.
     """
     edges = checkpoint(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = None
+    seen, rows = None, edges.count() if task_rows else 0
+    few = lambda df: df.coalesce(1 + rows // task_rows) if task_rows else df
     while True:
+        edges = few(edges)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpoint(small.union(least).distinct())
+        least = few(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = few(few(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
+        least = few(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = few(large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        edges = checkpoint(few(small.union(least).distinct()))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
-        seen = now
+        seen, rows = now, now[0]
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 

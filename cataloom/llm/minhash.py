@@ -54,6 +54,7 @@ from .simhash import star
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS, SAMPLES, BITS, LEAST = 6, 40, 512, 1024, 0.74
 HUB_ROUNDS, BLOCK_ROWS, BLOCK_SHINGLES = 1, 2048, 1 << 20
+TASK_LINKS = 200_000
 SKETCH_DOCS, CHUNK_SHINGLES, STAR_PAIRS = 1024, 1 << 13, 1 << 18
 
 
@@ -297,7 +298,7 @@ def links_in_groups(rows: DataFrame, percent: int, block_rows: int, confirm: boo
     dealt = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks") + 1).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks"))))
     dealt = dealt.withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")}).drop("other", "blocks")
-    dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    dealt = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "node")
     return checkpoint(dealt.mapInArrow(grouped_links(percent, most_bits(), confirm), "u long, v long"))
 
 
@@ -306,7 +307,7 @@ def remaining_links(live: DataFrame, reps: DataFrame, docs: DataFrame, size: int
     node, root): the pairs that sketches allow join classes to families, and
     the full sets of each family are sent together once."""
     light = reps.select("node", "n", "odd")
-    families = components(links_in_groups(live.join(light, "node"), percent, block_rows, False)).withColumnRenamed("root", "key")
+    families = components(links_in_groups(live.join(light, "node"), percent, block_rows, False), TASK_LINKS).withColumnRenamed("root", "key")
     roots = live.groupBy("node").agg(F.min("root").alias("root"))
     members = checkpoint(families.join(roots, "node").join(light, "node"))
     full = members.join(set_table(members.select("node"), reps, docs, size), "node")
@@ -344,7 +345,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = checkpoint(full.groupBy("digest").agg(F.min("_row").alias("node"), F.min("doc_id").alias("first")))
     reps = full.withColumnRenamed("_row", "node").join(classes.select("node"), "node", "left_semi")
     reps = checkpoint(reps.select("node", "t1", "t2", "n", "keys", "odd"))
-    roots = components(class_links(reps, docs, size, percent, hub_rounds, block_rows))
+    roots = components(class_links(reps, docs, size, percent, hub_rounds, block_rows), TASK_LINKS)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = named.join(least, "root").select("digest", "component_id")
