@@ -48,3 +48,23 @@ def test_slots_over_many_blocks(spark):
     rows = gapless(df, ["g"], ["id"], "id", "slot", rows_per_block=100).collect()
     for g in (0, 1):
         assert sorted(r["slot"] for r in rows if r["g"] == g) == list(range(sum(r["g"] == g for r in rows)))
+
+
+def test_shards_by_an_independent_formula(spark, sf):
+    """Every row's shard and grown shard from the hash library and math.log."""
+    import math
+    import struct
+
+    from xxhash import xxh64_intdigest
+
+    from cataloom.llm.queries import op8_rendezvous
+
+    def best(key, n):
+        seed = xxh64_intdigest(str(key).encode(), 42)
+        u = [((xxh64_intdigest(struct.pack("<i", s), seed) >> 12) + 0.5) / 2**52 for s in range(n)]
+        return max(range(n), key=lambda s: (-1.0 / math.log(u[s]), -s))
+
+    rows = op8_rendezvous(spark, sf).collect()
+    assert len(rows) == 200
+    for r in rows:
+        assert (r["shard"], r["grown_shard"]) == (best(r["doc_id"], 16), best(r["doc_id"], 17))
