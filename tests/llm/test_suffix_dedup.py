@@ -101,3 +101,20 @@ def test_texts_that_share_an_id_are_cut_by_themselves(make, passage):
     assert rows[0][1] in clean and rows[2][1] in clean and rows[1][1][:20] + rows[1][1][270:] in clean
     digits = "".join(map(str, range(200)))
     assert sum(digits in t for t in clean) == 1 and {rows[3][1], rows[3][1][:30]} & set(clean) and {rows[4][1], rows[4][1][:500]} & set(clean)
+
+
+@pytest.mark.parametrize("node_rows", [1, 4096])
+def test_texts_that_share_an_id_are_ordered_by_their_starts(make, rows_of, node_rows):
+    """Of equal strings under one doc_id the one that starts first stays, whichever
+    row it is in; at one start both stay, and both go if another id has them earlier."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base = noise(1500)
+    rows = [(rng.randrange(25), noise(rng.randrange(30)) + base[(a := rng.randrange(1400)) : a + rng.randrange(600)]) for _ in range(120)]
+    rows += [(30, base[:150] + noise(50 + k)) for k in range(4)] + [(31, base[700:900] + noise(k)) for k in (1, 2, 2)]
+    fresh = noise(300)
+    rows += [(40, fresh + noise(20)), (40, fresh + noise(30)), (41, noise(7) + fresh), (41, noise(7) + fresh[:250] + noise(9))]
+    rows += [(50, (edge := noise(260)) + noise(9)), (50, edge + noise(10)), (45, noise(5) + edge[:200])]
+    rows.append(rows[5])
+    rng.shuffle(rows)
+    assert rows_of(suffix_dedup.repeated_passages(make(rows), node_rows=node_rows)) == brute(rows)
