@@ -182,9 +182,11 @@ def column_levels(x, max_levels: int = 20, rsd: float = 0.05, catalog=None) -> D
     """``categorical_columns`` at a cost that does not grow with rows x columns.
 
     One pass keeps, for every column, a HyperLogLog++ estimate
-    (``approx_levels``) and a mergeable sketch of its most frequent values.
-    More than ``max_levels`` values in the sketch are as many levels, so such a
-    column is not categorical; for the others a second pass counts the rows
+    (``approx_levels``), a mergeable sketch of its most frequent values and a
+    bitmap of its values' hashes.  More than ``max_levels`` values in the sketch
+    or bits in the bitmap are as many levels at least, so such a column is not
+    categorical (a sketch holds nothing of a large column whose values all occur
+    rarely); for the others a second pass counts the rows
     that hold one of the few values, and when these are all, the levels are
     exactly these.  ``is_categorical`` (at most ``max_levels`` levels) is
     therefore exact, as are ``distinct_levels`` and ``distinct_ratio`` of
@@ -195,13 +197,16 @@ def column_levels(x, max_levels: int = 20, rsd: float = 0.05, catalog=None) -> D
     spark = df.sparkSession
     fields = df.schema.fields
     plain = [F.array_sort(F.map_entries(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in fields]
-    first = df.agg(
-        *[F.approx_count_distinct(c, rsd).alias(f"c{i}") for i, c in enumerate(plain)],
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(plain)],
-        *[F.call_function("approx_top_k", _level(fields[i]), F.lit(max_levels + 2), F.lit(max(TRACKED_LEVELS, 2 * max_levels + 4))).alias(f"t{i}") for i in range(len(fields))],
+    values = df.select(*[c.alias(f"p{i}") for i, c in enumerate(plain)], *[_level(f).alias(f"v{i}") for i, f in enumerate(fields)])
+    bit = lambda v: F.bitmap_bit_position(F.when(F.col(v).isNotNull(), F.xxhash64(v)))
+    first = values.agg(
+        *[F.approx_count_distinct(f"p{i}", rsd).alias(f"c{i}") for i in range(len(fields))],
+        *[F.count(f"p{i}").alias(f"n{i}") for i in range(len(fields))],
+        *[F.call_function("approx_top_k", F.col(f"v{i}"), F.lit(max_levels + 2), F.lit(max(TRACKED_LEVELS, 2 * max_levels + 4))).alias(f"t{i}") for i in range(len(fields))],
+        *[F.bitmap_count(F.bitmap_construct_agg(bit(f"v{i}"))).alias(f"b{i}") for i in range(len(fields))],
     ).first()
     held = {i: [r["item"] for r in first[f"t{i}"] or [] if r["item"] is not None] for i in range(len(fields))}
-    few = [i for i in range(len(fields)) if len(held[i]) <= max_levels]
+    few = [i for i in range(len(fields)) if len(held[i]) <= max_levels and first[f"b{i}"] <= max_levels]
     levels = {i: 0 for i in few if not held[i] and not first[f"n{i}"]}
     open_ = [i for i in few if i not in levels]
     if open_:

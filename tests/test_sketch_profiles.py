@@ -164,3 +164,12 @@ def test_closed_form_equals_the_fitted_model(spark):
     one_each = learn.group_coefficients(df.limit(1), "weight", "grp").collect()
     assert [(r.term, r.std_error, r.t_value) for r in one_each] == [("(Intercept)", None, None)]
     assert learn.group_coefficients(df.limit(0), "weight", "grp").count() == 0
+
+
+def test_many_rare_values_are_not_counted_one_by_one(spark, monkeypatch):
+    """Values that are all rare leave an empty sketch: hashes tell that they are many."""
+    monkeypatch.setattr(P, "categorical_columns", lambda *a, **k: pytest.fail("a row per row and column"))
+    df = spark.range(0, 60_000, 1, 3).select("id", F.col("id").cast("string").alias("s"), (F.col("id") * 0.5).alias("x"), (F.col("id") % 20).alias("twenty"), F.lit(None).cast("int").alias("none"))
+    got = {r.column_name: (r.distinct_levels, r.is_categorical) for r in P.column_levels(df).collect()}
+    assert got == {"id": (None, False), "s": (None, False), "x": (None, False), "twenty": (20, True), "none": (0, True)}
+    assert {r.is_categorical for r in P.column_levels(df.limit(0)).collect()} == {True}
