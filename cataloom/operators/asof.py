@@ -1,9 +1,11 @@
 """As-of join: each left row with the last right row at or before its time.
 
-Both sides become one stream of rows ordered by key and time.  Time is cut into
-buckets, so a key that holds a third of all rows spreads over many (key,
-bucket) groups: inside a group a running window carries the last right row
-forward, and what a group starts with is the last right row of the key's
+Both sides become one stream of rows ordered by key and time, in which a running
+window carries the last right row forward: one shuffle of the rows.  A first
+pass counts the rows of each key, combined in the tasks.  For keys of more than
+``PART_ROWS`` rows time is cut into buckets, so a key that holds a third of all
+rows spreads over many (key, bucket) groups: what a group starts with is the
+last right row of the key's
 buckets before, which a second, small window carries from bucket to bucket
 (one row for each key and bucket).  A group of many rows of one moment is dealt
 over several parts, each with the right rows of the group.
@@ -12,6 +14,7 @@ over several parts, each with the right rows of the group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ from pyspark.sql import types as T
 from cataloom.operators.inequality import ordered_long
 from cataloom.session import materialize
 
-#: Rows of a bucket on average (of all keys together), and rows of a (key, bucket) part.
+#: Rows of a bucket on average (of all keys of many rows together), and rows of a key or (key, bucket) part.
 BUCKET_ROWS, PART_ROWS = 2_000_000, 500_000
 
 
@@ -74,18 +77,47 @@ def asof_join(
     there = F.lit(True)
     for c in (*keys, "__t"):
         there = there & F.col(c).isNotNull()
-    alone = one.where(~there).select("__l", F.lit(None).cast(two.schema["__r"].dataType).alias("__r"), F.lit(None).cast("double").alias("__apart"))
     two = two.where(there)
+    # keys of more rows than a part, and how many left rows can have no partner
+    sizes = one.select(*keys, there.alias("__there")).unionByName(two.select(*keys, F.lit(True).alias("__there")))
+    sizes = sizes.select(*[F.when(F.col("__there"), F.col(k)).alias(k) for k in keys], "__there").groupBy(*keys, "__there").count()
+    marks = materialize(sizes.where(F.col("count") > F.when(F.col("__there"), part_rows).otherwise(0)))
+    found = {r["__there"] for r in marks.select("__there").distinct().collect()}
+    outs = []
+    if False in found:
+        outs.append(one.where(~there).select("__l", F.lit(None).cast(two.schema["__r"].dataType).alias("__r"), F.lit(None).cast("double").alias("__apart")))
     empty = {c: F.lit(None).cast(d.schema[c].dataType) for d, c in ((one, "__l"), (two, "__r"), (two, "__tie"))}
     events = one.where(there).select(*keys, "__t", F.lit(not allow_equal).alias("__first"), "__l", "__id", empty["__r"].alias("__r"), empty["__tie"].alias("__tie"))
     marked = two.select(*keys, "__t", F.lit(allow_equal).alias("__first"), empty["__l"].alias("__l"), F.lit(None).cast("long").alias("__id"), "__r", "__tie")
     events = events.unionByName(marked)
+    last = F.when(F.col("__r").isNotNull(), F.struct("__t", "__tie", "__r"))
+    order = ["__t", F.col("__first").desc(), "__tie"]
+    running = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hot = F.broadcast(marks.where("__there").select(*keys))  # at most rows / part_rows keys
+    rest = events.join(hot, keys, "left_anti") if True in found else events
+    stream = rest.withColumn("__found", F.last(last, ignorenulls=True).over(running(*keys)))
+    if True in found:
+        stream = stream.select("__l", "__t", "__found").unionByName(_hot_stream(events.join(hot, keys, "left_semi"), keys, last, running, bucket_rows, part_rows))
+    stream = stream.where("__l is not null")
+    outs.append(stream.select("__l", F.col("__found.__r").alias("__r"), (F.col("__t") - F.col("__found.__t")).cast("double").alias("__apart")))
+    out = reduce(DataFrame.unionByName, outs)
+    if tolerance is not None:
+        out = out.withColumn("__r", F.when(F.col("__apart") <= tolerance, F.col("__r")))
+    if how == "inner":
+        out = out.where("__r is not null")
+    names = [*left.columns, *right.columns]
+    flat = [F.col(f"__l.c{i}").alias(f"c{i}") for i in range(len(left.columns))]
+    flat += [F.col(f"__r.c{i}").alias(f"c{len(left.columns) + i}") for i in range(len(right.columns))]
+    return out.select(*flat).toDF(*names)
+
+
+def _hot_stream(events: DataFrame, keys: list[str], best: Column, running, bucket_rows: int, part_rows: int) -> DataFrame:
+    """(__l, __t, __found) of the rows of keys with many rows, by time buckets."""
     n, low, high = events.agg(F.count("*"), F.min("__t").cast("double"), F.max("__t").cast("double")).first()
     buckets = 1 + n // bucket_rows
     width = ((high - low) / buckets if n else 0.0) or 1.0
     events = events.withColumn("__b", F.least(F.floor((F.col("__t").cast("double") - F.lit(low or 0.0)) / F.lit(width)), F.lit(buckets - 1)).cast("long"))
     # the last right row of each (key, bucket), carried into the key's buckets after it
-    best = F.when(F.col("__r").isNotNull(), F.struct("__t", "__tie", "__r"))
     groups = events.groupBy(*keys, "__b").agg(F.max_by(best, F.when(F.col("__r").isNotNull(), F.struct("__t", "__tie"))).alias("__last"), F.count("__l").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carried = groups.select(*keys, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"), F.ceil(F.col("__n") / part_rows).cast("int").alias("__parts"))
@@ -99,19 +131,5 @@ def asof_join(
         joined = joined.withColumn("__p", F.explode(F.when(F.col("__r").isNull(), F.array(mine)).otherwise(every)))
         part = F.col("__p")
     joined = joined.withColumn("__part", part)
-    running = (
-        Window.partitionBy(*keys, "__b", "__part")
-        .orderBy("__t", F.col("__first").desc(), "__tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    here = F.last(best, ignorenulls=True).over(running)
-    found = joined.withColumn("__found", F.coalesce(here, F.col("__carry"))).where("__l is not null")
-    out = found.select("__l", F.col("__found.__r").alias("__r"), (F.col("__t") - F.col("__found.__t")).cast("double").alias("__apart")).unionByName(alone)
-    if tolerance is not None:
-        out = out.withColumn("__r", F.when(F.col("__apart") <= tolerance, F.col("__r")))
-    if how == "inner":
-        out = out.where("__r is not null")
-    names = [*left.columns, *right.columns]
-    flat = [F.col(f"__l.c{i}").alias(f"c{i}") for i in range(len(left.columns))]
-    flat += [F.col(f"__r.c{i}").alias(f"c{len(left.columns) + i}") for i in range(len(right.columns))]
-    return out.select(*flat).toDF(*names)
+    here = F.last(best, ignorenulls=True).over(running(*keys, "__b", "__part"))
+    return joined.select("__l", "__t", F.coalesce(here, F.col("__carry")).alias("__found"))

@@ -86,3 +86,15 @@ def test_repeated_rows_timestamps_and_empty_sides(spark):
     assert asof_join(a.where("false"), b, [("k", "k")], ("t", "t")).count() == 0
     with pytest.raises(ValueError):
         asof_join(a, b.withColumn("t", F.lit("x")), [("k", "k")], ("t", "t"))
+
+
+def test_keys_of_few_rows_take_one_shuffle(spark):
+    """No groups by struct, no join back: sorted once, for the window."""
+    left, right = data(seed=6)
+    a, b = frames(spark, [r for r in left if None not in r], right)
+    got = asof_join(a, b, [("k", "key")], ("t", "at"), ["tie"])
+    assert pairs(got) == brute([r for r in left if None not in r], right)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and "Aggregate" not in text and text.count("Window") == 1
+    a, b = frames(spark, left, right)  # rows without a key or time, beside hot and other keys
+    assert pairs(asof_join(a, b, [("k", "key")], ("t", "at"), ["tie"], bucket_rows=50, part_rows=len(left) // 5)) == brute(left, right)
