@@ -1,3 +1,5 @@
+import numpy as np
+import math
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +89,24 @@ def test_f_survival_keeps_digits_at_large_n():
     three = math.erfc(math.sqrt(1.5)) + math.sqrt(6 / math.pi) * math.exp(-1.5)
     assert learn.f_survival(1.0, 3, 1e12) == pytest.approx(three, rel=1e-8)
     assert learn.f_survival(3.0, 2, 5000) == pytest.approx((1 + 6 / 5000) ** -2500, rel=1e-8)
+
+
+@pytest.mark.parametrize("narrow", [0, 64])
+def test_rounds_are_lloyds_by_columns_and_in_batches(spark, monkeypatch, narrow):
+    """Each round against the same rounds in numpy; no row is sent as a pickled object."""
+    monkeypatch.setattr(learn, "NARROW", narrow)
+    rng = np.random.default_rng(5)
+    points = np.concatenate([rng.normal(m, 1.0, (60, 3)) for m in (0.0, 6.0, 15.0)])
+    data = spark.createDataFrame([(p.tolist(),) for p in points], "point array<double>").repartition(3)
+    monkeypatch.setattr(type(data), "rdd", property(lambda self: pytest.fail("rows go through Python objects")))
+    at = points[[0, 1, 2]].copy()
+    for turns in (1, 2, 30):
+        want = at.copy()
+        for _ in range(turns):
+            place = ((points[:, None] - want[None]) ** 2).sum(axis=2).argmin(axis=1)
+            want = np.array([points[place == i].mean(axis=0) if (place == i).any() else want[i] for i in range(3)])
+        model = learn.fit_from(data, at.tolist(), turns)
+        assert np.allclose(model.clusterCenters(), want, atol=1e-9)
+        assert math.isclose(model.trainingCost, ((points[:, None] - want[None]) ** 2).sum(axis=2).min(axis=1).sum(), rel_tol=1e-9)
+    far = learn.fit_from(data, [[0.0, 0.0, 0.0], [1e6, 1e6, 1e6]], 3).clusterCenters()
+    assert np.allclose(far[0], points.mean(axis=0)) and far[1] == [1e6, 1e6, 1e6]  # no points: it stays
