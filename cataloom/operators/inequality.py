@@ -258,6 +258,7 @@ def inequality_join(
     residual: str | Column | None = None,
     how: str = "inner",
     block_rows: int = BLOCK_ROWS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join on one or more inequalities.
 
@@ -266,14 +267,16 @@ def inequality_join(
     left_semi or left_anti.  NULL values match nothing; rows without a partner
     are found by row number, so each comes out once.  An inequality join that
     most pairs satisfy has a result of that size; the work beside it is the
-    block pairs on the edge of the conditions.
+    block pairs on the edge of the conditions.  ``keep`` names the columns that
+    are wanted of both sides (all by default): only these are paired and returned.
     """
     from cataloom.operators.join import join_type
 
     kind = join_type(how)
     if kind not in ("inner", "left", "right", "full", "left_semi", "left_anti"):
         raise ValueError(f"inequality_join does not support how={how!r}")
-    own, other = list(left.columns), list(right.columns)
+    wanted = lambda name: keep is None or name.lower() in {k.lower() for k in keep}
+    own, other = ([f.name for f in d.schema.fields if wanted(f.name)] for d in (left, right))
     a = materialize(left.withColumn("__row", F.monotonically_increasing_id()))
     b = materialize(right.withColumn("__row", F.monotonically_increasing_id()))
     extra = [c for c in conditions[2:]]
@@ -287,14 +290,17 @@ def inequality_join(
             found = found.where(getattr(one, ops[c.op])(two))
         if residual is not None:
             found = found.where(residual)
-        names = [f"c{i}" for i in range(len(own) + len(other))]
+        names = [f"c{i}" for i in range(len(left.columns) + len(right.columns))]
         # by place: both sides may use a name
-        found = found.toDF(*names[: len(own)], "__left", "__l", "__r", *names[len(own) :], "__right")
-        matched = found.select(*[F.col(n) for n in names], F.col("__left"), F.col("__right"))
+        found = found.toDF(*names[: len(left.columns)], "__left", "__l", "__r", *names[len(left.columns) :], "__right")
+        matched = found.select(*[F.col(n) for n, c in zip(names, [*left.columns, *right.columns]) if wanted(c)], F.col("__left"), F.col("__right"))
     else:
-        rows = matching_rows(a, b, conditions, ([*own, "__row"], [*other, "__row"]), block_rows)
+        numbers = [] if kind == "inner" and own and other else ["__row"]
+        rows = matching_rows(a, b, conditions, ([*own, *numbers], [*other, *numbers]), block_rows)
         flat = [F.col(f"l.c{i}").alias(f"c{i}") for i in range(len(own))] + [F.col(f"r.c{i}").alias(f"c{len(own) + i}") for i in range(len(other))]
-        matched = rows.select(*flat, F.col(f"l.c{len(own)}").alias("__left"), F.col(f"r.c{len(other)}").alias("__right"))
+        if kind != "inner":
+            flat += [F.col(f"l.c{len(own)}").alias("__left"), F.col(f"r.c{len(other)}").alias("__right")]
+        matched = rows.select(*flat)
     if kind in ("left_semi", "left_anti"):
         return a.join(matched.select(F.col("__left").alias("__row")).distinct(), "__row", kind).select(*[F.col(f"`{c}`") for c in own])
     if kind != "inner":
@@ -302,10 +308,10 @@ def inequality_join(
     out = matched.drop("__left", "__right").toDF(*own, *other)
     if kind in ("left", "full"):
         alone = a.join(matched.select(F.col("__left").alias("__row")).distinct(), "__row", "left_anti")
-        out = out.union(alone.select(*[F.col(f"`{c}`") for c in own], *[F.lit(None).cast(f.dataType) for f in right.schema.fields]))
+        out = out.union(alone.select(*[F.col(f"`{c}`") for c in own], *[F.lit(None).cast(f.dataType) for f in right.schema.fields if wanted(f.name)]))
     if kind in ("right", "full"):
         alone = b.join(matched.select(F.col("__right").alias("__row")).distinct(), "__row", "left_anti")
-        out = out.union(alone.select(*[F.lit(None).cast(f.dataType) for f in left.schema.fields], *[F.col(f"`{c}`") for c in other]))
+        out = out.union(alone.select(*[F.lit(None).cast(f.dataType) for f in left.schema.fields if wanted(f.name)], *[F.col(f"`{c}`") for c in other]))
     return out
 
 

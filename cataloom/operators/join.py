@@ -168,7 +168,7 @@ def join_tables(
     ldf, _ = unwrap(left)
     rdf, _ = unwrap(right)
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
-    out = theta_join(ldf, rdf, cond, join_type(join_type_name), filter_condition)
+    out = theta_join(ldf, rdf, cond, join_type(join_type_name), filter_condition, select_cols if filter_condition is None else None)
     if out is None:
         out = ldf.join(rdf, cond, join_type(join_type_name))
     if filter_condition is not None:
@@ -280,11 +280,12 @@ def join_back_aggregate(
 
 
 # ---------------------------------------------------------------- theta
-def theta_join(left: DataFrame, right: DataFrame, cond: Column, how: str, filter_condition: str | Column | None = None) -> DataFrame | None:
+def theta_join(left: DataFrame, right: DataFrame, cond: Column, how: str, filter_condition: str | Column | None = None, keep: Sequence[str] | None = None) -> DataFrame | None:
     """A join without equality: a value between two bounds becomes a
     ``range_join``, other inequalities an ``inequality_join``.  None when the
     condition has no such part, or when a later filter names columns in a way
-    (by table alias) that only Spark's own join keeps; Spark plans these."""
+    (by table alias) that only Spark's own join keeps; Spark plans these.
+    ``keep`` names the columns that are wanted; others may be left out."""
     if how not in ("inner", "left", "right", "full", "left_semi", "left_anti"):
         return None
     found = inequalities_of(left, right, cond)
@@ -312,7 +313,7 @@ def theta_join(left: DataFrame, right: DataFrame, cond: Column, how: str, filter
                 back = names[len(right.columns) :] + names[: len(right.columns)]
                 return out.toDF(*names).select(*back).toDF(*left.columns, *right.columns)
     residual = None if whole and len(conditions) <= 2 else cond
-    return inequality_join(left, right, conditions[:2], residual, how)
+    return inequality_join(left, right, conditions[:2], residual, how, keep=keep or None)
 
 
 def range_join(
