@@ -22,6 +22,8 @@ from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import LinearRegression
+from pyspark.mllib.clustering import KMeans as SparkKMeans
+from pyspark.mllib.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,9 +126,9 @@ def seed_centers(data: DataFrame, k: int, seed: int, turns: int = 2, oversample:
 CENTER_MOVE, NARROW = 1e-4, 64
 
 
-def _sums_by_columns(points: DataFrame, centers: np.ndarray) -> DataFrame:
-    """What ``_center_sums`` gives, by column expressions: no row leaves the JVM,
-    which pays for points of a few coordinates."""
+def _center_sums(points: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Per centre the sum and number of the points nearest to it, and their squared
+    distance from it; by column expressions, so that no row leaves the JVM."""
     axes = range(centers.shape[1])
     away = [reduce(Column.__add__, [(F.col("point")[j] - F.lit(float(c[j]))) * (F.col("point")[j] - F.lit(float(c[j]))) for j in axes]) for c in centers]
     met = points.select("point", *[a.alias(f"d{i}") for i, a in enumerate(away)])
@@ -138,52 +140,26 @@ def _sums_by_columns(points: DataFrame, centers: np.ndarray) -> DataFrame:
     return sums.select("i", F.array(*[f"s{j}" for j in axes]).alias("sum"), "n", "cost")
 
 
-def _center_sums(centers: np.ndarray):
-    """Batches of ``point`` -> per task and centre the sum and count of the
-    points nearest to it, and their squared distance from it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, counts, costs = np.zeros(centers.shape), np.zeros(len(centers), dtype=np.int64), np.zeros(len(centers))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = _points(batch.column(0))
-            away, place = _nearest(points, centers)
-            for i in range(len(centers)):
-                own = place == i
-                sums[i] += points[own].sum(axis=0)
-                costs[i] += away[own].sum()
-            counts += np.bincount(place, minlength=len(centers))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(centers)), pa.int32()), pa.array(list(sums), pa.list_(pa.float64())), pa.array(counts), pa.array(costs)], names=["i", "sum", "n", "cost"])
-
-    return run
-
-
 def fit_from(data: DataFrame, centers: list[list[float]], max_iter: int) -> Centers:
     """Lloyd's rounds from the given start centres.
 
-    A round is one pass over the kept points, by column expressions or, for wide
-    points, in batches of arrays; each task sends a sum and a count per centre.
-    It ends when no centre moves further
-    than ``CENTER_MOVE``; a centre without points stays where it is.
+    For points of a few coordinates a round is one grouped pass over the kept
+    points, of which a sum and a count per centre come back.  It ends when no centre
+    moves further than ``CENTER_MOVE``; a centre without points stays where it is.
+    Wide points go to Spark's k-means (its RDD form takes a start model).
     """
     points, now = data.select("point"), np.array(centers, dtype=np.float64)
-
-    def met(at: np.ndarray) -> list:
-        if at.size <= NARROW:
-            return [r.asDict() | {f"s{j}": v for j, v in enumerate(r["sum"])} for r in _sums_by_columns(points, at).collect()]  # k rows
-        rows = points.mapInArrow(_center_sums(at), "i int, sum array<double>, n long, cost double")
-        axes = [F.sum(F.col("sum")[j]).alias(f"s{j}") for j in range(at.shape[1])]
-        return rows.groupBy("i").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *axes).collect()  # k rows
-
+    if now.size > NARROW:
+        model = SparkKMeans.train(points.rdd.map(lambda r: r[0]), len(centers), maxIterations=max_iter, initialModel=KMeansModel(centers))
+        found = [[float(v) for v in c] for c in model.clusterCenters]
+        return Centers(found, _with_nearest(points, found).agg(F.sum("d")).first()[0] or 0.0)
     for _ in range(max_iter):
         last, now = now, now.copy()
-        for r in met(last):
-            if r["n"]:
-                now[r["i"]] = [r[f"s{j}"] / r["n"] for j in range(now.shape[1])]
+        for r in _center_sums(points, last).collect():  # one row per centre
+            now[r["i"]] = np.array(r["sum"]) / r["n"]
         if np.square(now - last).sum(axis=1).max() <= CENTER_MOVE**2:
             break
-    return Centers(now.tolist(), float(sum(r["cost"] for r in met(now))))
+    return Centers(now.tolist(), float(sum(r["cost"] for r in _center_sums(points, now).collect())))
 
 
 #: Rows of a partition of clustered points.
