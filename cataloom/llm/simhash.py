@@ -175,7 +175,9 @@ def trie_links(fps: DataFrame, distance: int = DISTANCE, node_rows: int = NODE_R
         sizes = rows.groupBy(*node).agg(F.count("*").alias("n"), right.alias("r"))
         sizes = checkpoint(sizes.where("n > 1 and (lo = hi or (r > 0 and r < n))"))
         ready = rows.join(sizes.where(F.col("n") <= node_rows).select(*node), node, "left_semi") if prefix < 64 else rows.join(sizes.select(*node), node, "left_semi")
-        dealt = ready.repartition(*node).sortWithinPartitions(*node)
+        # dealt by a key that is not the join's: Spark drops a repartition by the
+        # join's own, and is then free to deal the rows of a node over many tasks
+        dealt = ready.repartition(F.xxhash64(*node)).sortWithinPartitions(*node)
         links.append(dealt.mapInArrow(link_nodes(prefix, distance), "u long, v long"))
         large = sizes.where(F.col("n") > node_rows).select(*node)
         if prefix + 8 > 64 or not large.take(1):

@@ -88,6 +88,35 @@ def test_links_with_split_nodes(spark, node_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("node_rows", [64, 2048])
+def test_nodes_stay_whole_when_joins_turn_to_broadcasts(spark, node_rows):
+    """One node of near pairs that agree on their first block only, in many
+    partitions, with joins that become broadcast joins while they run."""
+    rng = random.Random(5)
+    pairs = set()
+    for _ in range(100):
+        one = 0xABCD << 48 | rng.getrandbits(48)
+        pairs.add((one, one ^ sum(1 << 16 * block + rng.randrange(16) for block in range(3))))
+    fps = [x for side in zip(*pairs) for x in side]
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(16)
+        links = simhash.trie_links(rows, 3, node_rows).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = {tuple(sorted((u % 2**64, v % 2**64))) for u, v in links}
+    assert got == {tuple(sorted(p)) for p in pairs}
+
+
 def test_empty_and_keep_first(make, edge, rows_of):
     assert simhash.near_duplicates(make([])).collect() == []
     assert simhash.keep_first(make([])).collect() == []
